@@ -6,17 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brookflow.llm import tokenids
+from brookflow.llm import packing, tokenids
 from brookflow.llm.common import table
 from brookflow.llm.tokens import default_path
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(spark, table(spark, sf_dir, "documents"), default_path(), capacity=2048, end_id=0)
+
+
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.token_ids(spark, table(spark, sf_dir, "documents"), default_path(), end_id=2)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op6_best_fit_packing": op6_best_fit_packing,
         "op9_token_ids": op9_token_ids,
     }
 
