@@ -5,12 +5,59 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brookflow.llm import packing, tokenids
+from brookflow.llm import packing, tokenids, urlfilter
 from brookflow.llm.common import table
 from brookflow.llm.tokens import default_path
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's labelled outcome is the quality of the row of labels whose id is the page's: 0 is bad."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
+    return urlfilter.judge_urls(table(spark, sf_dir, "pages"), labels).drop("bad_bound")
+
+
+OP3_SQL = """
+WITH urls AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls
+), ruled AS (
+  SELECT page_id, host, path, CASE
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/7%' THEN 'example.com/en/7'
+    WHEN (host = 'example.net' OR host LIKE '%.example.net') AND path LIKE '/de/8%' THEN 'example.net/de/8'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/en/%' THEN 'com/en/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/de/%' THEN 'net/de/'
+    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/es/%' THEN 'org/es/' END AS rule
+  FROM parts
+), hosts AS (
+  SELECT host, count(*) AS n, CAST(sum(1 - l.quality) AS BIGINT) AS bad
+  FROM parts p JOIN labels l ON p.page_id = l.doc_id WHERE l.quality IS NOT NULL AND host <> '' GROUP BY host
+), h AS (
+  SELECT *, CASE WHEN len(string_split(host, '.')) <= 2 THEN host ELSE string_split(host, '.')[-2] || '.' || string_split(host, '.')[-1] END AS domain,
+         string_split(host, '.')[-1] AS suffix FROM hosts
+), d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY domain, suffix
+), s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY suffix
+), w AS (SELECT (sum(bad) + 1.0::DOUBLE) / (sum(n) + 2.0::DOUBLE) AS prior FROM s
+), s0 AS (SELECT s.*, prior, n * (bad / n::DOUBLE - prior) ^ 2 AS e FROM s, w
+), sm AS (SELECT (sum(e) - sum(prior * (1 - prior))) / nullif(sum(prior * (1 - prior) * (n - 1)), 0) AS rho FROM s0
+), s1 AS (SELECT suffix, (prior * k + bad) / (k + n) AS prior_of FROM s0, (SELECT greatest(2, least(1000, CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000 END)) AS k FROM sm)
+), d0 AS (SELECT d.*, prior_of AS prior, n * (bad / n::DOUBLE - prior_of) ^ 2 AS e FROM d JOIN s1 USING (suffix)
+), dm AS (SELECT (sum(e) - sum(prior * (1 - prior))) / nullif(sum(prior * (1 - prior) * (n - 1)), 0) AS rho FROM d0
+), d1 AS (SELECT domain, (prior * k + bad) / (k + n) AS prior_of FROM d0, (SELECT greatest(2, least(1000, CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000 END)) AS k FROM dm)
+), h0 AS (SELECT h.*, prior_of AS prior, n * (bad / n::DOUBLE - prior_of) ^ 2 AS e FROM h JOIN d1 USING (domain)
+), hm AS (SELECT (sum(e) - sum(prior * (1 - prior))) / nullif(sum(prior * (1 - prior) * (n - 1)), 0) AS rho FROM h0
+), h1 AS (SELECT host, n, k, (prior * k + bad) / (k + n) AS mean FROM h0, (SELECT greatest(2, least(1000, CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000 END)) AS k FROM hm)
+), blocked AS (SELECT host FROM h1 WHERE mean - 1.645 * sqrt(mean * (1 - mean) / (k + n + 1)) > 0.5)
+SELECT page_id, ruled.host, path, rule, CASE
+  WHEN rule IN ('example.com/en/7', 'net/de/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN blocked.host IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled LEFT JOIN blocked ON ruled.host = blocked.host
+"""
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(spark, table(spark, sf_dir, "documents"), default_path(), capacity=2048, end_id=0)
 
@@ -21,10 +68,11 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_url_filter": op3_url_filter,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op9_token_ids": op9_token_ids,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_url_filter": OP3_SQL}
