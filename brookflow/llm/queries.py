@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookflow.llm import packing, tokenids, urlfilter
+from brookflow.llm import minhash, packing, tokenids, urlfilter
 from brookflow.llm.common import table
 from brookflow.llm.tokens import default_path
 
@@ -58,6 +58,10 @@ FROM ruled LEFT JOIN blocked ON ruled.host = blocked.host
 """
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), least_percent=85)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(spark, table(spark, sf_dir, "documents"), default_path(), capacity=2048, end_id=0)
 
@@ -69,6 +73,7 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_url_filter": op3_url_filter,
+        "op5_minhash": op5_minhash,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op9_token_ids": op9_token_ids,
     }
