@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookflow.llm import minhash, packing, tokenids, urlfilter
+from brookflow.llm import decontaminate, minhash, packing, tokenids, urlfilter
 from brookflow.llm.common import table
 from brookflow.llm.tokens import default_path
 
@@ -66,6 +66,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(spark, table(spark, sf_dir, "documents"), default_path(), capacity=2048, end_id=0)
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.token_ids(spark, table(spark, sf_dir, "documents"), default_path(), end_id=2)
 
@@ -75,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_url_filter": op3_url_filter,
         "op5_minhash": op5_minhash,
         "op6_best_fit_packing": op6_best_fit_packing,
+        "op8_decontaminate": op8_decontaminate,
         "op9_token_ids": op9_token_ids,
     }
 
