@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookflow.llm import decontaminate, minhash, packing, tokenids, urlfilter
+from brookflow.llm import decontaminate, linededup, minhash, packing, tokenids, urlfilter
 from brookflow.llm.common import table
 from brookflow.llm.tokens import default_path
 
@@ -58,6 +58,28 @@ FROM ruled LEFT JOIN blocked ON ruled.host = blocked.host
 """
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("__lines").cast("long").alias("n_lines"), F.col("__removed").cast("long").alias("n_removed"), "text")
+
+
+OP4_SQL = """
+WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents
+), lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM split
+), runs AS (
+  SELECT doc_id, pos, line AS a, lead(line, 1) OVER d AS b, lead(line, 2) OVER d AS c FROM lines WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
+), wins AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, pos) AS nth FROM runs
+  WHERE b IS NOT NULL AND c IS NOT NULL AND NOT (trim(a, ' ') = '' AND trim(b, ' ') = '' AND trim(c, ' ') = '')
+), gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM wins, (SELECT unnest([0, 1, 2]) AS k) WHERE nth > 1
+), kept AS (
+  SELECT lines.doc_id, coalesce(string_agg(line, chr(10) ORDER BY lines.pos) FILTER (WHERE gone.pos IS NULL), '') AS text, count(gone.pos) AS n_removed
+  FROM lines LEFT JOIN gone ON lines.doc_id = gone.doc_id AND lines.pos = gone.pos GROUP BY lines.doc_id)
+SELECT s.doc_id, CAST(coalesce(len(s.l), 0) AS BIGINT) AS n_lines, coalesce(k.n_removed, 0) AS n_removed, CASE WHEN s.text IS NULL THEN NULL ELSE k.text END AS text
+FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
+"""
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), least_percent=85)
 
@@ -77,6 +99,7 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_url_filter": op3_url_filter,
+        "op4_line_dedup": op4_line_dedup,
         "op5_minhash": op5_minhash,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op8_decontaminate": op8_decontaminate,
@@ -85,4 +108,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": OP3_SQL}
+    return {"op3_url_filter": OP3_SQL, "op4_line_dedup": OP4_SQL}
