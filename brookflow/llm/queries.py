@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookflow.llm import decontaminate, linededup, minhash, packing, tokenids, urlfilter
+from brookflow.llm import decontaminate, linededup, minhash, packing, tokenids, toxicity, urlfilter
 from brookflow.llm.common import table
 from brookflow.llm.tokens import default_path
 
@@ -96,6 +96,10 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.token_ids(spark, table(spark, sf_dir, "documents"), default_path(), end_id=2)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_url_filter": op3_url_filter,
@@ -104,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_best_fit_packing": op6_best_fit_packing,
         "op8_decontaminate": op8_decontaminate,
         "op9_token_ids": op9_token_ids,
+        "op10_toxicity": op10_toxicity,
     }
 
 
