@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookflow.llm import decontaminate, linededup, minhash, packing, tokenids, toxicity, urlfilter
+from brookflow.llm import decontaminate, langid, linededup, minhash, packing, tokenids, toxicity, urlfilter
 from brookflow.llm.common import table
 from brookflow.llm.tokens import default_path
 
@@ -88,6 +88,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(spark, table(spark, sf_dir, "documents"), default_path(), capacity=2048, end_id=0)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -106,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_line_dedup": op4_line_dedup,
         "op5_minhash": op5_minhash,
         "op6_best_fit_packing": op6_best_fit_packing,
+        "op7_language_id": op7_language_id,
         "op8_decontaminate": op8_decontaminate,
         "op9_token_ids": op9_token_ids,
         "op10_toxicity": op10_toxicity,
