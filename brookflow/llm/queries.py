@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookflow.llm import decontaminate, langid, linededup, minhash, packing, tokenids, toxicity, urlfilter
+from brookflow.llm import ann, decontaminate, langid, linededup, minhash, packing, tokenids, toxicity, urlfilter
 from brookflow.llm.common import table
 from brookflow.llm.tokens import default_path
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's labelled outcome is the quality of the row of labels whose id is the page's: 0 is bad."""
     labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (1 - F.col("quality")).alias("bad"))
@@ -106,6 +110,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_nearest": op2_nearest,
         "op3_url_filter": op3_url_filter,
         "op4_line_dedup": op4_line_dedup,
         "op5_minhash": op5_minhash,
