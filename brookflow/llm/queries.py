@@ -7,11 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookflow.llm import ann, decontaminate, langid, linededup, minhash, packing, tokenids, toxicity, urlfilter
+from brookflow.llm import ann, decontaminate, langid, linededup, minhash, packing, tokenids, toxicity, urlfilter, warc
 from brookflow.llm.common import table
 from brookflow.llm.tokens import default_path
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+OP1_SQL = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), w AS (SELECT payload_digest, max(page_id) AS responds FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, p.payload_digest, CASE WHEN page_id < responds THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < responds THEN responds END AS refers_to
+FROM p LEFT JOIN w ON p.payload_digest = w.payload_digest
+"""
+
+
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
 
@@ -110,6 +123,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_warc": op1_warc,
         "op2_nearest": op2_nearest,
         "op3_url_filter": op3_url_filter,
         "op4_line_dedup": op4_line_dedup,
@@ -123,4 +137,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": OP3_SQL, "op4_line_dedup": OP4_SQL}
+    return {"op1_warc": OP1_SQL, "op3_url_filter": OP3_SQL, "op4_line_dedup": OP4_SQL}
