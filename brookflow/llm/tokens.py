@@ -48,24 +48,24 @@ class ChunkEncoder:
         spelled = core if core.isascii() else "".join(map(_BYTE_CHARS.__getitem__, core.encode()))
         return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self.known) > KEPT_CHUNKS:
-            self.known, self.ends = {"": b""}, {}
-        known, others = self.known, []
-        for c in chunks - known.keys():
-            simple = self.simple and _SIMPLE.fullmatch(c)
-            if not simple:
+    def _learn(self, missing: set[str]) -> None:
+        known, ends, others = self.known, self.ends, []
+        match, get, word = _SIMPLE.fullmatch, self.known.get, self._word
+        for c in missing:
+            simple = match(c) if self.simple else None
+            if simple is None:
                 others.append(c)
                 continue
-            core = simple[1].lower()
-            ids = known.get(core)
+            core, tail = simple.groups()
+            core = core.lower()
+            ids = get(core)
             if ids is None:
-                ids = known[core] = self._word(core)
-            tail = simple[2]
+                ids = known[core] = word(core)
             if tail:
-                if tail not in self.ends:
-                    self.ends[tail] = self._ids([tail])[0]
-                ids = ids + self.ends[tail]
+                end = ends.get(tail)
+                if end is None:
+                    end = ends[tail] = self._ids([tail])[0]
+                ids += end
             known[c] = ids
         known.update(zip(others, self._ids(others), strict=True))
 
@@ -87,8 +87,10 @@ class ChunkEncoder:
                 words = (t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
                 split.append(words)
                 seen.update(words)
-            if len(self.known) > KEPT_CHUNKS or not seen <= self.known.keys():
-                self._learn(seen)
+            if len(self.known) > KEPT_CHUNKS:
+                self.known, self.ends = {"": b""}, {}
+            if missing := seen.difference(self.known):
+                self._learn(missing)
             get = self.known.__getitem__
             for t, words in zip(texts[at:to], split, strict=True):
                 out.append(self._ids([t])[0] if words is None else b"".join(map(get, words)))
