@@ -30,10 +30,10 @@ def chains(edges: DataFrame, heads: DataFrame) -> DataFrame:
     while True:
         jump = step.where("next is not null")
         more = reached.join(jump, "code").select("head", F.col("next").alias("code"), (F.col("rank") + F.col("n")).alias("rank"))
-        grown = staged(reached.unionByName(more).groupBy("head", "code").agg(F.min("rank").alias("rank")), "chain")
-        if grown.count() == reached.count():
-            return grown
-        reached = grown
+        more = staged(more.join(reached.select("head", "code"), ["head", "code"], "left_anti").groupBy("head", "code").agg(F.min("rank").alias("rank")), "chain")
+        if more.isEmpty():
+            return reached
+        reached = reached.unionByName(more)
         far = step.select(F.col("code").alias("next"), F.col("next").alias("beyond"), F.col("n").alias("more"))
         step = staged(step.join(far, "next", "left").select("code", F.when(F.col("next").isNotNull(), F.col("beyond")).alias("next"), (F.col("n") + F.coalesce("more", F.lit(0))).alias("n")), "step")
 
@@ -81,7 +81,8 @@ def order_codes(ordered: DataFrame, outflows: DataFrame, order_for_each_edge: bo
     base = F.col("no_edge_codes") + 1 if order_for_each_edge else F.when(F.col("no_edge_codes") > 0, F.col("no_edge_codes") + 1).otherwise(F.lit(0))
     numbered = windows.shifted_sum(rows.join(n, "code", "left").na.fill(0, ["no_edge_codes"]).withColumn("_base", base), "outflow_edge", "order_edge_no", "_base", "order_code_no").drop("_base")
     numbered = staged(numbered, "numbered")
-    place = staged(below.withColumn("j", F.row_number().over(W.partitionBy("p_code").orderBy("t_id"))), "places")
+    # where several edges of the parent's order leave one node, a tributary hangs below the first of them
+    place = staged(windows.keep_first(below.withColumn("j", F.row_number().over(W.partitionBy("p_code").orderBy("t_id"))), ["t_code"], ["p_code"]), "places")
     heads = outflows.select(F.col("code").alias("outflow_edge"), F.col("order_code").alias("prefix"))
     coded = None
     last = rows.agg(F.max("order_no")).first()[0]

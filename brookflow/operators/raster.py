@@ -52,9 +52,12 @@ def fill_depressions(cells: DataFrame, eps: float = 0.0, max_depth: float | None
     border = neighbours(cells).groupBy("r", "c").agg(F.count(F.lit(1)).alias("n")).where("n < 8")
     held = staged(cells.join(border, ["r", "c"], "left").select("r", "c", F.col("v").cast("double").alias("v"), F.when(F.col("n").isNotNull(), F.col("v").cast("double")).otherwise(F.lit(float("inf"))).alias("w")), "fill")
     for _ in range(rounds):
-        low = neighbours(held.select("r", "c", "w"), "w").groupBy("r", "c").agg(F.min("nv").alias("low"))
-        new = held.join(low, ["r", "c"], "left").withColumn("new", F.when(F.col("w") > F.col("v"), F.greatest("v", F.least(F.col("w"), F.col("low") + eps))).otherwise(F.col("w")))
-        new = staged(new.select("r", "c", "v", "w", "new"), "fill")
+        new = held.withColumn("new", F.col("w"))
+        for _ in range(3):  # several sweeps per written round
+            low = neighbours(new.select("r", "c", "new"), "new").groupBy("r", "c").agg(F.min("nv").alias("low"))
+            lower = F.when(F.col("new") > F.col("v"), F.greatest("v", F.least(F.col("new"), F.col("low") + eps))).otherwise(F.col("new"))
+            new = new.join(low, ["r", "c"], "left").select("r", "c", "v", "w", lower.alias("new"))
+        new = staged(new, "fill")
         changed = not new.where("new < w").isEmpty()
         held = new.select("r", "c", "v", F.col("new").alias("w"))
         if not changed:

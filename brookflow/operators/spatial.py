@@ -74,6 +74,12 @@ def line_segments(lines: DataFrame) -> DataFrame:
     return lines.select("id", F.posexplode(g.segments(F.col("coords"))).alias("i", "s")).select("id", "i", "s.ax", "s.ay", "s.bx", "s.by")
 
 
+def _segment_cell(lines: DataFrame, radius: float) -> float:
+    """A cell about as large as the lines' mean segment, so that a segment spreads over few cells, and not smaller than the radius."""
+    mean = line_segments(lines).agg(F.avg(F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay"))))).first()[0]
+    return max(2 * radius, (mean or 0.0) / 2, 1e-6)
+
+
 def _spread(segs: DataFrame, size: float, margin: float = 0.0) -> DataFrame:
     """Each segment in all cells of its bounding box, widened by the margin."""
     def cells(lo: Column, hi: Column) -> Column:
@@ -121,7 +127,7 @@ def polygon_crossings(lines: DataFrame, polygons: DataFrame) -> DataFrame:
 
 def points_on_lines(points: DataFrame, lines: DataFrame, radius: float) -> DataFrame:
     """(l_id, r_id, dist): points(id, x, y) within the radius of lines(id, coords), least distance per pair."""
-    size = max(radius * 4, 1e-6)
+    size = _segment_cell(lines, radius)
     spread = _spread(line_segments(lines), size, radius).withColumnRenamed("id", "r_id")
     placed = points.select(F.col("id").alias("l_id"), "x", "y", _cell(F.col("x"), size).alias("_cx"), _cell(F.col("y"), size).alias("_cy"))
     d = g.segment_distance(*(F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")))
@@ -130,7 +136,7 @@ def points_on_lines(points: DataFrame, lines: DataFrame, radius: float) -> DataF
 
 def nearest_segments(points: DataFrame, lines: DataFrame, radius: float) -> DataFrame:
     """(l_id, r_id, i, dist): the nearest segments of each point within the radius, all of equally near ones."""
-    size = max(radius, 1e-6)
+    size = _segment_cell(lines, radius)
     spread = _spread(line_segments(lines), size, radius).withColumnRenamed("id", "r_id")
     placed = points.select(F.col("id").alias("l_id"), "x", "y", _cell(F.col("x"), size).alias("_cx"), _cell(F.col("y"), size).alias("_cy"))
     d = g.segment_distance(*(F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")))

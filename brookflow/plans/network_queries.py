@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brookflow.functions import geometry as g
-from brookflow.operators import culverts, discharge, lumping, network, orders, windows
+from brookflow.operators import culverts, discharge, lumping, network, orders
 from brookflow.operators import lines as ln
 from brookflow.plans.derive import duck, view
-from brookflow.plans.queries import QUERIES, SQL, _NL, C, R, annotated, net_lines, query, r4, t
+from brookflow.plans.queries import QUERIES, SQL, _NL, C, R, annotated, net_lines, query, r4
 
 # paths from every edge to the sink: totals by a recursive walk, without splits or with 1/n
 _WALK = (
@@ -91,9 +91,9 @@ def _(spark, d):
     return QUERIES["net_accumulate_graph"](spark, d)
 
 
-@query("net_components", f"{_NETREC}, b AS (SELECT node_start % 40 AS u, node_end % 40 + 40 AS v FROM net_edges WHERE node_start % 3 = 0 AND node_end < 20), s AS (SELECT u, v FROM b UNION SELECT v AS u, u AS v FROM b), r AS (SELECT u AS node, u AS low FROM s UNION SELECT s.v AS node, r.low AS low FROM r JOIN s ON s.u = r.node), m AS (SELECT node, min(low) AS low FROM r GROUP BY node) SELECT node AS node_id, dense_rank() OVER (ORDER BY low) AS basin FROM m")
+@query("net_components", f"{_NETREC}, b AS (SELECT node_start AS u, node_start // 7 * 7 AS v FROM net_edges), s AS (SELECT u, v FROM b UNION SELECT v AS u, u AS v FROM b), r AS (SELECT u AS node, u AS low FROM s UNION SELECT s.v AS node, r.low AS low FROM r JOIN s ON s.u = r.node), m AS (SELECT node, min(low) AS low FROM r GROUP BY node) SELECT node AS node_id, dense_rank() OVER (ORDER BY low) AS basin FROM m")
 def _(spark, d):
-    e = view(spark, d, "net_edges").where("node_start % 3 = 0 and node_end < 20").select((C("node_start") % 40).alias("node_start"), (C("node_end") % 40 + 40).alias("node_end"))
+    e = view(spark, d, "net_edges").select("node_start", F.expr("node_start div 7 * 7").alias("node_end"))
     return network.components(e)
 
 
@@ -132,8 +132,8 @@ for _k in ("net_select_discharge", "net_select_dispatch"):
 def ordered(spark, d):
     from pyspark.sql import Window as W
 
-    e = view(spark, d, "net_edges").where("code like 'P%' and node_start < 200").withColumn("edge_id", F.row_number().over(W.orderBy("node_start")).cast("long"))
-    nodes = network.edge_lists(view(spark, d, "net_nodes").where("node_id < 200"), e)
+    e = view(spark, d, "net_edges").withColumn("edge_id", F.row_number().over(W.orderBy("node_start", "code")).cast("long"))
+    nodes = network.edge_lists(view(spark, d, "net_nodes"), e)
     nodes = network.select_by_discharge(network.discharge_lists(nodes, e, "own"))
     outs = e.where("node_end = 0").select("code", F.lit("VE.733").alias("order_code"), F.lit("VE").alias("rws_code"))
     return orders.order_numbers(nodes, e, outs), outs
@@ -154,25 +154,21 @@ def _(spark, d):
 def _(spark, d):
     o, outs = ordered(spark, d)
     coded = orders.order_codes(o, outs)
-    pts = view(spark, d, "net_nodes").where("node_id < 200").select(C("node_id").alias("point_id"), "x", "y", "node_id")
-    others = view(spark, d, "net_edges").where("code like 'Q%'").select("code", C("node_end").alias("outflow_node"))
+    pts = view(spark, d, "net_nodes").select(C("node_id").alias("point_id"), "x", "y", "node_id")
+    others = view(spark, d, "net_edges").select(F.concat(F.lit("D"), "code").alias("code"), C("node_end").alias("outflow_node"))
     return orders.other_waterlines(pts, coded, others).select("code", "order_no", "order_code")
 
 
-_SP = (f"{_NETREC}, b AS (SELECT node_start AS u, node_end AS v, length AS w FROM net_edges WHERE node_start < 60 UNION ALL SELECT node_end, node_start, length FROM net_edges WHERE node_start < 60), "
-       "p AS (SELECT CAST(0 AS BIGINT) AS node, CAST(0 AS BIGINT) AS src, 0.0::DOUBLE AS dist, 0 AS hop UNION SELECT CAST(7 AS BIGINT), CAST(7 AS BIGINT), 0.0::DOUBLE, 0 UNION SELECT b.v, p.src, p.dist + b.w, p.hop + 1 FROM p JOIN b ON b.u = p.node WHERE p.hop < 6)")
-
-
 @query("net_shortest")
 def _(spark, d):
-    e = view(spark, d, "net_edges").where("node_start < 60")
+    e = view(spark, d, "net_edges")
     s = network.shortest(e, view(spark, d, "net_nodes").where("node_id in (0, 7)").select("node_id"))
     return s.select("node_id", "source", r4(C("dist")).alias("dist"))
 
 
 @query("net_redirect")
 def _(spark, d):
-    e = view(spark, d, "net_edges").where("node_start < 60")
+    e = view(spark, d, "net_edges")
     s = network.shortest(e, view(spark, d, "net_nodes").where("node_id in (0, 7)").select("node_id"))
     return network.redirect(e, s).select("code", "node_start", "node_end", "reversed_direction")
 
@@ -183,9 +179,9 @@ def _(spark, d):
     return discharge.edge_discharge(e, e.where("node_start % 2 = 0").select("code", (C("own") / 10).alias("specifieke_afvoer"))).select("code", C("specifieke_afvoer").alias("q"))
 
 
-@query("net_edge_exclude", f"{_NL}, pts AS (SELECT c_custkey AS id, CAST((c_custkey * 17) % 1000 AS DOUBLE) AS x, CAST((c_custkey * 29) % 1000 AS DOUBLE) AS y FROM customer WHERE c_custkey < 300), s AS (SELECT n.*, pow(bx - ax, 2) + pow(\"by\" - ay, 2) AS nn FROM nl n), k AS (SELECT s.code AS code, x, y, ax, ay, bx, \"by\", CASE WHEN nn > 0 THEN greatest(0, least(1, ((x - ax) * (bx - ax) + (y - ay) * (\"by\" - ay)) / nn)) ELSE 0 END AS t FROM s CROSS JOIN pts) SELECT DISTINCT code FROM k WHERE sqrt(pow(x - ax - t * (bx - ax), 2) + pow(y - ay - t * (\"by\" - ay), 2)) <= 1")
+@query("net_edge_exclude", f"{_NL}, pts AS (SELECT c_custkey AS id, CAST((c_custkey * 17) % 1000 AS DOUBLE) AS x, CAST((c_custkey * 29) % 1000 AS DOUBLE) AS y FROM customer), s AS (SELECT n.*, pow(bx - ax, 2) + pow(\"by\" - ay, 2) AS nn FROM nl n), k AS (SELECT s.code AS code, x, y, ax, ay, bx, \"by\", CASE WHEN nn > 0 THEN greatest(0, least(1, ((x - ax) * (bx - ax) + (y - ay) * (\"by\" - ay)) / nn)) ELSE 0 END AS t FROM s CROSS JOIN pts) SELECT DISTINCT code FROM k WHERE sqrt(pow(x - ax - t * (bx - ax), 2) + pow(y - ay - t * (\"by\" - ay), 2)) <= 1")
 def _(spark, d):
-    return discharge.supply_edges(net_lines(spark, d), view(spark, d, "pts_a").where("id < 300"))
+    return discharge.supply_edges(net_lines(spark, d), view(spark, d, "pts_a"))
 
 
 @query("net_split_direction_random", f"{duck('net_edges')}, l AS (SELECT node_start AS node_id, list(code ORDER BY code) AS c FROM net_edges GROUP BY node_start) SELECT node_id, c[1 + node_id % len(c)] AS selected FROM l")
@@ -201,7 +197,7 @@ def _(spark, d):
 
 @query("net_upstream_of_points")
 def _(spark, d):
-    return lumping.upstream_of_points(view(spark, d, "pts_b").where("id < 5"), view(spark, d, "net_nodes"), view(spark, d, "net_edges"))
+    return lumping.upstream_of_points(view(spark, d, "pts_b"), view(spark, d, "net_nodes"), view(spark, d, "net_edges"))
 
 
 @query("net_areas_by_id", f"{_NETREC}{_UP.format(stop='')}, m AS (SELECT DISTINCT out, code FROM u) SELECT out AS outflow_id, count(*) AS n_areas, {R('sum(length)', 'area')} FROM m JOIN net_edges e ON e.code = m.code GROUP BY out")
@@ -214,26 +210,26 @@ def _(spark, d):
 
 @query("geo_split_at_points")
 def _(spark, d):
-    l = net_lines(spark, d).where("node_start < 400").withColumn("status", F.lit("unchanged"))
+    l = net_lines(spark, d).withColumn("status", F.lit("unchanged"))
     cuts = l.select(g.interpolate(C("coords"), g.length(C("coords")) / 2).alias("p")).select("p.x", "p.y")
     return ln.split_at_points(l.select("code", "status", "coords"), cuts, 1e-9).select("code", "status", r4(g.length(C("coords"))).alias("len"))
 
 
 @query("geo_snap")
 def _(spark, d):
-    l = net_lines(spark, d).where("node_start < 400").select("code", "coords", F.lit("unchanged").alias("status"))
+    l = net_lines(spark, d).select("code", "coords", F.lit("unchanged").alias("status"))
     return ln.snap(l, 2.0).select("code", "status", r4(g.length(C("coords"))).alias("len"))
 
 
 @query("geo_preprocess")
 def _(spark, d):
-    l = net_lines(spark, d).where("node_start < 200").select(C("node_start").alias("id"), "code", "coords", F.lit("unchanged").alias("status"))
+    l = net_lines(spark, d).select(C("node_start").alias("id"), "code", "coords", F.lit("unchanged").alias("status"))
     return ln.preprocess(l)[0].select("code", "status", r4(g.length(C("coords"))).alias("len"))
 
 
 @query("culvert_pipeline")
 def _(spark, d):
-    l = net_lines(spark, d).select("code", "coords").where(g.length(C("coords")) < 300)
+    l = net_lines(spark, d).select("code", "coords")
     v = ln.line_to_vertices(l, 20.0).withColumn("id", F.concat_ws(":", "code", "line_type", F.round("distance_from_start", 3).cast("string"))).withColumn("WaterLineType", F.when(C("code").startswith("P"), "hydroobject").otherwise("overige_watergang"))
     ends = v.where("line_type <> 'other'")
     found = culverts.candidates(ends, v, 40.0).withColumns({"crossings_nwb": F.lit(False), "crossings_peilgebied": F.lit(False), "score": culverts.score()})

@@ -76,7 +76,7 @@ on_lines("geo_remove_holes", lambda: g.area(g.remove_holes(F.array(F.concat("coo
 _CUM = "list_transform(range(1, len(coords)), lambda i: {'i': i, 'd': sqrt(pow(coords[i + 1].x - coords[i].x, 2) + pow(coords[i + 1].y - coords[i].y, 2)), 'b': coalesce(list_sum(list_transform(range(1, i), lambda j: sqrt(pow(coords[j + 1].x - coords[j].x, 2) + pow(coords[j + 1].y - coords[j].y, 2)))), 0)})"
 
 
-@query("geo_interpolate", f"{duck('lines')}, l AS (SELECT id, coords, {_LEN} AS len FROM lines WHERE id % 10 = 0 OR id % 10 > 0), s AS (SELECT id, len, coords, unnest({_CUM}) AS s FROM l), "
+@query("geo_interpolate", f"{duck('lines')}, l AS (SELECT id, coords, {_LEN} AS len FROM lines), s AS (SELECT id, len, coords, unnest({_CUM}) AS s FROM l), "
        f"h AS (SELECT id, s.i AS i, s.d AS d, s.b AS b, coords, len / 2 AS a FROM s) SELECT id, {R('coords[i].x + (a - b) / d * (coords[i + 1].x - coords[i].x)', 'x')}, {R('coords[i].y + (a - b) / d * (coords[i + 1].y - coords[i].y)', 'y')} FROM h WHERE a > b AND a <= b + d")
 def _(spark, d):
     p = g.interpolate(C("coords"), g.length(C("coords")) / 2)

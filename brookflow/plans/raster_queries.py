@@ -9,12 +9,12 @@ from brookflow.plans.derive import duck, view
 from brookflow.plans.queries import QUERIES, SQL, C, R, query, r4, t, walls
 
 
-def grid(spark, d, rows: int = 40):
-    """A full grid of height rows x 100 columns."""
-    return view(spark, d, "cells").where(C("r") < rows)
+def grid(spark, d):
+    """The grid of orders, 100 columns wide."""
+    return view(spark, d, "cells")
 
 
-_G = f"{duck('cells')}, g AS (SELECT r, c, v, zone FROM cells WHERE r < 40)"
+_G = f"{duck('cells')}, g AS (SELECT r, c, v, zone FROM cells)"
 _STEP = "s AS (SELECT unnest([0, 1, 1, 1, 0, -1, -1, -1]) AS dr, unnest([1, 1, 0, -1, -1, -1, 0, 1]) AS dc, unnest([1, 2, 4, 8, 16, 32, 64, 128]) AS dir)"
 _FLOW = f"{_G}, {_STEP}, n AS (SELECT a.r AS r, a.c AS c, s.dir AS dir, b.r AS nr, b.c AS nc, (a.v - b.v) / sqrt(CAST(dr * dr + dc * dc AS DOUBLE)) AS dd FROM g a CROSS JOIN s JOIN g b ON b.r = a.r + dr AND b.c = a.c + dc), k AS (SELECT *, row_number() OVER (PARTITION BY r, c ORDER BY dd DESC, dir) AS o FROM n WHERE dd > 0), f AS (SELECT g.r AS r, g.c AS c, k.dir AS dir, k.nr AS nr, k.nc AS nc FROM g LEFT JOIN k ON g.r = k.r AND g.c = k.c AND k.o = 1)"
 
@@ -36,7 +36,7 @@ for _k in ("ras_label_propagate", "ras_label_propagate16"):
 
 @query("ras_fill_d8")
 def _(spark, d):
-    return raster.fill_depressions(grid(spark, d, 12)).select("r", "c", r4(C("v")).alias("v"))
+    return raster.fill_depressions(grid(spark, d)).select("r", "c", r4(C("v")).alias("v"))
 
 
 @query("ras_d8_to_d16", "SELECT o_orderkey AS id, CASE o_orderkey % 8 WHEN 0 THEN 7 WHEN 1 THEN 9 WHEN 2 THEN 11 WHEN 3 THEN 13 WHEN 4 THEN 15 WHEN 5 THEN 1 WHEN 6 THEN 3 ELSE 5 END AS dir FROM orders")
@@ -59,20 +59,20 @@ def _(spark, d):
     return raster.resample(grid(spark, d), 4.0, 2.0).select("r", "c", r4(C("v")).alias("v"))
 
 
-@query("ras_reproject_match", f"{_G}, z AS (SELECT r, c, zone FROM cells WHERE r < 20) SELECT zone, count(*) AS n, {R('sum(v)', 'total')} FROM g JOIN z USING (r, c) GROUP BY zone".replace("SELECT zone, count", "SELECT z.zone AS zone, count").replace("GROUP BY zone", "GROUP BY z.zone"))
+@query("ras_reproject_match", f"{_G}, z AS (SELECT r, c, zone FROM cells) SELECT zone, count(*) AS n, {R('sum(v)', 'total')} FROM g JOIN z USING (r, c) GROUP BY zone".replace("SELECT zone, count", "SELECT z.zone AS zone, count").replace("GROUP BY zone", "GROUP BY z.zone"))
 def _(spark, d):
-    g, z = grid(spark, d).select("r", "c", "v"), view(spark, d, "cells").where("r < 20").select("r", "c", "zone")
+    g, z = grid(spark, d).select("r", "c", "v"), view(spark, d, "cells").select("r", "c", "zone")
     return g.join(z, ["r", "c"]).groupBy("zone").agg(F.count(F.lit(1)).alias("n"), r4(F.sum("v")).alias("total"))
 
 
-@query("ras_rasterize", 'WITH w AS (SELECT s_suppkey AS id, CAST((s_suppkey * 53) % 1000 AS DOUBLE) AS ax, CAST((s_suppkey * 71) % 1000 AS DOUBLE) AS ay FROM supplier WHERE s_suppkey < 30), k AS (SELECT unnest(range(-1, 12)) AS dc), l AS (SELECT unnest(range(-1, 9)) AS dr), e AS (SELECT id, ax, ay, CAST(floor(ax / 5) AS BIGINT) + dc AS c, CAST(floor(ay / 5) AS BIGINT) + dr AS r FROM w, k, l), p AS (SELECT *, (c + 0.5) * 5 AS x, (r + 0.5) * 5 AS y FROM e), q AS (SELECT *, greatest(0, least(1, ((x - ax) * 35 + (y - ay) * 21) / 1666.0::DOUBLE)) AS t FROM p) SELECT r, c, max(id) AS id FROM q WHERE sqrt(pow(x - ax - t * 35, 2) + pow(y - ay - t * 21, 2)) <= 3 GROUP BY r, c')
+@query("ras_rasterize", 'WITH w AS (SELECT s_suppkey AS id, CAST((s_suppkey * 53) % 1000 AS DOUBLE) AS ax, CAST((s_suppkey * 71) % 1000 AS DOUBLE) AS ay FROM supplier), k AS (SELECT unnest(range(-1, 12)) AS dc), l AS (SELECT unnest(range(-1, 9)) AS dr), e AS (SELECT id, ax, ay, CAST(floor(ax / 5) AS BIGINT) + dc AS c, CAST(floor(ay / 5) AS BIGINT) + dr AS r FROM w, k, l), p AS (SELECT *, (c + 0.5) * 5 AS x, (r + 0.5) * 5 AS y FROM e), q AS (SELECT *, greatest(0, least(1, ((x - ax) * 35 + (y - ay) * 21) / 1666.0::DOUBLE)) AS t FROM p) SELECT r, c, max(id) AS id FROM q WHERE sqrt(pow(x - ax - t * 35, 2) + pow(y - ay - t * 21, 2)) <= 3 GROUP BY r, c')
 def _(spark, d):
-    return raster.rasterize_lines(walls(spark, d).where("id < 30"), 5.0, 3.0)
+    return raster.rasterize_lines(walls(spark, d), 5.0, 3.0)
 
 
-@query("ras_edt", f"{duck('cells')}, g AS (SELECT r, c, v > 400000 AS w FROM cells WHERE r < 10), t AS (SELECT r, c FROM g WHERE w) SELECT g.r AS r, g.c AS c, {R('min(sqrt(CAST((g.r - t.r) * (g.r - t.r) + (g.c - t.c) * (g.c - t.c) AS DOUBLE))) * 2', 'dist')} FROM g CROSS JOIN t GROUP BY g.r, g.c")
+@query("ras_edt", f"{duck('cells')}, g AS (SELECT r, c, v > 400000 AS w FROM cells), t AS (SELECT r, c FROM g WHERE w) SELECT g.r AS r, g.c AS c, {R('min(sqrt(CAST((g.r - t.r) * (g.r - t.r) + (g.c - t.c) * (g.c - t.c) AS DOUBLE))) * 2', 'dist')} FROM g CROSS JOIN t GROUP BY g.r, g.c")
 def _(spark, d):
-    return raster.distance_transform(grid(spark, d, 10).select("r", "c", (C("v") > 400000).alias("v"))).select("r", "c", r4(C("dist")).alias("dist"))
+    return raster.distance_transform(grid(spark, d).select("r", "c", (C("v") > 400000).alias("v"))).select("r", "c", r4(C("dist")).alias("dist"))
 
 
 @query("ras_smooth_burn", f"{_G}, x AS (SELECT r, c, v, CAST(zone AS DOUBLE) AS dist FROM g) SELECT r, c, {R('v - CASE WHEN 5 * pow(0.5, dist / 3) < 0.001 THEN 0 ELSE 5 * pow(0.5, dist / 3) END - CASE WHEN dist = 0 THEN 10 ELSE 0 END', 'v')} FROM x")

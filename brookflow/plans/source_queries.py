@@ -26,10 +26,11 @@ for _k in ("src_required", "src_vector"):
     QUERIES[_k], SQL[_k] = QUERIES["sink_layers"], SQL["sink_layers"]
 
 
-@query("src_raster", f"{duck('cells')} SELECT r, c, {R('v', 'v')} FROM cells WHERE r < 20")
+@query("src_raster", f"{duck('cells')} SELECT r, c, {R('v', 'v')} FROM cells")
 def _(spark, d):
     out = new_dir(spark, "grid")
-    grid.write_ascii(view(spark, d, "cells").where("r < 20").select("r", "c", "v"), out, 100, 20, 2.0)
+    cells = view(spark, d, "cells").select("r", "c", "v")
+    grid.write_ascii(cells, out, 100, cells.agg(F.max("r")).first()[0] + 1, 2.0)
     return grid.read_ascii(spark, out)[0].select("r", "c", r4(C("v")).alias("v"))
 
 
