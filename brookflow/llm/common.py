@@ -6,8 +6,6 @@ of bounded size, so that no Python object is made per word.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,39 +13,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brookflow.runtime import new_dir, shared_dir, staged  # noqa: F401  shared with the rest of the library
+
 #: Bytes of text that are hashed at once; a longer text makes a block of its own.
 BLOCK_BYTES = 1 << 20
 
 _U = np.uint64
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``.
-
-    A folder is made (and set for ``checkpoint()``) only where none is configured.
-    """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if configured:
-        return configured
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="brookflow-"))
-    return context.getCheckpointDir()
-
-
-def new_dir(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark).rstrip('/')}/brookflow/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back: lineage ends here."""
-    spark = df.sparkSession
-    path = new_dir(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def delete_dir(spark: SparkSession, path: str) -> None:
     """Remove a folder that new_dir named, through Spark's file systems."""
     jvm = spark.sparkContext._jvm
