@@ -9,12 +9,14 @@ WINDOW words on the diagonal (of the whole item, if that is shorter) agrees in
 at least 80 of 100 words. So substituted words neither hide a passage from the
 seeds nor from the comparison, and a chance hit on common words is turned down.
 
-Words are longest runs without blanks and \\t\\n\\v\\f\\r, A-Z folded. Items
+Words are longest runs without blanks and \\t\\n\\v\\f\\r, in lower case. Items
 of fewer words than the longest mask are no evidence and aren't searched.
 
-The seeds of the benchmark are broadcast only where their counted number is at
-most BROADCAST_SEEDS; else they are joined by a shuffle on the hash. Texts'
-seeds are three longs each in the first case and never leave their task.
+All masks begin with the same ones; texts are only hashed by the masks where
+those first words (the anchor) occur in some item. The items' anchors stand in
+the plan where there are at most HELD_ANCHORS, else every word is hashed; the
+items' seeds are broadcast where there are at most BROADCAST_SEEDS, else joined by a
+shuffle on the hash. Both give the same hits.
 
 Defined results: null and empty texts hold nothing; repeated rows of a doc_id
 give one result per (doc_id, item_id); rows without a doc_id hold nothing; an
@@ -26,40 +28,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MASKS = ("1110111", "11011011", "101110101")
+#: All begin with the same three ones: the anchor.
+MASKS = ("1110111", "11100111", "111111")
 WINDOW, LEAST_PERCENT = 20, 80
-#: 24 bytes each when broadcast: 48 MB at most.
-BROADCAST_SEEDS = 2_000_000
+#: Anchors that are held in the plan, and seeds that are broadcast (24 bytes each), at most.
+HELD_ANCHORS, BROADCAST_SEEDS = 50_000, 2_000_000
 
 
 def words(text: Column) -> Column:
     """Hashes of the words, in order."""
-    folded = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.transform(F.filter(F.split(folded, "[\\x20\\x09-\\x0D]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
+    return F.transform(F.filter(F.split(F.lower(text), "[\\x20\\x09-\\x0D]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(hashes: Column, mask: str) -> Column:
-    ones = [i for i, c in enumerate(mask) if c == "1"]
-    last = F.size(hashes) - len(mask)
-    at = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.xxhash64(*(F.get(hashes, i + k) for k in ones)))
+def _hash(places: list[int]) -> str:
+    return "xxhash64(" + ", ".join(f"get(w, i + {k})" for k in places) + ")"
 
 
-def seeds(df: DataFrame, id_col: str, hashes_col: str, masks: tuple[str, ...] = MASKS) -> DataFrame:
-    """(id, mask, at, seed) of every mask at every word."""
-    each = F.array(*(F.struct(F.lit(k).alias("mask"), _seeds(F.col(hashes_col), m).alias("seeds")) for k, m in enumerate(masks)))
-    laid = df.select(id_col, F.explode(each).alias("m")).select(id_col, F.col("m.mask").alias("mask"), F.col("m.seeds").alias("seeds"))
-    return laid.select(id_col, "mask", F.posexplode("seeds").alias("at", "seed"))
+def _ones(mask: str) -> list[int]:
+    return [k for k, c in enumerate(mask) if c == "1"]
 
 
-def _agreement(text: Column, item: Column, diagonal: Column, window: Column) -> tuple[Column, Column]:
-    """(most words that agree in a window of the item, first such window's start in the item) on one diagonal.
+def _anchor(masks: tuple[str, ...]) -> list[int]:
+    """The leading ones that all masks share."""
+    n = min(len(m) - len(m.lstrip("1")) for m in masks)
+    if not n:
+        raise ValueError("masks begin with a one")
+    return list(range(n))
 
-    A running sum over the item's words; both are bounded by the item's length.
-    """
-    same = F.transform(item, lambda w, i: (F.coalesce(F.get(text, i + diagonal) == w, F.lit(False)) & (i + diagonal >= 0)).cast("int"))
-    starts = F.sequence(F.lit(0), F.size(item) - window)
-    sums = F.transform(starts, lambda s: F.aggregate(F.slice(same, s + 1, window), F.lit(0), lambda a, x: a + x))
+
+def seeds(df: DataFrame, id_col: str, masks: tuple[str, ...] = MASKS, anchors: list[int] | None = None) -> DataFrame:
+    """(id, mask, at, seed) of every mask at every word of df's word hashes `w`; with anchors, only where the masks' common first words are one of them."""
+    at = f"sequence(0, greatest(size(w) - {min(map(len, masks))}, 0))"
+    if anchors is not None:
+        kept = ", ".join(f"{v}L" if v > -(2**63) else "-9223372036854775807L - 1L" for v in anchors) or "null"
+        at = f"filter({at}, i -> {_hash(_anchor(masks))} IN ({kept}))"
+    each = ", ".join(f"if(i + {len(m)} <= size(w), {_hash(_ones(m))}, null)" for m in masks)
+    laid = df.where(F.size("w") >= min(map(len, masks))).select(id_col, F.expr(f"explode(transform({at}, i -> struct(i AS at, array({each}) AS seeds))) AS s"))
+    return laid.select(id_col, F.col("s.at").alias("at"), F.posexplode("s.seeds").alias("mask", "seed")).where("seed is not null")
+
+
+def _best_window(same: Column, window: Column) -> tuple[Column, Column]:
+    """(most agreeing words in a window, the first such window's start) of 0/1 per item word; bounded by the item's length."""
+    sums = F.transform(F.sequence(F.lit(0), F.size(same) - window), lambda s: F.aggregate(F.slice(same, s + 1, window), F.lit(0), lambda a, x: a + x))
     best = F.array_max(sums)
     return best, F.array_position(sums, best).cast("int") - 1
 
@@ -69,14 +79,24 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     longest = max(map(len, masks))
     items = benchmark.select(F.col(item_col).alias("item_id"), words(F.col(item_text_col)).alias("item_words")).where(F.size("item_words") >= longest)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    item_seeds = seeds(items, "item_id", "item_words", masks).select("item_id", "mask", F.col("at").alias("item_at"), "seed")
+    spelled = items.select("item_id", F.col("item_words").alias("w"))
+    item_seeds = seeds(spelled, "item_id", masks).select("item_id", "mask", F.col("at").alias("item_at"), "seed")
     if item_seeds.count() <= BROADCAST_SEEDS:
         item_seeds = F.broadcast(item_seeds)
-    hits = seeds(texts.select("doc_id", words(F.col("text")).alias("w")), "doc_id", "w", masks).join(item_seeds, ["mask", "seed"])
-    diagonals = hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
-    held = diagonals.join(items, "item_id").join(texts, "doc_id").select("doc_id", "item_id", "diagonal", "item_words", words(F.col("text")).alias("w"))
-    size = F.least(F.size("item_words"), F.lit(window))
-    best, start = _agreement(F.col("w"), F.col("item_words"), F.col("diagonal"), size)
+    first = spelled.select(F.expr(f"explode(transform(sequence(0, size(w) - {longest}), i -> {_hash(_anchor(masks))})) AS a"))
+    tails = spelled.select(F.expr(f"explode(transform(sequence(greatest(size(w) - {longest} + 1, 0), size(w) - {min(map(len, masks))}), i -> {_hash(_anchor(masks))})) AS a"))
+    anchors = [r["a"] for r in first.union(tails).distinct().limit(HELD_ANCHORS + 1).collect()]
+    hits = seeds(texts.select("doc_id", words(F.col("text")).alias("w")), "doc_id", masks, anchors if len(anchors) <= HELD_ANCHORS else None).join(item_seeds, ["mask", "seed"])
+    # one row per text, so that its words are made once for all its diagonals; each then takes the words beside its item
+    diagonals = hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct().join(items.select("item_id", F.size("item_words").alias("n")), "item_id")
+    each = diagonals.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "diagonal", "n")).alias("d"))
+    texts_hit = each.join(texts, "doc_id").select("doc_id", "d", words(F.col("text")).alias("w"))
+    beside = F.transform("d", lambda x: F.struct(x["item_id"].alias("item_id"), x["diagonal"].alias("diagonal"), F.transform(F.sequence(F.lit(0), x["n"] - 1), lambda i: F.get("w", i + x["diagonal"])).alias("part")))
+    held = texts_hit.select("doc_id", F.explode(beside).alias("x")).select("doc_id", "x.*").join(items, "item_id")
+    held = held.select("doc_id", "item_id", "diagonal", F.zip_with("item_words", "part", lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))).alias("same"))
+    size = F.least(F.size("same"), F.lit(window))
+    held = held.where(100 * F.aggregate("same", F.lit(0), lambda a, x: a + x) >= least_percent * size)  # else no window can agree enough
+    best, start = _best_window(F.col("same"), size)
     judged = held.select("doc_id", "item_id", "diagonal", size.alias("n_words"), best.alias("n_same"), start.alias("start"))
     close = judged.where(100 * F.col("n_same") >= least_percent * F.col("n_words"))
     first = F.min(F.struct((-F.col("n_same")).alias("less"), (F.col("start") + F.col("diagonal")).alias("at_word"), "n_words"))
