@@ -52,6 +52,8 @@ COORDINATES, ROWS, BANDS = 128, 5, 22
 PORTION = 2048
 #: Signatures that agree in less than this share of coordinates are no link of similarity 0.85 (4.5 standard deviations).
 ESTIMATE = 0.70
+#: Open buckets are searched with longer signatures, by the same standard.
+WIDE_COORDINATES, WIDE_ESTIMATE = 512, 0.78
 
 
 def sets_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -106,14 +108,26 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return made.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, bands array<long>, sig binary")
 
 
+def wide_signatures(texts: DataFrame) -> DataFrame:
+    """(cls, sig) with WIDE_COORDINATES bytes for each of texts (cls, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to, hashes, first in sets_of(batch.column(1)):
+                low = (circulant_signatures(hashes, first, WIDE_COORDINATES) & 0xFF).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array([x.tobytes() for x in low], pa.binary())], ["cls", "sig"])
+
+    return texts.select("cls", "text").mapInArrow(run, "cls long, sig binary")
+
+
 def _matrix(pdf: pd.DataFrame) -> np.ndarray:
     return np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
 
 
-def _may_link(sig: np.ndarray, n: np.ndarray, one: int) -> np.ndarray:
+def _may_link(sig: np.ndarray, n: np.ndarray, one: int, estimate: float = ESTIMATE) -> np.ndarray:
     """Whether each row may be linked with row `one`: by its signature and set size."""
     agree = (sig == sig[one]).mean(axis=1)
-    return (agree >= ESTIMATE) & (100 * np.minimum(n, n[one]) >= 85 * np.maximum(n, n[one]))
+    return (agree >= estimate) & (100 * np.minimum(n, n[one]) >= 85 * np.maximum(n, n[one]))
 
 
 def _leaders(pdf: pd.DataFrame) -> tuple[list[int], list[tuple[int, int]]]:
@@ -142,19 +156,23 @@ def _leader_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _open_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components that may be linked, each between the blocks that this group pairs."""
+    """Pairs of different components that may be linked, each between the blocks that this group pairs.
+
+    A pair that shares several open buckets (own: a class's) comes from the least of them alone.
+    """
     pdf = pdf.sort_values("component", kind="stable").reset_index(drop=True)
     sig, n, comp, block, ids = _matrix(pdf), pdf["n"].to_numpy(), pdf["component"].to_numpy(), pdf["block"].to_numpy(), pdf["cls"].to_numpy()
     across = pdf["block_a"].iloc[0] != pdf["block_b"].iloc[0]
+    own, bucket = [set(map(int, b)) for b in pdf["own"]], int(pdf["bucket"].iloc[0])
     sizes = pd.Series(comp).map(pd.Series(comp).value_counts()).to_numpy()
     largest = sizes == sizes.max()
     largest &= comp == comp[largest.argmax()]
     out = []
     for x in np.flatnonzero(~largest):  # each pair of components has a member outside the largest
-        ok = _may_link(sig, n, int(x)) & (comp != comp[x]) & (largest | (ids > ids[x]))
+        ok = _may_link(sig, n, int(x), WIDE_ESTIMATE) & (comp != comp[x]) & (largest | (ids > ids[x]))
         if across:
             ok &= block != block[x]
-        out += [(min(ids[x], ids[y]), max(ids[x], ids[y])) for y in np.flatnonzero(ok)]
+        out += [(min(ids[x], ids[y]), max(ids[x], ids[y])) for y in np.flatnonzero(ok) if min(own[x] & own[y]) == bucket]
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
@@ -199,7 +217,7 @@ def near_duplicates(docs: DataFrame, *, least_percent: int = 85, id_col: str = "
     wanted = inside.select("cls").distinct()
     twos = inside.where("size = 2").groupBy("bucket").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).select("a", "b")
     members = staged(inside.where("size > 2").join(chosen.select("cls", "n", "sig"), "cls"), "members")
-    texts = docs.select(F.col(id_col).cast("long").alias("cls"), F.col(text_col).alias("text")).join(wanted, "cls", "left_semi")
+    texts = docs.select(F.col(id_col).cast("long").alias("cls"), F.col(text_col).alias("text")).join(wanted.hint("merge"), "cls", "left_semi")  # at every size the way that large ones take
     texts = staged(texts.dropDuplicates(["cls"]), "texts")
 
     made = "a long, b long, leads boolean, bucket long"
@@ -214,13 +232,16 @@ def near_duplicates(docs: DataFrame, *, least_percent: int = 85, id_col: str = "
     labelled = members.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
     blocks = F.ceil(F.col("size") / PORTION).cast("int")
-    opened = labelled.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
+    held = staged(labelled.drop("sig").join(mixed, "bucket"), "open-members")
+    wide = wide_signatures(texts.join(held.select("cls").distinct(), "cls", "left_semi"))
+    own = held.groupBy("cls").agg(F.collect_set("bucket").alias("own"))  # at most BANDS each
+    opened = held.join(wide.join(own, "cls"), "cls").withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
     paired = opened.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("block_a", F.least("block", "other")).withColumn("block_b", F.greatest("block", "other"))
     rest = paired.groupBy("bucket", "block_a", "block_b").applyInPandas(_open_pairs, _PAIRS).distinct().join(pairs.select("a", "b").union(pairs.select(F.col("b"), F.col("a"))), ["a", "b"], "left_anti")
     more = staged(confirmed(rest, texts, least_percent), "more-links")
     found = components(links.union(more))
 
-    of_class = classes.join(found.withColumnRenamed("node", "cls"), "cls", "left").select("h1", "h2", "n", F.coalesce("component", "cls").alias("component"))
+    of_class = staged(classes.join(found.withColumnRenamed("node", "cls"), "cls", "left").select("h1", "h2", "n", F.coalesce("component", "cls").alias("component")), "class-components")
     out = rows.select("doc_id", "n", "h1", "h2").join(of_class, ["h1", "h2", "n"], "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
