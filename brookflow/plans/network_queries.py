@@ -8,7 +8,7 @@ from brookflow.functions import geometry as g
 from brookflow.operators import culverts, discharge, lumping, network, orders
 from brookflow.operators import lines as ln
 from brookflow.plans.derive import duck, view
-from brookflow.plans.queries import QUERIES, SQL, _NL, C, R, annotated, net_lines, query, r4
+from brookflow.plans.queries import QUERIES, SQL, _NL, C, R, annotated, net_lines, query, r4, t
 
 # paths from every edge to the sink: totals by a recursive walk, without splits or with 1/n
 _WALK = (
@@ -236,3 +236,103 @@ def _(spark, d):
     chosen = culverts.select_best(culverts.add_geometry(found, l))
     touching = culverts.touching_codes(l).select(F.get("codes", F.lit(0)).alias("a"), F.get("codes", F.lit(1)).alias("b"))
     return culverts.oriented(culverts.post_process(chosen, touching), l).select("dangling_code", "code", "score", r4(C("fictive_length")).alias("fictive_length"), "flipped")
+
+
+# ---- alternatives, compositions and workflows ----
+
+@query("net_build_alt", f"{_NL}, p AS (SELECT ax AS x, ay AS y, row_number() OVER (ORDER BY code) AS o FROM nl UNION ALL SELECT bx, \"by\", 1000000000 + row_number() OVER (ORDER BY code) FROM nl), q AS (SELECT x, y, min(o) AS o FROM p GROUP BY x, y) SELECT x, y, row_number() OVER (ORDER BY o) - 1 AS node_id FROM q")
+def _(spark, d):
+    """All starts are numbered before all ends."""
+    from brookflow.plans.workflows import with_edge_ids
+
+    l = with_edge_ids(net_lines(spark, d))
+    ends = l.select("edge_id", F.posexplode(F.array(g.start_point(C("coords")), g.end_point(C("coords")))).alias("side", "p"))
+    seen = ends.groupBy(C("p.x").alias("x"), C("p.y").alias("y")).agg(F.min(C("side") * 1000000000 + C("edge_id")).alias("at"))
+    return network.dense_ids(seen, "at", "node_id").select("x", "y", "node_id")
+
+
+@query("net_graph_obj", f"{duck('net_edges')} SELECT node_start AS node_id, string_agg(CAST(node_end AS VARCHAR), ',' ORDER BY code) AS targets, {R('sum(length)', 'weight')} FROM net_edges GROUP BY node_start")
+def _(spark, d):
+    e = view(spark, d, "net_edges")
+    adj = e.groupBy(C("node_start").alias("node_id")).agg(F.array_sort(F.collect_list(F.struct("code", "node_end"))).alias("l"), F.sum("length").alias("w"))
+    return adj.select("node_id", F.array_join(F.transform("l", lambda s: s["node_end"].cast("string")), ",").alias("targets"), r4(C("w")).alias("weight"))
+
+
+@query("net_predecessors_splits")
+def _(spark, d):
+    e = view(spark, d, "net_edges")
+    sel = by_discharge(spark, d).select(C("node_id").alias("node_start"), C("selected_upstream_edge").alias("selected"))
+    return orders.chains(e.select("code", "node_start").join(sel, "node_start", "left"), e.where("node_end = 0").select("code")).select(C("head").alias("outflow_edge"), "code", "rank")
+
+
+@query("net_case")
+def _(spark, d):
+    from brookflow.plans.workflows import annotated_network, with_edge_ids
+
+    nodes, _ = annotated_network(with_edge_ids(net_lines(spark, d)).select("code", "edge_id", "coords"))
+    return nodes.select("x", "y", "no_upstream_edges", "no_downstream_edges", "selected_upstream_edge", "selected_downstream_edge")
+
+
+@query("join_best_score", "WITH s AS (SELECT p_partkey AS id, p_partkey % 100 AS dangling_id, p_size AS score FROM part), b AS (SELECT dangling_id, min(score) AS best FROM s GROUP BY dangling_id) SELECT s.id AS id, s.dangling_id AS dangling_id FROM s JOIN b ON s.dangling_id = b.dangling_id AND s.score = b.best")
+def _(spark, d):
+    from brookflow.operators import windows
+
+    s = t(spark, d, "part").select(C("p_partkey").alias("id"), (C("p_partkey") % 100).alias("dangling_id"), C("p_size").alias("score"))
+    return windows.group_minimum(s, "dangling_id", "score").select("id", "dangling_id")
+
+
+@query("net_areas_by_length")
+def _(spark, d):
+    from brookflow.plans.queries import walls
+
+    boxes = spark.range(100).select("id", ((C("id") % 10) * 100.0).alias("x0"), (F.floor(C("id") / 10) * 100.0).alias("y0"), ((C("id") % 10) * 100.0 + 100).alias("x1"), (F.floor(C("id") / 10) * 100.0 + 100).alias("y1"))
+    lines_ = walls(spark, d)
+    return lumping.areas_by_overlap(boxes, lines_, lines_.select(C("id").alias("code"), (C("id") % 5).alias("outflow_id")))
+
+
+@query("net_dissolve_areas", f"{duck('cells')} SELECT zone % 5 AS outflow_id, count(*) AS n_cells, CAST(count(*) * 4 AS DOUBLE) AS area FROM cells GROUP BY zone % 5")
+def _(spark, d):
+    from brookflow.operators import raster
+
+    c = view(spark, d, "cells").select("r", "c", C("zone").alias("label"))
+    out = raster.relabel(c, spark.range(25).select(C("id").alias("label"), (C("id") % 5).alias("target")))
+    return out.groupBy(C("label").alias("outflow_id")).agg(F.count(F.lit(1)).alias("n_cells"), (F.count(F.lit(1)) * 4.0).alias("area"))
+
+
+@query("run_lumping")
+def _(spark, d):
+    from brookflow.plans.workflows import run_lumping
+    from brookflow.runtime import new_dir
+
+    e = view(spark, d, "net_edges")
+    data = {"points": view(spark, d, "pts_b"), "nodes": view(spark, d, "net_nodes"), "edges": e, "areas": e.select("code", C("length").alias("area"))}
+    return run_lumping(spark, data, new_dir(spark, "lumping"))["inflow_outflow_areas"].select("outflow_id", "n_areas", r4(C("area")).alias("area"))
+
+
+@query("run_discharge")
+def _(spark, d):
+    from brookflow.plans.workflows import run_discharge
+    from brookflow.runtime import new_dir
+
+    out = run_discharge(spark, {"edges": net_lines(spark, d)}, new_dir(spark, "discharge"))["edges"]
+    return out.select("code", r4(C("total_specifieke_afvoer")).alias("total"), "unresolved")
+
+
+@query("run_orders")
+def _(spark, d):
+    from brookflow.plans.workflows import run_orders, with_edge_ids
+    from brookflow.runtime import new_dir
+
+    outs = view(spark, d, "net_nodes").where("node_id = 0").select(C("node_id").alias("id"), "x", "y", F.lit("VE.733").alias("order_code"), F.lit("VE").alias("rws_code"))
+    made = run_orders(spark, {"hydroobject": with_edge_ids(net_lines(spark, d)).select("code", "edge_id", "coords"), "outflow_nodes": outs}, new_dir(spark, "orders"))
+    return made["edges_hydro"].select("code", "order_no", "order_code")
+
+
+@query("run_culverts")
+def _(spark, d):
+    from brookflow.plans.workflows import run_culverts
+    from brookflow.runtime import new_dir
+
+    l = net_lines(spark, d).select("code", "coords")
+    made = run_culverts(spark, {"hydroobject": l.where("code like 'P%'"), "overige_watergang": l.where("code like 'Q%'")}, new_dir(spark, "culverts"), distance_vertices=50.0)
+    return made["potential_culverts_4"].select("dangling_code", "code", "score", r4(C("fictive_length")).alias("fictive_length"))

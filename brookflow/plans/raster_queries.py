@@ -102,3 +102,30 @@ def _levels(spark, d):
 @query("ras_levels_3_4", f"{duck('net_edges')} SELECT substr(concat('VE.', node_start % 50, '.001'), 1, 6) AS level_4, count(*) AS n, {R('sum(length)', 'area')} FROM net_edges WHERE code LIKE 'P%' GROUP BY 1")
 def _(spark, d):
     return _levels(spark, d).groupBy("level_4").agg(F.count(F.lit(1)).alias("n"), r4(F.sum("area")).alias("area"))
+
+
+@query("ras_preprocess")
+def _(spark, d):
+    from brookflow.plans.workflows import preprocess_terrain
+
+    return preprocess_terrain(grid(spark, d).select("r", "c", "v"), walls(spark, d), 5.0).select("r", "c", r4(C("v")).alias("v"))
+
+
+@query("ras_generate")
+def _(spark, d):
+    from brookflow.plans.workflows import drainage_units
+
+    return drainage_units(grid(spark, d).select("r", "c", "v"), walls(spark, d), 5.0)
+
+
+QUERIES["ras_run"] = QUERIES["ras_generate"]
+
+
+@query("run_drainage")
+def _(spark, d):
+    from brookflow.plans.workflows import run_drainage
+    from brookflow.runtime import new_dir
+
+    ways = walls(spark, d).select("id", F.concat(F.lit("W"), "id").alias("code"), "coords", F.lit(None).cast("string").alias("downstream_edges"), F.concat(F.lit("VE."), "id").alias("order_code"), F.lit("").alias("downstream_order_code"))
+    made = run_drainage(spark, {"topo": grid(spark, d).select("r", "c", "v"), "waterways": ways}, new_dir(spark, "drainage"), cell=5.0)
+    return made["afvoergebied_levels"].select("level_1", "level_2", "level_3", "level_4", r4(C("area")).alias("area"))

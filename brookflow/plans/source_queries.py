@@ -75,3 +75,26 @@ def _(spark, d):
 @query("viz_geojson")
 def _(spark, d):
     return viz.geojson(net_lines(spark, d), ["code", "own"])
+
+
+@query("src_case", "SELECT '0_basisdata' AS data, '1_resultaat' AS results")
+def _(spark, d):
+    from pathlib import Path
+
+    with tempfile.TemporaryDirectory() as case:
+        (Path(case) / "0_basisdata").mkdir()
+        made = [p.name for p in settings.check_case(case)]
+    return spark.createDataFrame([tuple(made)], "data string, results string")
+
+
+@query("src_xlsx_tables", "SELECT n_name AS name, CAST(n_nationkey AS DOUBLE) AS k FROM nation")
+def _(spark, d):
+    from brookflow.sources import xlsx
+
+    with tempfile.NamedTemporaryFile(suffix=".xlsx") as f:
+        xlsx.write_tables(f.name, {"Nations": t(spark, d, "nation").select(C("n_name").alias("name"), C("n_nationkey").alias("k"))})
+        return xlsx.read_table(spark, f.name, "Nations")
+
+
+QUERIES["sink_xlsx_tables"], SQL["sink_xlsx_tables"] = QUERIES["src_xlsx_tables"], SQL["src_xlsx_tables"]
+QUERIES["src_xlsx_sheet"], SQL["src_xlsx_sheet"] = QUERIES["src_xlsx_tables"], SQL["src_xlsx_tables"]
