@@ -13,8 +13,8 @@ blocks that may hold the key, binary-searches their lines, and reads the
 records' ranges. Ranges are read through Hadoop's file systems, wherever the
 archives lie.
 
-Reading whole archives goes through the same index: its lines, grouped by
-archive, name the ranges that are cut out of each archive and parsed.
+Reading whole archives goes through the same index: its lines name the ranges
+that tasks read and parse.
 
 Files are written by Spark's own writer (a gzip member, which ends in a zero
 byte as it is smaller than 16 MB or is made to, is a "line" that ends in that
@@ -117,7 +117,7 @@ def write_archives(pages: DataFrame, out_dir: str, *, id_col: str = "page_id", u
     rows = rows.withColumn("digest", F.sha1("payload"))
     long_ones = rows.where((F.octet_length("payload") >= REVISIT_BYTES) & F.col("page_id").isNotNull()).select("page_id", "digest")
     first = long_ones.groupBy("digest").agg(F.max("page_id").alias("responds"), F.min("page_id").alias("least")).where("responds <> least").select("digest", "responds")
-    decided = rows.join(first, "digest", "left").select("page_id", "url", "payload", F.when(F.col("page_id") < F.col("responds"), F.col("responds")).alias("refers_to"))
+    decided = rows.join(first.hint("merge"), "digest", "left").select("page_id", "url", "payload", F.when(F.col("page_id") < F.col("responds"), F.col("responds")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,34 +220,71 @@ def index_lines(spark: SparkSession, out_dir: str) -> DataFrame:
     return _archives(spark, f"{out_dir}/index/blocks").select("content").mapInArrow(run, "key string, page long, kind string, digest string, archive string, offset long, length long")
 
 
+def _fields(raw: bytes) -> dict:
+    """What a record's member says; the payload is held against its digest."""
+    found = parse(gzip.decompress(raw))
+    h = found["headers"]
+    digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
+    if found["payload"] is not None and hashlib.sha1(found["payload"]).hexdigest() != digest:
+        raise ValueError("a payload has another digest than its record says")
+    return {"page_id": _page(h["WARC-Record-ID"]), "payload_bytes": found["payload_bytes"], "payload_digest": digest, "record_type": h["WARC-Type"], "refers_to": _page(h.get("WARC-Refers-To")), "url": h["WARC-Target-URI"], "payload": found["payload"]}
+
+
+def _records(raws: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string()), ("payload", pa.binary())])
+    out = []
+    for raw in raws:
+        out.append(_fields(raw))
+        if len(out) == 256:
+            yield pa.RecordBatch.from_pylist(out, schema)
+            out = []
+    if out:
+        yield pa.RecordBatch.from_pylist(out, schema)
+
+
 def read_records(spark: SparkSession, out_dir: str) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to, url, payload): all records, cut out of their archives by the ranges that the index names.
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to, url, payload): all records, by the ranges that the index names.
 
-    A range is eight bytes and an archive has as many as it has records, so an
-    archive's ranges fit beside it in its task; archives are of bounded size.
+    In a shared folder of files, tasks take runs of ranges and read just those
+    bytes. In another store, which Python doesn't reach, an archive is read
+    whole by Spark and its ranges (at most as many as its records) join it.
     """
-    ranges = index_lines(spark, out_dir).groupBy("archive").agg(F.array_sort(F.collect_list(F.struct("offset", "length"))).alias("ranges"))
-    files = _archives(spark, f"{out_dir}/archives").select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string()), ("payload", pa.binary())])
+    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
+    lines, archives = index_lines(spark, out_dir), _archives(spark, f"{out_dir}/archives")
+    if out_dir.startswith(("file:", "/")):
+        folder = "/" + out_dir.removeprefix("file:").lstrip("/") + "/archives/"
+
+        def by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def raws() -> Iterator[bytes]:
+                name, file = None, None
+                try:
+                    for batch in batches:
+                        for archive, offset, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                            if archive != name:
+                                if file:
+                                    file.close()
+                                name, file = archive, open(folder + archive, "rb")
+                            file.seek(offset)
+                            yield file.read(length)
+                finally:
+                    if file:
+                        file.close()
+
+            yield from _records(raws())
+
+        tasks = max(1, archives.select("path").count())
+        ranges = lines.select("archive", "offset", "length").repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
+        return ranges.mapInArrow(by_range, schema)
+
+    def by_archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content, spans in zip(batch.column(0), batch.column(1), strict=True):
-                raw, out = content.as_py(), []
-                for span in spans.as_py():
-                    found = parse(gzip.decompress(raw[span["offset"] : span["offset"] + span["length"]]))
-                    h = found["headers"]
-                    digest = h["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if found["payload"] is not None and hashlib.sha1(found["payload"]).hexdigest() != digest:
-                        raise ValueError("a payload has another digest than its record says")
-                    out.append({"page_id": _page(h["WARC-Record-ID"]), "payload_bytes": found["payload_bytes"], "payload_digest": digest, "record_type": h["WARC-Type"], "refers_to": _page(h.get("WARC-Refers-To")), "url": h["WARC-Target-URI"], "payload": found["payload"]})
-                    if len(out) == 256:
-                        yield pa.RecordBatch.from_pylist(out, schema)
-                        out = []
-                if out:
-                    yield pa.RecordBatch.from_pylist(out, schema)
+                raw = content.as_py()
+                yield from _records(raw[s["offset"] : s["offset"] + s["length"]] for s in spans.as_py())
 
-    return files.join(ranges, "archive").select("content", "ranges").mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary")
+    ranges = lines.groupBy("archive").agg(F.array_sort(F.collect_list(F.struct("offset", "length"))).alias("ranges"))
+    files = archives.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
+    return files.join(ranges, "archive").select("content", "ranges").mapInArrow(by_archive, schema)
 
 
 class CaptureIndex:
