@@ -53,11 +53,14 @@ def encode_ids(values: np.ndarray) -> bytes:
     values = np.ascontiguousarray(values, "<u4")
     n = len(values)
     codes = np.zeros(-(-n // 4) * 4, np.uint8)
+    top = int(values.max(initial=0))
     for bound in (0xFF, 0xFFFF, 0xFFFFFF):
-        codes[:n] += values > bound
+        if top > bound:
+            codes[:n] += values > bound
+    width = 2 if top <= 0xFFFF else 4
     four = codes.reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
-    data = values.view(np.uint8).reshape(-1, 4)[_BYTES <= codes[:n, None]]
+    data = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width)[_BYTES[:width] <= codes[:n, None]]
     return control.astype(np.uint8).tobytes() + data.tobytes()
 
 
@@ -66,9 +69,10 @@ def decode_ids(payload: np.ndarray | bytes, n: int) -> np.ndarray:
     payload = np.frombuffer(payload, np.uint8) if isinstance(payload, bytes) else payload
     split = -(-n // 4)
     codes = CONTROL[payload[:split]].reshape(-1)[:n]
-    out = np.zeros((n, 4), np.uint8)
-    out[_BYTES <= codes[:, None]] = payload[split:]
-    return out.view("<u4").reshape(-1)
+    width = 2 if codes.max(initial=0) < 2 else 4
+    out = np.zeros((n, width), np.uint8)
+    out[_BYTES[:width] <= codes[:, None]] = payload[split:]
+    return out.view(f"<u{width}").reshape(-1).astype("<u4")
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, end_id: int) -> DataFrame:
@@ -98,8 +102,9 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                here = np.bincount(_array(ids, n))
+            for at in range(0, batch.num_rows, 1024):  # all rows have ids of one width
+                part = batch.slice(at, 1024)
+                here = np.bincount(_array(b"".join(part.column(1).to_pylist()), sum(part.column(0).to_pylist())))
                 if len(here) > len(total):
                     total = np.concatenate([total, np.zeros(len(here) - len(total), np.int64)])
                 total[: len(here)] += here
