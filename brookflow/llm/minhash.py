@@ -8,7 +8,7 @@ shifted by k places round the circle, orders them for coordinate k, whose
 value is the least of the set.
 
 1. One pass over the texts makes, per document, its set's size and 128-bit
-   hash, a signature of one byte per coordinate and the band keys (ROWS
+   hash, a signature of one byte per coordinate and the band keys (some
    coordinates each).
 2. Documents with equal sets are one class, known by its least doc_id. So a
    thousand exact copies cost one class.
@@ -24,8 +24,9 @@ value is the least of the set.
    are confirmed too, and the components joined again. So no link between
    different texts is left out because its bucket was large.
 
-A link at the threshold shares no band with probability (1 - 0.85**5)**22, under
-3e-6; and its signature's agreement falls below ESTIMATE as rarely.
+Everything follows from the threshold (Bounds). A link at the threshold shares no
+band with a probability of MISSED at most: 22 bands of five coordinates at 85 %, 25
+of four at 80 %. Its signature's agreement falls short of the cut-off as rarely.
 
 Defined results: a null or empty text, or one of blanks, has the set size 0 and
 is linked with nothing; repeated rows are copies; rows with a null doc_id are
@@ -36,6 +37,7 @@ no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -48,12 +50,39 @@ from brookflow.llm.common import staged
 from brookflow.llm.graph import components
 
 SHINGLE = 5
-COORDINATES, ROWS, BANDS = 128, 5, 22
+COORDINATES, WIDE_COORDINATES = 128, 512
 PORTION = 2048
-#: Signatures that agree in less than this share of coordinates are no link of similarity 0.85 (4.5 standard deviations).
-ESTIMATE = 0.70
-#: Open buckets are searched with longer signatures, by the same standard.
-WIDE_COORDINATES, WIDE_ESTIMATE = 512, 0.78
+#: A link at the threshold shares no band with this probability at most.
+MISSED = 3e-6
+#: Signatures whose agreement is more than so many standard deviations below the threshold are no link.
+DEVIATIONS = 4.75
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """What may be a link of least_percent similarity: `bands` keys of `rows` coordinates, and the least agreement of signatures (open buckets are searched with wide ones)."""
+
+    least_percent: int
+    coordinates: int
+    rows: int
+    bands: int
+    estimate: float
+    wide_estimate: float
+
+
+def bounds_of(least_percent: int) -> Bounds:
+    """The bands have as many rows as COORDINATES allows at MISSED; where even one row needs more of them, the signature grows."""
+    if not 0 < least_percent <= 100:
+        raise ValueError("least_percent is above 0 and at most 100")
+    t = least_percent / 100
+
+    def bands(rows: int) -> int:
+        return 1 if t == 1 else int(np.ceil(np.log(MISSED) / np.log1p(-(t**rows))))
+
+    rows = max((r for r in range(1, COORDINATES + 1) if r * bands(r) <= COORDINATES), default=1)
+    coordinates = max(COORDINATES, rows * bands(rows))
+    estimate, wide = (t - DEVIATIONS * np.sqrt(t * (1 - t) / n) for n in (coordinates, max(coordinates, WIDE_COORDINATES)))
+    return Bounds(least_percent, coordinates, rows, bands(rows), float(estimate), float(wide))
 
 
 def sets_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -80,25 +109,25 @@ def circulant_signatures(hashes: np.ndarray, first: np.ndarray, coordinates: int
     return out
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, bounds: Bounds, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n, h1, h2, bands array<long>, sig binary) per row; h1 and h2 are null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, hashes, first in sets_of(batch.column(1)):
                 sizes = np.diff(first)
-                full = circulant_signatures(hashes, first)
+                full = circulant_signatures(hashes, first, bounds.coordinates)
                 h = [np.array([x[i:j].sum(dtype=np.uint64) if j > i else 0 for i, j in zip(first[:-1], first[1:], strict=True)], np.uint64) for x in (hashes, common.mix64(hashes ^ np.uint64(0xABCDEF)))]
-                bands = np.empty((to - at, BANDS), np.uint64)
+                bands = np.empty((to - at, bounds.bands), np.uint64)
                 with np.errstate(over="ignore"):
-                    for b in range(BANDS):
+                    for b in range(bounds.bands):
                         key = np.full(to - at, b + 1, np.uint64)
-                        for r in range(ROWS):
-                            key = common.mix64(key * np.uint64(0x9E3779B97F4A7C15) + full[:, b * ROWS + r])
+                        for r in range(bounds.rows):
+                            key = common.mix64(key * np.uint64(0x9E3779B97F4A7C15) + full[:, b * bounds.rows + r])
                         bands[:, b] = key
                 low = (full & 0xFF).astype(np.uint8)
                 empty = sizes == 0
-                offsets = np.arange(0, (to - at + 1) * BANDS, BANDS, dtype=np.int32)
+                offsets = np.arange(0, (to - at + 1) * bounds.bands, bounds.bands, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(at, to - at), pa.array(sizes), pa.array(h[0].view(np.int64), mask=empty), pa.array(h[1].view(np.int64), mask=empty),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.reshape(-1).view(np.int64))), pa.array([x.tobytes() for x in low], pa.binary()),
@@ -108,13 +137,14 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return made.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, bands array<long>, sig binary")
 
 
-def wide_signatures(texts: DataFrame) -> DataFrame:
-    """(cls, sig) with WIDE_COORDINATES bytes for each of texts (cls, text)."""
+def wide_signatures(texts: DataFrame, bounds: Bounds) -> DataFrame:
+    """(cls, sig) with WIDE_COORDINATES bytes, or more if bounds has more, for each of texts (cls, text)."""
+    coordinates = max(bounds.coordinates, WIDE_COORDINATES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, hashes, first in sets_of(batch.column(1)):
-                low = (circulant_signatures(hashes, first, WIDE_COORDINATES) & 0xFF).astype(np.uint8)
+                low = (circulant_signatures(hashes, first, coordinates) & 0xFF).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array([x.tobytes() for x in low], pa.binary())], ["cls", "sig"])
 
     return texts.select("cls", "text").mapInArrow(run, "cls long, sig binary")
@@ -124,13 +154,13 @@ def _matrix(pdf: pd.DataFrame) -> np.ndarray:
     return np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
 
 
-def _may_link(sig: np.ndarray, n: np.ndarray, one: int, estimate: float = ESTIMATE) -> np.ndarray:
+def _may_link(sig: np.ndarray, n: np.ndarray, one: int, estimate: float, least_percent: int) -> np.ndarray:
     """Whether each row may be linked with row `one`: by its signature and set size."""
     agree = (sig == sig[one]).mean(axis=1)
-    return (agree >= estimate) & (100 * np.minimum(n, n[one]) >= 85 * np.maximum(n, n[one]))
+    return (agree >= estimate) & (100 * np.minimum(n, n[one]) >= least_percent * np.maximum(n, n[one]))
 
 
-def _leaders(pdf: pd.DataFrame) -> tuple[list[int], list[tuple[int, int]]]:
+def _leaders(pdf: pd.DataFrame, bounds: Bounds) -> tuple[list[int], list[tuple[int, int]]]:
     """Leaders' positions, and (leader, member) positions, of one portion of a bucket."""
     sig, n = _matrix(pdf), pdf["n"].to_numpy()
     left, leaders, pairs = np.arange(len(pdf)), [], []
@@ -138,7 +168,7 @@ def _leaders(pdf: pd.DataFrame) -> tuple[list[int], list[tuple[int, int]]]:
         here = sig[left]
         commonest = np.array([np.bincount(c).argmax() for c in here.T], np.uint8)
         one = int(left[(here == commonest).sum(axis=1).argmax()])
-        linked = _may_link(sig[left], n[left], int(np.flatnonzero(left == one)[0]))
+        linked = _may_link(sig[left], n[left], int(np.flatnonzero(left == one)[0]), bounds.estimate, bounds.least_percent)
         leaders.append(one)
         pairs += [(one, int(x)) for x in left[linked] if x != one]
         left = left[~linked & (left != one)]
@@ -148,14 +178,14 @@ def _leaders(pdf: pd.DataFrame) -> tuple[list[int], list[tuple[int, int]]]:
 _PAIRS = "a long, b long"
 
 
-def _leader_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+def _leader_pairs(pdf: pd.DataFrame, bounds: Bounds) -> pd.DataFrame:
     ids = pdf["cls"].to_numpy()
-    leaders, pairs = _leaders(pdf)
+    leaders, pairs = _leaders(pdf, bounds)
     made = [(ids[x], ids[x], True) for x in leaders] + [(ids[x], ids[y], False) for x, y in pairs]
     return pd.DataFrame(made, columns=["a", "b", "leads"]).assign(bucket=pdf["bucket"].iloc[0])
 
 
-def _open_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+def _open_pairs(pdf: pd.DataFrame, bounds: Bounds) -> pd.DataFrame:
     """Pairs of different components that may be linked, each between the blocks that this group pairs.
 
     A pair that shares several open buckets (own: a class's) comes from the least of them alone.
@@ -169,7 +199,7 @@ def _open_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
     largest &= comp == comp[largest.argmax()]
     out = []
     for x in np.flatnonzero(~largest):  # each pair of components has a member outside the largest
-        ok = _may_link(sig, n, int(x), WIDE_ESTIMATE) & (comp != comp[x]) & (largest | (ids > ids[x]))
+        ok = _may_link(sig, n, int(x), bounds.wide_estimate, bounds.least_percent) & (comp != comp[x]) & (largest | (ids > ids[x]))
         if across:
             ok &= block != block[x]
         out += [(min(ids[x], ids[y]), max(ids[x], ids[y])) for y in np.flatnonzero(ok) if min(own[x] & own[y]) == bucket]
@@ -205,7 +235,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, least_percent: int) -> DataFra
 
 def near_duplicates(docs: DataFrame, *, least_percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of docs."""
-    rows = staged(signatures(docs, id_col, text_col), "signatures")
+    bounds = bounds_of(least_percent)
+    rows = staged(signatures(docs, bounds, id_col, text_col), "signatures")
     known = rows.where("h1 is not null and doc_id is not null")
     classes = known.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("cls"))
     # one row of each class stands for it
@@ -222,9 +253,9 @@ def near_duplicates(docs: DataFrame, *, least_percent: int = 85, id_col: str = "
 
     made = "a long, b long, leads boolean, bucket long"
     portion = members.withColumn("portion", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / PORTION)))
-    first = staged(portion.groupBy("bucket", "portion").applyInPandas(_leader_pairs, made), "first-pairs")
+    first = staged(portion.groupBy("bucket", "portion").applyInPandas(lambda pdf: _leader_pairs(pdf, bounds), made), "first-pairs")
     several = members.where(F.col("size") > PORTION).join(first.where("leads").select("bucket", F.col("a").alias("cls")), ["bucket", "cls"], "left_semi")
-    second = several.groupBy("bucket").applyInPandas(_leader_pairs, made)
+    second = several.groupBy("bucket").applyInPandas(lambda pdf: _leader_pairs(pdf, bounds), made)
     pairs = first.union(second).where("not leads").select("a", "b").union(twos).distinct()
     links = staged(confirmed(pairs, texts, least_percent), "links")
     found = components(links)
@@ -233,11 +264,11 @@ def near_duplicates(docs: DataFrame, *, least_percent: int = 85, id_col: str = "
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
     blocks = F.ceil(F.col("size") / PORTION).cast("int")
     held = staged(labelled.drop("sig").join(mixed, "bucket"), "open-members")
-    wide = wide_signatures(texts.join(held.select("cls").distinct(), "cls", "left_semi"))
-    own = held.groupBy("cls").agg(F.collect_set("bucket").alias("own"))  # at most BANDS each
+    wide = wide_signatures(texts.join(held.select("cls").distinct(), "cls", "left_semi"), bounds)
+    own = held.groupBy("cls").agg(F.collect_set("bucket").alias("own"))  # at most a class's bands each
     opened = held.join(wide.join(own, "cls"), "cls").withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
     paired = opened.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("block_a", F.least("block", "other")).withColumn("block_b", F.greatest("block", "other"))
-    rest = paired.groupBy("bucket", "block_a", "block_b").applyInPandas(_open_pairs, _PAIRS).distinct().join(pairs.select("a", "b").union(pairs.select(F.col("b"), F.col("a"))), ["a", "b"], "left_anti")
+    rest = paired.groupBy("bucket", "block_a", "block_b").applyInPandas(lambda pdf: _open_pairs(pdf, bounds), _PAIRS).distinct().join(pairs.select("a", "b").union(pairs.select(F.col("b"), F.col("a"))), ["a", "b"], "left_anti")
     more = staged(confirmed(rest, texts, least_percent), "more-links")
     found = components(links.union(more))
 

@@ -16,6 +16,9 @@ from brookflow.llm import decontaminate, linededup, minhash, packing, toxicity
 from brookflow.llm.common import new_dir, table
 from brookflow.llm.tokens import default_path
 
+#: Runs of five words and this similarity make near duplicates here; op5's contract has its own.
+NEAR_PERCENT = 80
+
 
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.clean_documents(docs, table(spark, sf_dir, "labels"))
@@ -28,7 +31,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = minhash.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+    gone = minhash.near_duplicates(docs, least_percent=NEAR_PERCENT).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
 
 

@@ -98,6 +98,56 @@ def test_minhash_large_mixed_bucket(spark):
     assert [got[i] for i in range(len(docs))] == want
 
 
+def test_minhash_bounds_follow_the_threshold():
+    for percent in (1, 30, 50, 70, 80, 85, 95, 99, 100):
+        b, t = minhash.bounds_of(percent), percent / 100
+        assert (1 - t**b.rows) ** b.bands <= minhash.MISSED and b.rows * b.bands <= b.coordinates
+        for cut, n in ((b.estimate, b.coordinates), (b.wide_estimate, max(b.coordinates, minhash.WIDE_COORDINATES))):
+            assert cut <= t - 4.5 * (t * (1 - t) / n) ** 0.5
+    assert (minhash.bounds_of(85).rows, minhash.bounds_of(85).bands) == (5, 22)
+
+
+def _near_pairs():
+    """Pairs of texts of 200 words of which one has a changed block or a longer end: similarity 0.80 to 0.85."""
+    out = []
+    for k in range(12):
+        base = [f"p{k}w{i}" for i in range(204)]
+        out += [" ".join(base[:164]), " ".join(base[: 164 + 31 + k % 9])]  # 160 of 191 to 199 runs
+    return out
+
+
+def test_minhash_least_percent_80(spark):
+    """Links between 80 and 85 %, also by size: all are found at 80, and the pipeline's stage takes them out."""
+    import corpus_pipeline
+
+    docs = _near_pairs()
+    got = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(frame(spark, docs), least_percent=80).collect()}
+    assert [got[i] for i in range(len(docs))] == [i - i % 2 for i in range(len(docs))]
+    kept = {x["doc_id"] for x in corpus_pipeline.near_dedup(spark, frame(spark, docs), "").collect()}
+    assert kept == set(range(0, len(docs), 2))
+
+
+def test_minhash_open_bucket_at_80(spark):
+    """Large buckets, whose members don't all meet their leader, at 80 %: a bucket of three and more is searched by signatures."""
+    r = random.Random(4)
+    base = [f"b{i}" for i in range(150)]
+    docs = [" ".join(base)]
+    for k in range(60):
+        w = list(base)
+        for j in r.sample(range(150), r.choice([1, 2, 3, 4, 5])):
+            w[j] = f"z{k}_{j}"
+        docs.append(" ".join(w[: r.choice([150, 140, 130])]))
+    sets = [{tuple(d.split()[i : i + 5]) for i in range(len(d.split()) - 4)} for d in docs]
+    want = list(range(len(docs)))
+    for _ in range(10):
+        for a in range(len(docs)):
+            for b in range(len(docs)):
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    want[a] = min(want[a], want[b])
+    got = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(frame(spark, docs), least_percent=80).collect()}
+    assert [got[i] for i in range(len(docs))] == want
+
+
 def test_token_files_round_trip(spark, texts):
     ids = [5, 3, None, 1, 9, 2, 7, 7, 8, 4, 6, 0]
     got = [tuple(r) for r in tokenids.token_ids(spark, frame(spark, texts, ids), tokens.default_path()).collect()]
