@@ -1,16 +1,20 @@
 """Benchmark decontamination by spaced seeds, in DataFrame operations alone.
 
-A mask such as 1110111 is laid at every word of every text; the words under its
+A mask such as 111011 is laid at every word of every text; the words under its
 ones are hashed, those under its zeros ignored. Hashes of benchmark items are
 joined with those of the training texts. A hit puts a text and an item on one
 diagonal (word position in the text less that in the item); each diagonal is
 then compared word by word, and the text holds the item where some window of
 WINDOW words on the diagonal (of the whole item, if that is shorter) agrees in
-at least 80 of 100 words. So substituted words neither hide a passage from the
-seeds nor from the comparison, and a chance hit on common words is turned down.
+at least 80 of 100 words. A chance hit on common words is turned down there.
 
-Words are longest runs without blanks and \\t\\n\\v\\f\\r, in lower case. Items
-of fewer words than the longest mask are no evidence and aren't searched.
+The masks miss nothing that the comparison accepts. 80 % leave so few words to
+substitute that four in a row agree (mask 1111), whatever their places, but for
+windows of 10, 11 and 15 words whose agreeing runs have three words at most; in
+each of these 111011 fits. So it is for items of eight words and more: shorter
+ones (of one word at least) are held where the whole item occurs word by word.
+
+Words are longest runs without blanks and \\t\\n\\v\\f\\r, in lower case.
 
 All masks begin with the same ones; texts are only hashed by the masks where
 those first words (the anchor) occur in some item. The items' anchors stand in
@@ -29,8 +33,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: All begin with the same three ones: the anchor.
-MASKS = ("1110111", "11100111", "111111")
+MASKS = ("1111", "111011")
+#: The masks are complete for these: another window or a lower share needs other masks.
 WINDOW, LEAST_PERCENT = 20, 80
+#: Items of fewer words are only searched whole.
+LEAST_WORDS = 8
 #: Anchors that are held in the plan, and seeds that are broadcast (24 bytes each), at most.
 HELD_ANCHORS, BROADCAST_SEEDS = 50_000, 2_000_000
 
@@ -74,30 +81,45 @@ def _best_window(same: Column, window: Column) -> tuple[Column, Column]:
     return best, F.array_position(sums, best).cast("int") - 1
 
 
+def _hits(texts: DataFrame, items: DataFrame, masks: tuple[str, ...], whole: bool = False) -> DataFrame:
+    """(doc_id, item_id, diagonal) of every seed that texts (doc_id, w) share with items (item_id, w); whole: only of masks as long as the item."""
+    item_seeds = seeds(items, "item_id", masks).select("item_id", "mask", F.col("at").alias("item_at"), "seed")
+    if whole:
+        sizes = F.array(*(F.lit(len(m)) for m in masks))
+        item_seeds = item_seeds.join(items.select("item_id", F.size("w").alias("n")).distinct(), "item_id").where(F.get(sizes, F.col("mask")) == F.col("n")).select("item_id", "mask", "item_at", "seed")
+    if item_seeds.count() <= BROADCAST_SEEDS:
+        item_seeds = F.broadcast(item_seeds)
+    last = "0" if whole else f"size(w) - {min(map(len, masks))}"
+    found = items.select(F.expr(f"explode(transform(sequence(0, {last}), i -> {_hash(_anchor(masks))})) AS a"))
+    anchors = [r["a"] for r in found.distinct().limit(HELD_ANCHORS + 1).collect()]
+    hits = seeds(texts, "doc_id", masks, anchors if len(anchors) <= HELD_ANCHORS else None).join(item_seeds, ["mask", "seed"])
+    return hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", masks: tuple[str, ...] = MASKS, window: int = WINDOW, least_percent: int = LEAST_PERCENT) -> DataFrame:
     """(doc_id, item_id, at_word, n_words, n_same): per text and item the window that agrees most: its first word in the text, its words, and those that agree."""
-    longest = max(map(len, masks))
-    items = benchmark.select(F.col(item_col).alias("item_id"), words(F.col(item_text_col)).alias("item_words")).where(F.size("item_words") >= longest)
+    least = max(LEAST_WORDS, *map(len, masks))
+    items = benchmark.select(F.col(item_col).alias("item_id"), words(F.col(item_text_col)).alias("item_words")).where(F.size("item_words") > 0)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    spelled = items.select("item_id", F.col("item_words").alias("w"))
-    item_seeds = seeds(spelled, "item_id", masks).select("item_id", "mask", F.col("at").alias("item_at"), "seed")
-    if item_seeds.count() <= BROADCAST_SEEDS:
-        item_seeds = F.broadcast(item_seeds)
-    first = spelled.select(F.expr(f"explode(transform(sequence(0, size(w) - {longest}), i -> {_hash(_anchor(masks))})) AS a"))
-    tails = spelled.select(F.expr(f"explode(transform(sequence(greatest(size(w) - {longest} + 1, 0), size(w) - {min(map(len, masks))}), i -> {_hash(_anchor(masks))})) AS a"))
-    anchors = [r["a"] for r in first.union(tails).distinct().limit(HELD_ANCHORS + 1).collect()]
-    hits = seeds(texts.select("doc_id", words(F.col("text")).alias("w")), "doc_id", masks, anchors if len(anchors) <= HELD_ANCHORS else None).join(item_seeds, ["mask", "seed"])
+    spelled, laid_at = items.select("item_id", F.col("item_words").alias("w")), texts.select("doc_id", words(F.col("text")).alias("w"))
+    hits = _hits(laid_at, spelled.where(F.size("w") >= least), masks).distinct()
+    short = spelled.where(F.size("w") < least)
+    lengths = sorted(r["n"] for r in short.select(F.size("w").alias("n")).distinct().collect())
+    if lengths:
+        whole = _hits(laid_at, short, tuple("1" * n for n in lengths), whole=True)
+        hits = hits.union(whole.groupBy("doc_id", "item_id").agg(F.min("diagonal").alias("diagonal")))  # the first occurrence says it all
     # one row per text, so that its words are made once for all its diagonals; each then takes the words beside its item
-    diagonals = hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct().join(items.select("item_id", F.size("item_words").alias("n")), "item_id")
+    diagonals = hits.join(items.select("item_id", F.size("item_words").alias("n")), "item_id")
     each = diagonals.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "diagonal", "n")).alias("d"))
     texts_hit = each.join(texts, "doc_id").select("doc_id", "d", words(F.col("text")).alias("w"))
     beside = F.transform("d", lambda x: F.struct(x["item_id"].alias("item_id"), x["diagonal"].alias("diagonal"), F.transform(F.sequence(F.lit(0), x["n"] - 1), lambda i: F.get("w", i + x["diagonal"])).alias("part")))
     held = texts_hit.select("doc_id", F.explode(beside).alias("x")).select("doc_id", "x.*").join(items, "item_id")
     held = held.select("doc_id", "item_id", "diagonal", F.zip_with("item_words", "part", lambda a, b: F.coalesce((a == b).cast("int"), F.lit(0))).alias("same"))
     size = F.least(F.size("same"), F.lit(window))
-    held = held.where(100 * F.aggregate("same", F.lit(0), lambda a, x: a + x) >= least_percent * size)  # else no window can agree enough
+    percent = F.when(F.size("same") < least, 100).otherwise(least_percent)
+    held = held.where(100 * F.aggregate("same", F.lit(0), lambda a, x: a + x) >= percent * size)  # else no window can agree enough
     best, start = _best_window(F.col("same"), size)
-    judged = held.select("doc_id", "item_id", "diagonal", size.alias("n_words"), best.alias("n_same"), start.alias("start"))
-    close = judged.where(100 * F.col("n_same") >= least_percent * F.col("n_words"))
+    judged = held.select("doc_id", "item_id", "diagonal", size.alias("n_words"), best.alias("n_same"), start.alias("start"), percent.alias("percent"))
+    close = judged.where(100 * F.col("n_same") >= F.col("percent") * F.col("n_words"))
     first = F.min(F.struct((-F.col("n_same")).alias("less"), (F.col("start") + F.col("diagonal")).alias("at_word"), "n_words"))
     return close.groupBy("doc_id", "item_id").agg(first.alias("b")).select("doc_id", "item_id", F.col("b.at_word").alias("at_word"), F.col("b.n_words").alias("n_words"), (-F.col("b.less")).alias("n_same"))

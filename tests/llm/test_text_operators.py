@@ -1,5 +1,6 @@
 """Small tables with nulls, empty and long texts, ties, repeated rows and clashing columns, against brute force."""
 
+import itertools
 import random
 import zlib
 
@@ -248,6 +249,32 @@ def test_decontaminate_without_held_anchors(spark, monkeypatch):
     assert [(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()] == [(0, 7)]
 
 
+def test_decontaminate_masks_miss_no_placement():
+    """Every placement of the substitutions that LEAST_PERCENT allows leaves a hit, for every window."""
+    for n in range(decontaminate.LEAST_WORDS, decontaminate.WINDOW + 1):
+        laid = [sum(1 << (at + k) for k, c in enumerate(m) if c == "1") for m in decontaminate.MASKS for at in range(n - len(m) + 1)]
+        most = n - -(-decontaminate.LEAST_PERCENT * n // 100)
+        for gone in itertools.combinations(range(n), most):
+            bits = sum(1 << k for k in gone)
+            assert any(not m & bits for m in laid), (n, gone)
+
+
+def test_decontaminate_hard_placements_and_short_items(spark):
+    places = {8: [2], 9: [4], 10: [3, 6], 11: [3, 7], 12: [3, 8], 15: [3, 7, 11], 20: [2, 5, 11, 14]}
+    docs, bench = [], []
+    for n, gone in places.items():
+        bench.append((n, " ".join(f"i{n}w{k}" for k in range(n))))
+        docs.append("a b " + " ".join("zz" if k in gone else f"i{n}w{k}" for k in range(n)) + " c")
+    want = {(at, n): (2, n, n - len(places[n])) for at, n in enumerate(places)}
+    at = len(docs)
+    bench += [(107, "one two three four five six seven"), (103, "Five six SEVEN"), (101, "seven"), (100, " "), (99, None)]
+    docs += ["x one two three four five six seven seven", "one two three four five zz seven", "five six seven five six seven", "six"]
+    want |= {(at, 107): (1, 7, 7), (at, 103): (5, 3, 3), (at, 101): (7, 1, 1), (at + 1, 101): (6, 1, 1), (at + 2, 103): (0, 3, 3), (at + 2, 101): (2, 1, 1)}
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["at_word"], r["n_words"], r["n_same"]) for r in decontaminate.contaminated(frame(spark, docs), items).collect()}
+    assert got == want
+
+
 def test_languages(spark):
     r = random.Random(3)
     words = {"aa": [f"kor{i}pel" for i in range(40)], "bb": [f"žub{i}ani" for i in range(40)]}
