@@ -11,8 +11,9 @@ there to the host: at each level a group's prior is a beta distribution whose
 mean is its parent's posterior mean and whose strength is that level's
 overdispersion, by the method of moments for beta-binomial counts. A host is
 blocked where the lower bound of its posterior (mean less `z` standard
-deviations) is above `max_bad`. A host without labels has its nearest labelled
-ancestor's mean as prior, and no evidence of its own.
+deviations) is above `max_bad`. A host without labels is judged by its prior: the
+mean is that of its nearest labelled ancestor (registered domain, suffix or the
+whole), the variance that of the unlabelled levels below it taken together.
 
 The registered domain is a host's last two labels and the suffix the last one.
 
@@ -27,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brookflow.llm.common import staged
+
 #: (host, path, verdict)
 RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
 
@@ -82,21 +85,45 @@ def _shrunk(groups: DataFrame, parents: DataFrame, key: str, parent: str) -> Dat
         *groups.columns, F.col("strength"), ((F.col("prior") * F.col("strength") + F.col("bad")) / (F.col("strength") + n)).alias("mean"))
 
 
-def host_reputations(labelled: DataFrame) -> DataFrame:
-    """(host, n, bad, mean, bound) for every host of labelled (host, bad), bad being 0 or 1.
+def _bound(mean: Column, share: Column) -> Column:
+    """Z standard deviations below the mean; share: the variance as a share of mean * (1 - mean)."""
+    return mean - Z * F.sqrt(mean * (1 - mean) * share)
+
+
+def _below(strength: Column, share: Column) -> Column:
+    """The variance share of a group two levels down: its parent, unlabelled, is beta with `strength`, and share is the group's under a known parent."""
+    return 1 / (strength + 1) + strength / (strength + 1) * share
+
+
+def reputations(labelled: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(host, n, bad, mean, bound) for every host of labelled (host, bad), bad being 0 or 1; and the bounds that unlabelled hosts have below
+    each labelled domain (domain, bound), suffix (suffix, bound) and the whole (bound: one row, or none without labels).
 
-    The three levels are small sums of per-host counts; only those are shuffled.
+    The three levels are small sums of per-host counts; only those are shuffled. Each is written
+    once, as the levels below it and the bounds read it again.
     """
     hosts = labelled.where(F.col("bad").isNotNull() & (F.col("host") != "")).groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
-    hosts = hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+    hosts = staged(hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))), "host-counts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("all", F.lit(0))
     whole = suffixes.groupBy("all").agg(((F.sum("bad") + 1.0) / (F.sum("n") + 2.0)).alias("mean"))
-    by_suffix = _shrunk(suffixes, whole, "suffix", "all")
-    by_domain = _shrunk(domains, by_suffix, "domain", "suffix")
-    by_host = _shrunk(hosts, by_domain, "host", "domain")
+    by_suffix = staged(_shrunk(suffixes, whole, "suffix", "all"), "by-suffix")
+    by_domain = staged(_shrunk(domains, by_suffix, "domain", "suffix"), "by-domain")
+    by_host = staged(_shrunk(hosts, by_domain, "host", "domain"), "by-host")
     weight = F.col("strength") + F.col("n")
-    return by_host.select("host", "n", "bad", "mean", (F.col("mean") - Z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (weight + 1))).alias("bound"))
+    # one row: the strength of each level
+    levels = [level.agg(F.first("strength").alias(name)) for level, name in ((by_host, "of_host"), (by_domain, "of_domain"), (by_suffix, "of_suffix"))]
+    strengths = F.broadcast(levels[0].crossJoin(levels[1]).crossJoin(levels[2]))
+    below_domain = 1 / (F.col("of_host") + 1)
+    below_suffix = _below(F.col("of_domain"), below_domain)
+    below_whole = _below(F.col("of_suffix"), below_suffix)
+    mean = F.col("mean")
+    return (
+        by_host.select("host", "n", "bad", "mean", _bound(mean, 1 / (weight + 1)).alias("bound")),
+        by_domain.crossJoin(strengths).select("domain", _bound(mean, below_domain).alias("bound")),
+        by_suffix.crossJoin(strengths).select("suffix", _bound(mean, below_suffix).alias("bound")),
+        whole.crossJoin(strengths).select(_bound(mean, below_whole).alias("bound")),
+    )
 
 
 def judge_urls(pages: DataFrame, labelled: DataFrame, *, id_col: str = "page_id", url_col: str = "url", rules: tuple[tuple[str, str, str], ...] = RULES, max_bad: float = MAX_BAD) -> DataFrame:
@@ -104,11 +131,16 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, *, id_col: str = "page_id"
 
     The join of pages with reputations is on the host: a host with a third of all
     pages is split by Spark's skew join, and its counts are summed before a shuffle.
+    Levels above it are joined with distinct hosts.
     """
     urls = pages.select(F.col(id_col).alias("page_id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     marks = labelled.select(F.col("page_id").alias("labelled_id"), "bad").where(F.col("bad").isNotNull())
     known = urls.join(marks, urls["page_id"] == marks["labelled_id"]).select("host", "bad")
-    bounds = host_reputations(known).where(F.col("bound") > max_bad).select("host", F.col("bound").alias("bad_bound"))
+    by_host, by_domain, by_suffix, whole = reputations(known)
+    hosts = urls.where(F.col("host") != "").select("host").distinct().withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
+    levels = hosts.join(by_host.select("host", F.col("bound").alias("of_host")), "host", "left").join(by_domain.withColumnRenamed("bound", "of_domain"), "domain", "left").join(by_suffix.withColumnRenamed("bound", "of_suffix"), "suffix", "left")
+    judged = levels.join(F.broadcast(whole.select(F.col("bound").alias("of_whole"))), how="left").select("host", F.coalesce("of_host", "of_domain", "of_suffix", "of_whole").alias("bad_bound"))  # one row
+    bounds = judged.where(F.col("bad_bound") > max_bad)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("bad_bound").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
     return urls.join(bounds, "host", "left").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"), "bad_bound")

@@ -60,6 +60,46 @@ def test_url_rules_and_reputation(spark):
     assert all(v[3] == "allow" for k, v in {r["page_id"]: tuple(r)[1:5] for r in urlfilter.judge_urls(docs, labels.limit(0)).collect()}.items() if v[2] is None)
 
 
+def test_url_unlabelled_hosts_take_their_ancestors_bound(spark):
+    """Beta priors in plain Python: a host without labels is judged by its domain, else its suffix, else the whole."""
+    labelled = [(f"h{h}.bad.aa", int(i > 0)) for h in range(20) for i in range(100)] + [(f"h{h}.worse.aa", 1) for h in range(5) for _ in range(60)]
+    labelled += [(f"h{h}.good.bb", int(i == 0)) for h in range(10) for i in range(20)]
+    hosts = [h for h, _ in labelled] + ["new.bad.aa", "bad.aa", "new.other.aa", "new.good.bb", "new.other.bb", "new.cc", ""]
+    docs = pages(spark, [(i, f"http://{h}/p" if h else None, None) for i, h in enumerate(hosts)])
+    labels = spark.createDataFrame([(i, b) for i, (_, b) in enumerate(labelled)], "page_id long, bad int")
+
+    def counted(key):
+        out = {}
+        for h, b in labelled:
+            n, bad = out.get(key(h), (0, 0))
+            out[key(h)] = (n + 1, bad + b)
+        return out
+
+    def shrunk(groups, prior):
+        over = sum(prior(g) * (1 - prior(g)) * (n - 1) for g, (n, _) in groups.items())
+        rho = sum(n * (b / n - prior(g)) ** 2 - prior(g) * (1 - prior(g)) for g, (n, b) in groups.items()) / over
+        k = max(2.0, min(1000.0, 1 / rho - 1 if rho > 0 else 1000.0))
+        return k, {g: (prior(g) * k + b) / (k + n) for g, (n, b) in groups.items()}
+
+    domain, suffix = lambda h: ".".join(h.split(".")[-2:]), lambda h: h.split(".")[-1]
+    whole = (sum(b for _, b in labelled) + 1) / (len(labelled) + 2)
+    k_s, suffixes = shrunk(counted(suffix), lambda s: whole)
+    k_d, domains = shrunk(counted(domain), lambda d: suffixes[suffix(d)])
+    k_h, _ = shrunk(counted(lambda h: h), lambda h: domains[domain(h)])
+    share = 1 / (k_h + 1)
+    share_s = 1 / (k_d + 1) + k_d / (k_d + 1) * share
+    share_w = 1 / (k_s + 1) + k_s / (k_s + 1) * share_s
+    bound = lambda m, v: m - urlfilter.Z * (m * (1 - m) * v) ** 0.5
+    want = {"new.bad.aa": bound(domains["bad.aa"], share), "bad.aa": bound(domains["bad.aa"], share), "new.other.aa": bound(suffixes["aa"], share_s)}
+    want |= {"new.good.bb": bound(domains["good.bb"], share), "new.other.bb": bound(suffixes["bb"], share_s), "new.cc": bound(whole, share_w)}
+    got = {r["host"]: (r["verdict"], r["bad_bound"]) for r in urlfilter.judge_urls(docs, labels).collect()}
+    assert want["new.bad.aa"] > 0.5 and want["new.other.aa"] > 0.5 > want["new.good.bb"] > want["new.other.bb"]
+    for host, b in want.items():
+        assert got[host][0] == ("block" if b > 0.5 else "allow"), (host, b)
+        assert got[host][1] is None if b <= 0.5 else abs(got[host][1] - b) < 1e-9
+    assert got[""] == ("allow", None)
+
+
 def test_nearest_against_brute_force(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(600, 16)).astype(np.float32)
