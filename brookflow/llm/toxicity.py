@@ -7,11 +7,12 @@ of unknown words. Filters of one, two and three words run over the whole text,
 each filter's greatest response is kept, and a logistic layer reads those.
 
 The network learns from a bounded sample of labelled rows (SAMPLE of each
-label, those with the least hash of doc_id), four fifths for the weights and one
-fifth for thresholds. A text's language is told from its own words (log
-likelihoods of known words, learnt from the sample), and each language has the
-threshold that separates its fifth best; scores are shifted so that this
-threshold is 0.7 in every language.
+label, those with the least hash of doc_id), four fifths of it. A text's language is
+told from its own words (log likelihoods of known words, learnt from the sample),
+and each language has the threshold that best separates its labelled rows: all that
+are neither held out nor taught the weights, scored in one pass and counted in a
+histogram by language and label. Scores are shifted so that this threshold is 0.7 in
+every language.
 
 Scoring is one pass over all texts without a shuffle. Embeddings are multiplied
 with the filters beforehand, so that a response is a sum of table rows.
@@ -41,6 +42,8 @@ SAMPLE = 1500
 TABLE_BITS, DIMS, FILTERS, WIDTHS, EPOCHS, BATCH = 17, 12, 8, (1, 2, 3), 4, 32
 #: A language needs as many calibration rows of each label for a threshold of its own.
 LEAST_ROWS = 12
+#: Thresholds are told apart by histograms of BINS bins to a unit of the logit, up to MOST_LOGIT either way.
+BINS, MOST_LOGIT = 128, 40
 RATE, EMBEDDING_RATE = 0.02, 0.005
 #: Coefficients of chance size, so many standard errors, are taken as none.
 NOISE = 3.5
@@ -103,27 +106,24 @@ def padded(rows: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out, first[:-1] + gap * np.arange(len(counts))
 
 
-def _best_threshold(logit: np.ndarray, label: np.ndarray, weight: tuple[float, float]) -> float:
-    """The middle of the gap at which F1 is best, rows of label k counting weight[k] times; of several the widest gap."""
+def _best_threshold(logit: np.ndarray, label: np.ndarray, count: np.ndarray, weight: tuple[float, float]) -> float:
+    """The middle of the gap at which F1 is best, each of count rows of label k counting weight[k] times; of several the widest gap."""
     order = np.argsort(logit)
-    x, y = logit[order], label[order]
-    toxic, clean = (np.cumsum(((y == k) * weight[k])[::-1])[::-1] for k in (1, 0))  # at or above each
+    x, y, n = logit[order], label[order], count[order]
+    toxic, clean = (np.cumsum(((y == k) * n * weight[k])[::-1])[::-1] for k in (1, 0))  # at or above each
     f1 = 2 * toxic / (toxic + clean + toxic[0])
     below = np.concatenate([[x[0] - 2], x[:-1]])
     best = max(range(len(x)), key=lambda i: (round(float(f1[i]), 9), x[i] - below[i]) if x[i] > below[i] else (-1, 0))
     return float((x[best] + below[best]) / 2)
 
 
-def train(texts: list[str | None], labels: np.ndarray, langs: list[str | None], weight: tuple[float, float] = (1.0, 1.0), seed: int = 7) -> Model:
-    """A model of the texts' labels (0 or 1); langs (null: unknown) only serve to tell languages apart.
-
-    weight: how many rows of all a sampled row of label 0, and of 1, stands for; thresholds are set for those proportions.
-    """
+def train(texts: list[str | None], labels: np.ndarray, langs: list[str | None], seed: int = 7) -> tuple[Model, np.ndarray]:
+    """A model of the texts' labels (0 or 1), its thresholds not yet set, and which texts taught it; langs (null: unknown) only serve to tell languages apart."""
     labels = np.asarray(labels, np.int64)
     blank = Model(np.zeros(0, np.int64), np.zeros(0, np.uint64), {}, {}, np.zeros(0), 0.0, np.zeros((0, 0)), np.zeros(0))
     if not 0 < labels.sum() < len(labels):
         blank.constant = 1.0 if len(labels) and labels.all() else 0.0
-        return blank
+        return blank, np.zeros(0, np.int64)
     rng = np.random.default_rng(seed)
     words = [np.concatenate([common.word_hashes(d, s, e, common.PUNCT)[0] for _, _, d, s, e in common.text_blocks(pa.array([t], pa.string()))]) for t in texts]
     # table rows for words of at least two texts, the commonest first
@@ -152,7 +152,7 @@ def train(texts: list[str | None], labels: np.ndarray, langs: list[str | None],
     # Embeddings start small, but for the first place: there stands how a word's presence goes with the label (phi
     # coefficient over the taught texts), and one filter of each width starts by reading it.
     order = rng.permutation(len(ids))
-    held, taught = order[: len(order) // 5], order[len(order) // 5 :]
+    taught = order[len(order) // 5 :]
     present = np.zeros((2, n_rows))
     for i in taught:
         present[labels[i], np.unique(ids[i])] += 1
@@ -214,20 +214,42 @@ def train(texts: list[str | None], labels: np.ndarray, langs: list[str | None],
 
     model.tables = {w: [(table @ filters[w][k]).astype(np.float32) for k in range(w)] for w in WIDTHS}
     model.bias, model.out, model.out_bias = bias, out, float(out_bias[0])
-    sizes = [len(words[i]) for i in held]
-    logit, language = model.logits(np.concatenate([words[i] for i in held]), np.concatenate([[0], np.cumsum(sizes)]))
-    truth = labels[held]
-    overall = _best_threshold(logit, truth, weight) if 0 < truth.sum() < len(truth) else 0.0
-    model.thresholds = np.full(len(names), overall)
-    for j in range(len(names)):
+    model.thresholds = np.zeros(len(names))
+    return model, taught
+
+
+def thresholds_of(language: np.ndarray, label: np.ndarray, logit: np.ndarray, count: np.ndarray, totals: tuple[int, int], languages: int) -> np.ndarray:
+    """A threshold per language from a histogram: `count` rows of each (language, label, logit); totals: all rows of label 0 and 1, whose proportions count."""
+    weight = tuple(max(1.0, totals[k] / max(1, count[label == k].sum())) for k in (0, 1))
+    both = len(set(label)) == 2
+    out = np.full(languages, _best_threshold(logit, label, count, weight) if both else 0.0)
+    for j in range(languages):
         mine = language == j
-        if min(truth[mine].sum(), (1 - truth[mine]).sum()) >= LEAST_ROWS:
-            model.thresholds[j] = _best_threshold(logit[mine], truth[mine], weight)
-    return model
+        if min(count[mine & (label == k)].sum() for k in (0, 1)) >= LEAST_ROWS:
+            out[j] = _best_threshold(logit[mine], label[mine], count[mine], weight)
+    return out
+
+
+def _histogram(texts: DataFrame, known: DataFrame, model: Model) -> list:
+    """(language, label, bin, count) over the rows of texts (doc_id, text) in known (doc_id, label); a doc_id counts once.
+
+    Texts are scored in place; only ids, languages and bins are shuffled.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, to, data, starts, ends in common.text_blocks(batch.column(1)):
+                logit, language = model.logits(*common.word_hashes(data, starts, ends, common.PUNCT))
+                bins = np.rint(np.clip(logit.astype(np.float64), -MOST_LOGIT, MOST_LOGIT) * BINS).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(language.astype(np.int32)), pa.array(bins)], ["doc_id", "language", "bin"])
+
+    made = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, language int, bin int")
+    once = made.join(known, "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct("language", "bin")).alias("x"))
+    return once.groupBy("x.language", "label", "x.bin").count().collect()
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "toxic") -> Model:
-    """Train on labelled rows that aren't held out: `sample` of each label at most, so what is broadcast and collected is bounded."""
+    """Train on labelled rows that aren't held out, `sample` of each label at most, and set thresholds by the others: what is broadcast and collected is bounded."""
     known = labels.where(~common.held_out("doc_id") & F.col("doc_id").isNotNull() & F.col(label_col).isin(0, 1)).groupBy("doc_id").agg(F.max(F.col(label_col)).alias("label"))
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     chosen = known.where("label = 1").orderBy(*order).limit(sample).union(known.where("label = 0").orderBy(*order).limit(sample))
@@ -235,8 +257,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, id_col: str
     rows = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()
     rows.sort(key=lambda r: r["doc_id"])
     totals = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    weight = tuple(max(1.0, totals.get(k, 0) / max(1, sum(r["label"] == k for r in rows))) for k in (0, 1))
-    return train([r["text"] for r in rows], np.array([r["label"] for r in rows], np.int64), [r["lang"] for r in rows], weight)
+    model, taught = train([r["text"] for r in rows], np.array([r["label"] for r in rows], np.int64), [r["lang"] for r in rows])
+    if model.constant is None:
+        others = ~F.col("doc_id").isin([rows[i]["doc_id"] for i in taught])
+        counted = _histogram(texts.where(~common.held_out("doc_id") & others), known, model)
+        language, label, bins, count = np.array([tuple(r) for r in counted], np.int64).reshape(-1, 4).T
+        model.thresholds = thresholds_of(language, label, bins / BINS, count, (totals.get(0, 0), totals.get(1, 0)), len(model.thresholds))
+    return model
 
 
 def scored(docs: DataFrame, model: Model, *, text_col: str = "text", score_col: str = "score") -> DataFrame:

@@ -310,3 +310,29 @@ def test_toxicity(spark):
     assert all((x["score"] >= 0.7) == (x["predicted"] == 1) for x in got.values())
     one_kind = toxicity.toxicity_scores(docs, spark.createDataFrame([(0, 0)], "doc_id long, toxic int")).collect()
     assert all(x["predicted"] == 0 for x in one_kind)
+
+
+def test_toxicity_thresholds_cover_all_labelled_rows(spark, monkeypatch):
+    """A language with 1 in 20 labelled rows has too few in a small sample, but its own threshold from all rows."""
+    r = random.Random(9)
+    rows, labels = [], []
+    for i in range(3000):
+        lang = "bb" if i % 20 == 0 else "aa"
+        toxic = r.random() < 0.4
+        w = [f"{lang}{r.randrange(30)}" for _ in range(20)] + (["vile"] if toxic or (lang == "bb" and r.random() < 0.1) else [])
+        rows.append((i, " ".join(w), lang))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    seen, real = [], toxicity.thresholds_of
+
+    def watched(language, label, logit, count, totals, languages):
+        seen.append((language, label, count, totals, languages))
+        return real(language, label, logit, count, totals, languages)
+
+    monkeypatch.setattr(toxicity, "thresholds_of", watched)
+    model = toxicity.fit(docs, marks, sample=200)
+    language, label, count, totals, languages = seen[0]
+    assert languages == 2 and count.sum() == sum(totals) - 320  # all but the four fifths that taught
+    assert min(count[(language == 1) & (label == k)].sum() for k in (0, 1)) >= toxicity.LEAST_ROWS
+    assert model.thresholds[0] != model.thresholds[1]
