@@ -21,6 +21,7 @@ other than the id and text are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brookflow.llm.common import staged
-from brookflow.llm.tokens import encoder
+from brookflow.llm.tokens import encoded_blocks
 
 CAPACITY = 2048
 
@@ -129,28 +130,38 @@ def slots(runs: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int,
     return out
 
 
-def cut_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces (doc_id, piece, start, length, ids) of all texts, staged, with the task (part) that cut them and their number among its pieces of that length (local)."""
+def cut_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+    """Pieces (doc_id, piece, start, length, ids_crc32, ids) of all texts, staged, with the task (part) that cut them and their number among its pieces of that length (local).
+
+    Without ids, only their crc32 is kept, taken where they are made.
+    """
+    kinds = {"part": pa.int32(), "local": pa.int64(), "doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}
+    if with_ids:
+        kinds["ids"] = pa.binary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows = batch.slice(at, 512)
-                out: list[tuple] = []
-                for doc, ids in zip(rows.column(0).to_pylist(), enc.encode_many(rows.column(1).to_pylist()), strict=True):
-                    ids += end
-                    for k, start in enumerate(range(0, len(ids), 4 * capacity)):
-                        piece = ids[start : start + 4 * capacity]
-                        n = len(piece) // 4
-                        out.append((part, int(seen[n]), doc, k, start // 4, n, piece))
-                        seen[n] += 1
-                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-                names = ["part", "local", "doc_id", "piece", "start", "length", "ids"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-
-    made = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "part int, local long, doc_id long, piece int, start long, length long, ids binary")
+            for at, to, ids, first in encoded_blocks(tokenizer_path, batch.column(1), end_id):
+                pieces = -(-np.diff(first) // capacity)
+                text = np.repeat(np.arange(to - at), pieces)
+                piece = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                start = piece * capacity
+                length = np.minimum(np.diff(first)[text] - start, capacity)
+                order = np.argsort(length, kind="stable")
+                local = np.empty(len(order), np.int64)
+                counts = np.bincount(length, minlength=capacity + 1)
+                local[order] = np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(seen, counts)
+                seen += counts
+                begin = first[text] + start
+                spans = [ids[i:j] for i, j in zip(begin, begin + length, strict=True)]
+                made = [np.full(len(text), part), local, batch.column(0).slice(at, to - at).take(pa.array(text)), piece, start, length, [zlib.crc32(x) for x in spans]]
+                if with_ids:
+                    made.append([x.tobytes() for x in spans])
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(made, kinds.values(), strict=True)], list(kinds))
+
+    schema = "part int, local long, doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
+    made = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
     return staged(made, "pieces")
 
 
@@ -179,7 +190,6 @@ def sequences(packed: DataFrame) -> DataFrame:
 
 
 def packed_documents(spark: SparkSession, docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
-    """Pieces with their ids' crc32 and their place. The crc is taken at the scan, so no ids are shuffled."""
-    pieces = cut_pieces(docs, tokenizer_path, capacity=capacity, end_id=end_id)
-    slim = pieces.select("part", "local", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return pack(slim, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    """Pieces with their ids' crc32 and their place. The crc is taken where the ids are made: they are neither written nor shuffled."""
+    pieces = cut_pieces(docs, tokenizer_path, capacity=capacity, end_id=end_id, with_ids=False)
+    return pack(pieces, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

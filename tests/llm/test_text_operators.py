@@ -3,6 +3,7 @@
 import itertools
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -149,23 +150,62 @@ def test_minhash_open_bucket_at_80(spark):
     assert [got[i] for i in range(len(docs))] == want
 
 
-def test_token_files_round_trip(spark, texts):
-    ids = [5, 3, None, 1, 9, 2, 7, 7, 8, 4, 6, 0]
-    got = [tuple(r) for r in tokenids.token_ids(spark, frame(spark, texts, ids), tokens.default_path()).collect()]
-    enc = tokens.ChunkEncoder(tokens.default_path()).tokenizer
-    rows = []
-    for i, t in zip(ids, texts):
+@pytest.mark.parametrize("sizes", [(tokenids.FILE_BYTES, tokenids.BLOCK_IDS), (600, 100), (100, 1)])
+def test_token_files_round_trip(spark, texts, sizes):
+    """One file and block, and several of both."""
+    ids = [5, 3, None, 1, 9, 2, 7, 7, 8, 4, 6, 0] + [7] * 20
+    texts = texts + ["seven times " + "x" * i for i in range(20)]
+    enc = tokens.encoder(tokens.default_path()).tokenizer
+    want = []
+    for i, t in zip(ids, texts, strict=True):
         a = np.array(enc.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
-        rows.append((i, len(a), zlib.crc32(a.tobytes())))
-    assert sorted(((i, n, c) for i, _, n, c in got), key=str) == sorted(rows, key=str)
-    at = 0
-    for i, start, n, _ in sorted(got, key=lambda r: r[1]):
+        want.append((i, len(a), zlib.crc32(a.tobytes())))
+    out = common.new_dir(spark, "token-files")
+    tokenids.write_token_files(frame(spark, texts, ids), out, tokens.default_path(), end_id=2, file_bytes=sizes[0], block_ids=sizes[1])
+    got = [tuple(r) for r in tokenids.read_token_files(spark, out, with_ids=False).collect()]
+    assert sorted(((i, n, c) for i, _, n, c in got), key=str) == sorted(want, key=str)
+    at, got = 0, sorted(got, key=lambda r: r[1])
+    for _, start, n, _ in got:
         assert start == at
         at += n
-    assert [r[0] for r in sorted(got, key=lambda r: r[1])] == sorted(ids, key=lambda x: (x is not None, x))
+    assert [r[0] for r in got] == sorted(ids, key=lambda x: (x is not None, x))
+    files = sorted(Path(out.removeprefix("file:") + "/files").glob("part-*"))
+    heads = [line.split(b"\n")[0].split(b" ") for f in files for line in f.read_bytes().split(b"\0")[:-1]]
+    assert [int(h[3]) for h in heads] == sorted(int(h[3]) for h in heads) and sum(int(h[1]) for h in heads) == len(ids)
+    assert (len(files) > 3 and len(heads) > 5) if sizes[0] < 1000 else len(heads) == 1
+    whole = {(r["doc_id"], r["n_tokens"], zlib.crc32(r["ids"])) for r in tokenids.read_token_files(spark, out).collect()}
+    assert whole == set(want)
+
+
+def test_token_files_of_an_empty_table(spark):
     assert tokenids.token_ids(spark, frame(spark, []), tokens.default_path()).count() == 0
 
 
+@pytest.mark.parametrize("window", [1, 16, 300, 1 << 20])
+def test_column_encoding_equals_the_tokenizer(monkeypatch, window):
+    """Texts of all sizes against windows of all sizes: nulls, added tokens, long chunks, other scripts, slices."""
+    r = random.Random(window)
+    alphabet = [*"aZéÉß .,-'\n\t\r_9  日Å ſ", "e\u0301", "<|endoftext|>", "'s", "İ", "don't"]
+    rows = [None if r.random() < 0.05 else "".join(r.choice(alphabet) for _ in range(r.choice([0, 1, 3, 20, 400]))) for _ in range(800)]
+    rows += ["x" * 1000, "", None]
+    monkeypatch.setattr(tokens, "WINDOW", window)
+    enc = tokens.ChunkEncoder(tokens.default_path())
+    for column in (pa.array(rows).slice(3), pa.array(rows, pa.large_string()), pa.array([], pa.string()), pa.array([None, ""])):
+        ids, first = enc.encode_column(column)
+        want = [e.ids for e in enc.tokenizer.encode_batch_fast([x or "" for x in column.to_pylist()], add_special_tokens=False)]
+        assert [list(ids[a:b]) for a, b in zip(first, first[1:])] == want
+        ids, first = tokens.closed(ids, first, 7)
+        assert [list(ids[a:b]) for a, b in zip(first, first[1:])] == [x + [7] for x in want]
+
+
+def test_kept_words_are_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_BYTES", 2000)
+    enc = tokens.ChunkEncoder(tokens.default_path())
+    for k in range(30):
+        enc.encode_column(pa.array([" ".join(f"word{chr(97 + k % 26)}{chr(97 + j)}" for j in range(20))]))
+        assert enc.kept <= 2000 and len(enc.known) <= 12
+
+
 @pytest.mark.parametrize("top", [1, 250, 60_000, 1 << 20, 1 << 32])
 def test_variable_length_coding(top):
     rng = np.random.default_rng(top)
@@ -195,13 +235,31 @@ def test_packing_fills_exactly():
 
 
 def test_packing_rows(spark, texts):
-    docs = frame(spark, texts + ["word " * 5000])
-    got = packing.packed_documents(spark, docs, tokens.default_path(), capacity=64).toPandas().sort_values(["sequence_id", "offset"])
-    assert ((got.groupby("sequence_id").length.cumsum() - got.length) == got.offset).all()
-    assert got.groupby("sequence_id").length.sum().max() <= 64
+    """Against the tokenizer: every piece's ids, start and length, gapless sequences, and as few as a lower bound allows or one in ten more."""
+    texts = texts + ["word " * 5000, "a b c", "a b c"]
+    ids = [*range(len(texts) - 2), None, 3]
+    docs = frame(spark, texts, ids)
+    enc = tokens.encoder(tokens.default_path()).tokenizer
+    want = []
+    for i, t in zip(ids, texts, strict=True):
+        a = np.array(enc.encode(t or "", add_special_tokens=False).ids + [0], "<u4")
+        want += [(i, k, at, len(a[at : at + 64]), zlib.crc32(a[at : at + 64].tobytes())) for k, at in enumerate(range(0, len(a), 64))]
+    rows = packing.packed_documents(spark, docs, tokens.default_path(), capacity=64).collect()
+    assert sorted((tuple(r)[:5] for r in rows), key=str) == sorted(want, key=str)
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in sequences.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 64
+    least = -(-sum(x[3] for x in want) // 64)
+    assert least <= len(sequences) <= 1.1 * least + 1
     pieces = packing.cut_pieces(docs, tokens.default_path(), capacity=64)
     joined = packing.sequences(packing.pack(pieces, 64)).toPandas()
-    assert (joined.ids.map(len) == 4 * joined.length).all() and joined.length.sum() == got.length.sum()
+    assert (joined.ids.map(len) == 4 * joined.length).all() and joined.length.sum() == sum(x[3] for x in want)
     assert packing.packed_documents(spark, frame(spark, []), tokens.default_path()).count() == 0
 
 
