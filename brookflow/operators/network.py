@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brookflow.functions import geometry as g
-from brookflow.runtime import staged
+from brookflow.operators.components import components as connected
+from brookflow.runtime import release, staged
 
 
 def build(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -103,57 +106,116 @@ def select_main(nodes: DataFrame, min_difference: float = 10.0, factor: float =
 
 def components(edges: DataFrame) -> DataFrame:
     """(node_id, basin): weakly connected components, numbered from 1 by least node."""
-    both = staged(edges.select(F.col("node_start").alias("u"), F.col("node_end").alias("v")).union(edges.select("node_end", "node_start")).distinct(), "both")
-    labels = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")).select(F.col("u").alias("node"), "label"), "labels")
-    while True:
-        near = both.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))
-        best = labels.join(near, "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("best"))
-        jump = labels.select(F.col("node").alias("best"), F.col("label").alias("further"))
-        new = staged(best.join(jump, "best", "left").select("node", "label", F.least("best", F.coalesce("further", "best")).alias("new")), "labels")
-        if new.where("new <> label").isEmpty():
-            break
-        labels = new.select("node", F.col("new").alias("label"))
-    roots = dense_ids(labels.select("label").distinct(), "label", "basin")
-    return labels.join(roots, "label").select(F.col("node").alias("node_id"), (F.col("basin") + 1).alias("basin"))
-
-
-def trace(edges: DataFrame, outflows: DataFrame, borders: DataFrame | None = None, direction: str = "upstream") -> DataFrame:
+    labels = staged(connected(edges, "node_start", "node_end"), "labels")
+    roots = dense_ids(labels.select("component").distinct(), "component", "basin")
+    return labels.join(roots, "component").select(F.col("node").alias("node_id"), (F.col("basin") + 1).alias("basin"))
+
+
+def _next_keys(edges: DataFrame, marked: DataFrame, borders: DataFrame, rounds: list | None) -> tuple[DataFrame, DataFrame]:
+    """(code, key) and (key, next): edges (code, near, far) lead to `next` edges, those whose near is their far.
+
+    Keys are edges that are marked (code), that no single edge follows, or that end at a border; every other edge points
+    to the one that follows it. Pointers are doubled until they stand on keys: about log2 of the longest way in rounds.
+    An edge that leads into a ring without a key has none.
+    """
+    follows = edges.select(F.col("near").alias("far"), F.col("code").alias("next")).join(borders.select(F.col("node_id").alias("far")), "far", "left_anti")
+    single = follows.groupBy("far").agg(F.count(F.lit(1)).alias("n"), F.min("next").alias("next")).where("n = 1").select("far", "next")
+    flags = edges.join(marked.select("code", F.lit(True).alias("marked")), "code", "left").join(single, "far", "left")
+    to = F.when(F.col("marked") | F.col("next").isNull(), F.col("code")).otherwise(F.col("next"))
+    now = staged(flags.select("code", to.alias("key"), (F.col("marked") | F.col("next").isNull()).alias("stands")).fillna(False, "stands"), "pointers")
+    left = None
+    while (open_now := now.where(~F.col("stands")).count()) and (left is None or open_now < left):
+        ahead = now.select(F.col("code").alias("key"), F.col("key").alias("further"), F.col("stands").alias("there"))
+        moved = now.where(~F.col("stands")).join(ahead, "key").select("code", F.col("further").alias("key"), F.col("there").alias("stands"))
+        new = staged(now.where("stands").unionByName(moved), "pointers")
+        release(now)
+        now, left = new, open_now
+        if rounds is not None:
+            rounds.append(open_now)
+    keyed = now.where("stands").select("code", "key")
+    ends = edges.join(keyed.where("code = key").select("code"), "code", "left_semi")
+    onward = ends.join(follows, "far").select(F.col("code").alias("from"), F.col("next").alias("code")).join(keyed, "code").select("from", F.col("key").alias("to")).distinct()
+    return keyed, onward
+
+
+def trace(edges: DataFrame, outflows: DataFrame, borders: DataFrame | None = None, direction: str = "upstream", rounds: list | None = None) -> DataFrame:
     """(outflow_id, code): all edges from which each outflow edge (outflow_id, code) is reached, or with "downstream" that it reaches.
 
-    All outflows advance together, one frontier table per step; border nodes (node_id) end a trace and keep the edge that touches them.
+    Ways without a choice are followed by doubling pointers (see _next_keys); all outflows then advance together over
+    what is left, a step per split or outflow on the way. Border nodes (node_id) end a trace and keep the edge that touches them.
     """
     near, far = ("node_start", "node_end") if direction == "upstream" else ("node_end", "node_start")
-    adjacent = staged(edges.select("code", F.col(near).alias("near"), F.col(far).alias("far")), "adjacent")
-    first = outflows.join(adjacent, "code").select("outflow_id", "code", F.col("near").alias("node"))
-    found = frontier = staged(first.distinct(), "frontier")
+    spark = edges.sparkSession
+    adjacent = staged(edges.select("code", F.col(near).alias("near"), F.col(far).alias("far")).distinct(), "adjacent")
+    first = staged(outflows.select("outflow_id", "code").join(adjacent, "code", "left_semi").distinct(), "outflows")
+    borders = spark.createDataFrame([], "node_id long") if borders is None else borders
+    keyed, onward = _next_keys(adjacent, first.select("code").distinct(), borders, rounds)
+    keyed, onward = staged(keyed, "keys"), staged(onward, "key-steps")
+    found = [first.select("outflow_id", F.col("code").alias("key"))]
+    frontier = found[0]
     while True:
-        going = frontier if borders is None else frontier.join(borders.select(F.col("node_id").alias("node")), "node", "left_anti")
-        more = going.join(adjacent, F.col("node") == F.col("far")).select("outflow_id", adjacent["code"], F.col("near").alias("node")).distinct()
-        frontier = staged(more.join(found.select("outflow_id", "code"), ["outflow_id", "code"], "left_anti"), "frontier")
+        more = frontier.join(onward, F.col("key") == F.col("to")).select("outflow_id", F.col("from").alias("key")).distinct()
+        seen = reduce(DataFrame.unionByName, found)
+        frontier = staged(more.join(seen, ["outflow_id", "key"], "left_anti"), "frontier")
         if frontier.isEmpty():
-            return found.select("outflow_id", "code")
-        found = found.unionByName(frontier)
+            return seen.join(keyed, "key").select("outflow_id", "code")
+        found.append(frontier)
+        if rounds is not None:
+            rounds.append("step")
+        if len(found) > 8:  # else the plan and the reading grow with every step
+            found = [staged(reduce(DataFrame.unionByName, found), "found")]
+
 
+def solve(own: DataFrame, terms: DataFrame, rounds: list | None = None) -> DataFrame:
+    """(r, x): x_r = a_r + sum of k * x_s over terms (r, s, k), for own (r, a); rows in or behind a cycle have none.
+
+    In each round every row puts in what is known of the rows it needs: a value, or - where a row needs one other
+    alone - its affine map, so that chains halve while leaves are taken off. A tree or a chain of n rows takes about
+    log2(n) rounds. Sums are partial before the shuffle.
+    """
 
-def accumulate(edges: DataFrame, own: str = "own", factor: str | None = None) -> DataFrame:
+    def described(terms: DataFrame, own: DataFrame) -> DataFrame:
+        """(r, a, n, t, kt): the constant, the number of terms, and the term of rows that have just one."""
+        every = terms.select("r", "s", "k", F.lit(0.0).alias("a")).unionByName(own.select("r", F.lit(None).cast("long").alias("s"), F.lit(0.0).alias("k"), "a"))
+        return every.groupBy("r").agg(F.sum("a").alias("a"), F.count("s").alias("n"), F.min("s").alias("t"), F.sum("k").alias("kt"))
+
+    terms = staged(terms.groupBy("r", "s").agg(F.sum("k").alias("k")), "terms")
+    rows = staged(described(terms, own), "rows")
+    left, before = rows.where("n > 0").count(), None
+    while left and left != before:
+        of = rows.select(F.col("r").alias("s"), F.col("a").alias("sa"), "n", "t", "kt")
+        short = F.coalesce(F.col("n") <= 1, F.lit(True))  # a row that nothing describes is zero
+        pieces = terms.join(of, "s", "left").select(
+            "r", F.when(short, F.col("t")).otherwise(F.col("s")).alias("s"), F.when(short, F.col("k") * F.coalesce("kt", F.lit(0.0))).otherwise(F.col("k")).alias("k"),
+            F.when(short, F.col("k") * F.coalesce("sa", F.lit(0.0))).otherwise(F.lit(0.0)).alias("a"),
+        )
+        summed = staged(pieces.groupBy("r", "s").agg(F.sum("k").alias("k"), F.sum("a").alias("a")), "terms")
+        release(terms)
+        open_rows = summed.select("r", "a").unionByName(rows.where("n > 0").select("r", "a"))
+        new = staged(described(summed.where("s is not null").select("r", "s", "k"), open_rows).unionByName(rows.where("n = 0")), "rows")
+        release(rows)
+        rows, terms = new, summed.where("s is not null").select("r", "s", "k")
+        terms._staged_at = summed._staged_at
+        left, before = rows.where("n > 0").count(), left
+        if rounds is not None:
+            rounds.append(left)
+    return rows.where("n = 0").select("r", F.col("a").alias("x"))
+
+
+def accumulate(edges: DataFrame, own: str = "own", factor: str | None = None, rounds: list | None = None) -> DataFrame:
     """edges with total = own + factor * the totals of edges that end where it starts; 0 in and behind a cycle, which `unresolved` tells.
 
-    One step per topological level. An edge is ready when all edges into its
-    start are done; a step joins only the level's sums with the edges that wait.
+    What flows into each node solves a linear system with a term per edge (see solve).
     """
-    rows = staged(edges.select("code", "node_start", "node_end", F.coalesce(F.col(own), F.lit(0.0)).alias("own"), (F.coalesce(F.col(factor), F.lit(1.0)) if factor else F.lit(1.0)).alias("factor")), "edges")
-    into = rows.groupBy(F.col("node_end").alias("node")).agg(F.count(F.lit(1)).alias("waits"))
-    nodes = staged(into.withColumn("sum", F.lit(0.0)), "waiting")
-    level = staged(rows.join(into, rows["node_start"] == into["node"], "left_anti").select("code", "node_end", F.col("own").alias("total")), "level")
-    done = level
-    while not level.isEmpty():
-        came = level.groupBy(F.col("node_end").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.sum("total").alias("s"))
-        nodes = staged(nodes.join(came, "node", "left").select("node", (F.col("waits") - F.coalesce("n", F.lit(0))).alias("waits"), (F.col("sum") + F.coalesce("s", F.lit(0.0))).alias("sum"), (F.col("n").isNotNull() & (F.col("waits") == F.col("n"))).alias("now")), "waiting")
-        level = staged(rows.join(nodes.where("now").select("node", "sum"), rows["node_start"] == F.col("node")).select("code", "node_end", (F.col("own") + F.col("factor") * F.col("sum")).alias("total")), "level")
-        nodes = nodes.drop("now")
-        done = done.unionByName(level)
-    total = done.select("code", "total")
-    return edges.join(total, "code", "left").withColumn("unresolved", F.col("total").isNull()).withColumn("total", F.coalesce("total", F.lit(0.0)))
+    k = F.coalesce(F.col(factor), F.lit(1.0)).cast("double") if factor else F.lit(1.0)
+    rows = edges.select("node_start", "node_end", F.coalesce(F.col(own), F.lit(0.0)).cast("double").alias("a"), k.alias("k"))
+    into = rows.select(F.col("node_end").alias("r"), "a").groupBy("r").agg(F.sum("a").alias("a"))
+    fed = rows.join(into.select(F.col("r").alias("node_start")), "node_start", "left_semi")
+    inflow = solve(into, fed.select(F.col("node_end").alias("r"), F.col("node_start").alias("s"), "k"), rounds)
+    known = into.select(F.col("r").alias("node_start"), F.lit(True).alias("_fed")).join(inflow.select(F.col("r").alias("node_start"), F.col("x").alias("_x")), "node_start", "left")
+    out = edges.join(known, "node_start", "left").withColumn("unresolved", F.col("_fed").isNotNull() & F.col("_x").isNull())
+    total = F.coalesce(F.col(own), F.lit(0.0)) + k * F.coalesce("_x", F.lit(0.0))
+    return out.withColumn("total", F.when(F.col("unresolved"), 0.0).otherwise(total)).select(*edges.columns, "total", "unresolved")
 
 
 def split_factors(edges: DataFrame, overrides: DataFrame | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brookflow.functions import geometry as g
+from brookflow.operators.components import components
 from brookflow.runtime import staged
 
 #: Direction codes of the eight neighbours, as (row step, column step, code); rows run downward.
@@ -178,18 +179,11 @@ def polygonize(cells: DataFrame, cell: float = 2.0) -> DataFrame:
 
 
 def parts(cells: DataFrame) -> DataFrame:
-    """(r, c, label, part): components of side-joined cells of one label, named by their least cell."""
-    named = cells.select("r", "c", "label", F.struct(F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c")).alias("part"))
-    links = staged(neighbours(cells.select("r", "c", "label"), "label").where("v = nv and abs(dr) + abs(dc) = 1").select("r", "c", "nr", "nc"), "links")
-    held = staged(named, "parts")
-    while True:
-        around = links.join(held.select(F.col("r").alias("nr"), F.col("c").alias("nc"), "part"), ["nr", "nc"]).groupBy("r", "c").agg(F.min("part").alias("near"))
-        best = held.join(around, ["r", "c"], "left").select("r", "c", "label", "part", F.least("part", F.coalesce("near", "part")).alias("best"))
-        jump = held.select(F.struct(F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c")).alias("best"), F.col("part").alias("further"))
-        new = staged(best.join(jump, "best", "left").select("r", "c", "label", "part", F.least("best", F.coalesce("further", "best")).alias("new")), "parts")
-        if new.where("new <> part").isEmpty():
-            return held
-        held = new.select("r", "c", "label", F.col("new").alias("part"))
+    """(r, c, label, part): components of side-joined cells of one label, named by their least cell (r, c)."""
+    name = lambda r, c: F.shiftleft(F.col(r).cast("long"), 32) + F.col(c).cast("long")  # noqa: E731  ascends by row, then column
+    links = neighbours(cells.select("r", "c", "label"), "label").where("v = nv and abs(dr) + abs(dc) = 1").select(name("r", "c").alias("a"), name("nr", "nc").alias("b")).where("a < b")
+    held = cells.select("r", "c", "label", name("r", "c").alias("node")).join(components(links), "node", "left").withColumn("part", F.coalesce("component", "node"))
+    return held.select("r", "c", "label", F.struct(F.shiftright("part", 32).alias("r"), (F.col("part") - F.shiftleft(F.shiftright("part", 32), 32)).alias("c")).alias("part"))
 
 
 def relabel(cells: DataFrame, mapping: DataFrame) -> DataFrame:
