@@ -13,21 +13,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookflow.runtime import new_dir, shared_dir, staged  # noqa: F401  shared with the rest of the library
+from brookflow.runtime import delete_dir, new_dir, release, shared_dir, staged  # noqa: F401  shared with the rest of the library
 
-#: Bytes of text that are hashed at once; a longer text makes a block of its own.
+#: Bytes of text that are hashed at once. A longer text makes a block of its own, which is hashed in windows of this size.
 BLOCK_BYTES = 1 << 20
 
 _U = np.uint64
 
 
-def delete_dir(spark: SparkSession, path: str) -> None:
-    """Remove a folder that new_dir named, through Spark's file systems."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -95,20 +88,12 @@ PUNCT = np.zeros(256, bool)
 PUNCT[:128] = [not chr(c).isalnum() for c in range(128)]
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, separators: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of texts data[starts[i]:ends[i]], A-Z folded, and each text's first word.
-
-    Texts are adjacent. A word is a longest run of bytes that aren't separators.
-    Returns (hashes, first): the words of text i are hashes[first[i]:first[i + 1]].
-    """
+def _window_hashes(data: np.ndarray, sep: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, begins) of the words of data; a word also ends where a text does (cut)."""
     n = len(data)
-    if n == 0:
-        return np.empty(0, np.uint64), np.zeros(len(starts) + 1, np.int64)
-    sep = separators[data]
     inside = ~sep
     begins = inside.copy()
     begins[1:] &= sep[:-1]
-    cut = starts[(starts < n) & (starts > 0)]
     begins[cut] |= inside[cut]
     w0 = np.flatnonzero(begins)
     stop = inside.copy()
@@ -119,9 +104,42 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, separato
         summed = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE[LOWER[data]] * _power_table(_P, n), out=summed[1:])
         h = (summed[w1] - summed[w0]) * _power_table(_P_INV, n)[w0]
-        h = mix64(h + (w1 - w0).astype(np.uint64))
-    first = np.searchsorted(w0, starts)
-    return h, np.append(first, len(w0))
+        return mix64(h + (w1 - w0).astype(np.uint64)), w0
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, separators: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of texts data[starts[i]:ends[i]], A-Z folded, and each text's first word.
+
+    Texts are adjacent. A word is a longest run of bytes that aren't separators.
+    The bytes are taken in windows that end behind a separator or a text, so that
+    a very long text takes little more than its words' hashes; only a single word that is longer widens a window.
+    Returns (hashes, first): the words of text i are hashes[first[i]:first[i + 1]].
+    """
+    n = len(data)
+    if n == 0:
+        return np.empty(0, np.uint64), np.zeros(len(starts) + 1, np.int64)
+    hashes, begins, at = [], [], 0
+    while at < n:
+        size = 2 * BLOCK_BYTES
+        while True:
+            to = min(at + size, n)
+            sep = separators[data[at:to]]
+            if to == n:
+                break
+            last = np.flatnonzero(sep)
+            cut = starts[np.searchsorted(starts, at, side="right") : np.searchsorted(starts, to, side="right")]
+            end = max(at + int(last[-1]) + 1 if len(last) else 0, int(cut[-1]) if len(cut) else 0)
+            if end > at:
+                to, sep = end, sep[: end - at]
+                break
+            size *= 2
+        cut = starts[np.searchsorted(starts, at, side="right") : np.searchsorted(starts, to, side="left")] - at
+        h, w0 = _window_hashes(data[at:to], sep, cut)
+        hashes.append(h)
+        begins.append(w0 + at)
+        at = to
+    w0 = np.concatenate(begins)
+    return np.concatenate(hashes), np.append(np.searchsorted(w0, starts), len(w0))
 
 
 def text_blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:

@@ -1,29 +1,3 @@
-"""Connected components by minimum labels, set at a time, for the near-duplicate operators."""
+"""Connected components for the near-duplicate operators."""
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from brookflow.llm.common import staged
-
-
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, component) for each node of edges (a, b: long); component is the least node that is reachable.
-
-    A round gives each node the least label around it, then the label's own
-    label (pointer jumping), so paths halve each round. Labels are written to
-    the shared folder each round; a hot node's neighbours are reduced by partial
-    minima before the shuffle.
-    """
-    both = staged(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(F.col(b), F.col(a))).where("u <> v").distinct(), "edges")
-    labels = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")).select(F.col("u").alias("node"), "label"), "labels")
-    while True:
-        around = both.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy("u").agg(F.min("label").alias("near"))
-        hooked = labels.join(around, labels["node"] == around["u"], "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("best"))
-        jump = labels.select(F.col("node").alias("best"), F.col("label").alias("further"))
-        new = staged(hooked.join(jump, "best", "left").select("node", F.least("best", F.coalesce("further", "best")).alias("new"), "label"), "labels")
-        changed = new.where("new <> label").limit(1).count()
-        labels = new.select("node", F.col("new").alias("label"))
-        if not changed:
-            return labels.select("node", F.col("label").alias("component"))
+from brookflow.operators.components import components  # noqa: F401

@@ -10,14 +10,14 @@ value is the least of the set.
 1. One pass over the texts makes, per document, its set's size and 128-bit
    hash, a signature of one byte per coordinate and the band keys (some
    coordinates each).
-2. Documents with equal sets are one class, known by its least doc_id. So a
-   thousand exact copies cost one class.
+2. Documents with equal sets are one class, so a thousand exact copies cost one.
+   Its text is that of its least document (doc_id, text's hash).
 3. Classes that share a band key form a bucket; buckets with the same members
    are the same bucket. In a bucket (in portions of PORTION members), the member
    whose signature agrees most with the bucket's commonest bytes is compared
    with the others (a bucket of two is one pair); those whose signatures disagree are compared with the next
    such member, and so on. That yields at most one pair per member. The leaders
-   of a bucket's portions meet in a second round.
+   of a bucket's portions meet in further rounds, dealt anew, as long as that makes them fewer.
 4. Pairs are confirmed on the full sets, and confirmed links joined to
    components. Buckets that still hold several components then yield every pair
    of members of different components whose signatures may agree; those pairs
@@ -30,14 +30,16 @@ of four at 80 %. Its signature's agreement falls short of the cut-off as rarely.
 
 Defined results: a null or empty text, or one of blanks, has the set size 0 and
 is linked with nothing; repeated rows are copies; rows with a null doc_id are
-linked with nothing and kept; a doc_id stands for one text; an empty table gives
-no rows; other columns are ignored.
+linked with nothing and kept; rows of one doc_id with different texts are compared
+each by its own text (and aren't linked by their id); an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -110,7 +112,7 @@ def circulant_signatures(hashes: np.ndarray, first: np.ndarray, coordinates: int
 
 
 def signatures(docs: DataFrame, bounds: Bounds, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n, h1, h2, bands array<long>, sig binary) per row; h1 and h2 are null for empty sets."""
+    """(doc_id, text_hash, n, h1, h2, bands array<long>, sig binary) per row; h1 and h2 are null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,12 +131,12 @@ def signatures(docs: DataFrame, bounds: Bounds, id_col: str = "doc_id", text_col
                 empty = sizes == 0
                 offsets = np.arange(0, (to - at + 1) * bounds.bands, bounds.bands, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, to - at), pa.array(sizes), pa.array(h[0].view(np.int64), mask=empty), pa.array(h[1].view(np.int64), mask=empty),
+                    batch.column(0).slice(at, to - at), batch.column(2).slice(at, to - at), pa.array(sizes), pa.array(h[0].view(np.int64), mask=empty), pa.array(h[1].view(np.int64), mask=empty),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.reshape(-1).view(np.int64))), pa.array([x.tobytes() for x in low], pa.binary()),
-                ], ["doc_id", "n", "h1", "h2", "bands", "sig"])
+                ], ["doc_id", "text_hash", "n", "h1", "h2", "bands", "sig"])
 
-    made = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return made.mapInArrow(run, "doc_id long, n long, h1 long, h2 long, bands array<long>, sig binary")
+    made = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
+    return made.mapInArrow(run, "doc_id long, text_hash long, n long, h1 long, h2 long, bands array<long>, sig binary")
 
 
 def wide_signatures(texts: DataFrame, bounds: Bounds) -> DataFrame:
@@ -233,46 +235,73 @@ def confirmed(pairs: DataFrame, texts: DataFrame, least_percent: int) -> DataFra
     return member.join(texts.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b").mapInArrow(run, _PAIRS)
 
 
-def near_duplicates(docs: DataFrame, *, least_percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per row of docs."""
+def _leader_rounds(members: DataFrame, bounds: Bounds, portion: int) -> list[DataFrame]:
+    """Staged tables (a, b, leads, bucket) of the first round over portions of all buckets, and of further ones over the leaders of several portions."""
+    made = "a long, b long, leads boolean, bucket long"
+    rounds: list[DataFrame] = []
+    mine, size = members, F.col("size")
+    while True:
+        seed = F.lit(len(rounds))
+        dealt = mine.withColumn("portion", F.pmod(F.xxhash64(seed, "cls"), F.ceil(size / portion)))
+        rounds.append(staged(dealt.groupBy("bucket", "portion").applyInPandas(lambda pdf: _leader_pairs(pdf, bounds), made), "leader-pairs"))
+        before = mine.where(size > portion).select("bucket", "cls")
+        leads = rounds[-1].where("leads").select("bucket", F.col("a").alias("cls"))
+        left = before.join(leads, ["bucket", "cls"], "left_semi")
+        counted = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("now"))
+        held = staged(before.groupBy("bucket").agg(F.count(F.lit(1)).alias("was")).join(counted, "bucket").where("10 * now <= 9 * was"), "leader-counts")
+        if held.isEmpty():
+            return rounds
+        mine = staged(members.join(left, ["bucket", "cls"], "left_semi").join(held.select("bucket", F.col("now").alias("size_now")), "bucket"), "leaders")
+        size = F.col("size_now")
+
+
+def near_duplicates(docs: DataFrame, *, least_percent: int = 85, id_col: str = "doc_id", text_col: str = "text", portion: int = PORTION) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept, text_hash, stands) per row of docs.
+
+    kept: doc_id is component_id. stands: the row is that document of its component that stands for all, by (doc_id,
+    text_hash), the xxhash64 of the text; only its exact repetitions stand with it.
+    """
     bounds = bounds_of(least_percent)
     rows = staged(signatures(docs, bounds, id_col, text_col), "signatures")
     known = rows.where("h1 is not null and doc_id is not null")
-    classes = known.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("cls"))
-    # one row of each class stands for it
-    chosen = staged(known.join(classes.select(F.col("cls").alias("doc_id")), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("cls")).agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "classes")
+    classes = known.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    chosen = staged(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
     keyed = chosen.select("cls", F.explode("bands").alias("bucket"))
-    grouped = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("cls").cast("decimal(20,0)")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(1), "cls")).alias("s2")).where("size > 1")
+    sums = (F.sum(F.xxhash64("cls").cast("decimal(20,0)")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(1), "cls")).alias("s2"))
+    grouped = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), *sums).where("size > 1")
     buckets = staged(grouped.groupBy("size", "s1", "s2").agg(F.min("bucket").alias("bucket")).select("bucket", "size"), "buckets")
     inside = staged(keyed.join(buckets, "bucket"), "bucket-members")
-    wanted = inside.select("cls").distinct()
+    wanted = chosen.join(inside.select("cls").distinct(), "cls", "left_semi").select("cls", F.col("least.doc_id").alias("__id"), F.col("least.text_hash").alias("__hash"))
     twos = inside.where("size = 2").groupBy("bucket").agg(F.min("cls").alias("a"), F.max("cls").alias("b")).select("a", "b")
     members = staged(inside.where("size > 2").join(chosen.select("cls", "n", "sig"), "cls"), "members")
-    texts = docs.select(F.col(id_col).cast("long").alias("cls"), F.col(text_col).alias("text")).join(wanted.hint("merge"), "cls", "left_semi")  # at every size the way that large ones take
+    texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("__hash"))
+    texts = texts.join(wanted.hint("merge"), ["__id", "__hash"]).select("cls", "text")  # at every size the way that large ones take
     texts = staged(texts.dropDuplicates(["cls"]), "texts")
 
-    made = "a long, b long, leads boolean, bucket long"
-    portion = members.withColumn("portion", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / PORTION)))
-    first = staged(portion.groupBy("bucket", "portion").applyInPandas(lambda pdf: _leader_pairs(pdf, bounds), made), "first-pairs")
-    several = members.where(F.col("size") > PORTION).join(first.where("leads").select("bucket", F.col("a").alias("cls")), ["bucket", "cls"], "left_semi")
-    second = several.groupBy("bucket").applyInPandas(lambda pdf: _leader_pairs(pdf, bounds), made)
-    pairs = first.union(second).where("not leads").select("a", "b").union(twos).distinct()
+    led = _leader_rounds(members, bounds, portion)
+    pairs = reduce(DataFrame.unionByName, led).where("not leads").select("a", "b").union(twos).distinct()
     links = staged(confirmed(pairs, texts, least_percent), "links")
     found = components(links)
 
     labelled = members.join(found.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("bucket")
-    blocks = F.ceil(F.col("size") / PORTION).cast("int")
+    blocks = F.ceil(F.col("size") / portion).cast("int")
     held = staged(labelled.drop("sig").join(mixed, "bucket"), "open-members")
     wide = wide_signatures(texts.join(held.select("cls").distinct(), "cls", "left_semi"), bounds)
     own = held.groupBy("cls").agg(F.collect_set("bucket").alias("own"))  # at most a class's bands each
     opened = held.join(wide.join(own, "cls"), "cls").withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
     paired = opened.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("block_a", F.least("block", "other")).withColumn("block_b", F.greatest("block", "other"))
-    rest = paired.groupBy("bucket", "block_a", "block_b").applyInPandas(lambda pdf: _open_pairs(pdf, bounds), _PAIRS).distinct().join(pairs.select("a", "b").union(pairs.select(F.col("b"), F.col("a"))), ["a", "b"], "left_anti")
+    compared = pairs.select("a", "b").union(pairs.select(F.col("b"), F.col("a")))
+    rest = paired.groupBy("bucket", "block_a", "block_b").applyInPandas(lambda pdf: _open_pairs(pdf, bounds), _PAIRS).distinct().join(compared, ["a", "b"], "left_anti")
     more = staged(confirmed(rest, texts, least_percent), "more-links")
-    found = components(links.union(more))
-
-    of_class = staged(classes.join(found.withColumnRenamed("node", "cls"), "cls", "left").select("h1", "h2", "n", F.coalesce("component", "cls").alias("component")), "class-components")
-    out = rows.select("doc_id", "n", "h1", "h2").join(of_class, ["h1", "h2", "n"], "left")
-    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    found = staged(components(links.union(more)), "components")
+
+    linked = chosen.select("cls", "least").join(found.withColumnRenamed("node", "cls"), "cls")
+    leasts = linked.groupBy("component").agg(F.min("least").alias("of_all"))
+    of_all = found.withColumnRenamed("node", "cls").join(leasts, "component").select("cls", "of_all")
+    of_class = staged(chosen.join(of_all, "cls", "left").select("h1", "h2", "n", F.coalesce("of_all", "least").alias("stands_for")), "class-components")
+    out = rows.select("doc_id", "text_hash", "n", "h1", "h2").join(of_class, ["h1", "h2", "n"], "left")
+    component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("stands_for.doc_id", "doc_id"))
+    alone = F.col("doc_id").isNull() | F.col("stands_for").isNull()
+    stands = alone | (F.struct("doc_id", "text_hash") == F.col("stands_for"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash", stands.alias("stands"))

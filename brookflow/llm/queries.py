@@ -98,7 +98,7 @@ FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), least_percent=85)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), least_percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,8 +13,14 @@ blocks that may hold the key, binary-searches their lines, and reads the
 records' ranges. Ranges are read through Hadoop's file systems, wherever the
 archives lie.
 
-Reading whole archives goes through the same index: its lines name the ranges
-that tasks read and parse.
+Reading back all pages goes the same way, many lookups at once (read_pages): every
+distinct key is searched in the directory, which tasks hold (a row per BLOCK_LINES
+records; broadcast up to HELD_ROWS of them, beyond that each task of a range of keys
+reads the part of the directory that covers its keys); blocks are read by range and
+searched for their keys; the lines found name the ranges of records that tasks read
+and parse. Ranges are read by open() where the shared folder is one of files. Another
+store is only open to Spark's readers, which take whole files: there an archive or
+block file, of about ARCHIVE_BYTES at most, is read as a whole and its ranges cut out.
 
 Files are written by Spark's own writer (a gzip member, which ends in a zero
 byte as it is smaller than 16 MB or is made to, is a "line" that ends in that
@@ -34,20 +40,27 @@ import hashlib
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookflow.llm.common import new_dir
+from brookflow.llm.common import new_dir, staged
 
 REVISIT_BYTES = 1000
 #: Compressed bytes of an archive, about, and lines of an index block.
 ARCHIVE_BYTES = 16 << 20
+#: Compressed bytes of records that are written as one row, at least; an archive has ARCHIVE_BYTES / GROUP_BYTES of them at most.
+GROUP_BYTES = 256 << 10
+#: Rows of the directory that are broadcast, at most.
+HELD_ROWS = 500_000
 BLOCK_LINES = 3000
 LEVEL = 5
+#: All printable ASCII but the blank.
+_SAFE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 DATE = "1970-01-01T00:00:00Z"
 _FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -59,7 +72,7 @@ def url_key(url: str | None) -> str:
     host = rest[:cut].rsplit("@", 1)[-1]
     host = re.sub(r":\d*$", "", host)
     key = ",".join(reversed(host.split("."))) + ")" + (rest[cut:] if rest[cut : cut + 1] == "/" else "/" + rest[cut:])
-    return quote(key.lower(), safe="!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+    return quote(key.lower(), safe=_SAFE)
 
 
 def _member(data: bytes) -> bytes:
@@ -75,7 +88,7 @@ def _member(data: bytes) -> bytes:
 def record(page_id: int | None, url: str | None, payload: bytes, kind: str, refers_to: int | None) -> bytes:
     """An uncompressed WARC/1.1 record."""
     digest = hashlib.sha1(payload).hexdigest()
-    target = quote(url or "", safe="!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+    target = quote(url or "", safe=_SAFE)
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     body = http if kind == "revisit" else http + payload
     head = [
@@ -107,8 +120,8 @@ def _page(name: str | None) -> int | None:
     return int(found[1]) if found else None
 
 
-def write_archives(pages: DataFrame, out_dir: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", archive_bytes: int = ARCHIVE_BYTES) -> None:
-    """Write `out_dir/archives`.
+def write_archives(pages: DataFrame, out_dir: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", archive_bytes: int = ARCHIVE_BYTES, group_bytes: int = GROUP_BYTES) -> None:
+    """Write `out_dir/archives`, each of at most archive_bytes and one record more per group_bytes of them.
 
     Digests are counted before any payload moves; payloads are shuffled once, by
     digest, to meet the least that a record needs to know: the responding id.
@@ -120,16 +133,22 @@ def write_archives(pages: DataFrame, out_dir: str, *, id_col: str = "page_id", u
     decided = rows.join(first.hint("merge"), "digest", "left").select("page_id", "url", "payload", F.when(F.col("page_id") < F.col("responds"), F.col("responds")).alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                out = [_member(record(i, u, p, "response" if r is None else "revisit", r)) for i, u, p, r in zip(*(c.to_pylist() for c in part.columns), strict=True)]
-                if not all(x.endswith(b"\0") for x in out):
-                    raise ValueError("a gzip member doesn't end in a zero byte")
-                yield pa.RecordBatch.from_arrays([pa.array([x[:-1] for x in out], pa.binary())], ["record"])
+                for i, u, p, r in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
+                    held.append(_member(record(i, u, p, "response" if r is None else "revisit", r)))
+                    size += len(held[-1])
+                    if not held[-1].endswith(b"\0"):
+                        raise ValueError("a gzip member doesn't end in a zero byte")
+                    if size >= group_bytes:
+                        yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)[:-1]], pa.binary())], ["records"])
+                        held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)[:-1]], pa.binary())], ["records"])
 
-    records = decided.mapInArrow(run, "record binary")
-    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", max(1, archive_bytes // 1024)).text(f"{out_dir}/archives")
+    rows = decided.mapInArrow(run, "records binary").select(F.col("records").cast("string").alias("value"))
+    rows.write.option("lineSep", "\0").option("maxRecordsPerFile", max(1, archive_bytes // group_bytes)).text(f"{out_dir}/archives")
 
 
 def _members(content: bytes) -> Iterator[tuple[int, int, bytes]]:
@@ -203,23 +222,6 @@ def write_index(spark: SparkSession, out_dir: str, block_lines: int = BLOCK_LINE
     held.write.parquet(f"{out_dir}/index/directory")
 
 
-def index_lines(spark: SparkSession, out_dir: str) -> DataFrame:
-    """(key, page, kind, digest, archive, offset, length) of every line of the index."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column(0):
-                for _, _, data in _members(content.as_py()):
-                    rows = []
-                    for text in data.decode().splitlines():
-                        key, line = text.split(" ", 1)
-                        page, kind, digest, name, offset, length = json.loads(line)
-                        rows.append({"key": key, "page": int(page) if page else None, "kind": kind, "digest": digest, "archive": name, "offset": offset, "length": length})
-                    yield pa.RecordBatch.from_pylist(rows, pa.schema([("key", pa.string()), ("page", pa.int64()), ("kind", pa.string()), ("digest", pa.string()), ("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
-
-    return _archives(spark, f"{out_dir}/index/blocks").select("content").mapInArrow(run, "key string, page long, kind string, digest string, archive string, offset long, length long")
-
-
 def _fields(raw: bytes) -> dict:
     """What a record's member says; the payload is held against its digest."""
     found = parse(gzip.decompress(raw))
@@ -242,49 +244,130 @@ def _records(raws: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema)
 
 
-def read_records(spark: SparkSession, out_dir: str) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to, url, payload): all records, by the ranges that the index names.
-
-    In a shared folder of files, tasks take runs of ranges and read just those
-    bytes. In another store, which Python doesn't reach, an archive is read
-    whole by Spark and its ranges (at most as many as its records) join it.
-    """
-    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
-    lines, archives = index_lines(spark, out_dir), _archives(spark, f"{out_dir}/archives")
-    if out_dir.startswith(("file:", "/")):
-        folder = "/" + out_dir.removeprefix("file:").lstrip("/") + "/archives/"
+def _ranges(spark: SparkSession, folder: str, spans: DataFrame, tasks: int, made: Callable[[Iterator[tuple]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """What `made` makes of (bytes, tag) for each of spans (file, offset, length, tag): ranges of the folder's files, those of a file in order."""
+    if folder.startswith(("file:", "/")):
+        root = "/" + folder.removeprefix("file:").lstrip("/") + "/"
 
         def by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def raws() -> Iterator[bytes]:
-                name, file = None, None
+            def raws() -> Iterator[tuple]:
+                name, file, last, raw = None, None, None, b""
                 try:
                     for batch in batches:
-                        for archive, offset, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                            if archive != name:
+                        for path, offset, length, tag in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                            if path != name:
                                 if file:
                                     file.close()
-                                name, file = archive, open(folder + archive, "rb")
-                            file.seek(offset)
-                            yield file.read(length)
+                                name, file = path, open(root + path, "rb")
+                            if (path, offset) != last:  # several keys may want one block
+                                file.seek(offset)
+                                last, raw = (path, offset), file.read(length)
+                            yield raw, tag
                 finally:
                     if file:
                         file.close()
 
-            yield from _records(raws())
+            yield from made(raws())
+
+        dealt = spans.select("file", "offset", "length", "tag").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
+        return dealt.mapInArrow(by_range, schema)
+
+    def by_file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def raws() -> Iterator[tuple]:
+            for batch in batches:
+                for content, mine in zip(batch.column(0), batch.column(1), strict=True):
+                    raw, last, part = memoryview(content.as_buffer()), None, b""
+                    for span in mine.as_py():
+                        if span["offset"] != last:
+                            last, part = span["offset"], bytes(raw[span["offset"] : span["offset"] + span["length"]])
+                        yield part, span["tag"]
+
+        yield from made(raws())
+
+    # at most as many ranges as the file has records
+    mine = spans.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("offset", "length", "tag"))).alias("spans"))
+    files = _archives(spark, folder).select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
+    return files.join(mine, "file").select("content", "spans").mapInArrow(by_file, schema)
+
 
-        tasks = max(1, archives.select("path").count())
-        ranges = lines.select("archive", "offset", "length").repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
-        return ranges.mapInArrow(by_range, schema)
+_LINE = "key string, file string, offset long, length long"
 
-    def by_archive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _lookups(spark: SparkSession, out_dir: str, keys: DataFrame, held_rows: int) -> DataFrame:
+    """(file, offset, length, tag) of the index blocks that may hold each of the distinct keys; tag is the key."""
+    directory = spark.read.parquet(f"{out_dir}/index/directory")
+    rows = directory.count()
+    columns = ["first_key", "last_key", "file", "offset", "length"]
+
+    def searched(batches: Iterator[pa.RecordBatch], blocks: list[tuple]) -> Iterator[pa.RecordBatch]:
+        firsts = [b[0] for b in blocks]
+        for batch in batches:
+            out = []
+            for key in batch.column(0).to_pylist():
+                at = max(0, bisect.bisect_left(firsts, key) - 1)
+                while at < len(blocks) and firsts[at] <= key:
+                    if key <= blocks[at][1]:
+                        out.append((*blocks[at][2:], key))
+                    at += 1
+            made = zip(*out, strict=True) if out else ([], [], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(made, (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["file", "offset", "length", "tag"])
+
+    schema = "file string, offset long, length long, tag string"
+    if rows <= held_rows:
+        shared = spark.sparkContext.broadcast(sorted(tuple(r) for r in directory.select(*columns).collect()))
+        return keys.mapInArrow(lambda batches: searched(batches, shared.value), schema)
+    # ranges of keys, each with the rows of the directory that reach into it
+    parts = -(-rows // held_rows)
+    cuts = [r["key"] for r in keys.repartitionByRange(parts, "key").groupBy(F.spark_partition_id()).agg(F.min("key").alias("key")).orderBy("key").collect()]
+    at = lambda c: F.greatest(F.lit(0), sum((F.col(c) >= F.lit(k)).cast("int") for k in cuts) - 1)
+    spread = directory.select(F.explode(F.sequence(at("first_key"), at("last_key"))).alias("part"), *columns)
+    told = keys.select(at("key").alias("part"), "key")
+
+    def meet(theirs: pd.DataFrame, mine: pd.DataFrame) -> pd.DataFrame:
+        blocks = sorted(zip(*(mine[c] for c in columns), strict=True))
+        found = searched(iter([pa.RecordBatch.from_pandas(theirs[["key"]], preserve_index=False)]), blocks)
+        return pa.Table.from_batches(list(found)).to_pandas()
+
+    return told.groupBy("part").cogroup(spread.groupBy("part")).applyInPandas(meet, schema)
+
+
+def captures_of(spark: SparkSession, out_dir: str, keys: DataFrame, held_rows: int = HELD_ROWS) -> DataFrame:
+    """(key, file, offset, length) of all captures of distinct keys (key): directory searched, blocks read by range, their lines searched."""
+
+    def found(raws: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        block, lines = None, []
+        for raw, key in raws:
+            if raw is not block:
+                block, lines = raw, gzip.decompress(raw).decode().splitlines()
+            low, out = bisect.bisect_left(lines, key + " "), []
+            while low < len(lines) and lines[low].startswith(key + " "):
+                _, _, _, name, offset, length = json.loads(lines[low].split(" ", 1)[1])
+                out.append({"key": key, "file": name, "offset": offset, "length": length})
+                low += 1
+            if out:
+                yield pa.RecordBatch.from_pylist(out, pa.schema([("key", pa.string()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
+
+    blocks = _archives(spark, f"{out_dir}/index/blocks").select("path").count()
+    wanted = staged(_lookups(spark, out_dir, keys, held_rows), "lookups")
+    return _ranges(spark, f"{out_dir}/index/blocks", wanted, max(1, blocks), found, _LINE)
+
+
+def url_keys(pages: DataFrame, url_col: str = "url") -> DataFrame:
+    """(key): the distinct keys of the pages' urls."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content, spans in zip(batch.column(0), batch.column(1), strict=True):
-                raw = content.as_py()
-                yield from _records(raw[s["offset"] : s["offset"] + s["length"]] for s in spans.as_py())
+            yield pa.RecordBatch.from_arrays([pa.array([url_key(quote(u or "", safe=_SAFE)) for u in batch.column(0).to_pylist()], pa.string())], ["key"])
 
-    ranges = lines.groupBy("archive").agg(F.array_sort(F.collect_list(F.struct("offset", "length"))).alias("ranges"))
-    files = archives.select(F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
-    return files.join(ranges, "archive").select("content", "ranges").mapInArrow(by_archive, schema)
+    return pages.select(F.col(url_col).alias("url")).mapInArrow(run, "key string").distinct()
+
+
+def read_pages(spark: SparkSession, out_dir: str, keys: DataFrame, held_rows: int = HELD_ROWS) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to, url, payload) of all records of distinct keys (key)."""
+    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
+    archives = _archives(spark, f"{out_dir}/archives").select("path").count()
+    spans = staged(captures_of(spark, out_dir, keys, held_rows).select("file", "offset", "length", F.lit("").alias("tag")), "captures")
+    return _ranges(spark, f"{out_dir}/archives", spans, max(1, archives), lambda raws: _records(raw for raw, _ in raws), schema)
 
 
 class CaptureIndex:
@@ -330,8 +413,8 @@ class CaptureIndex:
 
 
 def warc_round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """Write archives and index into the shared folder; return what the records say."""
+    """Write archives and index into the shared folder; return what the records say that are found by the pages' keys."""
     out = new_dir(spark, "warc")
     write_archives(pages, out)
     write_index(spark, out)
-    return read_records(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_pages(spark, out, url_keys(pages)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

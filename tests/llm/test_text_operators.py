@@ -75,10 +75,64 @@ def test_minhash_against_brute_force(spark, texts):
 
 def test_minhash_null_ids_and_repeated_rows(spark):
     t = "a b c d e f g"
-    got = [tuple(r) for r in minhash.near_duplicates(frame(spark, [t, t, t, t], [None, 4, 4, 9])).collect()]
+    got = [tuple(r)[:4] for r in minhash.near_duplicates(frame(spark, [t, t, t, t], [None, 4, 4, 9])).collect()]
     assert sorted(got, key=str) == sorted([(None, 3, None, True), (4, 3, 4, True), (4, 3, 4, True), (9, 3, 4, False)], key=str)
 
 
+def test_minhash_ids_with_several_texts(spark):
+    """Rows of one id are judged by their own texts: 1 has texts like 5's and like 0's, which aren't linked with each other."""
+    one, two = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = frame(spark, [one, two, one, two, "x y z", None], [1, 1, 5, 0, 1, 1])
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"], r["stands"]) for r in minhash.near_duplicates(rows).collect())
+    assert got == [(0, 36, 0, True, True), (1, 0, 1, True, True), (1, 1, 1, True, True), (1, 36, 0, False, False), (1, 36, 1, True, True), (5, 36, 1, False, False)]
+
+
+def _changed(seed, count):
+    """Copies of a base with different words changed: most are linked with the base alone."""
+    r = random.Random(seed)
+    base = [f"b{i}" for i in range(120)]
+    docs = [" ".join(base)]
+    for k in range(count):
+        w = list(base)
+        for j in r.sample(range(120), r.choice([1, 1, 2, 3, 6])):
+            w[j] = f"z{k}_{j}"
+        docs.append(" ".join(w))
+    return docs
+
+
+@pytest.mark.parametrize("portion", [3, 16])
+def test_minhash_buckets_of_many_portions(spark, portion):
+    """Buckets far larger than a portion: leaders meet in further rounds, and what stays open is compared block by block."""
+    docs = _changed(7, 90)
+    sets = [{tuple(d.split()[i : i + 5]) for i in range(116)} for d in docs]
+    want = list(range(len(docs)))
+    for _ in range(6):
+        for a in range(len(docs)):
+            for b in range(len(docs)):
+                if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                    want[a] = min(want[a], want[b])
+    got = {x["doc_id"]: x["component_id"] for x in minhash.near_duplicates(frame(spark, docs), portion=portion).collect()}
+    assert [got[i] for i in range(len(docs))] == want
+
+
+def test_words_of_long_texts_are_hashed_in_windows(monkeypatch):
+    r = random.Random(2)
+    col = pa.array(["".join(r.choice("ab \nÉ") for _ in range(r.choice([0, 5, 300]))) for _ in range(60)] + ["x" * 500, "", "a b"])
+
+    def hashed():
+        return [(words.tolist(), first.tolist()) for _, _, data, starts, ends in common.text_blocks(col) for words, first in [common.word_hashes(data, starts, ends)]]
+
+    monkeypatch.setattr(common, "_cache", {})
+    monkeypatch.setattr(common, "BLOCK_BYTES", 1 << 20)
+    whole = hashed()
+    original = common.text_blocks
+    monkeypatch.setattr(common, "text_blocks", lambda c: original(c) if common.BLOCK_BYTES > 64 else iter(blocks))
+    blocks = list(original(col))
+    for size in (1, 7, 64):
+        monkeypatch.setattr(common, "BLOCK_BYTES", size)
+        assert hashed() == whole
+
+
 def test_minhash_large_mixed_bucket(spark):
     """Copies of a base with different words changed: most are linked with the base alone."""
     r = random.Random(1)
@@ -282,6 +336,11 @@ def test_line_dedup_against_brute_force(spark):
     assert got[0]["lang"] == "en" and got[2]["__lines"] == 0
     twice = linededup.deduplicated(frame(spark, ["a\nb\nc", "a\nb\nc"], [1, 1])).collect()
     assert [r["text"] for r in twice] == ["a\nb\nc"] * 2
+    differ = linededup.deduplicated(frame(spark, ["a\nb\nc", "p\nq\nr\ns", "a\nb\nc\nd"], [1, 1, 2])).collect()
+    assert sorted(r["text"] for r in differ) == ["a\nb\nc", "d", "p\nq\nr\ns"]  # an id with two texts loses nothing of either
+    long_text = "\n".join(f"line {i}" for i in range(5000))
+    odd = linededup.deduplicated(frame(spark, [long_text, "x\n" + long_text, long_text], [None, 7, 8])).collect()
+    assert {(r["doc_id"], len(r["text"])) for r in odd} == {(None, len(long_text)), (7, len(long_text) + 2), (8, 0)}
     assert linededup.deduplicated(frame(spark, [])).count() == 0
 
 
@@ -347,6 +406,21 @@ def test_languages(spark):
     assert none[0]["lang_pred"] == "und"
 
 
+def test_languages_of_long_texts_are_learned(spark):
+    """A language whose texts all exceed a dictionary, ties, repeated rows and an empty table."""
+    r = random.Random(6)
+    words = {"aa": [f"kor{i}pel" for i in range(40)], "bb": [f"žub{i}ani" for i in range(40)]}
+    make = lambda lang, n: " ".join(r.choice(words[lang]) for _ in range(n))
+    rows = [(i, make("aa", 60), "aa") for i in range(20)] + [(i, make("bb", 20_000), "bb") for i in range(20, 26)] + [(40, make("bb", 30), None)] * 2
+    got = langid.languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert [r["lang_pred"] for r in sorted(got, key=lambda r: r["doc_id"])] == ["aa"] * 20 + ["bb"] * 8
+    one, two, asked = [i for i in range(20) if zlib.crc32(str(i).encode()) % 3 != 1][:3]
+    same = spark.createDataFrame([(one, "kor pel kor", "xx"), (two, "kor pel kor", "ww"), (asked, "kor pel", None)], "doc_id long, text string, lang string")
+    tied = [r for r in langid.languages(same).collect() if r["doc_id"] == asked][0]
+    assert (tied["lang_pred"], tied["accepted"]) == ("ww", False) and abs(tied["score"] - 0.5) < 1e-9
+    assert langid.languages(same.limit(0)).count() == 0
+
+
 def test_toxicity(spark):
     r = random.Random(3)
     vocab = [f"n{i}" for i in range(300)]

@@ -18,7 +18,7 @@ def test_warc_round_trip_and_lookup(spark):
     out = new_dir(spark, "warc")
     warc.write_archives(pages(spark, rows), out)
     warc.write_index(spark, out, block_lines=2)
-    got = [tuple(r) for r in warc.read_records(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()]
+    got = [tuple(r) for r in warc.read_pages(spark, out, warc.url_keys(pages(spark, rows))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()]
     want = []
     for i, _, html in rows:
         raw = (html or "").encode()
@@ -177,14 +177,27 @@ def test_nearest_of_copies_in_chunks(spark, monkeypatch):
     assert len(got) == 24
 
 
-def test_records_from_another_store(spark, monkeypatch):
+def test_pages_from_another_store_and_a_large_directory(spark):
+    """Whole files where only Spark reads; a directory that isn't broadcast; archives bounded by bytes; a payload of over 16 MB; a hot key."""
+    rng = np.random.default_rng(1)
+    huge = bytes(rng.integers(97, 123, 17 << 20, dtype=np.uint8)).decode()
+    rows = [(i, f"http://h{i % 7}.example.com/p{i % 5}?é", rng.bytes(700).hex()) for i in range(300)] + [(1000, "http://a/", huge), (1001, "http://a/", huge), (1002, None, None)]
+    rows += [(2000 + i, "http://hot.example.com/", "x" * i) for i in range(200)]
     out = new_dir(spark, "warc")
-    warc.write_archives(pages(spark, [(1, "http://a/", "x" * 2000), (2, "http://a/", "x" * 2000), (3, None, None)]), out)
-    warc.write_index(spark, out)
+    df = pages(spark, rows).repartition(2)
+    warc.write_archives(df, out, archive_bytes=40_000, group_bytes=10_000)
+    warc.write_index(spark, out, block_lines=20)
+    sizes = [r["length"] for r in warc._archives(spark, f"{out}/archives").collect()]
+    assert len(sizes) > 5 and sum(s > 60_000 for s in sizes) <= 1
 
     class Other(str):
         def startswith(self, *_):
             return False
 
     fields = ("page_id", "payload_bytes", "record_type", "refers_to")
-    assert sorted(map(tuple, warc.read_records(spark, Other(out)).select(*fields).collect())) == sorted(map(tuple, warc.read_records(spark, out).select(*fields).collect()))
+    want = sorted((i, len((h or "").encode()), "revisit" if i == 1000 else "response", 1001 if i == 1000 else None) for i, _, h in rows)
+    keys = warc.url_keys(df)
+    for where, held in ((out, warc.HELD_ROWS), (out, 3), (Other(out), warc.HELD_ROWS)):
+        assert sorted(map(tuple, warc.read_pages(spark, where, keys, held).select(*fields).collect())) == want
+    some = keys.where("key like 'com,example,h3%' or key = 'none'")
+    assert {r["page_id"] for r in warc.read_pages(spark, out, some).collect()} == {i for i in range(300) if i % 7 == 3}
