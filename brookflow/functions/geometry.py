@@ -88,16 +88,24 @@ def interpolate(c: Column, along: Column) -> Column:
 
 
 def project(c: Column, x: Column, y: Column) -> Column:
-    """struct<dist, along, x, y>: the line's nearest place to a point; the first of equally near ones."""
-    def near(s: Column, i: Column) -> Column:
+    """struct<dist, along, x, y>: the line's nearest place to a point; the first of equally near ones. One pass carries the length so far."""
+    def near(s: Column) -> Column:
         dx, dy = s["bx"] - s["ax"], s["by"] - s["ay"]
         norm = dx * dx + dy * dy
         t = F.when(norm > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((x - s["ax"]) * dx + (y - s["ay"]) * dy) / norm))).otherwise(F.lit(0.0))
-        px, py = s["ax"] + t * dx, s["ay"] + t * dy
-        return F.struct(distance(x, y, px, py).alias("dist"), i.alias("i"), (F.get(cumulative(c), i) + t * F.sqrt(norm)).alias("along"), px.alias("x"), py.alias("y"))
+        return F.struct(s["ax"].alias("ax"), s["ay"].alias("ay"), dx.alias("dx"), dy.alias("dy"), F.sqrt(norm).alias("len"), t.alias("t"))
 
-    best = F.array_min(F.transform(segments(c), near))
-    return F.when(c.isNotNull(), F.struct(best["dist"].alias("dist"), best["along"].alias("along"), best["x"].alias("x"), best["y"].alias("y")))
+    def place(s: Column) -> Column:
+        px, py = s["ax"] + s["t"] * s["dx"], s["ay"] + s["t"] * s["dy"]
+        return F.struct(distance(x, y, px, py).alias("dist"), (s["t"] * s["len"]).alias("on"), s["len"].alias("len"), px.alias("x"), py.alias("y"))
+
+    def step(acc: Column, s: Column) -> Column:
+        here = F.struct(s["dist"].alias("dist"), (acc["at"] + s["on"]).alias("along"), s["x"].alias("x"), s["y"].alias("y"))
+        closer = acc["best"].isNull() | (s["dist"] < acc["best"]["dist"])
+        return F.struct((acc["at"] + s["len"]).alias("at"), F.when(closer, here).otherwise(acc["best"]).alias("best"))
+
+    begin = F.struct(F.lit(0.0).alias("at"), F.lit(None).cast("struct<dist:double,along:double,x:double,y:double>").alias("best"))
+    return F.aggregate(F.transform(F.transform(segments(c), near), place), begin, step)["best"]
 
 
 def segment_distance(x: Column, y: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
@@ -173,12 +181,81 @@ def centroid(c: Column) -> Column:
     return point(_total(F.transform(c, lambda p: p["x"])) / n, _total(F.transform(c, lambda p: p["y"])) / n)
 
 
+def _side(px: Column, py: Column, r: Column) -> Column:
+    """Above 0 to the left of the segment r, below to its right, 0 on its line."""
+    return (r["bx"] - r["ax"]) * (py - r["ay"]) - (r["by"] - r["ay"]) * (px - r["ax"])
+
+
+def _on(px: Column, py: Column, r: Column) -> Column:
+    """Whether a point lies on a segment, its ends included."""
+    in_x = (px >= F.least(r["ax"], r["bx"])) & (px <= F.greatest(r["ax"], r["bx"]))
+    return (_side(px, py, r) == 0) & in_x & (py >= F.least(r["ay"], r["by"])) & (py <= F.greatest(r["ay"], r["by"]))
+
+
 def segments_cross(s: Column, t: Column) -> Column:
     """Whether two segments meet in the inside of both and aren't parallel."""
-    def side(px: Column, py: Column, r: Column) -> Column:
-        return (r["bx"] - r["ax"]) * (py - r["ay"]) - (r["by"] - r["ay"]) * (px - r["ax"])
-
-    return (side(s["ax"], s["ay"], t) * side(s["bx"], s["by"], t) < 0) & (side(t["ax"], t["ay"], s) * side(t["bx"], t["by"], s) < 0)
+    return (_side(s["ax"], s["ay"], t) * _side(s["bx"], s["by"], t) < 0) & (_side(t["ax"], t["ay"], s) * _side(t["bx"], t["by"], s) < 0)
+
+
+def segments_overlap(s: Column, t: Column) -> Column:
+    """Whether two segments share more than a point."""
+    level = (_side(s["ax"], s["ay"], t) == 0) & (_side(s["bx"], s["by"], t) == 0) & ((t["ax"] != t["bx"]) | (t["ay"] != t["by"]))
+    shared = F.lit(False)
+    for a, b in (("ax", "bx"), ("ay", "by")):
+        shared = shared | (F.greatest(F.least(s[a], s[b]), F.least(t[a], t[b])) < F.least(F.greatest(s[a], s[b]), F.greatest(t[a], t[b])))
+    return level & shared
+
+
+def segments_meet_inside(s: Column, t: Column, s_ends: Column, t_ends: Column) -> Column:
+    """Whether two segments of two lines meet in a point that is an end of neither line; ends: array<struct<x,y>>, empty for a closed line."""
+    out = segments_cross(s, t)
+    for one, other in ((s, t), (t, s)):
+        for a, b in (("ax", "ay"), ("bx", "by")):
+            p = point(one[a], one[b])
+            out = out | (_on(one[a], one[b], other) & ~F.array_contains(s_ends, p) & ~F.array_contains(t_ends, p))
+    return out
+
+
+def line_ends(c: Column) -> Column:
+    """The boundary of a line: its two ends, or nothing if it is closed."""
+    ends = F.array(start_point(c), end_point(c))
+    return F.when(is_closed(c), F.slice(ends, 1, 0)).otherwise(ends)
+
+
+def inside_point(rings: Column) -> Column:
+    """A point inside a polygon: on the level half-way between the vertices around its middle height, the middle of the widest stretch."""
+    ys = F.transform(F.flatten(rings), lambda p: p["y"])
+    mid = (F.array_min(ys) + F.array_max(ys)) / 2
+    level = (F.array_max(F.filter(ys, lambda v: v <= mid)) + F.array_min(F.filter(ys, lambda v: v > mid))) / 2
+    crossed = F.filter(F.flatten(F.transform(rings, segments)), lambda s: (s["ay"] > level) != (s["by"] > level))
+    xs = F.array_sort(F.transform(crossed, lambda s: s["ax"] + (level - s["ay"]) / (s["by"] - s["ay"]) * (s["bx"] - s["ax"])))
+    stretches = F.transform(F.sequence(F.lit(1), F.size(xs), F.lit(2)), lambda i: F.struct(
+        (F.get(xs, i) - F.get(xs, i - 1)).alias("wide"), (-F.get(xs, i - 1)).alias("left"), ((F.get(xs, i) + F.get(xs, i - 1)) / 2).alias("x")))
+    return point(F.array_max(stretches)["x"], level)
+
+
+def crosses_polygon(c: Column, rings: Column) -> Column:
+    """Whether a line has a part inside a polygon and a part outside of it: every stretch between two meetings with the rings is judged by its middle."""
+    edges = F.flatten(F.transform(rings, segments))
+
+    def cuts(s: Column) -> Column:
+        def at(e: Column) -> Column:
+            dx, dy, ex, ey = s["bx"] - s["ax"], s["by"] - s["ay"], e["bx"] - e["ax"], e["by"] - e["ay"]
+            across, norm = dx * ey - dy * ex, dx * dx + dy * dy
+            ends = F.array(*(F.when(_side(e[a], e[b], s) == 0, ((e[a] - s["ax"]) * dx + (e[b] - s["ay"]) * dy) / norm) for a, b in (("ax", "ay"), ("bx", "by"))))
+            return F.when(across == 0, ends).otherwise(F.array(((e["ax"] - s["ax"]) * ey - (e["ay"] - s["ay"]) * ex) / across))
+
+        found = F.filter(F.flatten(F.transform(edges, at)), lambda t: (t > 0) & (t < 1))
+        return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), found)))
+
+    def middles(s: Column) -> Column:
+        t = cuts(s)
+        half = F.zip_with(F.slice(t, 1, F.size(t) - 1), F.slice(t, F.lit(2), F.size(t) - 1), lambda a, b: (a + b) / 2)
+        return F.transform(half, lambda m: point(s["ax"] + m * (s["bx"] - s["ax"]), s["ay"] + m * (s["by"] - s["ay"])))
+
+    long_ones = F.filter(segments(c), lambda s: (s["ax"] != s["bx"]) | (s["ay"] != s["by"]))
+    tested = F.filter(F.flatten(F.transform(long_ones, middles)), lambda p: ~F.exists(edges, lambda e: _on(p["x"], p["y"], e)))
+    return F.exists(tested, lambda p: inside(p["x"], p["y"], rings)) & F.exists(tested, lambda p: ~inside(p["x"], p["y"], rings))
 
 
 def inside_ring(x: Column, y: Column, ring: Column) -> Column:

@@ -145,10 +145,9 @@ def trace(edges: DataFrame, outflows: DataFrame, borders: DataFrame | None = Non
     what is left, a step per split or outflow on the way. Border nodes (node_id) end a trace and keep the edge that touches them.
     """
     near, far = ("node_start", "node_end") if direction == "upstream" else ("node_end", "node_start")
-    spark = edges.sparkSession
     adjacent = staged(edges.select("code", F.col(near).alias("near"), F.col(far).alias("far")).distinct(), "adjacent")
     first = staged(outflows.select("outflow_id", "code").join(adjacent, "code", "left_semi").distinct(), "outflows")
-    borders = spark.createDataFrame([], "node_id long") if borders is None else borders
+    borders = adjacent.select(F.col("far").alias("node_id")).where("false") if borders is None else borders
     keyed, onward = _next_keys(adjacent, first.select("code").distinct(), borders, rounds)
     keyed, onward = staged(keyed, "keys"), staged(onward, "key-steps")
     found = [first.select("outflow_id", F.col("code").alias("key"))]
@@ -176,7 +175,7 @@ def solve(own: DataFrame, terms: DataFrame, rounds: list | None = None) -> DataF
 
     def described(terms: DataFrame, own: DataFrame) -> DataFrame:
         """(r, a, n, t, kt): the constant, the number of terms, and the term of rows that have just one."""
-        every = terms.select("r", "s", "k", F.lit(0.0).alias("a")).unionByName(own.select("r", F.lit(None).cast("long").alias("s"), F.lit(0.0).alias("k"), "a"))
+        every = terms.select("r", "s", "k", F.lit(0.0).alias("a")).unionByName(own.select("r", F.lit(None).cast(terms.schema["s"].dataType).alias("s"), F.lit(0.0).alias("k"), "a"))
         return every.groupBy("r").agg(F.sum("a").alias("a"), F.count("s").alias("n"), F.min("s").alias("t"), F.sum("k").alias("kt"))
 
     terms = staged(terms.groupBy("r", "s").agg(F.sum("k").alias("k")), "terms")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from brookflow.functions import geometry as g
 from brookflow.operators.components import components
-from brookflow.runtime import staged
+from brookflow.runtime import release, staged
 
 #: Direction codes of the eight neighbours, as (row step, column step, code); rows run downward.
 D8 = ((0, 1, 1), (1, 1, 2), (1, 0, 4), (1, -1, 8), (0, -1, 16), (-1, -1, 32), (-1, 0, 64), (-1, 1, 128))
@@ -30,7 +30,7 @@ def resolution(xs: list[float] | tuple[float, ...], decimals: int = 2) -> float:
 
 def d8_to_d16(cells: DataFrame, column: str = "dir") -> DataFrame:
     table = F.create_map(*(F.lit(v) for kv in D8_TO_D16.items() for v in kv))
-    return cells.withColumn(column, F.get(F.map_values(table), F.array_position(F.map_keys(table), F.col(column)).cast("int") - 1))
+    return cells.withColumn(column, F.try_element_at(table, F.col(column)))
 
 
 def neighbours(cells: DataFrame, value: str = "v") -> DataFrame:
@@ -48,20 +48,23 @@ def flow_d8(cells: DataFrame) -> DataFrame:
     return cells.select("r", "c").join(best, ["r", "c"], "left").select("r", "c", F.col("b.dir").alias("dir"), F.col("b.nr").alias("nr"), F.col("b.nc").alias("nc"))
 
 
-def fill_depressions(cells: DataFrame, eps: float = 0.0, max_depth: float | None = None, rounds: int = 10_000) -> DataFrame:
+def fill_depressions(cells: DataFrame, eps: float = 0.0, max_depth: float | None = None) -> DataFrame:
     """Raise pits to their spill level (Planchon & Darboux): border cells (with a missing neighbour) stay, all others sink from a flood until stable. Fills deeper than max_depth are taken back."""
     border = neighbours(cells).groupBy("r", "c").agg(F.count(F.lit(1)).alias("n")).where("n < 8")
     held = staged(cells.join(border, ["r", "c"], "left").select("r", "c", F.col("v").cast("double").alias("v"), F.when(F.col("n").isNotNull(), F.col("v").cast("double")).otherwise(F.lit(float("inf"))).alias("w")), "fill")
-    for _ in range(rounds):
+    while True:
         new = held.withColumn("new", F.col("w"))
         for _ in range(3):  # several sweeps per written round
             low = neighbours(new.select("r", "c", "new"), "new").groupBy("r", "c").agg(F.min("nv").alias("low"))
             lower = F.when(F.col("new") > F.col("v"), F.greatest("v", F.least(F.col("new"), F.col("low") + eps))).otherwise(F.col("new"))
             new = new.join(low, ["r", "c"], "left").select("r", "c", "v", "w", lower.alias("new"))
         new = staged(new, "fill")
-        changed = not new.where("new < w").isEmpty()
+        release(held)
+        stable = new.where("new < w").isEmpty()
+        at = new._staged_at
         held = new.select("r", "c", "v", F.col("new").alias("w"))
-        if not changed:
+        held._staged_at = at
+        if stable:
             break
     keep = F.lit(True) if max_depth is None else (F.col("w") - F.col("v")) <= max_depth
     return held.select("r", "c", F.when(keep & (F.col("w") < float("inf")), F.col("w")).otherwise(F.col("v")).alias("v"))
@@ -74,10 +77,16 @@ def basins(flow: DataFrame, labels: DataFrame) -> DataFrame:
     """
     joined = flow.join(labels, ["r", "c"], "left")
     held = staged(joined.select("r", "c", F.when(F.col("label").isNull(), F.col("nr")).alias("nr"), F.when(F.col("label").isNull(), F.col("nc")).alias("nc"), "label"), "basins")
-    while not held.where("label is null and nr is not null").isEmpty():
+    left = held.where("label is null and nr is not null").count()
+    while left:
         far = held.select(F.col("r").alias("nr"), F.col("c").alias("nc"), F.col("nr").alias("fr"), F.col("nc").alias("fc"), F.col("label").alias("fl"))
-        open_ = held.where("label is null and nr is not null").join(far, ["nr", "nc"], "left").select("r", "c", F.when(F.col("fl").isNull(), F.col("fr")).alias("nr"), F.when(F.col("fl").isNull(), F.col("fc")).alias("nc"), F.col("fl").alias("label"))
-        held = staged(held.where("NOT (label is null and nr is not null)").unionByName(open_), "basins")
+        going = held.where("label is null and nr is not null").join(far, ["nr", "nc"], "left")
+        moved = going.select("r", "c", F.when(F.col("fl").isNull(), F.col("fr")).alias("nr"), F.when(F.col("fl").isNull(), F.col("fc")).alias("nc"), F.col("fl").alias("label"))
+        new = staged(held.where("NOT (label is null and nr is not null)").unionByName(moved), "basins")
+        release(held)
+        held, before, left = new, left, new.where("label is null and nr is not null").count()
+        if left == before:  # pointers double, so all that don't go round in a ring get somewhere each round
+            break
     return held.where("label is not null").select("r", "c", "label")
 
 
@@ -198,9 +207,49 @@ def levels(units: DataFrame, edges: DataFrame) -> DataFrame:
     return out.select("label", "area", F.col("code").alias("level_1"), F.coalesce("downstream_edges", "code").alias("level_2"), F.col("order_code").alias("level_3"), F.substring("order_code", 1, 6).alias("level_4"))
 
 
-def flow_sectors(cells: DataFrame, sectors: int = 16) -> DataFrame:
-    """(r, c, sector): the direction of the vector sum of drops to the eight neighbours, from 0 (right) clockwise; null on flats."""
-    vx, vy = F.sum((F.col("v") - F.col("nv")) * F.col("dc")), F.sum((F.col("v") - F.col("nv")) * F.col("dr"))
-    summed = neighbours(cells).groupBy("r", "c").agg(vx.alias("vx"), vy.alias("vy"))
-    turn = F.pmod(F.degrees(F.atan2("vy", "vx")), F.lit(360.0))
-    return summed.select("r", "c", F.when((F.col("vx") != 0) | (F.col("vy") != 0), F.pmod(F.floor(turn / (360.0 / sectors) + 0.5), F.lit(sectors))).cast("int").alias("sector"))
+#: The weights of the eight neighbours (row step, column step) in a cell's flow to the right and upward.
+FLOW_WEIGHTS = tuple((dr, dc, -dc / (dr * dr + dc * dc) ** 0.5, dr / (dr * dr + dc * dc) ** 0.5) for dr, dc, _ in D8)
+
+
+def sector_steps(sectors: int) -> list[tuple[int, int, int]]:
+    """(sector, row step, column step): sectors go clockwise from the upper left; sixteen reach cells two away, eight their neighbours."""
+    reach = sectors // 8
+    ring = [(-reach, c) for c in range(-reach, reach)] + [(r, reach) for r in range(-reach, reach)] + [(reach, c) for c in range(reach, -reach, -1)] + [(r, -reach) for r in range(reach, -reach, -1)]
+    return [(i + 1, r, c) for i, (r, c) in enumerate(ring)]
+
+
+def flow_sectors(cells: DataFrame, sectors: int = 16, least: float = -10.0) -> DataFrame:
+    """(r, c, angle, sector): the compass direction (degrees clockwise from up) in which the eight neighbours fall off, and its sector.
+
+    Each neighbour pushes away from itself by its height, in both axes' shares. Sector 1 is centred on the upper left and spans
+    360 / sectors degrees. Null where a neighbour is missing or lower than `least` (no data).
+    """
+    step = F.create_map(*(F.lit(v) for dr, dc, x, y in FLOW_WEIGHTS for v in (f"{dr},{dc}", F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")))))
+    weight = F.try_element_at(step, F.concat_ws(",", "dr", "dc"))
+    known = neighbours(cells).where(F.col("nv") >= least)
+    sums = known.groupBy("r", "c").agg(F.sum(F.col("nv") * weight["x"]).alias("x"), F.sum(F.col("nv") * weight["y"]).alias("y"), F.count(F.lit(1)).alias("n"))
+    angle = F.pmod(F.degrees(F.atan2("x", "y")), F.lit(360.0))
+    wide = 360.0 / sectors
+    sector = F.pmod(F.floor((F.col("angle") + 45.0 + wide / 2) / wide), F.lit(sectors)).cast("int") + 1
+    out = sums.where("n = 8").select("r", "c", angle.alias("angle")).withColumn("sector", sector)
+    return cells.select("r", "c").join(out, ["r", "c"], "left")
+
+
+def flow_d16(cells: DataFrame, fills: DataFrame | None = None) -> DataFrame:
+    """(r, c, sector, nr, nc): the cell two steps away in the cell's sector of sixteen, or in the sector of fills (r, c, sector) where there is one."""
+    held = flow_sectors(cells).select("r", "c", "sector")
+    if fills is not None:
+        held = held.join(fills.select("r", "c", F.col("sector").alias("_fill")), ["r", "c"], "left").withColumn("sector", F.coalesce("_fill", "sector")).drop("_fill")
+    steps = F.create_map(*(F.lit(v) for i, r, c in sector_steps(16) for v in (i, F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")))))
+    step = F.try_element_at(steps, F.col("sector"))
+    return held.select("r", "c", "sector", (F.col("r") + step["r"]).alias("nr"), (F.col("c") + step["c"]).alias("nc"))
+
+
+def propagate_d16(cells: DataFrame, labels: DataFrame, fills: DataFrame | None = None, d8_steps: int = 2) -> DataFrame:
+    """(r, c, label): labels go d8_steps cells up along the steepest ways, then all the way up the sixteen directions."""
+    down, held = flow_d8(cells).select("r", "c", "nr", "nc"), labels.select("r", "c", "label")
+    for _ in range(d8_steps):
+        below = held.select(F.col("r").alias("nr"), F.col("c").alias("nc"), F.col("label").alias("_below"))
+        reached = down.join(below, ["nr", "nc"]).select("r", "c", F.col("_below").alias("label")).join(held.select("r", "c"), ["r", "c"], "left_anti")
+        held = staged(held.unionByName(reached), "labels")
+    return basins(flow_d16(cells, fills).select("r", "c", "nr", "nc"), held)

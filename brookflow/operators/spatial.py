@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brookflow.functions import geometry as g
+from brookflow.runtime import staged
 
 
 def _cell(v: Column, size: float) -> Column:
@@ -61,11 +62,11 @@ def nearest(left: DataFrame, right: DataFrame, radius: float | None = None, ties
     r = max(whole / max(box[4] ** 0.5, 1.0), 1e-9)
     found, rest = None, a
     while True:
-        here = best(rest, min(r, whole * 1.01))
+        here = staged(best(rest, min(r, whole * 1.01)), "nearest")
         found = here if found is None else found.unionByName(here)
-        if r >= whole:
+        rest = staged(rest.join(here.select(F.col("l_id").alias("id")), "id", "left_anti"), "rest")
+        if r >= whole or rest.isEmpty():
             return found
-        rest = rest.join(here.select(F.col("l_id").alias("id")), "id", "left_anti")
         r *= 8
 
 
@@ -90,13 +91,19 @@ def _spread(segs: DataFrame, size: float, margin: float = 0.0) -> DataFrame:
 
 
 def crossing_pairs(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
-    """Distinct (l_id, r_id) of lines(id, coords) whose insides cross (touching and overlapping don't count)."""
+    """Distinct (l_id, r_id) of lines(id, coords) that cross: their insides meet, vertices between the ends included, and in points alone.
+
+    Lines that only touch at an end of one of them don't cross, nor do lines that share a stretch.
+    """
     def named(df: DataFrame, p: str) -> DataFrame:
-        s = _spread(line_segments(df), cell)
-        return s.select(F.col("id").alias(f"{p}_id"), F.struct("ax", "ay", "bx", "by").alias(f"{p}_s"), "_cx", "_cy")
+        ends = df.select("id", g.line_ends(F.col("coords")).alias("ends"), F.posexplode(g.segments(F.col("coords"))).alias("i", "s")).select("id", "ends", "i", "s.*")
+        return _spread(ends, cell).select(F.col("id").alias(f"{p}_id"), F.struct("ax", "ay", "bx", "by").alias(f"{p}_s"), F.col("ends").alias(f"{p}_ends"), "_cx", "_cy")
 
     pairs = named(left, "l").join(named(right, "r"), ["_cx", "_cy"])
-    return pairs.where(g.segments_cross(F.col("l_s"), F.col("r_s"))).select("l_id", "r_id").distinct()
+    s, t = F.col("l_s"), F.col("r_s")
+    met, shared = g.segments_meet_inside(s, t, F.col("l_ends"), F.col("r_ends")), g.segments_overlap(s, t)
+    judged = pairs.select("l_id", "r_id", met.alias("met"), shared.alias("shared")).where("met or shared")
+    return judged.groupBy("l_id", "r_id").agg(F.bool_or("met").alias("met"), F.bool_or("shared").alias("shared")).where("met and not shared").select("l_id", "r_id")
 
 
 def first_crossing(culverts: DataFrame, barrier: DataFrame, cell: float, exempt: bool = True) -> DataFrame:
@@ -113,16 +120,29 @@ def first_crossing(culverts: DataFrame, barrier: DataFrame, cell: float, exempt:
     return culverts.join(first.withColumnRenamed("l_id", "id"), "id", "left")
 
 
+def _extent_cell(*boxes: DataFrame) -> float:
+    """A cell about as large as a mean box (x0, y0, x1, y1) of the frames."""
+    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    means = [b.agg(F.avg(side)).first()[0] or 0.0 for b in boxes]
+    return max(*means, 1e-6)
+
+
+def _boxed(df: DataFrame, size: float) -> DataFrame:
+    """Each row in all cells of its box (x0, y0, x1, y1)."""
+    out = df.withColumn("_cx", F.explode(F.sequence(_cell(F.col("x0"), size), _cell(F.col("x1"), size))))
+    return out.withColumn("_cy", F.explode(F.sequence(_cell(F.col("y0"), size), _cell(F.col("y1"), size))))
+
+
 def polygon_crossings(lines: DataFrame, polygons: DataFrame) -> DataFrame:
-    """(l_id, r_id) of lines(id, coords) with vertices both inside and outside of polygons(id, rings)."""
-    ring = F.get(F.col("rings"), F.lit(0))
-    boxes = polygons.select(F.col("id").alias("r_id"), "rings", g.bounds(ring).alias("b"))
-    lined = lines.select(F.col("id").alias("l_id"), "coords", g.bounds(F.col("coords")).alias("lb"))
-    size = 1000.0
-    spread = boxes.withColumn("_cx", F.explode(F.sequence(_cell(F.col("b.x0"), size), _cell(F.col("b.x1"), size)))).withColumn("_cy", F.explode(F.sequence(_cell(F.col("b.y0"), size), _cell(F.col("b.y1"), size))))
-    mine = lined.withColumn("_cx", F.explode(F.sequence(_cell(F.col("lb.x0"), size), _cell(F.col("lb.x1"), size)))).withColumn("_cy", F.explode(F.sequence(_cell(F.col("lb.y0"), size), _cell(F.col("lb.y1"), size))))
-    n_in = F.size(F.filter("coords", lambda p: g.inside(p["x"], p["y"], F.col("rings"))))
-    return mine.join(spread, ["_cx", "_cy"]).where((n_in > 0) & (n_in < F.size("coords"))).select("l_id", "r_id").distinct()
+    """(l_id, r_id) of lines(id, coords) that lie partly inside and partly outside of polygons(id, rings)."""
+    boxes = polygons.select(F.col("id").alias("r_id"), "rings", g.bounds(F.get(F.col("rings"), F.lit(0))).alias("b")).select("r_id", "rings", "b.*")
+    lined = lines.select(F.col("id").alias("l_id"), "coords", g.bounds(F.col("coords")).alias("b")).select("l_id", "coords", "b.*")
+    size = _extent_cell(boxes, lined)
+    mine = _boxed(lined, size).select("l_id", "coords", F.struct("x0", "y0", "x1", "y1").alias("lb"), "_cx", "_cy")
+    pairs = mine.join(_boxed(boxes, size), ["_cx", "_cy"])
+    near = (F.col("lb.x0") <= F.col("x1")) & (F.col("lb.x1") >= F.col("x0")) & (F.col("lb.y0") <= F.col("y1")) & (F.col("lb.y1") >= F.col("y0"))
+    first = (_cell(F.greatest(F.col("lb.x0"), F.col("x0")), size) == F.col("_cx")) & (_cell(F.greatest(F.col("lb.y0"), F.col("y0")), size) == F.col("_cy"))
+    return pairs.where(near & first).where(g.crosses_polygon(F.col("coords"), F.col("rings"))).select("l_id", "r_id").distinct()
 
 
 def points_on_lines(points: DataFrame, lines: DataFrame, radius: float) -> DataFrame:
@@ -146,7 +166,7 @@ def nearest_segments(points: DataFrame, lines: DataFrame, radius: float) -> Data
 
 def longest_overlap(areas: DataFrame, lines: DataFrame) -> DataFrame:
     """(area_id, line_id, overlap): per area of boxes(id, x0, y0, x1, y1) the line with most length inside; ties to the smaller id."""
-    size = 100.0
+    size = max(_extent_cell(areas), _segment_cell(lines, 0.0))
     spread = _spread(line_segments(lines), size).withColumnRenamed("id", "line_id")
     placed = areas.withColumn("_cx", F.explode(F.sequence(_cell(F.col("x0"), size), _cell(F.col("x1"), size)))).withColumn("_cy", F.explode(F.sequence(_cell(F.col("y0"), size), _cell(F.col("y1"), size)))).withColumnRenamed("id", "area_id")
     one = spread.join(placed, ["_cx", "_cy"]).dropDuplicates(["area_id", "line_id", "i"])

@@ -63,7 +63,6 @@ on_lines("geo_end_point", lambda: g.end_point(C("coords"))["y"], "coords[-1].y")
 on_lines("geo_reverse", lambda: g.start_point(F.reverse("coords"))["x"], "coords[-1].x")
 on_lines("geo_area", lambda: g.ring_area(F.concat("coords", F.slice("coords", 1, 1))), "abs(list_sum(list_transform(range(1, len(coords)), lambda i: coords[i].x * coords[i + 1].y - coords[i + 1].x * coords[i].y)) + coords[-1].x * coords[1].y - coords[1].x * coords[-1].y) / 2")
 on_lines("geo_bounds_center", lambda: (g.bounds(C("coords"))["x0"] + g.bounds(C("coords"))["x1"]) / 2, "(list_min(list_transform(coords, lambda p: p.x)) + list_max(list_transform(coords, lambda p: p.x))) / 2")
-on_lines("geo_representative_point", lambda: g.centroid(C("coords"))["x"], "list_sum(list_transform(coords, lambda p: p.x)) / len(coords)")
 on_lines("geo_angle_compass", lambda: g.angle_compass(C("coords"), "upstream"), "degrees(atan2(coords[2].x - coords[1].x, coords[2].y - coords[1].y))")
 _AM = "CASE WHEN {a} < 0 THEN {a} + 360 ELSE {a} END"
 _A1, _AE = "degrees(atan2(coords[2].y - coords[1].y, coords[2].x - coords[1].x))", "degrees(atan2(coords[-1].y - coords[-2].y, coords[-1].x - coords[-2].x))"
@@ -134,7 +133,10 @@ def _(spark, d):
 _BOX = "list_sum(list_transform(range(1, len(coords)), lambda i: {f}))"
 
 
-@query("geo_intersection_length")
+_BOXED = "greatest(0, least(1, greatest((-0.1 - ax) / (bx - ax), (0.1 - ax) / (bx - ax)), greatest((-0.1 - ay) / (cy - ay), (0.1 - ay) / (cy - ay))) - greatest(0, least((-0.1 - ax) / (bx - ax), (0.1 - ax) / (bx - ax)), least((-0.1 - ay) / (cy - ay), (0.1 - ay) / (cy - ay))))"
+
+
+@query("geo_intersection_length", f"{duck('lines')}, p AS (SELECT id, coords, unnest(range(1, len(coords))) AS i FROM lines), s AS (SELECT id, coords[i].x AS ax, coords[i].y AS ay, coords[i + 1].x AS bx, coords[i + 1].y AS cy FROM p) SELECT id, {R(f'sum({_BOXED} * sqrt(pow(bx - ax, 2) + pow(cy - ay, 2)))', 'v')} FROM s GROUP BY id")
 def _(spark, d):
     segs = spatial.line_segments(view(spark, d, "lines"))
     return segs.groupBy("id").agg(r4(F.sum(g.clip_length(F.struct("ax", "ay", "bx", "by"), F.lit(-0.1), F.lit(-0.1), F.lit(0.1), F.lit(0.1)))).alias("v"))
@@ -328,26 +330,68 @@ def short_lines(spark: SparkSession, d: str) -> DataFrame:
     return view(spark, d, "pts_a").select("id", F.array(g.point(C("x"), C("y")), g.point(C("x") + 13, C("y") - 31)).alias("coords"))
 
 
-def _side(p: str, q: str, s: str) -> str:
-    return f'(({s}.bx - {s}.ax) * ({q} - {s}.ay) - ({s}."by" - {s}.ay) * ({p} - {s}.ax))'
+#: Bent walls: the second piece begins where the first one ends.
+_BENT = (
+    "bent AS (SELECT s_suppkey AS id, CAST((s_suppkey * 53) % 1000 AS DOUBLE) AS x, CAST((s_suppkey * 71) % 1000 AS DOUBLE) AS y FROM supplier), "
+    "pieces AS (SELECT id, 0 AS k, x AS ax, y AS ay, x + 35 AS bx, y + 21 AS \"by\" FROM bent UNION ALL SELECT id, 1 AS k, x + 35 AS ax, y + 21 AS ay, x + 48 AS bx, y - 10 AS \"by\" FROM bent)"
+)
+#: Where the two straight lines through a culvert and a piece meet, as shares of each (Cramer's rule, in whole numbers).
+_MEET = (
+    "solved AS (SELECT c.id AS id, p.id AS wall, p.k AS k, (c.bx - c.ax) * (p.\"by\" - p.ay) - (c.\"by\" - c.ay) * (p.bx - p.ax) AS den, "
+    "(p.ax - c.ax) * (p.\"by\" - p.ay) - (p.ay - c.ay) * (p.bx - p.ax) AS t, (p.ax - c.ax) * (c.\"by\" - c.ay) - (p.ay - c.ay) * (c.bx - c.ax) AS u, "
+    "(p.ax - c.ax) * (c.bx - c.ax) + (p.ay - c.ay) * (c.\"by\" - c.ay) AS from_a, (p.bx - c.ax) * (c.bx - c.ax) + (p.\"by\" - c.ay) * (c.\"by\" - c.ay) AS from_b, 13 * 13 + 31 * 31 AS norm FROM culv c, pieces p), "
+    "judged AS (SELECT id, wall, bool_or(den <> 0 AND t * sign(den) > 0 AND t * sign(den) < abs(den) AND u * sign(den) >= 0 AND u * sign(den) <= abs(den) AND NOT (k = 0 AND u = 0) AND NOT (k = 1 AND u = den)) AS met, "
+    "bool_or(den = 0 AND u = 0 AND greatest(least(from_a, from_b), 0) < least(greatest(from_a, from_b), norm)) AS shared FROM solved GROUP BY id, wall), "
+    "crossed AS (SELECT id, wall FROM judged WHERE met AND NOT shared)"
+)
 
 
-_CROSS = f'{_side("c.ax", "c.ay", "w")} * {_side("c.bx", "c." + chr(34) + "by" + chr(34), "w")} < 0 AND {_side("w.ax", "w.ay", "c")} * {_side("w.bx", "w." + chr(34) + "by" + chr(34), "c")} < 0'
+def bent_walls(spark: SparkSession, d: str) -> DataFrame:
+    p = view(spark, d, "pts_b")
+    return p.select("id", F.concat(F.lit("W"), "id").alias("code"), F.array(g.point(C("x"), C("y")), g.point(C("x") + 35, C("y") + 21), g.point(C("x") + 48, C("y") - 10)).alias("coords"))
 
 
-@query("join_crosses", f"WITH {_WALLS}, {_CULV} SELECT c.id AS id, min(concat('W', w.id)) AS crossing_code FROM culv c JOIN walls w ON {_CROSS} GROUP BY c.id")
+@query("join_crosses", f"WITH {_BENT}, {_CULV}, {_MEET} SELECT id, min(concat('W', wall)) AS crossing_code FROM crossed GROUP BY id")
 def _(spark, d):
     cul = short_lines(spark, d).withColumns({"code": F.lit("-"), "dangling_code": F.lit("-")})
-    return spatial.first_crossing(cul, walls(spark, d).withColumn("code", F.concat(F.lit("W"), "id")), 50.0).where("crossing_code is not null").select("id", "crossing_code")
+    return spatial.first_crossing(cul, bent_walls(spark, d), 50.0).where("crossing_code is not null").select("id", "crossing_code")
 
 
-@query("join_own_line_exempt", f"WITH {_WALLS}, {_CULV} SELECT c.id AS id, min(concat('W', w.id)) AS crossing_code FROM culv c JOIN walls w ON {_CROSS} AND w.id <> c.id % 100 GROUP BY c.id")
+@query("join_own_line_exempt", f"WITH {_BENT}, {_CULV}, {_MEET} SELECT id, min(concat('W', wall)) AS crossing_code FROM crossed WHERE wall <> id % 100 GROUP BY id")
 def _(spark, d):
     cul = short_lines(spark, d).withColumns({"code": F.concat(F.lit("W"), C("id") % 100), "dangling_code": F.lit("-")})
-    return spatial.first_crossing(cul, walls(spark, d).withColumn("code", F.concat(F.lit("W"), "id")), 50.0).where("crossing_code is not null").select("id", "crossing_code")
+    return spatial.first_crossing(cul, bent_walls(spark, d), 50.0).where("crossing_code is not null").select("id", "crossing_code")
+
+
+def _within(box: str, s: str = "c") -> str:
+    """The share of a segment without level or upright direction that lies in a box (x0, y0, x1, y1)."""
+    x0, y0, x1, y1 = box.split(", ")
+    dx, dy = f"({s}.bx - {s}.ax)", f'({s}."by" - {s}.ay)'
+    begin = f"greatest(0, least(({x0} - {s}.ax) / {dx}, ({x1} - {s}.ax) / {dx}), least(({y0} - {s}.ay) / {dy}, ({y1} - {s}.ay) / {dy}))"
+    end = f"least(1, greatest(({x0} - {s}.ax) / {dx}, ({x1} - {s}.ax) / {dx}), greatest(({y0} - {s}.ay) / {dy}, ({y1} - {s}.ay) / {dy}))"
+    return f"greatest(0, {end} - {begin})"
+
+
+def corner_areas(spark: SparkSession, d: str) -> DataFrame:
+    """L-shaped areas, 40 wide and high, 10 thick."""
+    corners = ((0, 0), (40, 0), (40, 10), (10, 10), (10, 40), (0, 40), (0, 0))
+    return view(spark, d, "pts_b").select("id", F.array(F.array(*(g.point(C("x") + x, C("y") + y) for x, y in corners))).alias("rings"))
+
+
+@query("join_crosses_polygon", f"WITH bent AS (SELECT s_suppkey AS id, CAST((s_suppkey * 53) % 1000 AS DOUBLE) AS x, CAST((s_suppkey * 71) % 1000 AS DOUBLE) AS y FROM supplier), {_CULV}, "
+       f"shares AS (SELECT c.id AS l_id, a.id AS r_id, {_within('a.x, a.y, a.x + 40, a.y + 10')} + {_within('a.x, a.y, a.x + 10, a.y + 40')} - {_within('a.x, a.y, a.x + 10, a.y + 10')} AS part FROM culv c, bent a) "
+       "SELECT l_id, r_id FROM shares WHERE part > 1e-9 AND part < 1 - 1e-9")
+def _(spark, d):
+    return spatial.polygon_crossings(short_lines(spark, d), corner_areas(spark, d))
+
+
+@query("geo_representative_point", "SELECT s_suppkey AS id, CAST((s_suppkey * 53) % 1000 + 5 AS DOUBLE) AS x, CAST((s_suppkey * 71) % 1000 + 25 AS DOUBLE) AS y FROM supplier")
+def _(spark, d):
+    return corner_areas(spark, d).select("id", g.inside_point(C("rings")).alias("p")).select("id", "p.x", "p.y")
 
 
-@query("join_intersection_len")
+@query("join_intersection_len", f"WITH {_WALLS}, boxes AS (SELECT unnest(range(100)) AS area_id), o AS (SELECT area_id, w.id AS line_id, sqrt(35 * 35 + 21 * 21) * {_within('(area_id % 10) * 100, (area_id // 10) * 100, (area_id % 10) * 100 + 100, (area_id // 10) * 100 + 100', 'w')} AS overlap FROM boxes, walls w), "
+       f"k AS (SELECT *, row_number() OVER (PARTITION BY area_id ORDER BY overlap DESC, line_id) AS n FROM o WHERE overlap > 0) SELECT area_id, line_id, {R('overlap', 'overlap')} FROM k WHERE n = 1")
 def _(spark, d):
     boxes = spark.range(100).select("id", *(((C("id") % 10) * 100.0 + dx).alias(n) if n[0] == "x" else (F.floor(C("id") / 10) * 100.0 + dx).alias(n) for n, dx in (("x0", 0), ("y0", 0), ("x1", 100), ("y1", 100))))
     return spatial.longest_overlap(boxes, walls(spark, d)).select("area_id", "line_id", r4(C("overlap")).alias("overlap"))

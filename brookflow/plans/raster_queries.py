@@ -30,8 +30,30 @@ def _(spark, d):
     return raster.basins(f, f.where("dir is null").select("r", "c", (C("r") * 100 + C("c") + 1).alias("label")))
 
 
-for _k in ("ras_label_propagate", "ras_label_propagate16"):
-    QUERIES[_k], SQL[_k] = QUERIES["ras_basins"], SQL["ras_basins"]
+@query("ras_label_propagate", f"{_FLOW.replace('WITH ', 'WITH RECURSIVE ', 1)}, w AS (SELECT r, c, zone AS label FROM g WHERE zone % 5 = 0 UNION ALL SELECT f.r AS r, f.c AS c, w.label AS label FROM w JOIN f ON f.nr = w.r AND f.nc = w.c JOIN g ON g.r = f.r AND g.c = f.c WHERE g.zone % 5 <> 0) SELECT r, c, label FROM w")
+def _(spark, d):
+    """Labels of some zones go up the steepest ways until another labelled cell."""
+    cells = grid(spark, d)
+    return raster.basins(raster.flow_d8(cells), cells.where("zone % 5 = 0").select("r", "c", C("zone").alias("label")))
+
+
+#: Shares of a neighbour's height in the flow to the right and upward: a push away from the neighbour, a diagonal one shared by both.
+_PUSH = f"{_G}, {_STEP}, q AS (SELECT a.r AS r, a.c AS c, sum(b.v * -dc / sqrt(CAST(dr * dr + dc * dc AS DOUBLE))) AS x, sum(b.v * dr / sqrt(CAST(dr * dr + dc * dc AS DOUBLE))) AS y, count(*) AS n FROM g a CROSS JOIN s JOIN g b ON b.r = a.r + dr AND b.c = a.c + dc WHERE b.v >= -10 GROUP BY a.r, a.c)"
+_ANGLE = "(degrees(atan2(x, y)) + 360) % 360"
+_SECTORS = f"{_PUSH}, k AS (SELECT r, c, {_ANGLE} AS angle FROM q WHERE n = 8), a AS (SELECT r, c, angle, list_position(list_transform(range(16), lambda i: (angle >= 22.5 * (i - 2.5) AND angle < 22.5 * (i - 1.5)) OR (angle - 360 >= 22.5 * (i - 2.5) AND angle - 360 < 22.5 * (i - 1.5))), true) AS sector FROM k)"
+_TWO = "[-2, -1, 0, 1, 2, 2, 2, 2, 2, 1, 0, -1, -2, -2, -2, -2]"
+_TWO_DOWN = "[-2, -2, -2, -2, -2, -1, 0, 1, 2, 2, 2, 2, 2, 1, 0, -1]"
+
+
+@query("ras_label_propagate16", f"{_SECTORS.replace('WITH ', 'WITH RECURSIVE ', 1)}, n8 AS (SELECT a.r AS r, a.c AS c, s.dir AS dir, b.r AS nr, b.c AS nc, (a.v - b.v) / sqrt(CAST(dr * dr + dc * dc AS DOUBLE)) AS dd FROM g a CROSS JOIN s JOIN g b ON b.r = a.r + dr AND b.c = a.c + dc), "
+       "k8 AS (SELECT *, row_number() OVER (PARTITION BY r, c ORDER BY dd DESC, dir) AS o FROM n8 WHERE dd > 0), f8 AS (SELECT r, c, nr, nc FROM k8 WHERE o = 1), l0 AS (SELECT r, c, zone AS label FROM g WHERE zone % 5 = 0), "
+       "l1 AS (SELECT r, c, label FROM l0 UNION ALL SELECT f8.r, f8.c, label FROM f8 JOIN l0 ON f8.nr = l0.r AND f8.nc = l0.c WHERE (f8.r, f8.c) NOT IN (SELECT (r, c) FROM l0)), "
+       "l2 AS (SELECT r, c, label FROM l1 UNION ALL SELECT f8.r, f8.c, label FROM f8 JOIN l1 ON f8.nr = l1.r AND f8.nc = l1.c WHERE (f8.r, f8.c) NOT IN (SELECT (r, c) FROM l1)), "
+       f"f AS (SELECT r, c, r + {_TWO_DOWN}[sector] AS nr, c + {_TWO}[sector] AS nc FROM a WHERE (r, c) NOT IN (SELECT (r, c) FROM l2)), "
+       "w AS (SELECT r, c, label FROM l2 UNION ALL SELECT f.r AS r, f.c AS c, w.label AS label FROM w JOIN f ON f.nr = w.r AND f.nc = w.c) SELECT r, c, label FROM w")
+def _(spark, d):
+    cells = grid(spark, d)
+    return raster.propagate_d16(cells, cells.where("zone % 5 = 0").select("r", "c", C("zone").alias("label")))
 
 
 @query("ras_fill_d8")
@@ -44,9 +66,9 @@ def _(spark, d):
     return raster.d8_to_d16(t(spark, d, "orders").select(C("o_orderkey").alias("id"), F.pow(F.lit(2), C("o_orderkey") % 8).cast("int").alias("dir")))
 
 
-@query("ras_flow16")
+@query("ras_flow16", f"{_SECTORS} SELECT g.r AS r, g.c AS c, {R('angle', 'angle')}, CAST(sector AS INTEGER) AS sector FROM g LEFT JOIN a ON g.r = a.r AND g.c = a.c")
 def _(spark, d):
-    return raster.flow_sectors(grid(spark, d))
+    return raster.flow_sectors(grid(spark, d)).select("r", "c", r4(C("angle")).alias("angle"), "sector")
 
 
 @query("ras_resolution", f"{duck('cells')} SELECT 2.0::DOUBLE AS resolution, count(*) AS n FROM cells")
