@@ -15,7 +15,9 @@ deviations) is above `max_bad`. A host without labels is judged by its prior: th
 mean is that of its nearest labelled ancestor (registered domain, suffix or the
 whole), the variance that of the unlabelled levels below it taken together.
 
-The registered domain is a host's last two labels and the suffix the last one.
+The suffix is a host's last label, or its last two where these are in `suffixes` (such
+as "co.uk"; a list of public suffixes is the caller's to give); the registered
+domain has one label more.
 
 Defined results: a null url, or one without "://", has an empty host and path,
 fits no rule and is allowed (there is no host to judge); repeated rows are
@@ -64,12 +66,14 @@ def rule_of(host: Column, path: Column, rules: tuple[tuple[str, str, str], ...]
     return name, verdict
 
 
-def domain_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+def domain_of(host: Column, suffixes: tuple[str, ...] = ()) -> Column:
+    two = F.substring_index(host, ".", -2)
+    return F.when(two.isin(*suffixes), F.substring_index(host, ".", -3)).otherwise(two) if suffixes else two
 
 
-def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def suffix_of(host: Column, suffixes: tuple[str, ...] = ()) -> Column:
+    one, two = F.substring_index(host, ".", -1), F.substring_index(host, ".", -2)
+    return F.when(two.isin(*suffixes), two).otherwise(one) if suffixes else one
 
 
 def _shrunk(groups: DataFrame, parents: DataFrame, key: str, parent: str) -> DataFrame:
@@ -95,7 +99,7 @@ def _below(strength: Column, share: Column) -> Column:
     return 1 / (strength + 1) + strength / (strength + 1) * share
 
 
-def reputations(labelled: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def reputations(labelled: DataFrame, suffixes: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(host, n, bad, mean, bound) for every host of labelled (host, bad), bad being 0 or 1; and the bounds that unlabelled hosts have below
     each labelled domain (domain, bound), suffix (suffix, bound) and the whole (bound: one row, or none without labels).
 
@@ -103,7 +107,7 @@ def reputations(labelled: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, D
     once, as the levels below it and the bounds read it again.
     """
     hosts = labelled.where(F.col("bad").isNotNull() & (F.col("host") != "")).groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
-    hosts = staged(hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))), "host-counts")
+    hosts = staged(hosts.withColumn("domain", domain_of(F.col("host"), suffixes)).withColumn("suffix", suffix_of(F.col("host"), suffixes)), "host-counts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).withColumn("all", F.lit(0))
     whole = suffixes.groupBy("all").agg(((F.sum("bad") + 1.0) / (F.sum("n") + 2.0)).alias("mean"))
@@ -126,7 +130,7 @@ def reputations(labelled: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, D
     )
 
 
-def judge_urls(pages: DataFrame, labelled: DataFrame, *, id_col: str = "page_id", url_col: str = "url", rules: tuple[tuple[str, str, str], ...] = RULES, max_bad: float = MAX_BAD) -> DataFrame:
+def judge_urls(pages: DataFrame, labelled: DataFrame, *, id_col: str = "page_id", url_col: str = "url", rules: tuple[tuple[str, str, str], ...] = RULES, max_bad: float = MAX_BAD, suffixes: tuple[str, ...] = ()) -> DataFrame:
     """(page_id, host, path, rule, verdict, bad_bound) for every row of pages; labelled: (page_id, bad).
 
     The join of pages with reputations is on the host: a host with a third of all
@@ -136,9 +140,11 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, *, id_col: str = "page_id"
     urls = pages.select(F.col(id_col).alias("page_id"), url_host(F.col(url_col)).alias("host"), url_path(F.col(url_col)).alias("path"))
     marks = labelled.select(F.col("page_id").alias("labelled_id"), "bad").where(F.col("bad").isNotNull())
     known = urls.join(marks, urls["page_id"] == marks["labelled_id"]).select("host", "bad")
-    by_host, by_domain, by_suffix, whole = reputations(known)
-    hosts = urls.where(F.col("host") != "").select("host").distinct().withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host")))
-    levels = hosts.join(by_host.select("host", F.col("bound").alias("of_host")), "host", "left").join(by_domain.withColumnRenamed("bound", "of_domain"), "domain", "left").join(by_suffix.withColumnRenamed("bound", "of_suffix"), "suffix", "left")
+    by_host, by_domain, by_suffix, whole = reputations(known, suffixes)
+    hosts = urls.where(F.col("host") != "").select("host").distinct()
+    hosts = hosts.withColumn("domain", domain_of(F.col("host"), suffixes)).withColumn("suffix", suffix_of(F.col("host"), suffixes))
+    levels = hosts.join(by_host.select("host", F.col("bound").alias("of_host")), "host", "left")
+    levels = levels.join(by_domain.withColumnRenamed("bound", "of_domain"), "domain", "left").join(by_suffix.withColumnRenamed("bound", "of_suffix"), "suffix", "left")
     judged = levels.join(F.broadcast(whole.select(F.col("bound").alias("of_whole"))), how="left").select("host", F.coalesce("of_host", "of_domain", "of_suffix", "of_whole").alias("bad_bound"))  # one row
     bounds = judged.where(F.col("bad_bound") > max_bad)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)

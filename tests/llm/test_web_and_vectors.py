@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from brookflow.llm import ann, urlfilter, warc
 from brookflow.llm.common import new_dir
@@ -100,6 +101,18 @@ def test_url_unlabelled_hosts_take_their_ancestors_bound(spark):
     assert got[""] == ("allow", None)
 
 
+def test_url_suffixes_of_two_labels(spark):
+    """Under "co.uk" hosts of different domains don't share a domain's prior; repeated pages are judged each, no pages give no rows."""
+    hosts = ["a.bad.co.uk"] * 80 + ["www.good.co.uk"] * 80 + ["new.bad.co.uk", "new.good.co.uk", "new.bad.co.uk"]
+    docs = pages(spark, [(min(i, 161), f"http://{h}/", None) for i, h in enumerate(hosts)])
+    labels = spark.createDataFrame([(i, int(i < 80)) for i in range(160)], "page_id long, bad int")
+    judged = urlfilter.judge_urls(docs, labels, suffixes=("co.uk",)).where("host like 'new%'").select("page_id", "verdict").collect()
+    assert sorted(map(tuple, judged)) == [(160, "block"), (161, "allow"), (161, "block")]
+    assert urlfilter.judge_urls(docs.limit(0), labels).count() == 0
+    names = spark.createDataFrame([("x.y.co.uk",), ("co.uk",), ("a.b.c",)], "h string").select(urlfilter.domain_of(F.col("h"), ("co.uk",)), urlfilter.suffix_of(F.col("h"), ("co.uk",)))
+    assert [tuple(r) for r in names.collect()] == [("y.co.uk", "co.uk"), ("co.uk", "co.uk"), ("b.c", "c")]
+
+
 def test_nearest_against_brute_force(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(600, 16)).astype(np.float32)
