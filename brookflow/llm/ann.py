@@ -255,11 +255,18 @@ def plan(rows: DataFrame, count: int, single: bool, *, every: int, k: int, trees
         return Plan(forest, 1, 1.0, 1.0)
     near = {r["vec_id"]: r["v"] for r in rows.where(F.col("vec_id").isin([r["vec_id"] for r in true])).groupBy("vec_id").agg(F.min("v").alias("v")).collect()}
     leaves = forest.assign(_matrix([near[r["vec_id"]] for r in true], single))
-    orders = {i: {leaf: at for at, leaf in enumerate(forest.search(q, len(forest.sizes), len(ids)))} for i, q in queries.items()}
-    needed = np.sort([min(orders[r["query_id"]][c] for c in mine) + 1 for r, mine in zip(true, leaves.tolist(), strict=True)])
+    turns = {}  # per probe, when each leaf's turn comes
+    for i, q in queries.items():
+        order = forest.search(q, len(forest.sizes), len(ids))
+        turns[i] = np.empty(len(order), np.int32)
+        turns[i][order] = np.arange(len(order))
+    needed = np.sort([turns[r["query_id"]][mine].min() + 1 for r, mine in zip(true, leaves, strict=True)])
     visits = int(needed[max(0, int(np.ceil(recall * len(needed))) - 1)])
-    where = forest.assign(x)
-    share = np.mean([np.isin(where, [c for c, at in order.items() if at < visits]).any(axis=1).mean() for order in orders.values()])
+    met = 0
+    for at in range(0, len(x), 4096):
+        where = forest.assign(x[at : at + 4096])
+        met += sum(int((turn[where] < visits).any(axis=1).sum()) for turn in turns.values())
+    share = met / (len(x) * len(turns))
     return Plan(forest, visits, float((needed <= visits).mean()), float(share))
 
 
