@@ -60,14 +60,27 @@ WITH urls AS (
 ), w AS (SELECT (sum(bad) + 1.0::DOUBLE) / (sum(n) + 2.0::DOUBLE) AS prior FROM s
 ), s0 AS (SELECT s.*, prior, n * (bad / n::DOUBLE - prior) ^ 2 AS e FROM s, w
 ), sm AS (SELECT (sum(e) - sum(prior * (1 - prior))) / nullif(sum(prior * (1 - prior) * (n - 1)), 0) AS rho FROM s0
-), s1 AS (SELECT suffix, (prior * k + bad) / (k + n) AS prior_of FROM s0, (SELECT greatest(2, least(1000, CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000 END)) AS k FROM sm)
+), s1 AS (SELECT suffix, k, (prior * k + bad) / (k + n) AS prior_of FROM s0, (SELECT greatest(2, least(1000, CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000 END)) AS k FROM sm)
 ), d0 AS (SELECT d.*, prior_of AS prior, n * (bad / n::DOUBLE - prior_of) ^ 2 AS e FROM d JOIN s1 USING (suffix)
 ), dm AS (SELECT (sum(e) - sum(prior * (1 - prior))) / nullif(sum(prior * (1 - prior) * (n - 1)), 0) AS rho FROM d0
-), d1 AS (SELECT domain, (prior * k + bad) / (k + n) AS prior_of FROM d0, (SELECT greatest(2, least(1000, CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000 END)) AS k FROM dm)
+), d1 AS (SELECT domain, k, (prior * k + bad) / (k + n) AS prior_of FROM d0, (SELECT greatest(2, least(1000, CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000 END)) AS k FROM dm)
 ), h0 AS (SELECT h.*, prior_of AS prior, n * (bad / n::DOUBLE - prior_of) ^ 2 AS e FROM h JOIN d1 USING (domain)
 ), hm AS (SELECT (sum(e) - sum(prior * (1 - prior))) / nullif(sum(prior * (1 - prior) * (n - 1)), 0) AS rho FROM h0
 ), h1 AS (SELECT host, n, k, (prior * k + bad) / (k + n) AS mean FROM h0, (SELECT greatest(2, least(1000, CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000 END)) AS k FROM hm)
-), blocked AS (SELECT host FROM h1 WHERE mean - 1.645 * sqrt(mean * (1 - mean) / (k + n + 1)) > 0.5)
+), strengths AS (SELECT (SELECT any_value(k) FROM h1) AS kh, (SELECT any_value(k) FROM d1) AS kd, (SELECT any_value(k) FROM s1) AS ks
+), shares AS (
+  SELECT kh, kd, ks, 1 / (kh + 1) AS under_domain, 1 / (kd + 1) + kd / (kd + 1) / (kh + 1) AS under_suffix,
+         1 / (ks + 1) + ks / (ks + 1) * (1 / (kd + 1) + kd / (kd + 1) / (kh + 1)) AS under_all FROM strengths
+), bounds AS (
+  SELECT 0 AS level, host AS name, mean - 1.645 * sqrt(mean * (1 - mean) / (k + n + 1)) AS bound FROM h1
+  UNION ALL SELECT 1, domain, prior_of - 1.645 * sqrt(prior_of * (1 - prior_of) * under_domain) FROM d1, shares
+  UNION ALL SELECT 2, suffix, prior_of - 1.645 * sqrt(prior_of * (1 - prior_of) * under_suffix) FROM s1, shares
+  UNION ALL SELECT 3, '', prior - 1.645 * sqrt(prior * (1 - prior) * under_all) FROM w, shares
+), names AS (
+  SELECT DISTINCT host, unnest([0, 1, 2, 3]) AS level,
+         unnest([host, array_to_string(string_split(host, '.')[-2:], '.'), string_split(host, '.')[-1], '']) AS name FROM parts WHERE host <> ''
+), nearest AS (SELECT host, arg_min(bound, level) AS bound FROM names JOIN bounds USING (level, name) WHERE bound IS NOT NULL GROUP BY host
+), blocked AS (SELECT host FROM nearest WHERE bound > 0.5)
 SELECT page_id, ruled.host, path, rule, CASE
   WHEN rule IN ('example.com/en/7', 'net/de/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
   WHEN blocked.host IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict

@@ -101,6 +101,24 @@ def test_url_unlabelled_hosts_take_their_ancestors_bound(spark):
     assert got[""] == ("allow", None)
 
 
+def test_url_query_equals_its_sql_below_unlabelled_hosts(spark, tmp_path):
+    import duckdb
+
+    from brookflow.llm import queries
+
+    hosts = [f"h{i % 20}.{'bad' if i < 200 else 'good'}.{'test' if i % 3 else 'zz'}" for i in range(400)] + ["new.bad.test", "new.good.zz", "x.other.test", "x.else.yy", "zz", ""]
+    pages = spark.createDataFrame([(i, f"http://{h}/p") for i, h in enumerate(hosts)] + [(900, None)], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 0 if i < 200 or i % 3 == 0 else 1) for i in range(400)], "doc_id long, quality int")
+    sql = duckdb.connect()
+    for name, df in (("pages", pages), ("labels", labels)):
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+        sql.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    got = {r["page_id"]: r["verdict"] for r in queries.op3_url_filter(spark, str(tmp_path)).collect()}
+    told = dict(sql.execute(f"SELECT page_id, verdict FROM ({queries.OP3_SQL}) WHERE page_id <> 900").fetchall())
+    assert {k: v for k, v in got.items() if k != 900} == told and got[900] == "allow"
+    assert got[400] == "block" and set(told.values()) == {"allow", "block"}
+
+
 def test_url_suffixes_of_two_labels(spark):
     """Under "co.uk" hosts of different domains don't share a domain's prior; repeated pages are judged each, no pages give no rows."""
     hosts = ["a.bad.co.uk"] * 80 + ["www.good.co.uk"] * 80 + ["new.bad.co.uk", "new.good.co.uk", "new.bad.co.uk"]
