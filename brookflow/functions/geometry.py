@@ -234,10 +234,8 @@ def inside_point(rings: Column) -> Column:
     return point(F.array_max(stretches)["x"], level)
 
 
-def crosses_polygon(c: Column, rings: Column) -> Column:
-    """Whether a line has a part inside a polygon and a part outside of it: every stretch between two meetings with the rings is judged by its middle."""
-    edges = F.flatten(F.transform(rings, segments))
-
+def _stretches(c: Column, edges: Column) -> Column:
+    """array<struct<x,y,len>>: a line's stretches between two meetings with the edges (segments of rings), by their middles."""
     def cuts(s: Column) -> Column:
         def at(e: Column) -> Column:
             dx, dy, ex, ey = s["bx"] - s["ax"], s["by"] - s["ay"], e["bx"] - e["ax"], e["by"] - e["ay"]
@@ -248,16 +246,33 @@ def crosses_polygon(c: Column, rings: Column) -> Column:
         found = F.filter(F.flatten(F.transform(edges, at)), lambda t: (t > 0) & (t < 1))
         return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), found)))
 
-    def middles(s: Column) -> Column:
-        t = cuts(s)
-        half = F.zip_with(F.slice(t, 1, F.size(t) - 1), F.slice(t, F.lit(2), F.size(t) - 1), lambda a, b: (a + b) / 2)
-        return F.transform(half, lambda m: point(s["ax"] + m * (s["bx"] - s["ax"]), s["ay"] + m * (s["by"] - s["ay"])))
+    def parts(s: Column) -> Column:
+        t, long = cuts(s), distance(s["ax"], s["ay"], s["bx"], s["by"])
+        each = F.zip_with(F.slice(t, 1, F.size(t) - 1), F.slice(t, F.lit(2), F.size(t) - 1), lambda a, b: F.struct(((a + b) / 2).alias("m"), (b - a).alias("share")))
+        return F.transform(each, lambda e: F.struct((s["ax"] + e["m"] * (s["bx"] - s["ax"])).alias("x"), (s["ay"] + e["m"] * (s["by"] - s["ay"])).alias("y"), (e["share"] * long).alias("len")))
 
     long_ones = F.filter(segments(c), lambda s: (s["ax"] != s["bx"]) | (s["ay"] != s["by"]))
-    tested = F.filter(F.flatten(F.transform(long_ones, middles)), lambda p: ~F.exists(edges, lambda e: _on(p["x"], p["y"], e)))
+    return F.flatten(F.transform(long_ones, parts))
+
+
+def _on_any(p: Column, edges: Column) -> Column:
+    return F.exists(edges, lambda e: _on(p["x"], p["y"], e))
+
+
+def crosses_polygon(c: Column, rings: Column) -> Column:
+    """Whether a line has a part inside a polygon and a part outside of it: every stretch between two meetings with the rings is judged by its middle."""
+    edges = F.flatten(F.transform(rings, segments))
+    tested = F.filter(_stretches(c, edges), lambda p: ~_on_any(p, edges))
     return F.exists(tested, lambda p: inside(p["x"], p["y"], rings)) & F.exists(tested, lambda p: ~inside(p["x"], p["y"], rings))
 
 
+def length_within(c: Column, rings: Column) -> Column:
+    """Length of a line's part inside a polygon of any shape, what runs along its rings included."""
+    edges = F.flatten(F.transform(rings, segments))
+    held = F.filter(_stretches(c, edges), lambda p: inside(p["x"], p["y"], rings) | _on_any(p, edges))
+    return _total(F.transform(held, lambda p: p["len"]))
+
+
 def inside_ring(x: Column, y: Column, ring: Column) -> Column:
     """Even-odd rule by a ray to the right."""
     crossed = F.filter(segments(ring), lambda s: ((s["ay"] > y) != (s["by"] > y)) & (x < (s["bx"] - s["ax"]) * (y - s["ay"]) / (s["by"] - s["ay"]) + s["ax"]))

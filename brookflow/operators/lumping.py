@@ -34,7 +34,7 @@ def areas_by_code(areas: DataFrame, membership: DataFrame) -> DataFrame:
     return areas.join(membership, "code").groupBy("outflow_id").agg(F.count(F.lit(1)).alias("n_areas"), F.sum("area").alias("area"))
 
 
-def areas_by_overlap(boxes: DataFrame, lines: DataFrame, membership: DataFrame) -> DataFrame:
-    """(outflow_id, n_areas): boxes by the outflow of the line (id = membership's code) with most length in them."""
-    best = spatial.longest_overlap(boxes, lines)
+def areas_by_overlap(areas: DataFrame, lines: DataFrame, membership: DataFrame) -> DataFrame:
+    """(outflow_id, n_areas): areas (polygons or boxes) by the outflow of the line (id = membership's code) with most length in them."""
+    best = spatial.longest_overlap(areas, lines)
     return best.join(membership, best["line_id"] == membership["code"]).groupBy("outflow_id").agg(F.count(F.lit(1)).alias("n_areas"))

@@ -133,8 +133,8 @@ def _boxed(df: DataFrame, size: float) -> DataFrame:
     return out.withColumn("_cy", F.explode(F.sequence(_cell(F.col("y0"), size), _cell(F.col("y1"), size))))
 
 
-def polygon_crossings(lines: DataFrame, polygons: DataFrame) -> DataFrame:
-    """(l_id, r_id) of lines(id, coords) that lie partly inside and partly outside of polygons(id, rings)."""
+def _box_pairs(lines: DataFrame, polygons: DataFrame) -> DataFrame:
+    """(l_id, coords, r_id, rings), once each: lines(id, coords) and polygons(id, rings) whose bounds meet."""
     boxes = polygons.select(F.col("id").alias("r_id"), "rings", g.bounds(F.get(F.col("rings"), F.lit(0))).alias("b")).select("r_id", "rings", "b.*")
     lined = lines.select(F.col("id").alias("l_id"), "coords", g.bounds(F.col("coords")).alias("b")).select("l_id", "coords", "b.*")
     size = _extent_cell(boxes, lined)
@@ -142,7 +142,12 @@ def polygon_crossings(lines: DataFrame, polygons: DataFrame) -> DataFrame:
     pairs = mine.join(_boxed(boxes, size), ["_cx", "_cy"])
     near = (F.col("lb.x0") <= F.col("x1")) & (F.col("lb.x1") >= F.col("x0")) & (F.col("lb.y0") <= F.col("y1")) & (F.col("lb.y1") >= F.col("y0"))
     first = (_cell(F.greatest(F.col("lb.x0"), F.col("x0")), size) == F.col("_cx")) & (_cell(F.greatest(F.col("lb.y0"), F.col("y0")), size) == F.col("_cy"))
-    return pairs.where(near & first).where(g.crosses_polygon(F.col("coords"), F.col("rings"))).select("l_id", "r_id").distinct()
+    return pairs.where(near & first).select("l_id", "coords", "r_id", "rings")
+
+
+def polygon_crossings(lines: DataFrame, polygons: DataFrame) -> DataFrame:
+    """(l_id, r_id) of lines(id, coords) that lie partly inside and partly outside of polygons(id, rings)."""
+    return _box_pairs(lines, polygons).where(g.crosses_polygon(F.col("coords"), F.col("rings"))).select("l_id", "r_id").distinct()
 
 
 def points_on_lines(points: DataFrame, lines: DataFrame, radius: float) -> DataFrame:
@@ -164,13 +169,20 @@ def nearest_segments(points: DataFrame, lines: DataFrame, radius: float) -> Data
     return near.withColumn("_n", F.rank().over(W.partitionBy("l_id").orderBy("dist"))).where("_n = 1").select("l_id", "r_id", "i", "dist")
 
 
-def longest_overlap(areas: DataFrame, lines: DataFrame) -> DataFrame:
-    """(area_id, line_id, overlap): per area of boxes(id, x0, y0, x1, y1) the line with most length inside; ties to the smaller id."""
+def overlaps(areas: DataFrame, lines: DataFrame) -> DataFrame:
+    """(area_id, line_id, overlap) of areas(id, rings) or boxes(id, x0, y0, x1, y1) and lines(id, coords): lengths inside, above 0."""
+    if "rings" in areas.columns:
+        inside = g.length_within(F.col("coords"), F.col("rings"))
+        return _box_pairs(lines, areas).select(F.col("r_id").alias("area_id"), F.col("l_id").alias("line_id"), inside.alias("overlap")).where("overlap > 0")
     size = max(_extent_cell(areas), _segment_cell(lines, 0.0))
     spread = _spread(line_segments(lines), size).withColumnRenamed("id", "line_id")
-    placed = areas.withColumn("_cx", F.explode(F.sequence(_cell(F.col("x0"), size), _cell(F.col("x1"), size)))).withColumn("_cy", F.explode(F.sequence(_cell(F.col("y0"), size), _cell(F.col("y1"), size)))).withColumnRenamed("id", "area_id")
-    one = spread.join(placed, ["_cx", "_cy"]).dropDuplicates(["area_id", "line_id", "i"])
+    one = spread.join(_boxed(areas, size).withColumnRenamed("id", "area_id"), ["_cx", "_cy"]).dropDuplicates(["area_id", "line_id", "i"])
     inside = g.clip_length(F.struct("ax", "ay", "bx", "by"), *(F.col(c) for c in ("x0", "y0", "x1", "y1")))
-    summed = one.groupBy("area_id", "line_id").agg(F.sum(inside).alias("overlap")).where("overlap > 0")
-    best = F.max(F.struct(F.col("overlap"), (-F.col("line_id")).alias("o"), "line_id"))
-    return summed.groupBy("area_id").agg(best.alias("b")).select("area_id", F.col("b.line_id").alias("line_id"), F.col("b.overlap").alias("overlap"))
+    return one.groupBy("area_id", "line_id").agg(F.sum(inside).alias("overlap")).where("overlap > 0")
+
+
+def longest_overlap(areas: DataFrame, lines: DataFrame) -> DataFrame:
+    """(area_id, line_id, overlap): per area the line with most length inside; ties (to a millionth) to the smaller id."""
+    best = F.max(F.struct(F.round("overlap", 6).alias("at_most"), (-F.col("line_id")).alias("o"), "line_id", "overlap"))
+    found = overlaps(areas, lines).groupBy("area_id").agg(best.alias("b"))
+    return found.select("area_id", F.col("b.line_id").alias("line_id"), F.col("b.overlap").alias("overlap"))

@@ -8,7 +8,7 @@ from brookflow.functions import geometry as g
 from brookflow.operators import culverts, discharge, lumping, network, orders
 from brookflow.operators import lines as ln
 from brookflow.plans.derive import duck, view
-from brookflow.plans.queries import QUERIES, SQL, _NL, C, R, annotated, net_lines, query, r4, t
+from brookflow.plans.queries import _IN_CORNERS, _NL, QUERIES, SQL, C, R, annotated, corner_areas, net_lines, query, r4, short_lines, t
 
 # paths from every edge to the sink: totals by a recursive walk, without splits or with 1/n
 _WALK = (
@@ -281,13 +281,10 @@ def _(spark, d):
     return windows.group_minimum(s, "dangling_id", "score").select("id", "dangling_id")
 
 
-@query("net_areas_by_length")
+@query("net_areas_by_length", f"WITH {_IN_CORNERS} SELECT line_id % 5 AS outflow_id, count(*) AS n_areas FROM most WHERE n = 1 GROUP BY line_id % 5")
 def _(spark, d):
-    from brookflow.plans.queries import walls
-
-    boxes = spark.range(100).select("id", ((C("id") % 10) * 100.0).alias("x0"), (F.floor(C("id") / 10) * 100.0).alias("y0"), ((C("id") % 10) * 100.0 + 100).alias("x1"), (F.floor(C("id") / 10) * 100.0 + 100).alias("y1"))
-    lines_ = walls(spark, d)
-    return lumping.areas_by_overlap(boxes, lines_, lines_.select(C("id").alias("code"), (C("id") % 5).alias("outflow_id")))
+    lines_ = short_lines(spark, d)
+    return lumping.areas_by_overlap(corner_areas(spark, d), lines_, lines_.select(C("id").alias("code"), (C("id") % 5).alias("outflow_id")))
 
 
 @query("net_dissolve_areas", f"{duck('cells')} SELECT zone % 5 AS outflow_id, count(*) AS n_cells, CAST(count(*) * 4 AS DOUBLE) AS area FROM cells GROUP BY zone % 5")

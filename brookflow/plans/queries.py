@@ -93,7 +93,10 @@ def _(spark, d):
     return view(spark, d, "lines").select("id", r4(g.project(C("coords"), F.lit(0.1), F.lit(0.1))["along"]).alias("v"))
 
 
-@query("geo_shorten")
+@query("geo_shorten", f"{duck('lines')}, l AS (SELECT id, coords, {_LEN} AS len FROM lines), s AS (SELECT id, len, coords, unnest({_CUM}) AS s FROM l), "
+       "h AS (SELECT id, coords, s.i AS i, s.d AS d, s.b AS b, unnest([0.5::DOUBLE, len - 0.5]) AS a, unnest([0, 1]) AS k FROM s), "
+       "p AS (SELECT id, k, coords[i].x + (a - b) / d * (coords[i + 1].x - coords[i].x) AS x, coords[i].y + (a - b) / d * (coords[i + 1].y - coords[i].y) AS y FROM h WHERE a > b AND a <= b + d) "
+       f"SELECT f.id AS id, 2 AS n, {R('sqrt(pow(t.x - f.x, 2) + pow(t.y - f.y, 2))', 'v')} FROM p f JOIN p t ON f.id = t.id AND f.k = 0 AND t.k = 1")
 def _(spark, d):
     c = g.shorten(C("coords"), 0.5)
     return view(spark, d, "lines").select("id", c.alias("c")).select("id", F.size("c").alias("n"), r4(g.length(C("c"))).alias("v"))
@@ -149,7 +152,12 @@ def _(spark, d):
     return view(spark, d, "lines").select("id", best.alias("b")).select("id", "b.code", r4(C("b.diff")).alias("diff"))
 
 
-@query("geo_crs")
+def _degrees(origin: float, terms: tuple) -> str:
+    return f"{origin} + (" + " + ".join(f"({k}::DOUBLE) * pow(dx, {p}) * pow(dy, {q})" for p, q, k in terms) + ") / 3600"
+
+
+@query("geo_crs", f"{duck('pts_a')}, o AS (SELECT id, (x * 100 + 100000 - 155000) / 1e5 AS dx, (y * 100 + 400000 - 463000) / 1e5 AS dy FROM pts_a) "
+       f"SELECT id, {R(_degrees(g.RD_ORIGIN[3], g.RD_LONGITUDE), 'lon')}, {R(_degrees(g.RD_ORIGIN[2], g.RD_LATITUDE), 'lat')} FROM o")
 def _(spark, d):
     p = g.rd_to_wgs84(C("x") * 100 + 100000, C("y") * 100 + 400000)
     return view(spark, d, "pts_a").select("id", p.alias("p")).select("id", r4(C("p.lon")).alias("lon"), r4(C("p.lat")).alias("lat"))
@@ -397,6 +405,19 @@ def _(spark, d):
     return spatial.longest_overlap(boxes, walls(spark, d)).select("area_id", "line_id", r4(C("overlap")).alias("overlap"))
 
 
+#: Culverts' lengths within L-shaped areas: both arms less the corner they share.
+_IN_CORNERS = (
+    "bent AS (SELECT s_suppkey AS id, CAST((s_suppkey * 53) % 1000 AS DOUBLE) AS x, CAST((s_suppkey * 71) % 1000 AS DOUBLE) AS y FROM supplier), "
+    f"{_CULV}, inl AS (SELECT a.id AS area_id, c.id AS line_id, sqrt(13 * 13 + 31 * 31) * ({_within('a.x, a.y, a.x + 40, a.y + 10')} + {_within('a.x, a.y, a.x + 10, a.y + 40')} - {_within('a.x, a.y, a.x + 10, a.y + 10')}) AS overlap FROM culv c, bent a), "
+    "most AS (SELECT *, row_number() OVER (PARTITION BY area_id ORDER BY round(overlap, 6) DESC, line_id) AS n FROM inl WHERE overlap > 1e-9)"
+)
+
+
+@query("join_intersection_len_polygon", f"WITH {_IN_CORNERS} SELECT area_id, line_id, {R('overlap', 'overlap')} FROM most WHERE n = 1")
+def _(spark, d):
+    return spatial.longest_overlap(corner_areas(spark, d), short_lines(spark, d)).select("area_id", "line_id", r4(C("overlap")).alias("overlap"))
+
+
 @query("join_score_group", f"WITH s AS ({_SC}), g AS (SELECT id, id % 50 AS dangling_id, CAST(ceil((1 + o + 2 * w + 4 * n + 8 * p) / 4.0) AS INTEGER) AS grp FROM s), m AS (SELECT *, min(grp) OVER (PARTITION BY dangling_id) AS lo FROM g) SELECT id, dangling_id FROM m WHERE grp = lo")
 def _(spark, d):
     s = scored_parts(spark, d).select("id", (C("id") % 50).alias("dangling_id"), culverts.score_group(culverts.score(strict=True)).alias("grp"))

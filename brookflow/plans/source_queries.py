@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from brookflow.functions import geometry as g
 from brookflow.plans.derive import duck, view
 from brookflow.plans.queries import _LEN, QUERIES, SQL, C, R, net_lines, query, r4, t
 from brookflow.runtime import new_dir
-from brookflow.sources import grid, layers, settings, viz
+from brookflow.sources import gpkg, grid, layers, settings, viz
 
 _LL = f"{duck('lines')} SELECT id, {R(_LEN, 'v')} FROM lines"
 
@@ -22,8 +24,22 @@ def _(spark, d):
     return layers.read_layers(spark, out, ["lines"])["lines"].select("id", r4(g.length(C("coords"))).alias("v"))
 
 
-for _k in ("src_required", "src_vector"):
-    QUERIES[_k], SQL[_k] = QUERIES["sink_layers"], SQL["sink_layers"]
+QUERIES["src_required"], SQL["src_required"] = QUERIES["sink_layers"], SQL["sink_layers"]
+
+
+@query("src_vector", "SELECT s_suppkey AS id, 'N' || CAST(s_nationkey AS VARCHAR) AS code, 700.0::DOUBLE AS area FROM supplier")
+def _(spark, d):
+    """L-shaped areas as polygons of a GeoPackage, 40 wide and high, 10 thick, in the shared folder: one of files, as sqlite3 opens no other."""
+    from brookflow.plans.queries import corner_areas
+
+    areas = corner_areas(spark, d).join(t(spark, d, "supplier").select(C("s_suppkey").alias("id"), F.concat(F.lit("N"), "s_nationkey").alias("code")), "id")
+    place = urlparse(new_dir(spark, "gpkg"))
+    if place.scheme not in ("", "file"):
+        raise ValueError(f"a GeoPackage can't be written to {place.scheme}")
+    os.makedirs(place.path)
+    path = place.path + "/areas.gpkg"
+    gpkg.write(areas, path, "areas")
+    return gpkg.read(spark, path, "areas").select("id", "code", g.area(C("rings")).alias("area"))
 
 
 @query("src_raster", f"{duck('cells')} SELECT r, c, {R('v', 'v')} FROM cells")
@@ -97,4 +113,14 @@ def _(spark, d):
 
 
 QUERIES["sink_xlsx_tables"], SQL["sink_xlsx_tables"] = QUERIES["src_xlsx_tables"], SQL["src_xlsx_tables"]
-QUERIES["src_xlsx_sheet"], SQL["src_xlsx_sheet"] = QUERIES["src_xlsx_tables"], SQL["src_xlsx_tables"]
+
+
+@query("src_xlsx_sheet", "SELECT n_name AS station, CASE WHEN n_nationkey % 3 > 0 THEN CAST(n_nationkey AS DOUBLE) END AS level FROM nation")
+def _(spark, d):
+    """A plain sheet of measurements, in which -999 stands for none."""
+    from brookflow.sources import xlsx
+
+    level = F.when(C("n_nationkey") % 3 > 0, C("n_nationkey")).otherwise(-999).cast("double")
+    with tempfile.NamedTemporaryFile(suffix=".xlsx") as f:
+        xlsx.write_tables(f.name, {"Stations": t(spark, d, "nation").select(C("n_name").alias("station"), level.alias("level"))})
+        return xlsx.read_sheet(spark, f.name, "Stations").select("station", F.nullif("level", F.lit(-999.0)).alias("level"))

@@ -1,4 +1,4 @@
-"""Excel workbooks of named tables, by the standard library: small look-up and report tables, on the driver."""
+"""Excel workbooks, by named tables or whole sheets, with the standard library: small look-up and report tables, on the driver."""
 
 from __future__ import annotations
 
@@ -34,47 +34,86 @@ def _letters(n: int) -> str:
     return out
 
 
+def _shared(z: zipfile.ZipFile) -> list[str]:
+    if "xl/sharedStrings.xml" not in z.namelist():
+        return []
+    return ["".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", _NS)]
+
+
+def _cells(z: zipfile.ZipFile, name: str, shared: list[str]) -> dict[tuple[int, int], object]:
+    """{(row, column), from 1: value} of one sheet's file; error cells are NaN, #DIV/0! is infinite, empty cells are ""."""
+    cells = {}
+    for c in ET.fromstring(z.read(name)).iter(f"{{{_NS['m']}}}c"):
+        kind, v, inline = c.get("t"), c.find("m:v", _NS), c.find("m:is", _NS)
+        text = "".join(t.text or "" for t in inline.iter(f"{{{_NS['m']}}}t")) if inline is not None else (v.text if v is not None else None)
+        if kind == "s":
+            value = shared[int(text)]
+        elif kind == "e":
+            value = math.inf if text == "#DIV/0!" else math.nan
+        elif kind in ("str", "inlineStr"):
+            value = text or ""
+        else:
+            value = float(text) if text else ""
+        ref = c.get("r")
+        cells[int(re.search(r"\d+", ref)[0]), _column(ref)] = value
+    return cells
+
+
+def _block(cells: dict, rows: tuple[int, int], cols: tuple[int, int]) -> list[list]:
+    return [[cells.get((r, c), "") for c in range(cols[0], cols[1] + 1)] for r in range(rows[0], rows[1] + 1)]
+
+
 def tables(path: str) -> dict[str, list[list]]:
-    """{table: rows with the header first}; error cells are NaN, #DIV/0! is infinite, empty cells are ""."""
+    """{table: rows with the header first}"""
     out = {}
     with zipfile.ZipFile(path) as z:
-        shared = []
-        if "xl/sharedStrings.xml" in z.namelist():
-            shared = ["".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", _NS)]
+        shared = _shared(z)
         for name in [n for n in z.namelist() if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n)]:
-            sheet = ET.fromstring(z.read(name))
-            cells = {}
-            for c in sheet.iter(f"{{{_NS['m']}}}c"):
-                kind, v, inline = c.get("t"), c.find("m:v", _NS), c.find("m:is", _NS)
-                text = "".join(t.text or "" for t in inline.iter(f"{{{_NS['m']}}}t")) if inline is not None else (v.text if v is not None else None)
-                if kind == "s":
-                    value = shared[int(text)]
-                elif kind == "e":
-                    value = math.inf if text == "#DIV/0!" else math.nan
-                elif kind in ("str", "inlineStr"):
-                    value = text or ""
-                else:
-                    value = float(text) if text else ""
-                ref = c.get("r")
-                cells[int(re.search(r"\d+", ref)[0]), _column(ref)] = value
+            cells = _cells(z, name, shared)
             rels = name.replace("worksheets/", "worksheets/_rels/") + ".rels"
             for target in ([r.get("Target") for r in ET.fromstring(z.read(rels)) if r.get("Type").endswith("/table")] if rels in z.namelist() else []):
                 table = ET.fromstring(z.read("xl/" + target.removeprefix("../").removeprefix("/xl/")))
                 a, b = table.get("ref").split(":")
-                rows, cols = [int(re.search(r"\d+", x)[0]) for x in (a, b)], [_column(x) for x in (a, b)]
-                out[table.get("displayName")] = [[cells.get((r, c), "") for c in range(cols[0], cols[1] + 1)] for r in range(rows[0], rows[1] + 1)]
+                out[table.get("displayName")] = _block(cells, tuple(int(re.search(r"\d+", x)[0]) for x in (a, b)), (_column(a), _column(b)))
+    return out
+
+
+def sheets(path: str) -> dict[str, list[list]]:
+    """{sheet: rows from its first to its last used cell}, in the workbook's order."""
+    out = {}
+    with zipfile.ZipFile(path) as z:
+        shared = _shared(z)
+        files = {r.get("Id"): r.get("Target").removeprefix("/xl/") for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+        for sheet in ET.fromstring(z.read("xl/workbook.xml")).iter(f"{{{_NS['m']}}}sheet"):
+            cells = _cells(z, "xl/" + files[sheet.get(_REL)], shared)
+            rows, cols = [r for r, _ in cells], [c for _, c in cells]
+            out[sheet.get("name")] = _block(cells, (min(rows), max(rows)), (min(cols), max(cols))) if cells else []
     return out
 
 
+def _frame(spark: SparkSession, found: list[list]) -> DataFrame:
+    """Rows with the header first; columns of numbers are doubles, others strings."""
+    head, *rows = found
+    numeric = [all(isinstance(r[i], float) or r[i] == "" for r in rows) and any(isinstance(r[i], float) for r in rows) for i in range(len(head))]
+    data = [tuple((None if v == "" else v) if numeric[i] else ("" if v == "" else str(v)) for i, v in enumerate(r)) for r in rows]
+    return spark.createDataFrame(data, ", ".join(f"`{h}` {'double' if n else 'string'}" for h, n in zip(head, numeric, strict=True)))
+
+
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One named table; TableNotFound if it isn't there. Columns of numbers are doubles, others strings."""
+    """One named table; TableNotFound if it isn't there."""
     found = tables(path)
     if table not in found:
         raise TableNotFound(table)
-    head, *rows = found[table]
-    numeric = [all(isinstance(r[i], float) or r[i] == "" for r in rows) and any(isinstance(r[i], float) for r in rows) for i in range(len(head))]
-    data = [tuple((None if v == "" else v) if numeric[i] else ("" if v == "" else str(v)) for i, v in enumerate(r)) for r in rows]
-    return spark.createDataFrame(data, ", ".join(f"`{h}` {'double' if n else 'string'}" for h, n in zip(head, numeric, strict=True)))
+    return _frame(spark, found[table])
+
+
+def read_sheet(spark: SparkSession, path: str, sheet: str | None = None, skip: int = 0) -> DataFrame:
+    """One sheet (the first, if none is named), its header after `skip` used rows; TableNotFound if it isn't there or has no header."""
+    found = sheets(path)
+    rows = (found.get(sheet, []) if sheet else next(iter(found.values()), []))[skip:]
+    if not rows:
+        raise TableNotFound(sheet or "a first sheet")
+    return _frame(spark, rows)
 
 
 def write_tables(path: str, frames: dict[str, DataFrame]) -> None:

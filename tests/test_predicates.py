@@ -79,3 +79,26 @@ def test_labels_stop_at_rings(spark):
     flow = spark.createDataFrame([(0, 0, 0, 1), (0, 1, 0, 0), (0, 2, 0, 1), (1, 0, 1, 1), (1, 1, 1, 2), (1, 2, None, None)], "r int, c int, nr int, nc int")
     labels = spark.createDataFrame([(1, 2, 7)], "r int, c int, label int")
     assert {tuple(x) for x in raster.basins(flow, labels).collect()} == {(1, 0, 7), (1, 1, 7), (1, 2, 7)}
+
+
+def test_length_within_polygons(spark):
+    from brookflow.operators import spatial
+
+    corner = [(0.0, 0.0), (4.0, 0.0), (4.0, 1.0), (1.0, 1.0), (1.0, 4.0), (0.0, 4.0), (0.0, 0.0)]
+    frame = [[(10.0, 0.0), (14.0, 0.0), (14.0, 4.0), (10.0, 4.0), (10.0, 0.0)], [(11.0, 1.0), (13.0, 1.0), (13.0, 3.0), (11.0, 3.0), (11.0, 1.0)]]
+    shape = "id long, rings array<array<struct<x:double,y:double>>>"
+    areas = spark.createDataFrame([(1, [corner]), (2, frame)], shape)
+    lines = {
+        1: [(-1.0, 2.0), (5.0, 2.0)],  # through one arm
+        2: [(0.5, 3.0), (3.0, 0.5)],  # leaves one arm, enters the other: 1 - 0.5 on both sides
+        3: [(0.0, -1.0), (0.0, 3.0)],  # along the left side
+        4: [(9.0, 2.0), (15.0, 2.0)],  # through a frame and its hole
+        5: [(2.0, 2.0), (3.0, 3.0)],  # in the notch
+        6: [(0.5, 0.5), (0.5, 0.5), (0.5, 2.5)],  # inside, with a repeated vertex
+    }
+    df = spark.createDataFrame(list(lines.items()), "id long, coords array<struct<x:double,y:double>>")
+    got = {(r["area_id"], r["line_id"]): r["overlap"] for r in spatial.overlaps(areas, df).collect()}
+    told = {(1, 1): 1.0, (1, 2): 2**0.5, (1, 3): 3.0, (2, 4): 2.0, (1, 6): 2.0}
+    assert got.keys() == told.keys() and all(abs(got[k] - v) < 1e-9 for k, v in told.items())
+    best = {r["area_id"]: r["line_id"] for r in spatial.longest_overlap(areas, df).collect()}
+    assert best == {1: 3, 2: 4} and spatial.longest_overlap(areas.limit(0), df).count() == 0

@@ -23,6 +23,33 @@ def test_geometry_blobs():
     assert gpkg.decode_line(z) == [(1, 2), (3, 4)]
     assert gpkg.decode_line(gpkg.encode_line([(1.5, 2.5), (3.0, 4.0)])) == [(1.5, 2.5), (3.0, 4.0)]
     assert gpkg.decode_line(None) is None
+    ring = [(0.0, 0.0), (4.0, 0.0), (0.0, 4.0), (0.0, 0.0)]
+    hole = [(1.0, 1.0), (2.0, 1.0), (1.0, 2.0), (1.0, 1.0)]
+    assert gpkg.decode(gpkg.encode_polygon([ring, hole])) == [[ring, hole]]
+    piece = lambda n: struct.pack("<BII", 1, 2, 2) + struct.pack("<4d", n, n, n + 1, n)
+    multi = b"GP\x00\x01\x00\x00\x00\x00" + struct.pack("<BII", 1, 5, 2) + piece(1) + piece(7)
+    assert gpkg.decode(multi) == [[(1, 1), (2, 1)], [(7, 7), (8, 7)]]
+    with pytest.raises(ValueError):
+        gpkg.decode_line(multi)
+    with pytest.raises(ValueError):
+        gpkg.decode(b"GP\x00\x01\x00\x00\x00\x00" + struct.pack("<BII", 1, 8, 0))
+
+
+def test_polygons_and_multi_lines_of_a_geopackage(spark, tmp_path):
+    import sqlite3
+    import struct
+
+    path = str(tmp_path / "p.gpkg")
+    ring = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 0.0)]
+    df = spark.createDataFrame([(1, [ring]), (2, None)], "id long, rings array<array<struct<x:double,y:double>>>")
+    gpkg.write(df, path, "areas")
+    gpkg.write(spark.createDataFrame([(1, [(0.0, 0.0), (1.0, 1.0)])], "id long, coords array<struct<x:double,y:double>>"), path, "lines")
+    got = gpkg.read(spark, path, "areas").orderBy("id").collect()
+    assert [tuple(p) for p in got[0]["rings"][0]] == ring and got[1]["rings"] is None
+    piece = lambda n: struct.pack("<BII", 1, 2, 2) + struct.pack("<4d", n, n, n + 1, n)
+    with sqlite3.connect(path) as db:
+        db.execute("INSERT INTO lines VALUES (2, ?)", (b"GP\x00\x01\x00\x00\x00\x00" + struct.pack("<BII", 1, 5, 2) + piece(1) + piece(7),))
+    assert sorted((r["id"], r["coords"][0]["x"]) for r in gpkg.read(spark, path, "lines").collect()) == [(1, 0.0), (2, 1.0), (2, 7.0)]
 
 
 def test_settings_and_case(tmp_path):
@@ -54,6 +81,11 @@ def test_workbook(spark, tmp_path):
     assert set(xlsx.tables(path)) == {"First", "Second"} and math.isclose(xlsx.read_table(spark, path, "Second").first()["x"], 1.0)
     with pytest.raises(xlsx.TableNotFound):
         xlsx.read_table(spark, path, "Third")
+    assert list(xlsx.sheets(path)) == ["First", "Second"] and xlsx.read_sheet(spark, path).columns == df.columns
+    assert xlsx.read_sheet(spark, path, "Second").first()["x"] == 1.0
+    for sheet, skip in (("Third", 0), ("Second", 2)):
+        with pytest.raises(xlsx.TableNotFound):
+            xlsx.read_sheet(spark, path, sheet, skip)
 
 
 def test_grid(spark, tmp_path):
