@@ -70,24 +70,30 @@ def fill_depressions(cells: DataFrame, eps: float = 0.0, max_depth: float | None
     return held.select("r", "c", F.when(keep & (F.col("w") < float("inf")), F.col("w")).otherwise(F.col("v")).alias("v"))
 
 
-def basins(flow: DataFrame, labels: DataFrame) -> DataFrame:
+def basins(flow: DataFrame, labels: DataFrame, most_steps: int | None = None) -> DataFrame:
     """(r, c, label): the first labelled cell downstream of each cell, itself included; cells that drain to none have no row.
 
-    flow(r, c, nr, nc), labels(r, c, label > 0).
+    flow(r, c, nr, nc), labels(r, c, label > 0). With most_steps, cells that are more steps away have none either.
     """
     joined = flow.join(labels, ["r", "c"], "left")
-    held = staged(joined.select("r", "c", F.when(F.col("label").isNull(), F.col("nr")).alias("nr"), F.when(F.col("label").isNull(), F.col("nc")).alias("nc"), "label"), "basins")
+    free = F.col("label").isNull()
+    start = joined.select("r", "c", F.when(free, F.col("nr")).alias("nr"), F.when(free, F.col("nc")).alias("nc"), "label", F.when(free, 1).otherwise(0).cast("long").alias("n"))
+    held = staged(start, "basins")
     left = held.where("label is null and nr is not null").count()
     while left:
-        far = held.select(F.col("r").alias("nr"), F.col("c").alias("nc"), F.col("nr").alias("fr"), F.col("nc").alias("fc"), F.col("label").alias("fl"))
+        far = held.select(F.col("r").alias("nr"), F.col("c").alias("nc"), F.col("nr").alias("fr"), F.col("nc").alias("fc"), F.col("label").alias("fl"), F.col("n").alias("fn"))
         going = held.where("label is null and nr is not null").join(far, ["nr", "nc"], "left")
-        moved = going.select("r", "c", F.when(F.col("fl").isNull(), F.col("fr")).alias("nr"), F.when(F.col("fl").isNull(), F.col("fc")).alias("nc"), F.col("fl").alias("label"))
+        onward = F.col("fl").isNull()
+        moved = going.select(
+            "r", "c", F.when(onward, F.col("fr")).alias("nr"), F.when(onward, F.col("fc")).alias("nc"), F.col("fl").alias("label"), (F.col("n") + F.col("fn")).alias("n")
+        )
         new = staged(held.where("NOT (label is null and nr is not null)").unionByName(moved), "basins")
         release(held)
         held, before, left = new, left, new.where("label is null and nr is not null").count()
         if left == before:  # pointers double, so all that don't go round in a ring get somewhere each round
             break
-    return held.where("label is not null").select("r", "c", "label")
+    within = F.lit(True) if most_steps is None else F.col("n") <= most_steps
+    return held.where("label is not null").where(within).select("r", "c", "label")
 
 
 def rasterize_lines(lines: DataFrame, cell: float, width: float, priority: str = "id") -> DataFrame:
@@ -245,11 +251,29 @@ def flow_d16(cells: DataFrame, fills: DataFrame | None = None) -> DataFrame:
     return held.select("r", "c", "sector", (F.col("r") + step["r"]).alias("nr"), (F.col("c") + step["c"]).alias("nc"))
 
 
-def propagate_d16(cells: DataFrame, labels: DataFrame, fills: DataFrame | None = None, d8_steps: int = 2) -> DataFrame:
-    """(r, c, label): labels go d8_steps cells up along the steepest ways, then all the way up the sixteen directions."""
+def propagate_d16(cells: DataFrame, labels: DataFrame, fills: DataFrame | None = None, d8_steps: int = 2, most_steps: int | None = None) -> DataFrame:
+    """(r, c, label): labels go d8_steps cells up along the steepest ways, then all the way (or most_steps) up the sixteen directions."""
     down, held = flow_d8(cells).select("r", "c", "nr", "nc"), labels.select("r", "c", "label")
     for _ in range(d8_steps):
         below = held.select(F.col("r").alias("nr"), F.col("c").alias("nc"), F.col("label").alias("_below"))
         reached = down.join(below, ["nr", "nc"]).select("r", "c", F.col("_below").alias("label")).join(held.select("r", "c"), ["r", "c"], "left_anti")
         held = staged(held.unionByName(reached), "labels")
-    return basins(flow_d16(cells, fills).select("r", "c", "nr", "nc"), held)
+    return basins(flow_d16(cells, fills).select("r", "c", "nr", "nc"), held, most_steps)
+
+
+def run_flow(dem: DataFrame, waterways: DataFrame, iterations: int | None = 2000, method: str = "d8", fills: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(cells (r, c, label), flow): labels (r, c, label > 0) of waterways spread over the terrain (r, c, v), against its flow.
+
+    "d8": at most `iterations` cells up the steepest ways; flow is (r, c, dir, nr, nc). "d16": two cells up those, then at most
+    `iterations` steps of two cells up the sixteen directions of the filled terrain, or of fills (r, c, sector) where there are
+    any; flow is (r, c, sector, nr, nc). iterations=None: all the way.
+    """
+    if method not in ("d8", "d16"):
+        raise ValueError(f"no flow method {method}")
+    wet = waterways.where("label > 0").select("r", "c", "label")
+    down = staged(flow_d8(dem), "flow")
+    near = basins(down, wet, iterations if method == "d8" else 2)
+    if method == "d8":
+        return near, down
+    held = staged(flow_d16(staged(fill_depressions(dem), "filled"), fills), "flow")
+    return basins(held.select("r", "c", "nr", "nc"), staged(near, "labels"), iterations), held

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from brookflow.operators import raster
+from brookflow.functions import geometry as g
+from brookflow.operators import outlines, raster
 from brookflow.plans.derive import duck, view
 from brookflow.plans.queries import QUERIES, SQL, C, R, query, r4, t, walls
 
@@ -102,10 +103,33 @@ def _(spark, d):
     return raster.smooth_burn(grid(spark, d).withColumn("dist", C("zone").cast("double")), 5.0, 3.0, 10.0).select("r", "c", r4(C("v")).alias("v"))
 
 
-@query("ras_polygonize", f"{_G}, l AS (SELECT r, c, zone // 9 AS label FROM g), s AS (SELECT unnest([0, 0, 1, -1]) AS dr, unnest([1, -1, 0, 0]) AS dc), e AS (SELECT a.label AS label, count(*) AS same FROM l a CROSS JOIN s JOIN l b ON b.r = a.r + dr AND b.c = a.c + dc AND b.label = a.label GROUP BY a.label), n AS (SELECT label, count(*) AS n_cells FROM l GROUP BY label) SELECT n.label AS label, n_cells, CAST(n_cells * 4 AS DOUBLE) AS area, 4 * n_cells - same AS sides FROM n JOIN e ON n.label = e.label")
+#: Corners, and parts less holes, told from the four cells around each grid point.
+_CORNERS = (
+    "q AS (SELECT label, r + i AS vr, c + j AS vc, count(*) AS n, count(*) FILTER (WHERE i = j) AS d "
+    "FROM l, (SELECT unnest([0, 0, 1, 1]) AS i, unnest([0, 1, 0, 1]) AS j) GROUP BY label, vr, vc), "
+    "k AS (SELECT label, count(*) FILTER (WHERE n = 1) AS one, count(*) FILTER (WHERE n = 3) AS three, count(*) FILTER (WHERE n = 2 AND d <> 1) AS across FROM q GROUP BY label)"
+)
+
+
+@query(
+    "ras_polygonize",
+    f"{_G}, l AS (SELECT r, c, zone // 9 AS label FROM g), s AS (SELECT unnest([0, 0, 1, -1]) AS dr, unnest([1, -1, 0, 0]) AS dc), "
+    "e AS (SELECT a.label AS label, count(*) AS same FROM l a CROSS JOIN s JOIN l b ON b.r = a.r + dr AND b.c = a.c + dc AND b.label = a.label GROUP BY a.label), "
+    f"n AS (SELECT label, count(*) AS n_cells FROM l GROUP BY label), {_CORNERS} SELECT n.label AS label, n_cells, CAST(n_cells * 4 AS DOUBLE) AS area, 4 * n_cells - same AS sides, "
+    "CAST(one + three + 2 * across AS BIGINT) AS corners, CAST((one - three + 2 * across) // 4 AS BIGINT) AS parts_less_holes FROM n JOIN e ON n.label = e.label JOIN k ON n.label = k.label",
+)
 def _(spark, d):
-    c = grid(spark, d).select("r", "c", F.expr("zone div 9").alias("label"))
-    return raster.polygonize(c).select("label", "n_cells", "area", "sides")
+    """Everything but n_cells is measured on the polygons' rings."""
+    cells = grid(spark, d).select("r", "c", F.expr("zone div 9").alias("label"))
+    shapes = outlines.outlines(cells, 2.0).select("label", "area", "rings")
+    measured = shapes.groupBy("label").agg(
+        F.sum("area").alias("area"),
+        F.sum(F.aggregate("rings", F.lit(0.0), lambda s, ring: s + g.length(ring))).alias("around"),
+        F.sum(F.aggregate("rings", F.lit(0).cast("long"), lambda s, ring: s + F.size(ring) - 1)).alias("corners"),
+        F.sum(F.lit(2).cast("long") - F.size("rings")).alias("parts_less_holes"),
+    )
+    counted = cells.groupBy("label").agg(F.count(F.lit(1)).alias("n_cells"))
+    return counted.join(measured, "label").select("label", "n_cells", "area", (F.col("around") / 2).cast("long").alias("sides"), "corners", "parts_less_holes")
 
 
 @query("ras_levels_1_2", f"{duck('net_edges')} SELECT downstream AS level_2, count(*) AS n, {R('sum(length)', 'area')} FROM (SELECT concat('P', node_end) AS downstream, length FROM net_edges WHERE code LIKE 'P%') GROUP BY downstream")
@@ -140,7 +164,17 @@ def _(spark, d):
     return drainage_units(grid(spark, d).select("r", "c", "v"), walls(spark, d), 5.0)
 
 
-QUERIES["ras_run"] = QUERIES["ras_generate"]
+@query(
+    "ras_run",
+    f"{_FLOW.replace('WITH ', 'WITH RECURSIVE ', 1)}, w AS (SELECT r, c, zone AS label, 0 AS n FROM g WHERE zone > 0 AND zone % 5 = 0 UNION ALL "
+    "SELECT f.r AS r, f.c AS c, w.label AS label, w.n + 1 AS n FROM w JOIN f ON f.nr = w.r AND f.nc = w.c JOIN g ON g.r = f.r AND g.c = f.c WHERE g.zone % 5 <> 0 OR g.zone = 0) "
+    "SELECT r, c, label FROM w WHERE n <= 3",
+)
+def _(spark, d):
+    """At most three steps up the steepest ways."""
+    cells = grid(spark, d)
+    wet = cells.select("r", "c", F.when(C("zone") % 5 == 0, C("zone")).otherwise(0).alias("label"))
+    return raster.run_flow(cells.select("r", "c", "v"), wet, iterations=3)[0]
 
 
 @query("run_drainage")

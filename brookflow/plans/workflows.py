@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookflow.functions import geometry as g
-from brookflow.operators import culverts, discharge, lines, lumping, network, orders, raster, spatial, windows
+from brookflow.operators import culverts, discharge, lines, lumping, network, orders, outlines, raster, spatial, windows
 from brookflow.runtime import staged
 from brookflow.sources import layers
 
@@ -109,13 +109,14 @@ def drainage_units(terrain: DataFrame, waterways: DataFrame, cell: float, *, wid
 
 
 def run_drainage(spark: SparkSession, data: dict[str, DataFrame], results: str, *, cell: float = 2.0, max_depth: float | None = None) -> dict[str, DataFrame]:
-    """data: topo (r, c, v), waterways (id, code, coords, downstream_edges, order_code, downstream_order_code). Writes afvoergebied_0 (cells), its units and their levels."""
+    """data: topo (r, c, v), waterways (id, code, coords, downstream_edges, order_code, downstream_order_code). Writes afvoergebied_0 (cells), afvoergebied_0_gdf (a polygon per part, with its unit's area and number of parts) and the units' levels."""
     ways = data["waterways"]
     terrain = staged(preprocess_terrain(data["topo"], ways.select("id", "coords"), cell), "terrain")
     cells = staged(drainage_units(terrain, ways.select("id", "coords"), cell, max_depth=max_depth), "units")
-    units = raster.polygonize(cells, cell)
+    units = staged(raster.polygonize(cells, cell), "areas")
+    shapes = outlines.outlines(cells, cell).join(units.select("label", F.col("area").alias("drainage_unit_area"), "n_parts"), "label")
     keys = ways.select((F.col("id") + 1).alias("label"), "code", "downstream_edges", "order_code", "downstream_order_code")
-    made = {"afvoergebied_0": cells, "afvoergebied_0_gdf": units, "afvoergebied_levels": raster.levels(units.select("label", "area"), keys)}
+    made = {"afvoergebied_0": cells, "afvoergebied_0_gdf": shapes.join(keys.select("label", "code"), "label", "left"), "afvoergebied_levels": raster.levels(units.select("label", "area"), keys)}
     layers.write_layers(made, results)
     return layers.read_layers(spark, results, list(made))
 
