@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brookflow.operators import network, spatial
+from brookflow.sources import layers
+
+log = logging.getLogger(__name__)
+#: The layer of split points that wait for a decision, and what it has of each.
+DETECTED = "inflow_outflow_splits_detected"
+DETECTED_COLUMNS = ("node_id", "downstream_edges", "no_downstream_edges", "downstream_edge", "upstream_edges", "no_upstream_edges", "upstream_edge", "x", "y")
 
 
 def outflow_edges(points: DataFrame, nodes: DataFrame, edges: DataFrame, direction: str = "upstream") -> DataFrame:
@@ -29,6 +37,17 @@ def split_direction_by_angle(nodes: DataFrame) -> DataFrame:
     return nodes.withColumn("selected_downstream_edge", best["code"])
 
 
+def export_split_points(splits: DataFrame | None, results: str) -> None:
+    """Write the detected split points (nodes with their lists of edges) with fixed columns; downstream_edge and upstream_edge are empty where they aren't decided. None is logged."""
+    if splits is None:
+        log.info("no split points are detected yet")
+        return
+    for name in ("downstream_edge", "upstream_edge"):
+        if name not in splits.columns:
+            splits = splits.withColumn(name, F.lit(None).cast("string"))
+    layers.write_layers({DETECTED: splits.select(*DETECTED_COLUMNS)}, results)
+
+
 def areas_by_code(areas: DataFrame, membership: DataFrame) -> DataFrame:
     """(outflow_id, n_areas, area) of areas(code, area) by the outflow of their edge."""
     return areas.join(membership, "code").groupBy("outflow_id").agg(F.count(F.lit(1)).alias("n_areas"), F.sum("area").alias("area"))

@@ -8,7 +8,9 @@ from brookflow.functions import geometry as g
 from brookflow.operators import culverts, discharge, lumping, network, orders
 from brookflow.operators import lines as ln
 from brookflow.plans.derive import duck, view
-from brookflow.plans.queries import _IN_CORNERS, _NL, QUERIES, SQL, C, R, annotated, corner_areas, net_lines, query, r4, short_lines, t
+from brookflow.plans.queries import _IN_CORNERS, _NL, QUERIES, SQL, C, R, annotated, corner_areas, net_lines, query, r4, short_lines, t, walls
+from brookflow.runtime import new_dir
+from brookflow.sources import layers
 
 # paths from every edge to the sink: totals by a recursive walk, without splits or with 1/n
 _WALK = (
@@ -76,8 +78,22 @@ def _(spark, d):
     return network.split_points(e, network.trace(e, some_outflows(spark, d)))
 
 
-SQL["sink_splits"] = SQL["net_split_detect"]
-QUERIES["sink_splits"] = QUERIES["net_split_detect"]
+@query(
+    "sink_splits",
+    f"{duck('net_edges', 'net_nodes').replace('WITH ', 'WITH RECURSIVE ', 1)}{_UP.format(stop='')}, m AS (SELECT code, string_agg(DISTINCT out, ',' ORDER BY out) AS s FROM u GROUP BY code), "
+    "k AS (SELECT node_start AS node_id FROM net_edges e JOIN m ON e.code = m.code GROUP BY node_start HAVING count(DISTINCT s) > 1) "
+    "SELECT k.node_id AS node_id, x, y, (SELECT string_agg(code, ',' ORDER BY code) FROM net_edges WHERE node_start = k.node_id) AS downstream_edges, "
+    "(SELECT string_agg(code, ',' ORDER BY code) FROM net_edges WHERE node_end = k.node_id) AS upstream_edges, NULL::VARCHAR AS downstream_edge FROM k JOIN net_nodes n ON n.node_id = k.node_id",
+)
+def _(spark, d):
+    """The layer of split points that wait for a decision, written and read again."""
+    e = view(spark, d, "net_edges")
+    found = network.split_points(e, network.trace(e, some_outflows(spark, d)))
+    nodes = network.edge_lists(view(spark, d, "net_nodes"), e).join(found.select("node_id"), "node_id", "left_semi")
+    out = new_dir(spark, "splits")
+    lumping.export_split_points(nodes, out)
+    held = layers.read_layers(spark, out, [lumping.DETECTED])[lumping.DETECTED]
+    return held.select("node_id", "x", "y", F.array_join("downstream_edges", ",").alias("downstream_edges"), F.array_join("upstream_edges", ",").alias("upstream_edges"), "downstream_edge")
 
 
 @query("net_accumulate_graph", f"{_NETREC}, u AS (SELECT code AS o, code AS code, node_start AS v FROM net_edges WHERE code IN ('P2', 'P3', 'P5') UNION SELECT u.o AS o, e.code AS code, e.node_start AS v FROM u JOIN net_edges e ON e.node_end = u.v) SELECT o AS outflow_id, sum(own) AS total FROM (SELECT DISTINCT o, code FROM u) x JOIN net_edges e ON e.code = x.code GROUP BY o")
@@ -105,12 +121,25 @@ def _(spark, d):
     return network.build(l)[0].select("x", "y", "node_id")
 
 
-@query("net_select_angle")
+#: Bearings of the lines that end and start at each node, in order of code, and the pairs of them by their difference.
+_PAIRS = (
+    "b AS (SELECT e.code AS code, e.node_start AS node_start, e.node_end AS node_end, round(degrees(atan2(bx - ax, \"by\" - ay)), 2) AS a FROM net_edges e JOIN nl ON nl.code = e.code), "
+    "ups AS (SELECT node_end AS node_id, code, a, row_number() OVER (PARTITION BY node_end ORDER BY code) AS i, count(*) OVER (PARTITION BY node_end) AS n FROM b), "
+    "downs AS (SELECT node_start AS node_id, code, a, row_number() OVER (PARTITION BY node_start ORDER BY code) AS j, count(*) OVER (PARTITION BY node_start) AS n FROM b), "
+    "p AS (SELECT u.node_id AS node_id, u.code AS up, w.code AS down, round(abs(u.a - w.a), 2) AS d, i, j FROM ups u JOIN downs w ON u.node_id = w.node_id), "
+    "o AS (SELECT *, lead(d) OVER (PARTITION BY node_id ORDER BY d, i, j) AS second, row_number() OVER (PARTITION BY node_id ORDER BY d, i, j) AS k FROM p), "
+    "best AS (SELECT * FROM o WHERE k = 1 AND (second IS NULL OR d < second - 10)), "
+    "chosen AS (SELECT m.node_id AS node_id, coalesce(u.n, 0) AS no_upstream_edges, coalesce(w.n, 0) AS no_downstream_edges, coalesce(CASE WHEN u.n = 1 THEN u.code END, up) AS selected_upstream_edge, "
+    "coalesce(CASE WHEN w.n = 1 THEN w.code END, down) AS selected_downstream_edge FROM net_nodes m LEFT JOIN ups u ON u.node_id = m.node_id AND u.i = 1 LEFT JOIN downs w ON w.node_id = m.node_id AND w.j = 1 LEFT JOIN best ON best.node_id = m.node_id)"
+)
+
+
+@query("net_select_angle", f"{_NL}, {_PAIRS} SELECT node_id, selected_upstream_edge, selected_downstream_edge FROM chosen")
 def _(spark, d):
     return network.select_by_angle(annotated(spark, d)).select("node_id", "selected_upstream_edge", "selected_downstream_edge")
 
 
-@query("net_annotate")
+@query("net_annotate", f"{_NL}, {_PAIRS} SELECT node_id, no_upstream_edges, no_downstream_edges, selected_upstream_edge, selected_downstream_edge FROM chosen")
 def _(spark, d):
     return network.select_main(annotated(spark, d)).select("node_id", "no_upstream_edges", "no_downstream_edges", "selected_upstream_edge", "selected_downstream_edge")
 
@@ -159,17 +188,29 @@ def _(spark, d):
     return orders.other_waterlines(pts, coded, others).select("code", "order_no", "order_code")
 
 
-@query("net_shortest")
+_SOURCES = "node_id % 97 = 7"
+#: Ways from the sources over edges of both directions, bettered until none gets shorter.
+_SHORT = (
+    f"{duck('net_edges', 'net_nodes').replace('WITH ', 'WITH RECURSIVE ', 1)}, both_ways AS (SELECT u, v, min(w) AS w FROM (SELECT node_start AS u, node_end AS v, length AS w FROM net_edges "
+    "UNION ALL SELECT node_end AS u, node_start AS v, length AS w FROM net_edges) z GROUP BY u, v), "
+    f"sp(node_id, source, dist) USING KEY (node_id) AS (SELECT node_id, node_id AS source, 0.0::DOUBLE AS dist FROM net_nodes WHERE {_SOURCES} UNION "
+    "SELECT m.node_id, m.b.source AS source, m.b.dist AS dist FROM (SELECT w.v AS node_id, min({'dist': sp.dist + w.w, 'source': sp.source}) AS b FROM sp JOIN both_ways w ON w.u = sp.node_id GROUP BY w.v) m "
+    "LEFT JOIN recurring.sp old ON old.node_id = m.node_id WHERE old.node_id IS NULL OR m.b.dist < old.dist OR (m.b.dist = old.dist AND m.b.source < old.source))"
+)
+
+
+@query("net_shortest", f"{_SHORT} SELECT node_id, source, {R('dist', 'dist')} FROM sp")
 def _(spark, d):
     e = view(spark, d, "net_edges")
-    s = network.shortest(e, view(spark, d, "net_nodes").where("node_id in (0, 7)").select("node_id"))
+    s = network.shortest(e, view(spark, d, "net_nodes").where(_SOURCES).select("node_id"))
     return s.select("node_id", "source", r4(C("dist")).alias("dist"))
 
 
-@query("net_redirect")
+@query("net_redirect", f"{_SHORT} SELECT code, CASE WHEN b.dist > a.dist THEN node_end ELSE node_start END AS node_start, CASE WHEN b.dist > a.dist THEN node_start ELSE node_end END AS node_end, b.dist > a.dist AS reversed_direction "
+       "FROM net_edges e JOIN sp a ON e.node_start = a.node_id JOIN sp b ON e.node_end = b.node_id")
 def _(spark, d):
     e = view(spark, d, "net_edges")
-    s = network.shortest(e, view(spark, d, "net_nodes").where("node_id in (0, 7)").select("node_id"))
+    s = network.shortest(e, view(spark, d, "net_nodes").where(_SOURCES).select("node_id"))
     return network.redirect(e, s).select("code", "node_start", "node_end", "reversed_direction")
 
 
@@ -190,12 +231,21 @@ def _(spark, d):
     return network.direction_by_hash(n).select("node_id", C("selected_downstream_edge").alias("selected"))
 
 
-@query("net_split_direction_angle")
+@query(
+    "net_split_direction_angle",
+    f"{_NL}, {_PAIRS}, turns AS (SELECT w.node_id AS node_id, w.code AS code, row_number() OVER (PARTITION BY w.node_id ORDER BY least(abs(w.a - u.a), 360 - abs(w.a - u.a)), w.j) AS k "
+    "FROM downs w JOIN ups u ON u.node_id = w.node_id AND u.i = 1 WHERE w.n > 1) SELECT node_id, code AS selected_downstream_edge FROM turns WHERE k = 1",
+)
 def _(spark, d):
     return lumping.split_direction_by_angle(annotated(spark, d).where("no_downstream_edges > 1 and no_upstream_edges > 0")).select("node_id", "selected_downstream_edge")
 
 
-@query("net_upstream_of_points")
+@query(
+    "net_upstream_of_points",
+    f"{duck('net_edges', 'net_nodes', 'pts_b').replace('WITH ', 'WITH RECURSIVE ', 1)}, near AS (SELECT p.id AS out, n.node_id AS node_id, row_number() OVER (PARTITION BY p.id ORDER BY pow(p.x - n.x, 2) + pow(p.y - n.y, 2), n.node_id) AS k FROM pts_b p CROSS JOIN net_nodes n), "
+    "first AS (SELECT out, node_id FROM near WHERE k = 1), u AS (SELECT first.out AS out, e.code AS code, e.node_start AS v FROM first JOIN net_edges e ON e.node_end = first.node_id UNION "
+    "SELECT u.out AS out, e.code AS code, e.node_start AS v FROM u JOIN net_edges e ON e.node_end = u.v WHERE u.v NOT IN (SELECT node_id FROM first)) SELECT DISTINCT out AS outflow_id, code FROM u",
+)
 def _(spark, d):
     return lumping.upstream_of_points(view(spark, d, "pts_b"), view(spark, d, "net_nodes"), view(spark, d, "net_edges"))
 
@@ -208,7 +258,14 @@ def _(spark, d):
 
 # ---- line networks ----
 
-@query("geo_split_at_points")
+@query(
+    "geo_split_at_points",
+    f"{_NL}, s AS (SELECT code, ax, ay, bx, \"by\", sqrt(pow(bx - ax, 2) + pow(\"by\" - ay, 2)) AS len FROM nl), m AS (SELECT DISTINCT (ax + bx) / 2 AS x, (ay + \"by\") / 2 AS y FROM s), "
+    "h AS (SELECT code, len, ((x - ax) * (bx - ax) + (y - ay) * (\"by\" - ay)) / len AS a FROM s JOIN m ON abs((x - ax) * (\"by\" - ay) - (y - ay) * (bx - ax)) <= 1e-6 WHERE len > 0), "
+    "k AS (SELECT code, a FROM h WHERE a > 1e-6 AND a < len - 1e-6 UNION SELECT code, 0.0::DOUBLE FROM s WHERE len > 0), "
+    "n AS (SELECT k.code AS code, coalesce(lead(a) OVER (PARTITION BY k.code ORDER BY a), s.len) - a AS len, row_number() OVER (PARTITION BY k.code ORDER BY a) - 1 AS nth, count(*) OVER (PARTITION BY k.code) AS n FROM k JOIN s ON s.code = k.code) "
+    f"SELECT CASE WHEN n > 1 THEN code || '-' || nth ELSE code END AS code, CASE WHEN n > 1 THEN 'split' ELSE 'unchanged' END AS status, {R('len', 'len')} FROM n",
+)
 def _(spark, d):
     l = net_lines(spark, d).withColumn("status", F.lit("unchanged"))
     cuts = l.select(g.interpolate(C("coords"), g.length(C("coords")) / 2).alias("p")).select("p.x", "p.y")
@@ -299,7 +356,6 @@ def _(spark, d):
 @query("run_lumping")
 def _(spark, d):
     from brookflow.plans.workflows import run_lumping
-    from brookflow.runtime import new_dir
 
     e = view(spark, d, "net_edges")
     data = {"points": view(spark, d, "pts_b"), "nodes": view(spark, d, "net_nodes"), "edges": e, "areas": e.select("code", C("length").alias("area"))}
@@ -309,7 +365,6 @@ def _(spark, d):
 @query("run_discharge")
 def _(spark, d):
     from brookflow.plans.workflows import run_discharge
-    from brookflow.runtime import new_dir
 
     out = run_discharge(spark, {"edges": net_lines(spark, d)}, new_dir(spark, "discharge"))["edges"]
     return out.select("code", r4(C("total_specifieke_afvoer")).alias("total"), "unresolved")
@@ -318,7 +373,6 @@ def _(spark, d):
 @query("run_orders")
 def _(spark, d):
     from brookflow.plans.workflows import run_orders, with_edge_ids
-    from brookflow.runtime import new_dir
 
     outs = view(spark, d, "net_nodes").where("node_id = 0").select(C("node_id").alias("id"), "x", "y", F.lit("VE.733").alias("order_code"), F.lit("VE").alias("rws_code"))
     made = run_orders(spark, {"hydroobject": with_edge_ids(net_lines(spark, d)).select("code", "edge_id", "coords"), "outflow_nodes": outs}, new_dir(spark, "orders"))
@@ -328,8 +382,11 @@ def _(spark, d):
 @query("run_culverts")
 def _(spark, d):
     from brookflow.plans.workflows import run_culverts
-    from brookflow.runtime import new_dir
 
     l = net_lines(spark, d).select("code", "coords")
-    made = run_culverts(spark, {"hydroobject": l.where("code like 'P%'"), "overige_watergang": l.where("code like 'Q%'")}, new_dir(spark, "culverts"), distance_vertices=50.0)
+    hard = walls(spark, d).select(C("id").cast("string").alias("code"), "coords")
+    data = {"hydroobject": l.where("code like 'P%'"), "overige_watergang": l.where("code like 'Q%'")}
+    data |= {name: hard.where(f"code % 20 = {k}") for k, name in enumerate(("kering", "snelweg", "spoorweg", "nwb"))}
+    data["peilgebied"] = corner_areas(spark, d).select(C("id").cast("string").alias("code"), "rings")
+    made = run_culverts(spark, data, new_dir(spark, "culverts"), distance_vertices=50.0)
     return made["potential_culverts_4"].select("dangling_code", "code", "score", r4(C("fictive_length")).alias("fictive_length"))
