@@ -147,15 +147,27 @@ def _(spark, d):
 _SELQ = "q AS (SELECT node_end AS node_id, code, own, row_number() OVER (PARTITION BY node_end ORDER BY own DESC, code) AS k, count(*) OVER (PARTITION BY node_end) AS n, max(own) OVER (PARTITION BY node_end ORDER BY own DESC, code ROWS BETWEEN 1 FOLLOWING AND 1 FOLLOWING) AS second FROM net_edges), sel AS (SELECT node_id, CASE WHEN n = 1 OR own >= 2 * second THEN code END AS selected FROM q WHERE k = 1)"
 
 
-def by_discharge(spark, d):
+def with_discharges(spark, d):
     e = view(spark, d, "net_edges")
-    nodes = network.discharge_lists(network.edge_lists(view(spark, d, "net_nodes"), e), e, "own")
-    return network.select_by_discharge(nodes)
+    return network.discharge_lists(network.edge_lists(view(spark, d, "net_nodes"), e), e, "own")
+
+
+def by_discharge(spark, d):
+    return network.select_by_discharge(with_discharges(spark, d))
+
 
+_SEL = f"{duck('net_edges', 'net_nodes')}, {_SELQ} SELECT n.node_id AS node_id, selected FROM net_nodes n LEFT JOIN sel ON n.node_id = sel.node_id"
 
-for _k in ("net_select_discharge", "net_select_dispatch"):
-    SQL[_k] = f"{duck('net_edges', 'net_nodes')}, {_SELQ} SELECT n.node_id AS node_id, selected FROM net_nodes n LEFT JOIN sel ON n.node_id = sel.node_id"
-    QUERIES[_k] = lambda spark, d: by_discharge(spark, d).select("node_id", C("selected_upstream_edge").alias("selected"))
+
+@query("net_select_discharge", _SEL)
+def _(spark, d):
+    return by_discharge(spark, d).select("node_id", C("selected_upstream_edge").alias("selected"))
+
+
+@query("net_select_dispatch", _SEL)
+def _(spark, d):
+    """The nodes have discharges, so these decide."""
+    return network.select_main(with_discharges(spark, d)).select("node_id", C("selected_upstream_edge").alias("selected"))
 
 
 def ordered(spark, d):
