@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookflow.llm import ann, decontaminate, langid, linededup, minhash, packing, tokenids, toxicity, urlfilter, warc
+from brookflow.llm import ann, bpe, decontaminate, langid, linededup, minhash, packing, tokenids, toxicity, urlfilter, warc
 from brookflow.llm.common import table
 from brookflow.llm.tokens import default_path
 
@@ -134,6 +134,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"), default_path()))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -146,6 +150,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontaminate": op8_decontaminate,
         "op9_token_ids": op9_token_ids,
         "op10_toxicity": op10_toxicity,
+        "op11_bpe": op11_bpe,
     }
 
 

@@ -50,6 +50,9 @@ def gather(flat: np.ndarray, first: np.ndarray, pick: np.ndarray) -> tuple[np.nd
 class ChunkEncoder:
     """encode_column(texts) -> all ids and where each text's begin."""
 
+    #: Bytes of text whose chunks are looked up at once, if not WINDOW.
+    window: int | None = None
+
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -65,6 +68,10 @@ class ChunkEncoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _spelled(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that spell added tokens."""
+        return self._ids(texts)
+
     def _word(self, core: str) -> bytes:
         """Ids of one lower-case Latin-1 word: a single pre-token that normalization leaves as it is."""
         spelled = core if core.isascii() else "".join(map(_BYTE_CHARS.__getitem__, core.encode()))
@@ -126,7 +133,7 @@ class ChunkEncoder:
             whole |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
         spelled = np.flatnonzero(whole)
         if len(spelled):
-            apart = self._ids(column.take(pa.array(spelled)).to_pylist())
+            apart = self._spelled(column.take(pa.array(spelled)).to_pylist())
             column = pc.if_else(pa.array(whole), pa.scalar("", column.type), column)
         ids, first = self._plain(column)
         if len(spelled):
@@ -150,7 +157,7 @@ class ChunkEncoder:
         starts -= starts[0]
         out, first, done, at = [], np.zeros(n + 1, np.int64), 0, 0
         while at < len(data):
-            size = WINDOW
+            size = self.window or WINDOW
             while True:  # a window ends at a chunk's end; a chunk that is longer than a window widens it
                 to = min(at + size, len(data))
                 here = _BLANKED[data[at:to]]
