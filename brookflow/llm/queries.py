@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookflow.llm import ann, bpe, decontaminate, langid, linededup, minhash, packing, tokenids, toxicity, urlfilter, warc
+from brookflow.llm import ann, bpe, decontaminate, langid, linededup, minhash, packing, repair, tokenids, toxicity, trie, urlfilter, warc
 from brookflow.llm.common import table
 from brookflow.llm.tokens import default_path
 
@@ -138,6 +138,112 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"), default_path()))
 
 
+#: crc32 of an ASCII text in SQL: the table of the 256 bytes, and its use byte by byte.
+_CRC_TABLE = "SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc"
+
+
+def _crc32(text: str) -> str:
+    letters = f"list_transform(range(1, length({text}) + 1), lambda i: CAST(ascii({text}[i]) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {letters}), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repair_report(conversations, repair.damaged(conversations))
+
+
+def _more(cost: str, letter: str, value: str) -> str:
+    """A way is its cost in nine digits and its edits: the least text is the cheapest way and of those the least."""
+    return f"lpad(CAST(CAST(left({value}, 9) AS INTEGER) + {cost} AS VARCHAR), 9, '0') || '{letter}' || substr({value}, 10)"
+
+
+def _way(state: int) -> str:
+    """The least way from a state on, with one row done: delete, keep where the row's initial fits, or change its role."""
+    step, keeps = (2, 2, 3, 2)[state], {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}[state]
+    kept = " ".join(f"WHEN initial = '{c}' THEN {_more('late', 'K', f'v{q}')}" for c, q in keeps.items())
+    return f"least({_more('4', 'D', f'v{state}')}, CASE WHEN must THEN NULL {kept} END, CASE WHEN NOT must THEN {_more('3 + late', 'R', f'v{step}')} END)"
+
+
+OP12_SQL = f"""
+WITH RECURSIVE tab AS ({_CRC_TABLE}
+), keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') AS cid,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), harmed AS (SELECT keyed.*, {_crc32("k")} % 20 AS harm FROM keyed, tab
+), damaged AS (
+  SELECT cid, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role, CASE harm WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM harmed, (SELECT unnest([1, 2]) AS copy) WHERE harm <> 0 AND (copy = 1 OR harm = 3)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM damaged
+), judged AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS seen,
+         row_number() OVER (PARTITION BY cid, role, text ORDER BY i) AS nth, left(role, 1) || lead(left(role, 1)) OVER (PARTITION BY cid ORDER BY i) AS pair FROM ranked
+), rows AS (
+  SELECT cid, i, turn, role, text, initial, pair, seen = '' AS blank, seen <> '' AND nth > 1 AS again, seen <> '' AND nth = 1 AND right(seen, 1) NOT IN ('.', '!', '?') AS short,
+         seen = '' OR nth > 1 AS must, CASE WHEN right(seen, 1) IN ('.', '!', '?') THEN 0 ELSE 3 END AS late FROM judged
+), stats AS (
+  SELECT cid, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again) AS duplicate,
+         count(*) FILTER (WHERE short) AS truncated, count(*) FILTER (WHERE i < n AND coalesce(pair, '') NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS n
+  FROM (SELECT *, count(*) OVER (PARTITION BY cid) AS n FROM rows) GROUP BY cid
+), ways AS (
+  SELECT cid, n AS i, '000000000' AS v0, '000000006II' AS v1, '000000003I' AS v2, '000000000' AS v3 FROM stats
+  UNION ALL
+  SELECT cid, i - 1, least(b0, {_more('3', 'I', 'c2')}), least(b1, {_more('3', 'I', 'c2')}), c2, c3
+  FROM (SELECT *, least(b2, {_more('3', 'I', 'b3')}) AS c2, least(b3, {_more('3', 'I', 'b2')}) AS c3
+        FROM (SELECT w.cid, w.i, {_way(0)} AS b0, {_way(1)} AS b1, {_way(2)} AS b2, {_way(3)} AS b3 FROM ways w JOIN rows r ON w.cid = r.cid AND w.i = r.i))
+), found AS (SELECT cid, CAST(left(v0, 9) AS BIGINT) AS cost, substr(v0, 10) AS audit FROM ways WHERE i = 0
+), letters AS (SELECT cid, unnest(string_split(audit, '')) AS letter, unnest(range(1, length(audit) + 1)) AS p FROM found WHERE audit <> ''
+), placed AS (SELECT *, count(*) FILTER (WHERE letter <> 'I') OVER (PARTITION BY cid ORDER BY p) AS i FROM letters
+), edits AS (
+  SELECT e.cid, letter, role, text, initial, row_number() OVER (PARTITION BY e.cid ORDER BY p) AS place
+  FROM placed e LEFT JOIN rows r ON e.cid = r.cid AND e.i = r.i AND letter <> 'I' WHERE letter <> 'D'
+), mended AS (
+  SELECT *, max(CASE WHEN place = 1 AND letter = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY cid) AS led FROM edits
+), hashed AS (
+  SELECT cid, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY place)) AS digest
+  FROM mended GROUP BY cid
+)
+SELECT k.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, cid FROM keyed) k LEFT JOIN stats USING (cid) LEFT JOIN found USING (cid) LEFT JOIN hashed USING (cid)
+"""
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations")).drop("node", "parent")
+
+
+OP13_SQL = f"""
+WITH RECURSIVE tab AS ({_CRC_TABLE}
+), t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS p FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS k FROM t
+), c AS (SELECT conv_id, {_crc32("k")} % 6 AS h FROM ids, tab
+), r AS (
+  SELECT c.conv_id, 0 AS own, p, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND p <= h
+  UNION ALL SELECT c.conv_id, 1, p, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND p > h
+), s AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY own, p) AS d FROM r
+), m AS (
+  SELECT conv_id, d, length(text) AS points, sha256(string_agg(sha256(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY d)) AS node FROM s
+), l AS (
+  SELECT conv_id, d, points, node, coalesce(lag(node) OVER (PARTITION BY conv_id ORDER BY d), 'root') AS parent FROM m
+  UNION ALL SELECT conv_id, 0, 0, 'root', NULL FROM ids
+), e AS (SELECT *, d = max(d) OVER (PARTITION BY conv_id) AS last FROM l
+), n AS (
+  SELECT node, min(conv_id) AS conv_id, any_value(d) AS depth, any_value(parent) AS parent, count(*) AS n_convs, any_value(points) AS points,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256 FROM e GROUP BY node
+), b AS (SELECT parent AS node, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent
+), up AS (
+  SELECT node, node AS top, parent AS further FROM n UNION ALL SELECT up.node, up.further, n.parent FROM up JOIN n ON n.node = up.further
+), sums AS (
+  SELECT top AS node, CAST(sum((n_convs - 1) * points) AS BIGINT) AS saved_tokens, count(*) FILTER (WHERE b.node IS NULL) AS n_leaves
+  FROM up JOIN n ON n.node = up.node LEFT JOIN b ON b.node = up.node GROUP BY top
+)
+SELECT n.conv_id, n.depth, above.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM n JOIN sums USING (node) LEFT JOIN b USING (node) LEFT JOIN n above ON above.node = n.parent
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
@@ -151,8 +257,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_token_ids": op9_token_ids,
         "op10_toxicity": op10_toxicity,
         "op11_bpe": op11_bpe,
+        "op12_structure_repair": op12_structure_repair,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op3_url_filter": OP3_SQL, "op4_line_dedup": OP4_SQL}
+    return {"op1_warc": OP1_SQL, "op3_url_filter": OP3_SQL, "op4_line_dedup": OP4_SQL, "op12_structure_repair": OP12_SQL, "op13_prefix_trie": OP13_SQL}
