@@ -165,6 +165,57 @@ def trace(edges: DataFrame, outflows: DataFrame, borders: DataFrame | None = Non
             found = [staged(reduce(DataFrame.unionByName, found), "found")]
 
 
+def trace_selected(
+    edges: DataFrame, nodes: DataFrame, outflows: DataFrame, borders: DataFrame | None = None, *, direction: str = "upstream",
+    order_first: bool = False, new_order_at_splits: bool = False, feed: bool = False, rounds: list | None = None,
+) -> DataFrame:
+    """(outflow_id, code, role): traces that obey the edges selected at nodes(node_id, selected_upstream_edge, selected_downstream_edge).
+
+    From an edge a trace goes on to the selected edge at its far side alone; the others there are "rejected", new outflows. It
+    keeps an edge whose own far node has selected another edge on the near side, but doesn't go past it, nor past a border
+    node. `order_first` goes past it all the same; with `new_order_at_splits` a node without a selection admits none, else
+    all. "outflow" is the outflow's own edge, which always goes on; "member" are the edges traced.
+
+    With `feed` every rejected edge becomes an outflow with its own code as outflow_id, however many there are in a row.
+
+    What a trace does at an edge depends on the edge alone, so edges that aren't admitted lead nowhere, edges that aren't
+    passed have nothing leading into them, outflows are traced from copies of their own, and `trace` does the rest.
+    """
+    near, far = ("node_start", "node_end") if direction == "upstream" else ("node_end", "node_start")
+    here, there = ("upstream", "downstream") if direction == "upstream" else ("downstream", "upstream")
+    chosen = nodes.select("node_id", F.nullif(F.col(f"selected_{here}_edge"), F.lit("")).alias("_into"), F.nullif(F.col(f"selected_{there}_edge"), F.lit("")).alias("_past"), F.lit(True).alias("_node"))
+    unset = F.lit(new_order_at_splits)
+    admitted = F.when(F.col("_into").isNotNull(), F.col("_into") == F.col("code")).otherwise(~(unset & F.coalesce("_node", F.lit(False))))
+    passed = F.lit(True) if order_first else F.when(F.col("_past").isNotNull(), F.col("_past") == F.col("code")).otherwise(~(unset & F.coalesce("_node", F.lit(False))))
+    plain = edges.select("code", F.col(near).alias("near"), F.col(far).alias("far")).distinct()
+    marked = plain.join(chosen.withColumnRenamed("node_id", "far"), "far", "left").withColumn("admitted", admitted).drop("_into", "_past", "_node")
+    marked = marked.join(chosen.withColumnRenamed("node_id", "near"), "near", "left").withColumn("passed", passed).drop("_into", "_past", "_node")
+    if borders is not None:
+        marked = marked.join(borders.select(F.col("node_id").alias("near"), F.lit(True).alias("_border")).distinct(), "near", "left").withColumn("passed", F.col("passed") & F.col("_border").isNull()).drop("_border")
+    marked = staged(marked, "marked")
+    first = outflows.select("outflow_id", "code").distinct()
+
+    def lines(own: DataFrame, admitted: Column, passed: Column) -> DataFrame:
+        """The edges as `trace` takes them, and a copy of every outflow's edge that nothing but its own trace meets."""
+        rest = marked.select(F.concat(F.lit("e"), "code").alias("code"), F.when(passed, F.col("near")).alias("node_start"), F.when(admitted, F.col("far")).alias("node_end"))
+        starts = marked.join(own.select("code").distinct(), "code").select(F.concat(F.lit("o"), "code").alias("code"), F.col("near").alias("node_start"), F.lit(None).cast(marked.schema["far"].dataType).alias("node_end"))
+        return rest.unionByName(starts)
+
+    def found(own: DataFrame, admitted: Column, passed: Column) -> DataFrame:
+        got = trace(lines(own, admitted, passed), own.select("outflow_id", F.concat(F.lit("o"), "code").alias("code")), rounds=rounds)
+        return got.select("outflow_id", F.substring("code", 2, 1 << 30).alias("code"), (F.substring("code", 1, 1) == "o").alias("start"))
+
+    if feed:
+        fed = staged(found(first.select(F.lit(0).alias("outflow_id"), "code").distinct(), F.lit(True), F.col("passed") | ~F.col("admitted")), "fed")
+        new = fed.where("not start").join(marked.where("not admitted").select("code"), "code", "left_semi").select(F.col("code").cast(first.schema["outflow_id"].dataType).alias("outflow_id"), "code")
+        first = staged(first.unionByName(new).distinct(), "outflows")
+    members = staged(found(first, F.col("admitted"), F.col("passed")), "members")
+    open_ = members.join(marked, "code").where("start or passed").select("outflow_id", F.col("near").alias("far"))
+    rejected = open_.join(marked.where("not admitted").select("code", "far"), "far").select("outflow_id", "code", F.lit("rejected").alias("role")).distinct()
+    kept = members.select("outflow_id", "code", F.when(F.col("start"), "outflow").otherwise("member").alias("role"))
+    return kept.unionByName(rejected)
+
+
 def solve(own: DataFrame, terms: DataFrame, rounds: list | None = None) -> DataFrame:
     """(r, x): x_r = a_r + sum of k * x_s over terms (r, s, k), for own (r, a); rows in or behind a cycle have none.
 

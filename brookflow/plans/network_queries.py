@@ -171,27 +171,62 @@ def _(spark, d):
 
 
 def ordered(spark, d):
-    from pyspark.sql import Window as W
+    from brookflow.plans.workflows import with_edge_ids
 
-    e = view(spark, d, "net_edges").withColumn("edge_id", F.row_number().over(W.orderBy("node_start", "code")).cast("long"))
+    e = with_edge_ids(view(spark, d, "net_edges"))
     nodes = network.edge_lists(view(spark, d, "net_nodes"), e)
     nodes = network.select_by_discharge(network.discharge_lists(nodes, e, "own"))
     outs = e.where("node_end = 0").select("code", F.lit("VE.733").alias("order_code"), F.lit("VE").alias("rws_code"))
     return orders.order_numbers(nodes, e, outs), outs
 
 
-@query("net_order_no")
+#: All ways up from the outflows, a chain's edges in a row; of an edge's ways the least (order, chain, place).
+_ORDERS = (
+    f"{duck('net_edges', 'net_nodes').replace('WITH ', 'WITH RECURSIVE ', 1)}, {_SELQ}, e AS (SELECT code, node_start, node_end, row_number() OVER (ORDER BY code) AS edge_id, coalesce(selected = code, FALSE) AS follows "
+    "FROM net_edges LEFT JOIN (SELECT * FROM sel WHERE node_id IN (SELECT node_id FROM net_nodes)) s ON s.node_id = node_end), "
+    "w AS (SELECT code, node_start, 2 AS o, edge_id AS head, code AS chain, 0 AS rank FROM e WHERE node_end = 0 UNION ALL SELECT e.code, e.node_start, CASE WHEN follows THEN o ELSE o + 1 END, "
+    "CASE WHEN follows THEN head ELSE edge_id END, CASE WHEN follows THEN chain ELSE e.code END, CASE WHEN follows THEN rank + 1 ELSE 0 END FROM w JOIN e ON e.node_end = w.node_start), "
+    "best AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY o, head, rank) AS k FROM w), "
+    "placed AS (SELECT e.code AS code, e.node_start AS node_start, e.node_end AS node_end, e.edge_id AS edge_id, coalesce(o, -999) AS order_no, coalesce(chain, '') AS outflow_edge, coalesce(rank, -999) AS order_edge_no FROM e LEFT JOIN best ON best.code = e.code AND best.k = 1)"
+)
+
+
+def _zfill(number: str, width: int = 3) -> str:
+    text = f"CAST({number} AS VARCHAR)"
+    return f"CASE WHEN length({text}) >= {width} THEN {text} ELSE lpad({text}, {width}, '0') END"
+
+
+#: Numbers along each chain, tributaries below their parent edge, and prefixes order by order.
+_CODES = (
+    f"{_ORDERS}, below AS (SELECT t.code AS t, t.edge_id AS t_id, p.code AS p FROM placed t JOIN placed p ON p.node_start = t.node_end AND p.order_no > 0 AND t.order_no = p.order_no + 1 WHERE t.order_edge_no = 0), "
+    "n AS (SELECT p, count(*) AS n FROM below GROUP BY p), "
+    "numbered AS (SELECT placed.*, coalesce(n, 0) AS n, CAST(1 + coalesce(sum(CASE WHEN n > 0 THEN n + 1 ELSE 0 END) OVER (PARTITION BY outflow_edge ORDER BY order_edge_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS nr "
+    "FROM placed LEFT JOIN n ON n.p = placed.code WHERE order_no > 0), "
+    "hung AS (SELECT t, p, row_number() OVER (PARTITION BY p ORDER BY t_id) AS j, row_number() OVER (PARTITION BY t ORDER BY p) AS k FROM below), "
+    "stem AS (SELECT code AS chain, 'VE.733' AS prefix FROM e WHERE node_end = 0 UNION ALL "
+    f"SELECT h.t, left(prefix || '.' || ({_zfill('nr')}), length(prefix || '.' || ({_zfill('nr')})) - 4) || '.' || ({_zfill('nr + j')}) FROM stem JOIN numbered m ON m.outflow_edge = stem.chain JOIN hung h ON h.p = m.code AND h.k = 1), "
+    f"coded AS (SELECT m.*, prefix || '.' || ({_zfill('nr')}) AS order_code FROM numbered m JOIN stem ON stem.chain = m.outflow_edge)"
+)
+
+
+@query("net_order_no", f"{_ORDERS} SELECT code, order_no, outflow_edge, order_edge_no FROM placed")
 def _(spark, d):
     return ordered(spark, d)[0].select("code", "order_no", "outflow_edge", "order_edge_no")
 
 
-@query("net_order_code")
+@query("net_order_code", f"{_CODES} SELECT code, order_no, nr AS order_code_no, order_code FROM coded UNION ALL SELECT code, order_no, -999, '' FROM placed WHERE order_no < 0")
 def _(spark, d):
     o, outs = ordered(spark, d)
     return orders.order_codes(o, outs).select("code", "order_no", "order_code_no", "order_code")
 
 
-@query("net_order_other")
+@query(
+    "net_order_other",
+    f"{_CODES}, low AS (SELECT node_start, order_no, order_code, row_number() OVER (PARTITION BY node_start ORDER BY order_no, order_code, code) AS k FROM coded), "
+    "o AS (SELECT 'D' || x.code AS code, low.order_no + 1 AS order_no, low.order_code AS order_code, row_number() OVER (PARTITION BY low.order_code ORDER BY 'D' || x.code) AS nr "
+    "FROM net_edges x JOIN net_nodes ON node_id = x.node_end JOIN low ON low.node_start = x.node_end AND k = 1) "
+    f"SELECT code, order_no, order_code || '-X' || ({_zfill('nr', 4)}) AS order_code FROM o",
+)
 def _(spark, d):
     o, outs = ordered(spark, d)
     coded = orders.order_codes(o, outs)
@@ -327,11 +362,40 @@ def _(spark, d):
     return adj.select("node_id", F.array_join(F.transform("l", lambda s: s["node_end"].cast("string")), ",").alias("targets"), r4(C("w")).alias("weight"))
 
 
-@query("net_predecessors_splits")
+#: What a trace does at each edge, from the selections by discharge on both sides, with every eleventh node a border.
+_OBEYED = (
+    f"{duck('net_edges', 'net_nodes').replace('WITH ', 'WITH RECURSIVE ', 1)}, {_SELQ}, "
+    "q2 AS (SELECT node_start AS node_id, code, own, row_number() OVER (PARTITION BY node_start ORDER BY own DESC, code) AS k, count(*) OVER (PARTITION BY node_start) AS n, max(own) OVER (PARTITION BY node_start ORDER BY own DESC, code ROWS BETWEEN 1 FOLLOWING AND 1 FOLLOWING) AS second FROM net_edges), "
+    "chosen AS (SELECT m.node_id, (SELECT selected FROM sel WHERE sel.node_id = m.node_id) AS up, (SELECT CASE WHEN n = 1 OR own >= 2 * second THEN code END FROM q2 WHERE k = 1 AND q2.node_id = m.node_id) AS down FROM net_nodes m), "
+    "e AS (SELECT code, node_start, node_end, coalesce(a.up = code, TRUE) AS admitted, coalesce(b.down = code, TRUE) AND node_start % 11 <> 0 AS passed FROM net_edges LEFT JOIN chosen a ON a.node_id = node_end LEFT JOIN chosen b ON b.node_id = node_start)"
+)
+_WITH_ROLES = "SELECT out AS outflow_id, code, role FROM u UNION SELECT u.out, e.code, 'rejected' FROM u JOIN e ON e.node_end = u.v WHERE go AND NOT admitted"
+
+
+def obeyed(spark, d, **how):
+    e, n = view(spark, d, "net_edges"), by_discharge(spark, d)
+    return network.trace_selected(e, n, e.where("node_end % 11 = 0").select(C("code").alias("outflow_id"), "code"), n.where("node_id % 11 = 0").select("node_id"), **how)
+
+
+@query(
+    "net_predecessors_splits",
+    f"{_OBEYED}, u AS (SELECT code AS out, code, node_start AS v, TRUE AS go, 'outflow' AS role FROM e WHERE node_end % 11 = 0 UNION "
+    f"SELECT u.out, e.code, e.node_start, passed, 'member' FROM u JOIN e ON e.node_end = u.v WHERE go AND admitted) {_WITH_ROLES}",
+)
 def _(spark, d):
-    e = view(spark, d, "net_edges")
-    sel = by_discharge(spark, d).select(C("node_id").alias("node_start"), C("selected_upstream_edge").alias("selected"))
-    return orders.chains(e.select("code", "node_start").join(sel, "node_start", "left"), e.where("node_end = 0").select("code")).select(C("head").alias("outflow_edge"), "code", "rank")
+    """From every outflow and border node up, along the edges selected at splits; the others there are rejected."""
+    return obeyed(spark, d)
+
+
+@query(
+    "net_predecessors_fed",
+    f"{_OBEYED}, u AS (SELECT code AS out, code, node_start AS v, TRUE AS go, 'outflow' AS role FROM e WHERE node_end % 11 = 0 UNION "
+    "SELECT CASE WHEN admitted THEN u.out ELSE e.code END, e.code, e.node_start, passed OR NOT admitted, CASE WHEN admitted THEN 'member' ELSE 'outflow' END FROM u JOIN e ON e.node_end = u.v WHERE go) "
+    f"{_WITH_ROLES}",
+)
+def _(spark, d):
+    """The same with every rejected edge as an outflow of its own."""
+    return obeyed(spark, d, feed=True)
 
 
 @query("net_case")
