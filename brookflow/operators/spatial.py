@@ -75,38 +75,100 @@ def line_segments(lines: DataFrame) -> DataFrame:
     return lines.select("id", F.posexplode(g.segments(F.col("coords"))).alias("i", "s")).select("id", "i", "s.ax", "s.ay", "s.bx", "s.by")
 
 
-def _segment_cell(lines: DataFrame, radius: float) -> float:
-    """A cell about as large as the lines' mean segment, so that a segment spreads over few cells, and not smaller than the radius."""
-    mean = line_segments(lines).agg(F.avg(F.greatest(F.abs(F.col("bx") - F.col("ax")), F.abs(F.col("by") - F.col("ay"))))).first()[0]
-    return max(2 * radius, (mean or 0.0) / 2, 1e-6)
+#: Cells that a mean segment may span: finer ones would cost more rows than they save tests.
+SPAN = 48
+
+
+def _reach(ax: Column, bx: Column) -> Column:
+    return F.greatest(F.abs(bx - ax), F.lit(0.0))
+
+
+def _mean_extent(segs: DataFrame) -> float:
+    """The mean of the larger side of the segments' boxes."""
+    return segs.agg(F.avg(F.greatest(_reach(F.col("ax"), F.col("bx")), _reach(F.col("ay"), F.col("by"))))).first()[0] or 0.0
+
+
+def _point_cell(points: DataFrame, lines: DataFrame, radius: float) -> float:
+    """Cells with about four points each, not smaller than twice the radius and not so small that a mean segment spans more than SPAN of them."""
+    box = points.agg(F.max("x") - F.min("x"), F.max("y") - F.min("y"), F.count(F.lit(1))).first()
+    dense = 2 * ((box[0] or 0.0) * (box[1] or 0.0) / box[2]) ** 0.5 if box[2] else 0.0
+    mean = _mean_extent(line_segments(lines))
+    return max(2 * radius, min(dense, mean) if dense else mean, mean / SPAN, 1e-6)
+
+
+def _rows_of(column: Column, s: Column, size: float, margin: float) -> Column:
+    """The struct (lo, hi) of the cells that a segment (ax, ay, bx, by), widened by the margin, has in a column of cells."""
+    m = margin + size * 1e-9
+    dx = s["bx"] - s["ax"]
+
+    def at(x: Column) -> Column:
+        share = F.when(dx == 0, F.lit(0.0)).otherwise(F.least(F.greatest((x - s["ax"]) / dx, F.lit(0.0)), F.lit(1.0)))
+        return s["ay"] + share * (s["by"] - s["ay"])
+
+    y0 = F.when(dx == 0, s["ay"]).otherwise(at(column * size - m))
+    y1 = F.when(dx == 0, s["by"]).otherwise(at((column + 1) * size + m))
+    return F.struct(_cell(F.least(y0, y1) - m, size).alias("lo"), _cell(F.greatest(y0, y1) + m, size).alias("hi"))
+
+
+def _columns_of(s: Column, size: float, margin: float) -> tuple[Column, Column]:
+    m = margin + size * 1e-9
+    return _cell(F.least(s["ax"], s["bx"]) - m, size), _cell(F.greatest(s["ax"], s["bx"]) + m, size)
 
 
 def _spread(segs: DataFrame, size: float, margin: float = 0.0) -> DataFrame:
-    """Each segment in all cells of its bounding box, widened by the margin."""
-    def cells(lo: Column, hi: Column) -> Column:
-        return F.sequence(_cell(lo - margin, size), _cell(hi + margin, size))
+    """Each segment in the cells that it passes, widened by the margin: column by column of cells, so that a long one has as many as it is long."""
+    own = F.struct("ax", "ay", "bx", "by")
+    out = segs.withColumn("_cx", F.explode(F.sequence(*_columns_of(own, size, margin))))
+    rows = out.withColumn("_rows", _rows_of(F.col("_cx"), own, size, margin))
+    return rows.withColumn("_cy", F.explode(F.sequence(F.col("_rows.lo"), F.col("_rows.hi")))).drop("_rows")
+
+
+def _owned(l: Column, r: Column, size: float) -> Column:
+    """Whether this cell (_cx, _cy) is the first that both segments pass: no column before has one, nor this column a lower one."""
+    x, y = F.col("_cx"), F.col("_cy")
+
+    def shared(column: Column) -> tuple[Column, Column]:
+        a, b = _rows_of(column, l, size, 0.0), _rows_of(column, r, size, 0.0)
+        return F.greatest(a["lo"], b["lo"]), F.least(a["hi"], b["hi"])
 
-    out = segs.withColumn("_cx", F.explode(cells(F.least("ax", "bx"), F.greatest("ax", "bx"))))
-    return out.withColumn("_cy", F.explode(cells(F.least("ay", "by"), F.greatest("ay", "by"))))
+    first = F.greatest(_columns_of(l, size, 0.0)[0], _columns_of(r, size, 0.0)[0])
+    before = shared(x - 1)
+    return (y == shared(x)[0]) & ((x == first) | (before[0] > before[1]))
 
 
-def crossing_pairs(left: DataFrame, right: DataFrame, cell: float) -> DataFrame:
+def crossing_pairs(left: DataFrame, right: DataFrame, cell: float | None = None) -> DataFrame:
     """Distinct (l_id, r_id) of lines(id, coords) that cross: their insides meet, vertices between the ends included, and in points alone.
 
-    Lines that only touch at an end of one of them don't cross, nor do lines that share a stretch.
+    Lines that only touch at an end of one of them don't cross, nor do lines that share a stretch. Two segments are tested
+    in the first cell that both pass. Cells are about as large as the shorter lines' segments.
     """
+    sides = (_mean_extent(line_segments(left)), _mean_extent(line_segments(right)))
+    size = max(min(*sides, cell or sides[0]), max(sides) / SPAN, 1e-6)
+
     def named(df: DataFrame, p: str) -> DataFrame:
         ends = df.select("id", g.line_ends(F.col("coords")).alias("ends"), F.posexplode(g.segments(F.col("coords"))).alias("i", "s")).select("id", "ends", "i", "s.*")
-        return _spread(ends, cell).select(F.col("id").alias(f"{p}_id"), F.struct("ax", "ay", "bx", "by").alias(f"{p}_s"), F.col("ends").alias(f"{p}_ends"), "_cx", "_cy")
+        return _spread(ends, size).select(F.col("id").alias(f"{p}_id"), F.struct("ax", "ay", "bx", "by").alias(f"{p}_s"), F.col("ends").alias(f"{p}_ends"), "_cx", "_cy")
 
-    pairs = named(left, "l").join(named(right, "r"), ["_cx", "_cy"])
     s, t = F.col("l_s"), F.col("r_s")
+
+    def apart(lo: str, hi: str) -> Column:
+        return (F.greatest(s[lo], s[hi]) < F.least(t[lo], t[hi])) | (F.greatest(t[lo], t[hi]) < F.least(s[lo], s[hi]))
+
+    pairs = named(left, "l").join(named(right, "r"), ["_cx", "_cy"]).where(~apart("ax", "bx") & ~apart("ay", "by")).where(_owned(s, t, size))
     met, shared = g.segments_meet_inside(s, t, F.col("l_ends"), F.col("r_ends")), g.segments_overlap(s, t)
     judged = pairs.select("l_id", "r_id", met.alias("met"), shared.alias("shared")).where("met or shared")
     return judged.groupBy("l_id", "r_id").agg(F.bool_or("met").alias("met"), F.bool_or("shared").alias("shared")).where("met and not shared").select("l_id", "r_id")
 
 
-def first_crossing(culverts: DataFrame, barrier: DataFrame, cell: float, exempt: bool = True) -> DataFrame:
+def barrier_crossings(culverts: DataFrame, barriers: DataFrame, cell: float | None = None) -> DataFrame:
+    """(id, kind): the kinds of barriers(kind, code, coords) that culverts(id, coords, code, dangling_code) cross, their own two lines exempt; all kinds in one join."""
+    named = barriers.select(F.struct("kind", "code").alias("id"), "coords")
+    own = culverts.select(F.col("id").alias("l_id"), F.col("code").alias("_a"), F.col("dangling_code").alias("_b"))
+    hits = crossing_pairs(culverts.select("id", "coords"), named, cell).join(own, "l_id")
+    return hits.where((F.col("r_id.code") != F.col("_a")) & (F.col("r_id.code") != F.col("_b"))).select(F.col("l_id").alias("id"), F.col("r_id.kind").alias("kind")).distinct()
+
+
+def first_crossing(culverts: DataFrame, barrier: DataFrame, cell: float | None = None, exempt: bool = True) -> DataFrame:
     """culverts(id, coords, code, dangling_code) with crossing_code: the least code of a crossed barrier(id, coords, code).
 
     With exempt, a culvert's own two lines don't count as crossed.
@@ -152,7 +214,7 @@ def polygon_crossings(lines: DataFrame, polygons: DataFrame) -> DataFrame:
 
 def points_on_lines(points: DataFrame, lines: DataFrame, radius: float) -> DataFrame:
     """(l_id, r_id, dist): points(id, x, y) within the radius of lines(id, coords), least distance per pair."""
-    size = _segment_cell(lines, radius)
+    size = _point_cell(points, lines, radius)
     spread = _spread(line_segments(lines), size, radius).withColumnRenamed("id", "r_id")
     placed = points.select(F.col("id").alias("l_id"), "x", "y", _cell(F.col("x"), size).alias("_cx"), _cell(F.col("y"), size).alias("_cy"))
     d = g.segment_distance(*(F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")))
@@ -161,7 +223,7 @@ def points_on_lines(points: DataFrame, lines: DataFrame, radius: float) -> DataF
 
 def nearest_segments(points: DataFrame, lines: DataFrame, radius: float) -> DataFrame:
     """(l_id, r_id, i, dist): the nearest segments of each point within the radius, all of equally near ones."""
-    size = _segment_cell(lines, radius)
+    size = _point_cell(points, lines, radius)
     spread = _spread(line_segments(lines), size, radius).withColumnRenamed("id", "r_id")
     placed = points.select(F.col("id").alias("l_id"), "x", "y", _cell(F.col("x"), size).alias("_cx"), _cell(F.col("y"), size).alias("_cy"))
     d = g.segment_distance(*(F.col(c) for c in ("x", "y", "ax", "ay", "bx", "by")))
@@ -174,7 +236,7 @@ def overlaps(areas: DataFrame, lines: DataFrame) -> DataFrame:
     if "rings" in areas.columns:
         inside = g.length_within(F.col("coords"), F.col("rings"))
         return _box_pairs(lines, areas).select(F.col("r_id").alias("area_id"), F.col("l_id").alias("line_id"), inside.alias("overlap")).where("overlap > 0")
-    size = max(_extent_cell(areas), _segment_cell(lines, 0.0))
+    size = max(_extent_cell(areas), _mean_extent(line_segments(lines)) / 2, 1e-6)
     spread = _spread(line_segments(lines), size).withColumnRenamed("id", "line_id")
     one = spread.join(_boxed(areas, size).withColumnRenamed("id", "area_id"), ["_cx", "_cy"]).dropDuplicates(["area_id", "line_id", "i"])
     inside = g.clip_length(F.struct("ax", "ay", "bx", "by"), *(F.col(c) for c in ("x0", "y0", "x1", "y1")))

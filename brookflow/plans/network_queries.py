@@ -457,6 +457,7 @@ def _(spark, d):
 
 @query("run_culverts")
 def _(spark, d):
+    """The ditches that culverts join to channels, turned towards them."""
     from brookflow.plans.workflows import run_culverts
 
     l = net_lines(spark, d).select("code", "coords")
@@ -465,4 +466,41 @@ def _(spark, d):
     data |= {name: hard.where(f"code % 20 = {k}") for k, name in enumerate(("kering", "snelweg", "spoorweg", "nwb"))}
     data["peilgebied"] = corner_areas(spark, d).select(C("id").cast("string").alias("code"), "rings")
     made = run_culverts(spark, data, new_dir(spark, "culverts"), distance_vertices=50.0)
-    return made["potential_culverts_4"].select("dangling_code", "code", "score", r4(C("fictive_length")).alias("fictive_length"))
+    return made["overige_watergang_processed_3"].select("code", "base_code", "reversed_direction", r4(C("geometry_len")).alias("len"))
+
+
+#: For every supplier a channel 200 long with a ditch of 100 above its middle, whose near end is 12, 24, 36 or 48 away: down to the channel or, for each third, up from it.
+#: Every fifth has a wall between, every seventh a road, every second a ditch further out whose near end is 10 from the first one's middle.
+_PLOTS = "SELECT s_suppkey AS id, CAST(1000 * (s_suppkey % 1000) AS DOUBLE) AS x, CAST(1000 * (s_suppkey {div} 1000) AS DOUBLE) AS y, CAST(12 * (1 + s_suppkey % 4) AS DOUBLE) AS gap, s_suppkey % 3 = 0 AS up, s_suppkey % 5 = 0 AS walled, s_suppkey % 7 = 0 AS road, s_suppkey % 2 = 0 AS pair FROM {supplier}"
+
+
+def plots(spark, d):
+    """The layers of run_culverts for the plots."""
+    p = spark.sql(_PLOTS.replace("{div}", "div"), supplier=t(spark, d, "supplier"))
+
+    def line(kind: str, *ends: tuple, where: str = "true"):
+        return p.where(where).select(F.concat(F.lit(kind), "id").alias("code"), F.array(*(g.point(C("x") + x, C("y") + y) for x, y in ends)).alias("coords"))
+
+    low, high = C("gap"), C("gap") + 100
+    ditches = line("D", (100, high), (100, low), where="not up").unionByName(line("D", (100, low), (100, high), where="up"))
+    ditches = ditches.unionByName(line("E", (210, C("gap") + 50), (110, C("gap") + 50), where="pair"))
+    barred = line("W", (40, low - 4), (160, low - 4), where="walled")
+    return {"hydroobject": line("H", (0, 0), (200, 0)), "overige_watergang": ditches, "kering": barred, "nwb": line("N", (40, low - 6), (160, low - 6), where="road")}
+
+
+@query(
+    "run_culverts_plots",
+    f"WITH plots AS ({_PLOTS.replace('{div}', '//').replace('{supplier}', 'supplier')}), joined AS (SELECT * FROM plots WHERE gap <= 40 AND NOT walled) "
+    "SELECT 'D' || id AS code, 'D' || id AS base_code, up AS reversed_direction, 100 + gap AS len, gap AS dist FROM joined WHERE NOT pair "
+    "UNION ALL SELECT 'D' || id || '-' || CASE WHEN up THEN 0 ELSE 1 END, 'D' || id, up, 50 + gap, gap FROM joined WHERE pair "
+    "UNION ALL SELECT 'D' || id || '-' || CASE WHEN up THEN 1 ELSE 0 END, 'D' || id, up, 50.0::DOUBLE, gap FROM joined WHERE pair "
+    "UNION ALL SELECT 'E' || id, 'E' || id, FALSE, 110.0::DOUBLE, gap FROM joined WHERE pair",
+)
+def _(spark, d):
+    """Every plot's ditches with their culverts, turned towards the channel; those beyond 40 or behind a wall have no way there."""
+    from brookflow.plans.workflows import run_culverts
+
+    made = run_culverts(spark, plots(spark, d), new_dir(spark, "plots"))
+    gaps = view(spark, d, "pts_b").select("id", (12 * (1 + C("id") % 4)).cast("double").alias("dist"))
+    routed = made["overige_watergang_processed_3"].withColumn("id", F.regexp_extract("code", r"^[DE](\d+)", 1).cast("long")).join(gaps, "id")
+    return routed.select("code", "base_code", "reversed_direction", r4(C("geometry_len")).alias("len"), "dist")

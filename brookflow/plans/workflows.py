@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +23,16 @@ def prepared(raw: DataFrame, snapping: float = 0.05) -> DataFrame:
     return windows.unique_codes(lines.drop_closed_and_equal(split), "code", "id")
 
 
-def run_culverts(spark: SparkSession, data: dict[str, DataFrame], results: str, *, distance_vertices: float = 10.0, max_culvert_length: float = 40.0, factor_angle_on_length: float = 2.0) -> dict[str, DataFrame]:
+def run_culverts(
+    spark: SparkSession, data: dict[str, DataFrame], results: str, *, distance_vertices: float = 10.0, max_culvert_length: float = 40.0,
+    factor_angle_on_length: float = 2.0, attach_rest: bool = True,
+) -> dict[str, DataFrame]:
     """data: hydroobject and overige_watergang (code, coords); optionally kering, snelweg, spoorweg, nwb (code, coords) and peilgebied (code, rings).
 
-    Writes potential_culverts_0 to _5, overige_watergang_processed_1 to _3 and hydroobject_processed_0.
+    Writes potential_culverts_0, _2 to _5, hydroobject_processed_0, outflow_nodes_overig and overige_watergang_processed_0 to
+    _3 (and _3_nodes): ditches cut where culverts end, joined with their culverts, cut again where those end, and
+    turned towards the nearest culvert into a channel; ditches without a way there are left out of _3. With attach_rest,
+    culverts that the check of directions has turned away from their ditch are turned back and joined after the second cut.
     """
     hydro, other = staged(prepared(data["hydroobject"]), "hydro"), staged(prepared(data["overige_watergang"]), "other")
 
@@ -36,12 +44,11 @@ def run_culverts(spark: SparkSession, data: dict[str, DataFrame], results: str,
     loose = windows.keep_unique(points.where("WaterLineType = 'overige_watergang' and line_type <> 'other'"), ["x", "y"])
     found = culverts.candidates(loose, points, max_culvert_length).withColumn("id", F.concat_ws(">", "dangling_id", "unique_id"))
     found = staged(found, "found")
-    tested = found
-    everything = {"hydroobject": hydro, "overige_watergang": other} | {k: data[k] for k in ("kering", "snelweg", "spoorweg", "nwb") if k in data}
-    for name, barrier in everything.items():
-        walls = barrier.select(F.col("code").alias("id"), "code", "coords")
-        hit = spatial.first_crossing(found.select("id", "coords", "code", "dangling_code"), walls, max_culvert_length).select("id", F.col("crossing_code").isNotNull().alias(f"crossings_{name}"))
-        tested = tested.join(hit, "id", "left")
+    kinds = ["hydroobject", "overige_watergang"] + [k for k in ("kering", "snelweg", "spoorweg", "nwb") if k in data]
+    barriers = [(hydro if k == "hydroobject" else other if k == "overige_watergang" else data[k]).select(F.lit(k).alias("kind"), "code", "coords") for k in kinds]
+    hit = spatial.barrier_crossings(found.select("id", "coords", "code", "dangling_code"), reduce(DataFrame.unionByName, barriers), max_culvert_length)
+    flags = hit.groupBy("id").agg(*(F.bool_or(F.col("kind") == k).alias(f"crossings_{k}") for k in kinds))
+    tested = found.join(flags, "id", "left").na.fill(False, [f"crossings_{k}" for k in kinds])
     if "peilgebied" in data:
         hit = spatial.polygon_crossings(found.select("id", "coords"), data["peilgebied"].select(F.col("code").alias("id"), "rings")).select(F.col("l_id").alias("id"), F.lit(True).alias("crossings_peilgebied")).distinct()
         tested = tested.join(hit, "id", "left")
@@ -51,19 +58,34 @@ def run_culverts(spark: SparkSession, data: dict[str, DataFrame], results: str,
     open_ = staged(culverts.keep_uncrossed(tested).withColumn("score", culverts.score()).where("score is not null"), "open")
     measured = culverts.add_geometry(open_, other, factor_angle_on_length)
     chosen = staged(culverts.select_best(measured, max_culvert_length), "chosen")
-    touching = culverts.touching_codes(hydro.select("code", "coords").unionByName(other.select("code", "coords"))).select(F.explode("codes").alias("a"), "codes").select("a", F.explode("codes").alias("b")).where("a <> b")
-    kept = staged(culverts.post_process(chosen, touching), "kept")
     both = hydro.select("code", "coords").unionByName(other.select("code", "coords"))
-    turned = culverts.oriented(kept, both)
-    ends = kept.select(F.explode("coords").alias("p")).select("p.x", "p.y")
-    hydro_split = lines.split_at_points(hydro.select("code", "status", "coords"), ends)
-    other_split = lines.split_at_points(other.select("code", "status", "coords"), ends).withColumn("base_code", F.substring_index("code", "-", 1))
-    combined = staged(culverts.combine_with_lines(other_split, turned), "combined")
-    nodes, edges = network.build(with_edge_ids(combined.select("code", "coords")))
-    outflow = lines.endpoints(hydro_split.select("code", "coords")).select("x", "y")
-    sources = nodes.join(outflow, ["x", "y"]).select("node_id")
-    routed = network.redirect(edges, network.shortest(edges, sources, "geometry_len"))
-    made = {"potential_culverts_0": found, "potential_culverts_2": open_, "potential_culverts_3": chosen, "potential_culverts_4": kept, "potential_culverts_5": turned, "hydroobject_processed_0": hydro_split, "overige_watergang_processed_1": combined, "overige_watergang_processed_3": routed}
+    touching = culverts.touching_codes(both).select(F.explode("codes").alias("a"), "codes").select("a", F.explode("codes").alias("b")).where("a <> b")
+    kept = staged(culverts.post_process(chosen, touching), "kept")
+
+    def ends(kind: str) -> DataFrame:
+        last = kept.where((F.col("line_type") == "other") & (F.col("WaterLineType") == kind)).select(g.end_point(F.col("coords")).alias("p"))
+        return last.select("p.x", "p.y")
+
+    hydro_0 = staged(lines.split_at_points(hydro.select("code", "status", "coords"), ends("hydroobject")), "hydro-cut")
+    other_0 = staged(lines.split_at_points(other.select("code", F.col("code").alias("base_code"), "status", "coords"), ends("overige_watergang")), "other-cut")
+    outflows = kept.where("WaterLineType = 'hydroobject'").select(g.end_point(F.col("coords")).alias("p"), "unique_id", "dangling_code").select("p.x", "p.y", "unique_id", "dangling_code")
+    turned = staged(culverts.oriented(kept, hydro_0.select("code", "coords").unionByName(other_0.select("code", "coords"))), "turned")
+    other_1 = staged(culverts.combine_with_lines(other_0, turned), "combined")
+    other_2 = lines.split_at_points(other_1, lines.endpoints(other_1).select("x", "y"))
+    if attach_rest:
+        rest = culverts.left_out(other_0, turned).withColumn("coords", F.reverse("coords"))
+        other_2 = culverts.combine_with_lines(staged(other_2, "cut-again"), rest)
+    other_2 = staged(other_2, "joined")
+    made = {
+        "potential_culverts_0": found, "potential_culverts_2": open_, "potential_culverts_3": chosen, "potential_culverts_4": kept, "potential_culverts_5": turned,
+        "hydroobject_processed_0": hydro_0, "overige_watergang_processed_0": other_0, "overige_watergang_processed_1": other_1, "overige_watergang_processed_2": other_2, "outflow_nodes_overig": outflows,
+    }
+    if not other_2.isEmpty():
+        nodes, edges = network.build(with_edge_ids(other_2))
+        reached = staged(network.shortest(edges, nodes.join(outflows.select("x", "y").distinct(), ["x", "y"]).select("node_id"), "geometry_len"), "reached")
+        named = reached.select("node_id", F.col("source").alias("outflow_nodes_hydro"), F.col("dist").alias("outflow_nodes_hydro_dist"))
+        made["overige_watergang_processed_3_nodes"] = nodes.join(named, "node_id", "left").na.fill(-999, ["outflow_nodes_hydro"])
+        made["overige_watergang_processed_3"] = network.redirect(edges, reached)
     layers.write_layers(made, results)
     return layers.read_layers(spark, results, list(made))
 
