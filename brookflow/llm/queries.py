@@ -126,6 +126,26 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: Every pair of equal words of a text and an item, by diagonal; then every window of the diagonals that agree enough.
+OP8_SQL = """
+WITH tw AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos
+  FROM (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents WHERE doc_id IS NOT NULL)
+), iw AS (
+  SELECT item_id, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS pos
+  FROM (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM benchmark)
+), same AS (SELECT doc_id, item_id, n, tw.pos - iw.pos AS d, iw.pos AS p FROM tw JOIN iw USING (word)
+), close AS (
+  SELECT doc_id, item_id, n, d, list(p) AS places, least(n, 20) AS size, CASE WHEN n < 8 THEN 100 ELSE 80 END AS percent FROM same GROUP BY doc_id, item_id, n, d
+  HAVING 100 * count(*) >= CASE WHEN n < 8 THEN 100 ELSE 80 END * least(n, 20)
+), wins AS (
+  SELECT doc_id, item_id, d, s, size, percent, len(list_filter(places, lambda p: p >= s AND p < s + size)) AS agree
+  FROM (SELECT *, unnest(range(n - size + 1)) AS s FROM close)
+), best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY agree DESC, s + d) AS k FROM wins WHERE 100 * agree >= percent * size)
+SELECT doc_id, item_id, CAST(s + d AS INTEGER) AS at_word, CAST(size AS INTEGER) AS n_words, CAST(agree AS INTEGER) AS n_same FROM best WHERE k = 1
+"""
+
+
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.token_ids(spark, table(spark, sf_dir, "documents"), default_path(), end_id=2)
 
@@ -263,4 +283,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1_SQL, "op3_url_filter": OP3_SQL, "op4_line_dedup": OP4_SQL, "op12_structure_repair": OP12_SQL, "op13_prefix_trie": OP13_SQL}
+    return {"op1_warc": OP1_SQL, "op3_url_filter": OP3_SQL, "op4_line_dedup": OP4_SQL, "op8_decontaminate": OP8_SQL, "op12_structure_repair": OP12_SQL, "op13_prefix_trie": OP13_SQL}

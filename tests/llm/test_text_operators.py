@@ -358,12 +358,62 @@ def test_decontaminate_substitutions(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
-def test_decontaminate_without_held_anchors(spark, monkeypatch):
-    item = " ".join(f"t{i}" for i in range(30))
-    docs, bench = frame(spark, ["a " + item, "b c"]), spark.createDataFrame([(7, item)], "item_id long, text string")
-    monkeypatch.setattr(decontaminate, "HELD_ANCHORS", 1)
-    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
-    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()] == [(0, 7)]
+def plain_contaminated(docs, items):
+    """The best window of every text and item, on every diagonal."""
+    best = {}
+    for i, text in docs:
+        w = (text or "").lower().split()
+        for item_id, item in items:
+            x = (item or "").lower().split()
+            size, percent = min(20, len(x)), 100 if len(x) < 8 else 80
+            for d in range(1 - len(x), len(w)) if x else ():
+                same = [0 <= d + k < len(w) and w[d + k] == v for k, v in enumerate(x)]
+                if 100 * sum(same) < percent * size:
+                    continue
+                for s in range(len(x) - size + 1):
+                    n = sum(same[s : s + size])
+                    if 100 * n >= percent * size:
+                        best[i, item_id] = min(best.get((i, item_id), (0, 0, 0)), (-n, s + d, size))
+    return {k: (at, size, -n) for k, (n, at, size) in best.items()}
+
+
+@pytest.mark.parametrize("held", [decontaminate.HELD_SEEDS, 3])
+def test_decontaminate_against_brute_force(spark, monkeypatch, held):
+    """Items of 1 to 60 words out of few, texts made of altered stretches of them, in blocks of 16 words; both ways of joining."""
+    monkeypatch.setattr(decontaminate, "HELD_SEEDS", held)
+    monkeypatch.setattr(decontaminate, "STEP", 16)
+    r = random.Random(held)
+    vocab = [f"v{k}" for k in range(25)]
+    items = [(n, " ".join(r.choice(vocab) for _ in range(n))) for n in (1, 3, 7, 8, 9, 10, 11, 14, 15, 19, 20, 21, 35, 60)] + [(200, None), (201, " \n")]
+    docs = [(i, None if i == 5 else "") for i in (5, 6)]
+    for i in range(10, 60):
+        out = []
+        for _ in range(r.randrange(1, 4)):
+            part = r.choice(items[:14])[1].split()
+            part = part[r.randrange(0, 4) :] if r.random() < 0.3 else part
+            out += [r.choice(vocab).upper() if r.random() < 0.17 else w for w in part] + [r.choice(vocab) for _ in range(r.randrange(0, 9))]
+        docs.append((i, " ".join(out)))
+    docs += [docs[-1], (docs[-1][0], docs[-2][1])]  # a repeated row, and an id with two texts
+    table = frame(spark, [t for _, t in docs], [i for i, _ in docs]).withColumn("item_id", F.lit("clash")).withColumn("w", F.lit("clash"))
+    bench = spark.createDataFrame([(n, t, 1, "w") for n, t in items], "item_id long, text string, doc_id int, w string")
+    got = [(r["doc_id"], r["item_id"], r["at_word"], r["n_words"], r["n_same"]) for r in decontaminate.contaminated(table, bench).collect()]
+    assert sorted(got) == sorted((*k, *v) for k, v in plain_contaminated(docs, items).items())
+
+
+def test_decontaminate_a_text_of_a_million_words(spark):
+    r = random.Random(9)
+    item = [f"i{k}" for k in range(40)]
+    long = [f"w{r.randrange(500)}" for _ in range(1_000_000)]
+    long[1_020:1_060] = item[:20] + ["x", "y", "z", "q"] + item[24:]
+    long[999_980:] = item[20:]
+    docs = frame(spark, [" ".join(long), "w1 w2 w3 w4 w5"], [None, 3]).withColumn("doc_id", F.coalesce("doc_id", F.lit(8)))
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(item[20:])), (3, " ".join(f"w{k}" for k in range(30)))], "item_id long, text string")
+    assert {tuple(r) for r in decontaminate.contaminated(docs, bench).collect()} == {(8, 1, 1_020, 20, 20), (8, 2, 999_980, 20, 20)}
+
+
+def test_decontaminate_refuses_masks_that_ignore_nothing(spark):
+    with pytest.raises(ValueError):
+        decontaminate.contaminated(frame(spark, []), frame(spark, []), item_col="doc_id", masks=("1111", "11101"))
 
 
 def test_decontaminate_masks_miss_no_placement():
