@@ -184,8 +184,8 @@ def ordered(spark, d):
 _ORDERS = (
     f"{duck('net_edges', 'net_nodes').replace('WITH ', 'WITH RECURSIVE ', 1)}, {_SELQ}, e AS (SELECT code, node_start, node_end, row_number() OVER (ORDER BY code) AS edge_id, coalesce(selected = code, FALSE) AS follows "
     "FROM net_edges LEFT JOIN (SELECT * FROM sel WHERE node_id IN (SELECT node_id FROM net_nodes)) s ON s.node_id = node_end), "
-    "w AS (SELECT code, node_start, 2 AS o, edge_id AS head, code AS chain, 0 AS rank FROM e WHERE node_end = 0 UNION ALL SELECT e.code, e.node_start, CASE WHEN follows THEN o ELSE o + 1 END, "
-    "CASE WHEN follows THEN head ELSE edge_id END, CASE WHEN follows THEN chain ELSE e.code END, CASE WHEN follows THEN rank + 1 ELSE 0 END FROM w JOIN e ON e.node_end = w.node_start), "
+    "w AS (SELECT code, node_start, 2 AS o, edge_id AS head, code AS chain, 0::BIGINT AS rank FROM e WHERE node_end = 0 UNION ALL SELECT e.code, e.node_start, CASE WHEN follows THEN o ELSE o + 1 END, "
+    "CASE WHEN follows THEN head ELSE edge_id END, CASE WHEN follows THEN chain ELSE e.code END, CASE WHEN follows THEN rank + 1 ELSE 0::BIGINT END FROM w JOIN e ON e.node_end = w.node_start), "
     "best AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY o, head, rank) AS k FROM w), "
     "placed AS (SELECT e.code AS code, e.node_start AS node_start, e.node_end AS node_end, e.edge_id AS edge_id, coalesce(o, -999) AS order_no, coalesce(chain, '') AS outflow_edge, coalesce(rank, -999) AS order_edge_no FROM e LEFT JOIN best ON best.code = e.code AND best.k = 1)"
 )
