@@ -7,11 +7,11 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brookflow.operators import network, spatial
+from brookflow.operators import dissolve, network, spatial
 from brookflow.sources import layers
 
 log = logging.getLogger(__name__)
-#: The layer of split points that wait for a decision, and what it has of each.
+#: The layer of split points that wait for a decision, and its columns (an interface).
 DETECTED = "inflow_outflow_splits_detected"
 DETECTED_COLUMNS = ("node_id", "downstream_edges", "no_downstream_edges", "downstream_edge", "upstream_edges", "no_upstream_edges", "upstream_edge", "x", "y")
 
@@ -53,6 +53,12 @@ def areas_by_code(areas: DataFrame, membership: DataFrame) -> DataFrame:
     return areas.join(membership, "code").groupBy("outflow_id").agg(F.count(F.lit(1)).alias("n_areas"), F.sum("area").alias("area"))
 
 
+def dissolved_areas(areas: DataFrame, membership: DataFrame, min_hole: float = 50.0) -> DataFrame:
+    """(outflow_id, part, rings, area): the areas(code, rings) of each outflow's edges as polygons, a row per part, without holes of min_hole and less."""
+    named = areas.join(membership, "code").select("outflow_id", F.col("code").alias("id"), "rings").dropDuplicates(["outflow_id", "id"])
+    return dissolve.dissolve(named, "outflow_id", min_hole=min_hole)
+
+
 def areas_by_overlap(areas: DataFrame, lines: DataFrame, membership: DataFrame) -> DataFrame:
     """(outflow_id, n_areas): areas (polygons or boxes) by the outflow of the line (id = membership's code) with most length in them."""
     best = spatial.longest_overlap(areas, lines)

@@ -8,6 +8,7 @@ longest ring. Only the finished ring is gathered, as the one value that it is.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brookflow.operators.components import components
@@ -55,10 +56,17 @@ def sides(cells: DataFrame) -> DataFrame:
 
 
 def _to_heads(of: DataFrame, rounds: list | None) -> DataFrame:
-    """(side, steps): how many sides lie between each side and its ring's head, of (side, next, ring) where the head is side = ring."""
+    """(side, steps): how many sides lie between each side and its ring's head, of (side, next, ring) where the head is side = ring.
+
+    Raises ValueError if a side doesn't lead to its ring's head.
+    """
     head = F.col("side") == F.col("ring")
     now = staged(of.select("side", F.when(~head, F.col("next")).alias("at"), F.when(head, 0).otherwise(1).cast("long").alias("steps")), "steps")
+    left = None
     while (open_now := now.where("at is not null").count()):
+        if open_now == left:
+            raise ValueError("sides that lead to no head: a cell is repeated or an outline is open")
+        left = open_now
         ahead = now.select(F.col("side").alias("at"), F.col("at").alias("further"), F.col("steps").alias("more"))
         moved = now.where("at is not null").join(ahead, "at").select("side", F.col("further").alias("at"), (F.col("steps") + F.col("more")).alias("steps"))
         new = staged(now.where("at is null").unionByName(moved), "steps")
@@ -69,6 +77,11 @@ def _to_heads(of: DataFrame, rounds: list | None) -> DataFrame:
     return now.select("side", "steps")
 
 
+def numbered_parts(df: DataFrame, key: str, order: str) -> DataFrame:
+    """part, from 0 in order within each key, in place of the order."""
+    return df.withColumn("part", F.row_number().over(W.partitionBy(key).orderBy(order)).cast("long") - 1).select(key, "part", *(c for c in df.columns if c not in (key, order)))
+
+
 def signed_area(ring: Column) -> Column:
     """Of a closed ring: positive if it runs counter-clockwise."""
     pairs = F.zip_with(ring, F.slice(ring, 2, F.greatest(F.size(ring), F.lit(1))), lambda p, q: p["x"] * q["y"] - q["x"] * p["y"])

@@ -8,7 +8,7 @@ from brookflow.functions import geometry as g
 from brookflow.operators import culverts, discharge, lumping, network, orders
 from brookflow.operators import lines as ln
 from brookflow.plans.derive import duck, view
-from brookflow.plans.queries import _IN_CORNERS, _NL, QUERIES, SQL, C, R, annotated, corner_areas, net_lines, query, r4, short_lines, t, walls
+from brookflow.plans.queries import _IN_CORNERS, _NL, QUERIES, SQL, UNION_OF_CORNERS, C, R, annotated, corner_areas, net_lines, query, r4, short_lines, t, union_sizes, walls
 from brookflow.runtime import new_dir
 from brookflow.sources import layers
 
@@ -420,7 +420,23 @@ def _(spark, d):
     return lumping.areas_by_overlap(corner_areas(spark, d), lines_, lines_.select(C("id").alias("code"), (C("id") % 5).alias("outflow_id")))
 
 
-@query("net_dissolve_areas", f"{duck('cells')} SELECT zone % 5 AS outflow_id, count(*) AS n_cells, CAST(count(*) * 4 AS DOUBLE) AS area FROM cells GROUP BY zone % 5")
+#: Areas by the outflows that their edge flows to, up to border nodes.
+_BASINS = (
+    f"{_NETREC}, basin AS (SELECT code AS out, code AS code, node_start AS v FROM net_edges WHERE node_end % 11 = 0 UNION SELECT b.out, e.code, e.node_start FROM basin b JOIN net_edges e ON e.node_end = b.v WHERE b.v % 11 <> 0), "
+    "owned AS (SELECT DISTINCT out AS k, s_suppkey AS id FROM basin JOIN supplier ON basin.code = 'P' || s_suppkey)"
+)
+
+
+@query("net_dissolve_areas", f"{_BASINS}, {UNION_OF_CORNERS} SELECT k AS outflow_id, n_parts, area, outline FROM unions")
+def _(spark, d):
+    """The polygons of every outflow's sub-basin."""
+    e = view(spark, d, "net_edges")
+    basins = network.trace(e, e.where("node_end % 11 = 0").select(C("code").alias("outflow_id"), "code"), view(spark, d, "net_nodes").where("node_id % 11 = 0").select("node_id"))
+    areas = corner_areas(spark, d).select(F.concat(F.lit("P"), "id").alias("code"), "rings")
+    return union_sizes(lumping.dissolved_areas(areas, basins, 0.0), "outflow_id")
+
+
+@query("net_dissolve_cells", f"{duck('cells')} SELECT zone % 5 AS outflow_id, count(*) AS n_cells, CAST(count(*) * 4 AS DOUBLE) AS area FROM cells GROUP BY zone % 5")
 def _(spark, d):
     from brookflow.operators import raster
 

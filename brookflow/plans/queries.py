@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookflow.functions import geometry as g
-from brookflow.operators import culverts, discharge, lumping, network, orders, raster, spatial, windows
+from brookflow.operators import culverts, discharge, dissolve, lumping, network, orders, raster, spatial, windows
 from brookflow.operators import lines as ln
 from brookflow.plans.derive import duck, view
 
@@ -561,13 +561,38 @@ for _k in ("agg_zonal", "ras_zonal"):
     QUERIES[_k], SQL[_k] = _zonal, _ZON
 
 
-@query("agg_dissolve", f"{duck('cells')} SELECT zone // 5 AS target, count(*) AS n_cells, CAST(count(*) * 4 AS DOUBLE) AS area FROM cells GROUP BY zone // 5")
+@query("agg_dissolve_cells", f"{duck('cells')} SELECT zone // 5 AS target, count(*) AS n_cells, CAST(count(*) * 4 AS DOUBLE) AS area FROM cells GROUP BY zone // 5")
 def _(spark, d):
     c = view(spark, d, "cells").select("r", "c", C("zone").alias("label"))
     m = spark.range(25).select(C("id").alias("label"), F.expr("id div 5").alias("target"))
     return raster.relabel(c, m).groupBy(C("label").alias("target")).agg(F.count(F.lit(1)).alias("n_cells"), (F.count(F.lit(1)) * 4.0).alias("area"))
 
 
+#: The unit squares of L-shaped areas `owned` (k, id): of each key's union the area, the length of its outlines, and its parts as areas joined through equal squares or neighbours.
+UNION_OF_CORNERS = (
+    "squares AS (SELECT DISTINCT k, o.id AS id, (s_suppkey * 53) % 1000 + dx AS x, (s_suppkey * 71) % 1000 + dy AS y FROM owned o JOIN supplier ON s_suppkey = o.id, "
+    "(SELECT unnest(range(40)) AS dx), (SELECT unnest(range(40)) AS dy) WHERE dx < 10 OR dy < 10), u AS (SELECT DISTINCT k, x, y FROM squares), "
+    "shared AS (SELECT a.k AS k, count(*) AS n FROM u a JOIN u b ON a.k = b.k AND ((b.x = a.x + 1 AND b.y = a.y) OR (b.x = a.x AND b.y = a.y + 1)) GROUP BY a.k), "
+    "sizes AS (SELECT k, count(*) AS n FROM u GROUP BY k), "
+    "steps AS (SELECT 0 AS dx, 0 AS dy UNION ALL SELECT 1, 0 UNION ALL SELECT 0, 1), "
+    "joined AS (SELECT DISTINCT a.k AS k, a.id AS a, b.id AS b FROM squares a, steps JOIN squares b ON a.k = b.k AND b.x = a.x + steps.dx AND b.y = a.y + steps.dy), "
+    "both_ways AS (SELECT k, a, b FROM joined UNION SELECT k, b, a FROM joined), reach AS (SELECT k, a, b FROM both_ways UNION SELECT r.k, r.a, w.b FROM reach r JOIN both_ways w ON w.k = r.k AND w.a = r.b), "
+    "parts AS (SELECT k, count(DISTINCT low) AS n FROM (SELECT k, a, min(b) AS low FROM reach GROUP BY k, a) GROUP BY k), "
+    "unions AS (SELECT sizes.k AS k, parts.n AS n_parts, sizes.n::DOUBLE AS area, (4 * sizes.n - 2 * shared.n)::DOUBLE AS outline FROM sizes JOIN shared ON shared.k = sizes.k JOIN parts ON parts.k = sizes.k)"
+)
+
+
+def union_sizes(parts: DataFrame, key: str) -> DataFrame:
+    """(key, n_parts, area, outline) of dissolved polygons."""
+    long = F.aggregate(F.transform("rings", g.length), F.lit(0.0), lambda a, v: a + v)
+    return parts.groupBy(key).agg(F.count(F.lit(1)).alias("n_parts"), r4(F.sum("area")).alias("area"), r4(F.sum(long)).alias("outline"))
+
+
+@query("agg_dissolve", f"WITH RECURSIVE owned AS (SELECT s_suppkey % 5 AS k, s_suppkey AS id FROM supplier), {UNION_OF_CORNERS} SELECT k, n_parts, area, outline FROM unions")
+def _(spark, d):
+    return union_sizes(dissolve.dissolve(corner_areas(spark, d).withColumn("k", C("id") % 5), "k"), "k")
+
+
 @query("agg_sum_edges_at_node", f"{duck('net_edges')} SELECT node_end AS node_id, sum(own) AS total FROM net_edges GROUP BY node_end")
 def _(spark, d):
     return view(spark, d, "net_edges").groupBy(C("node_end").alias("node_id")).agg(F.sum("own").alias("total"))

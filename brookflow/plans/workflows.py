@@ -163,9 +163,11 @@ def run_discharge(spark: SparkSession, data: dict[str, DataFrame], results: str,
 
 
 def run_lumping(spark: SparkSession, data: dict[str, DataFrame], results: str, *, direction: str = "upstream") -> dict[str, DataFrame]:
-    """data: points (id, x, y), nodes, edges, areas (code, area). Writes the membership of edges in sub-basins, the split points that need a decision, and each sub-basin's area."""
+    """data: points (id, x, y), nodes, edges, areas (code, area[, rings]). Writes the membership of edges in sub-basins, the split points that need a decision, each sub-basin's area and, of areas with rings, its polygons."""
     membership = staged(lumping.upstream_of_points(data["points"], data["nodes"], data["edges"], direction), "membership")
     made = {"membership": membership, "inflow_outflow_splits": network.split_points(data["edges"], membership), "inflow_outflow_areas": lumping.areas_by_code(data["areas"], membership)}
+    if "rings" in data["areas"].columns:
+        made["inflow_outflow_areas_dissolved"] = lumping.dissolved_areas(data["areas"], membership)
     layers.write_layers(made, results)
     return layers.read_layers(spark, results, list(made))
 
