@@ -48,28 +48,6 @@ def flow_d8(cells: DataFrame) -> DataFrame:
     return cells.select("r", "c").join(best, ["r", "c"], "left").select("r", "c", F.col("b.dir").alias("dir"), F.col("b.nr").alias("nr"), F.col("b.nc").alias("nc"))
 
 
-def fill_depressions(cells: DataFrame, eps: float = 0.0, max_depth: float | None = None) -> DataFrame:
-    """Raise pits to their spill level (Planchon & Darboux): border cells (with a missing neighbour) stay, all others sink from a flood until stable. Fills deeper than max_depth are taken back."""
-    border = neighbours(cells).groupBy("r", "c").agg(F.count(F.lit(1)).alias("n")).where("n < 8")
-    held = staged(cells.join(border, ["r", "c"], "left").select("r", "c", F.col("v").cast("double").alias("v"), F.when(F.col("n").isNotNull(), F.col("v").cast("double")).otherwise(F.lit(float("inf"))).alias("w")), "fill")
-    while True:
-        new = held.withColumn("new", F.col("w"))
-        for _ in range(3):  # several sweeps per written round
-            low = neighbours(new.select("r", "c", "new"), "new").groupBy("r", "c").agg(F.min("nv").alias("low"))
-            lower = F.when(F.col("new") > F.col("v"), F.greatest("v", F.least(F.col("new"), F.col("low") + eps))).otherwise(F.col("new"))
-            new = new.join(low, ["r", "c"], "left").select("r", "c", "v", "w", lower.alias("new"))
-        new = staged(new, "fill")
-        release(held)
-        stable = new.where("new < w").isEmpty()
-        at = new._staged_at
-        held = new.select("r", "c", "v", F.col("new").alias("w"))
-        held._staged_at = at
-        if stable:
-            break
-    keep = F.lit(True) if max_depth is None else (F.col("w") - F.col("v")) <= max_depth
-    return held.select("r", "c", F.when(keep & (F.col("w") < float("inf")), F.col("w")).otherwise(F.col("v")).alias("v"))
-
-
 def basins(flow: DataFrame, labels: DataFrame, most_steps: int | None = None) -> DataFrame:
     """(r, c, label): the first labelled cell downstream of each cell, itself included; cells that drain to none have no row.
 
@@ -268,6 +246,8 @@ def run_flow(dem: DataFrame, waterways: DataFrame, iterations: int | None = 2000
     `iterations` steps of two cells up the sixteen directions of the filled terrain, or of fills (r, c, sector) where there are
     any; flow is (r, c, sector, nr, nc). iterations=None: all the way.
     """
+    from brookflow.operators.flood import fill_depressions
+
     if method not in ("d8", "d16"):
         raise ValueError(f"no flow method {method}")
     wet = waterways.where("label > 0").select("r", "c", "label")

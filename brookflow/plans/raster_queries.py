@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brookflow.functions import geometry as g
-from brookflow.operators import outlines, raster
+from brookflow.operators import flood, outlines, raster
 from brookflow.plans.derive import duck, view
 from brookflow.plans.queries import QUERIES, SQL, C, R, query, r4, t, walls
+from brookflow.runtime import staged
 
 
 def grid(spark, d):
@@ -57,9 +58,31 @@ def _(spark, d):
     return raster.propagate_d16(cells, cells.where("zone % 5 = 0").select("r", "c", C("zone").alias("label")))
 
 
-@query("ras_fill_d8")
+#: Levels sink from the border inward until none gets lower; from those the steps over level cells, and the ways down.
+_FILLED = (
+    f"{_G.replace('WITH ', 'WITH RECURSIVE ', 1)}, {_STEP}, p AS (SELECT a.r AS r, a.c AS c, a.v AS v, s.dir AS dir, s.dr AS dr, s.dc AS dc, b.r AS nr, b.c AS nc, b.v AS nv FROM g a CROSS JOIN s JOIN g b ON b.r = a.r + dr AND b.c = a.c + dc), "
+    "border AS (SELECT g.r AS r, g.c AS c, any_value(g.v) AS v FROM g LEFT JOIN p ON p.r = g.r AND p.c = g.c GROUP BY g.r, g.c HAVING count(p.dir) < 8), "
+    "fl(r, c, w) USING KEY (r, c) AS (SELECT r, c, v AS w FROM border UNION SELECT m.r, m.c, m.w FROM (SELECT p.r AS r, p.c AS c, min(greatest(p.v, fl.w)) AS w FROM fl JOIN p ON p.nr = fl.r AND p.nc = fl.c GROUP BY p.r, p.c) m "
+    "LEFT JOIN recurring.fl old ON old.r = m.r AND old.c = m.c WHERE old.w IS NULL OR m.w < old.w)"
+)
+_FILLED_FLOW = (
+    f"{_FILLED}, q AS (SELECT p.r AS r, p.c AS c, a.w AS w, p.dir AS dir, (a.w - b.w) / sqrt(CAST(dr * dr + dc * dc AS DOUBLE)) AS dd, p.nr AS nr, p.nc AS nc FROM p JOIN fl a ON a.r = p.r AND a.c = p.c JOIN fl b ON b.r = p.nr AND b.c = p.nc), "
+    "st(r, c, k) USING KEY (r, c) AS (SELECT r, c, 0 AS k FROM border UNION SELECT r, c, 0 FROM q WHERE dd > 0 UNION SELECT m.r, m.c, m.k FROM (SELECT q.r AS r, q.c AS c, min(st.k) + 1 AS k FROM st JOIN q ON q.nr = st.r AND q.nc = st.c AND q.dd = 0 GROUP BY q.r, q.c) m "
+    "LEFT JOIN recurring.st old ON old.r = m.r AND old.c = m.c WHERE old.k IS NULL OR m.k < old.k), "
+    "z AS (SELECT q.*, row_number() OVER (PARTITION BY q.r, q.c ORDER BY dd DESC, CASE WHEN dd > 0 THEN 0 ELSE b.k END, dir) AS o FROM q JOIN st a ON a.r = q.r AND a.c = q.c JOIN st b ON b.r = q.nr AND b.c = q.nc WHERE dd > 0 OR (dd = 0 AND b.k < a.k)), "
+    "ff AS (SELECT g.r AS r, g.c AS c, z.dir AS dir, z.nr AS nr, z.nc AS nc FROM g LEFT JOIN z ON z.r = g.r AND z.c = g.c AND z.o = 1)"
+)
+
+
+@query("ras_fill_d8", f"{_FILLED} SELECT r, c, {R('w', 'v')} FROM fl")
+def _(spark, d):
+    return flood.fill_depressions(grid(spark, d)).select("r", "c", r4(C("v")).alias("v"))
+
+
+@query("ras_flow_filled", f"{_FILLED_FLOW} SELECT r, c, dir FROM ff")
 def _(spark, d):
-    return raster.fill_depressions(grid(spark, d)).select("r", "c", r4(C("v")).alias("v"))
+    """The ways down the filled grid, what is level included."""
+    return flood.flow_filled(staged(flood.fill_depressions(grid(spark, d)), "filled")).select("r", "c", "dir")
 
 
 @query("ras_d8_to_d16", "SELECT o_orderkey AS id, CASE o_orderkey % 8 WHEN 0 THEN 7 WHEN 1 THEN 9 WHEN 2 THEN 11 WHEN 3 THEN 13 WHEN 4 THEN 15 WHEN 5 THEN 1 WHEN 6 THEN 3 ELSE 5 END AS dir FROM orders")
@@ -157,7 +180,19 @@ def _(spark, d):
     return preprocess_terrain(grid(spark, d).select("r", "c", "v"), walls(spark, d), 5.0).select("r", "c", r4(C("v")).alias("v"))
 
 
-@query("ras_generate")
+_WET = (
+    "ends AS (SELECT s_suppkey AS id, CAST((s_suppkey * 53) % 1000 AS DOUBLE) AS ax, CAST((s_suppkey * 71) % 1000 AS DOUBLE) AS ay FROM supplier), "
+    "around AS (SELECT id, ax, ay, CAST(floor(ax / 5) AS BIGINT) + dc AS c, CAST(floor(ay / 5) AS BIGINT) + dr AS r FROM ends, (SELECT unnest(range(-1, 12)) AS dc), (SELECT unnest(range(-1, 9)) AS dr)), "
+    "mids AS (SELECT *, (c + 0.5) * 5 AS x, (r + 0.5) * 5 AS y FROM around), shares AS (SELECT *, greatest(0, least(1, ((x - ax) * 35 + (y - ay) * 21) / 1666.0::DOUBLE)) AS t FROM mids), "
+    "wet AS (SELECT r, c, max(id) + 1 AS label FROM shares WHERE sqrt(pow(x - ax - t * 35, 2) + pow(y - ay - t * 21, 2)) <= 2.5 GROUP BY r, c)"
+)
+
+
+@query(
+    "ras_generate",
+    f"{_FILLED_FLOW}, {_WET}, drains AS (SELECT wet.r AS r, wet.c AS c, label FROM wet JOIN g ON g.r = wet.r AND g.c = wet.c UNION ALL SELECT ff.r AS r, ff.c AS c, drains.label AS label FROM drains JOIN ff ON ff.nr = drains.r AND ff.nc = drains.c "
+    "WHERE (ff.r, ff.c) NOT IN (SELECT (r, c) FROM wet)) SELECT r, c, label FROM drains",
+)
 def _(spark, d):
     from brookflow.plans.workflows import drainage_units
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookflow.functions import geometry as g
-from brookflow.operators import culverts, discharge, lines, lumping, network, orders, outlines, raster, spatial, windows
+from brookflow.operators import culverts, discharge, flood, lines, lumping, network, orders, outlines, raster, spatial, windows
 from brookflow.runtime import staged
 from brookflow.sources import layers
 
@@ -124,10 +124,10 @@ def preprocess_terrain(cells: DataFrame, waterways: DataFrame, cell: float, *, w
 
 
 def drainage_units(terrain: DataFrame, waterways: DataFrame, cell: float, *, width: float = 2.5, max_depth: float | None = None) -> DataFrame:
-    """(r, c, label): the waterway (id) that each cell drains to, over filled terrain; labels are ids plus one, as 0 is no label."""
-    filled = staged(raster.fill_depressions(terrain, 1e-4, max_depth), "filled")
+    """(r, c, label): the waterway (id) that each cell drains to, over filled terrain and what is level in it; labels are ids plus one, as 0 is no label."""
+    filled = staged(flood.fill_depressions(terrain, max_depth), "filled")
     wet = raster.rasterize_lines(waterways, cell, width).select("r", "c", (F.col("id") + 1).alias("label"))
-    return raster.basins(staged(raster.flow_d8(filled), "flow"), wet.join(terrain.select("r", "c"), ["r", "c"]))
+    return raster.basins(staged(flood.flow_filled(filled), "flow"), wet.join(terrain.select("r", "c"), ["r", "c"]))
 
 
 def run_drainage(spark: SparkSession, data: dict[str, DataFrame], results: str, *, cell: float = 2.0, max_depth: float | None = None) -> dict[str, DataFrame]:

@@ -5,7 +5,7 @@ import time
 from pyspark.sql import functions as F
 
 from brookflow.functions import geometry as g
-from brookflow.operators import raster, spatial
+from brookflow.operators import flood, raster, spatial
 
 LINE = "id string, coords array<struct<x:double,y:double>>"
 
@@ -60,7 +60,7 @@ def test_fill_goes_on_until_stable(spark):
     for r, c in path:
         rows[r][c] = 2
     rows[1][1] = 0
-    got = {(x["r"], x["c"]): x["v"] for x in raster.fill_depressions(grid(spark, rows)).collect()}
+    got = {(x["r"], x["c"]): x["v"] for x in flood.fill_depressions(grid(spark, rows)).collect()}
     assert got == {(r, c): 2.0 if (r, c) in path else 9.0 for r in range(9) for c in range(9)}
 
 

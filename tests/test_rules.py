@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brookflow.functions import geometry as g
-from brookflow.operators import culverts, lines, network, orders, raster, spatial, windows
+from brookflow.operators import culverts, flood, lines, network, orders, raster, spatial, windows
 from brookflow.plans import queries
 
 
@@ -101,9 +101,9 @@ def test_basins(spark):
 def test_fill(spark):
     v = [[5, 5, 5, 5], [5, 1, 2, 5], [5, 5, 4, 5]]
     cells = spark.createDataFrame([(r, c, float(v[r][c])) for r in range(3) for c in range(4)], "r long, c long, v double")
-    got = {(x["r"], x["c"]): x["v"] for x in raster.fill_depressions(cells).collect()}
+    got = {(x["r"], x["c"]): x["v"] for x in flood.fill_depressions(cells).collect()}
     assert got[1, 1] == got[1, 2] == 4 and got[2, 2] == 4
-    shallow = {(x["r"], x["c"]): x["v"] for x in raster.fill_depressions(cells, max_depth=2.0).collect()}
+    shallow = {(x["r"], x["c"]): x["v"] for x in flood.fill_depressions(cells, max_depth=2.0).collect()}
     assert shallow[1, 1] == 1 and shallow[1, 2] == 4
 
 
