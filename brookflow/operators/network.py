@@ -289,18 +289,57 @@ def dead_ends(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("node_end").alias("node_id")).distinct().join(edges.select(F.col("node_start").alias("node_id")), "node_id", "left_anti")
 
 
-def shortest(edges: DataFrame, sources: DataFrame, weight: str = "length") -> DataFrame:
-    """(node_id, source, dist): nearest source node (node_id) over undirected edges; ties to the smaller source. Nodes out of reach have no row."""
-    both = staged(edges.select(F.col("node_start").alias("u"), F.col("node_end").alias("v"), F.col(weight).alias("w")).union(edges.select("node_end", "node_start", weight)).groupBy("u", "v").agg(F.min("w").alias("w")), "both")
-    best = frontier = staged(sources.select("node_id", F.col("node_id").alias("source"), F.lit(0.0).alias("dist")).distinct(), "best")
-    while not frontier.isEmpty():
-        reach = frontier.join(both, F.col("node_id") == F.col("u")).select(F.col("v").alias("node_id"), "source", (F.col("dist") + F.col("w")).alias("dist"))
-        tried = reach.groupBy("node_id").agg(F.min(F.struct("dist", "source")).alias("t"))
-        old = best.select("node_id", F.struct("dist", "source").alias("o"))
-        joined = staged(old.join(tried, "node_id", "full").select("node_id", F.when(F.col("o").isNull() | (F.col("t") < F.col("o")), F.col("t")).otherwise(F.col("o")).alias("b"), (F.col("t").isNotNull() & (F.col("o").isNull() | (F.col("t") < F.col("o")))).alias("new")), "best")
-        best = joined.select("node_id", F.col("b.source").alias("source"), F.col("b.dist").alias("dist"))
-        frontier = joined.where("new").select("node_id", F.col("b.source").alias("source"), F.col("b.dist").alias("dist"))
-    return best
+def _chains(halves: DataFrame, keys: DataFrame, rounds: list | None) -> DataFrame:
+    """(u, v, w, to, long) of half edges (u, v, w), both ways: the node of keys(node) that one arrives at going straight on from it, and how far that is from u.
+
+    A node that isn't a key has two neighbours, so a half edge that ends there has one that follows; pointers to those are
+    doubled. Half edges on a ring without a key have no row.
+    """
+    key = keys.select(F.col("node").alias("v"), F.lit(True).alias("stands"))
+    known = halves.join(key, "v", "left").fillna(False, "stands")
+    follows = halves.select(F.col("u").alias("v"), F.col("v").alias("x"), F.col("w").alias("more"))
+    ahead = known.where("not stands").join(follows, "v").where("x <> u").join(key.select(F.col("v").alias("x"), F.col("stands").alias("there")), "x", "left")
+    at = F.struct("v", "x").alias("at")
+    begun = ahead.select("u", "v", at, "w", F.col("more").alias("acc"), F.coalesce("there", F.lit(False)).alias("stands"))
+    now = staged(known.where("stands").select("u", "v", F.struct(F.col("u").alias("v"), F.col("v").alias("x")).alias("at"), "w", F.lit(0.0).alias("acc"), "stands").unionByName(begun), "half-edges")
+    left = None
+    while (open_now := now.where("not stands").count()) and open_now != left:
+        further = now.select(F.struct(F.col("u").alias("v"), F.col("v").alias("x")).alias("at"), F.col("at").alias("beyond"), F.col("acc").alias("more"), F.col("stands").alias("there"))
+        moved = now.where("not stands").join(further, "at").select("u", "v", F.col("beyond").alias("at"), "w", F.round(F.col("acc") + F.col("more"), 9).alias("acc"), F.col("there").alias("stands"))
+        new = staged(now.where("stands").unionByName(moved), "half-edges")
+        release(now)
+        now, left = new, open_now
+        if rounds is not None:
+            rounds.append(open_now)
+    return now.where("stands").select("u", "v", "w", F.col("at.x").alias("to"), F.round(F.col("w") + F.col("acc"), 9).alias("long"))
+
+
+def shortest(edges: DataFrame, sources: DataFrame, weight: str = "length", rounds: list | None = None) -> DataFrame:
+    """(node_id, source, dist): nearest source node (node_id) over undirected edges; ties to the smaller source. Nodes out of reach have no row.
+
+    Nodes with two neighbours only are passed over: the others (and the sources) are joined by edges as long as the ways
+    between them, distances are bettered on those, a round for each on the way, and the nodes between take the nearer
+    side. Distances are rounded to nine decimals, so that sums of equal lengths are equal in any order.
+    """
+    both = edges.select(F.col("node_start").alias("u"), F.col("node_end").alias("v"), F.col(weight).cast("double").alias("w")).union(edges.select("node_end", "node_start", F.col(weight).cast("double")))
+    halves = staged(both.where("u <> v").groupBy("u", "v").agg(F.min("w").alias("w")), "halves")
+    own = sources.select(F.col("node_id").alias("node")).distinct()
+    keys = staged(halves.groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("n")).where("n <> 2").select("node").unionByName(own).distinct(), "keys")
+    ways = staged(_chains(halves, keys, rounds), "ways")
+    hops = staged(ways.join(keys.withColumnRenamed("node", "u"), "u", "left_semi").groupBy(F.col("u"), "to").agg(F.min("long").alias("long")), "hops")
+    best = staged(own.select("node", F.struct(F.lit(0.0).alias("dist"), F.col("node").alias("source")).alias("b"), F.lit(True).alias("new")), "best")
+    while not best.where("new").isEmpty():
+        reach = best.where("new").select(F.col("node").alias("u"), "b").join(hops, "u").select(F.col("to").alias("node"), F.struct(F.round(F.col("b.dist") + F.col("long"), 9).alias("dist"), F.col("b.source").alias("source")).alias("t"))
+        tried = reach.groupBy("node").agg(F.min("t").alias("t"))
+        better = F.col("t").isNotNull() & (F.col("b").isNull() | (F.col("t") < F.col("b")))
+        new = staged(best.drop("new").join(tried, "node", "full").select("node", F.when(better, F.col("t")).otherwise(F.col("b")).alias("b"), better.alias("new")), "best")
+        release(best)
+        best = new
+        if rounds is not None:
+            rounds.append("step")
+    between = ways.join(keys.withColumnRenamed("node", "u"), "u", "left_anti").join(best.select(F.col("node").alias("to"), "b"), "to")
+    passed = between.select(F.col("u").alias("node"), F.struct(F.round(F.col("b.dist") + F.col("long"), 9).alias("dist"), F.col("b.source").alias("source")).alias("b")).groupBy("node").agg(F.min("b").alias("b"))
+    return best.select("node", "b").unionByName(passed).select(F.col("node").alias("node_id"), F.col("b.source").alias("source"), F.col("b.dist").alias("dist"))
 
 
 def redirect(edges: DataFrame, reached: DataFrame) -> DataFrame:

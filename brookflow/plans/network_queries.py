@@ -241,7 +241,7 @@ _SHORT = (
     f"{duck('net_edges', 'net_nodes').replace('WITH ', 'WITH RECURSIVE ', 1)}, both_ways AS (SELECT u, v, min(w) AS w FROM (SELECT node_start AS u, node_end AS v, length AS w FROM net_edges "
     "UNION ALL SELECT node_end AS u, node_start AS v, length AS w FROM net_edges) z GROUP BY u, v), "
     f"sp(node_id, source, dist) USING KEY (node_id) AS (SELECT node_id, node_id AS source, 0.0::DOUBLE AS dist FROM net_nodes WHERE {_SOURCES} UNION "
-    "SELECT m.node_id, m.b.source AS source, m.b.dist AS dist FROM (SELECT w.v AS node_id, min({'dist': sp.dist + w.w, 'source': sp.source}) AS b FROM sp JOIN both_ways w ON w.u = sp.node_id GROUP BY w.v) m "
+    "SELECT m.node_id, m.b.source AS source, m.b.dist AS dist FROM (SELECT w.v AS node_id, min({'dist': round(sp.dist + w.w, 9), 'source': sp.source}) AS b FROM sp JOIN both_ways w ON w.u = sp.node_id GROUP BY w.v) m "
     "LEFT JOIN recurring.sp old ON old.node_id = m.node_id WHERE old.node_id IS NULL OR m.b.dist < old.dist OR (m.b.dist = old.dist AND m.b.source < old.source))"
 )
 

@@ -82,3 +82,27 @@ def test_trace_against_brute_force(spark):
                     todo += [r[0] for r in rows if r[2] == node and node not in barred]
         got = network.trace(spark.createDataFrame(rows, "code string, node_start long, node_end long"), spark.createDataFrame(starts, "outflow_id string, code string"), spark.createDataFrame([(b,) for b in barred], "node_id long"))
         assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_shortest_ways_along_a_long_river(spark, river):
+    edges, ids = river
+    rounds = []
+    path = edges.where("code like 'e%'").selectExpr("node_start", "node_end", "1.5D length")
+    got = {r["node_id"]: (r["source"], r["dist"]) for r in network.shortest(path, spark.createDataFrame([(ids[0],), (ids[N],)], "node_id long"), rounds=rounds).collect()}
+    want = {ids[i]: min((1.5 * i, ids[0]), (1.5 * (N - i), ids[N])) for i in range(N + 1)}
+    assert {k: (d, s) for k, (s, d) in got.items()} == want and len(rounds) < 40
+
+
+def test_shortest_ways_in_any_network(spark):
+    """Random networks with rings, parallel and looped edges, and parts without a source."""
+    rng = np.random.default_rng(12)
+    for nodes, count in ((8, 9), (30, 34)):
+        rows = [(int(a), int(b), float(w)) for a, b, w in zip(rng.integers(0, nodes, count), rng.integers(0, nodes, count), rng.integers(1, 9, count))]
+        starts = {int(x) for x in rng.integers(0, nodes, 2)} | {nodes + 5}
+        best = {s: (0.0, s) for s in starts}
+        for _ in range(nodes + 1):
+            for a, b, w in [*rows, *((b, a, w) for a, b, w in rows)]:
+                if a in best:
+                    best[b] = min(best.get(b, (1e9, 0)), (best[a][0] + w, best[a][1]))
+        got = network.shortest(spark.createDataFrame(rows, "node_start long, node_end long, length double"), spark.createDataFrame([(s,) for s in starts], "node_id long"))
+        assert {r["node_id"]: (r["dist"], r["source"]) for r in got.collect()} == best
