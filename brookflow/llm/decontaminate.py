@@ -83,6 +83,19 @@ def text_blocks(texts: DataFrame, window: int) -> DataFrame:
     return made.select("doc_id", "row", F.expr(f"explode(transform(sequence(0, greatest(size(w) - 1, 0), {STEP}), s -> {block})) AS b")).select("doc_id", "row", "b.*")
 
 
+def _literals(values: list[int]) -> str:
+    return ", ".join(f"{v}L" if v > -(2**63) else "-9223372036854775807L - 1L" for v in values)
+
+
+def _begins(seeds: DataFrame, masks: tuple[str, ...], window: int) -> str:
+    """Whether the words that all spaced masks begin with, hashed together, begin some seed: one short hash per word turns most words down."""
+    n = min(len(m) - len(m.lstrip("1")) for m in masks if "0" in m)
+    at = [f"get({{}}, {{}} + {k})" for k in range(n)]
+    of_item = "xxhash64(" + ", ".join(a.format("item_words", window - 1) for a in at) + ")"
+    first = seeds.where(F.contains("mask", F.lit("0"))).select(F.expr(of_item).alias("a")).distinct().collect()  # as many as seeds at most
+    return "xxhash64(" + ", ".join(a.format("w", "i") for a in at) + f") IN ({_literals([r['a'] for r in first])})"
+
+
 def _hits(texts: DataFrame, seeds: DataFrame, masks: tuple[str, ...], window: int) -> DataFrame:
     """(doc_id, at, words, item_id, item_at, n, item_words) of every seed that texts share with items."""
     places = f"sequence(lead, least(lead + {STEP}, greatest(size(w), lead + 1)) - 1)"
@@ -90,8 +103,10 @@ def _hits(texts: DataFrame, seeds: DataFrame, masks: tuple[str, ...], window: in
     blocks = text_blocks(texts, window)
     held = seeds.select("mask", "seed").distinct().limit(HELD_SEEDS + 1).collect()
     if len(held) <= HELD_SEEDS:
-        by = {m: ", ".join(f"{r['seed']}L" if r["seed"] > -(2**63) else "-9223372036854775807L - 1L" for r in held if r["mask"] == m) for m in masks}
-        known = " OR ".join(f"coalesce({_seed(m, 'i')} IN ({kept}), false)" for m, kept in by.items() if kept) or "false"
+        by = {m: _literals([r["seed"] for r in held if r["mask"] == m]) for m in masks}
+        some = {m: f"coalesce({_seed(m, 'i')} IN ({kept}), false)" for m, kept in by.items() if kept}
+        spaced = [test for m, test in some.items() if "0" in m]
+        known = " OR ".join([*(test for m, test in some.items() if "0" not in m), *([f"({_begins(seeds, masks, window)}) AND ({' OR '.join(spaced)})"] if spaced else [])]) or "false"
         found = blocks.select("doc_id", F.expr(f"explode(transform(filter({places}, i -> {known}), i -> struct(base + i - lead AS at, array({each}) AS seeds, {_around('i', window)} AS words))) AS s"))
         return found.select("doc_id", "s.at", "s.words", F.explode("s.seeds").alias("x")).select("doc_id", "at", "words", "x.*").join(F.broadcast(seeds), ["mask", "seed"])
     laid = blocks.select("doc_id", "row", "base", F.expr(f"explode(transform({places}, i -> struct(i AS i, array({each}) AS seeds))) AS s")).select("doc_id", "row", "base", "s.i", F.explode("s.seeds").alias("x"))
