@@ -125,7 +125,7 @@ def _(spark, d):
     return view(spark, d, "lines").select("id", r4(g.start_point(g.flip(C("coords"), C("id") % 2 == 0, F.lit(True)))["x"]).alias("v"))
 
 
-@query("geo_linemerge", f"{duck('lines')} SELECT id, CAST(len(coords) AS BIGINT) AS n, {R(_LEN, 'v')} FROM lines")
+@query("geo_linemerge_own", f"{duck('lines')} SELECT id, CAST(len(coords) AS BIGINT) AS n, {R(_LEN, 'v')} FROM lines")
 def _(spark, d):
     segs = spatial.line_segments(view(spark, d, "lines"))
     merged = segs.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("i", "ax", "ay", "bx", "by"))).alias("s"))
@@ -133,6 +133,31 @@ def _(spark, d):
     return merged.select("id", c.alias("c")).select("id", F.size("c").cast("long").alias("n"), r4(g.length(C("c"))).alias("v"))
 
 
+#: Lines between neighbouring points of a row, every ninth left out and every fourth drawn backward, with side lines and, apart from them, rings of four.
+_ROW = (
+    "SELECT concat('L', p_partkey) AS code, p_partkey % 4 = 0 AS back, 10.0 * p_partkey AS ax, 1.0 * (p_partkey * p_partkey % 7) AS ay, 10.0 * p_partkey + 10 AS bx, 1.0 * ((p_partkey + 1) * (p_partkey + 1) % 7) AS bz FROM {part} WHERE p_partkey % 9 <> 0 "
+    "UNION ALL SELECT concat('B', p_partkey), false, 10.0 * p_partkey, 1.0 * (p_partkey * p_partkey % 7), 10.0 * p_partkey, 1000.0 FROM {part} WHERE p_partkey % 25 = 0 AND p_partkey % 9 NOT IN (0, 1) "
+    "UNION ALL SELECT concat('R', p_partkey, '-', k), k = 2, CASE WHEN k IN (1, 2) THEN 10.0 ELSE 0.0 END, 5000 + 100.0 * p_partkey + CASE WHEN k IN (2, 3) THEN 10 ELSE 0 END, CASE WHEN k IN (0, 1) THEN 10.0 ELSE 0.0 END, 5000 + 100.0 * p_partkey + CASE WHEN k IN (1, 2) THEN 10 ELSE 0 END FROM {part} CROSS JOIN {four} WHERE p_partkey % 50 = 7"
+)
+_LONG = "sqrt(100 + pow((p_partkey + 1) * (p_partkey + 1) % 7 - p_partkey * p_partkey % 7, 2))"
+
+
+@query(
+    "geo_linemerge",
+    f"WITH l AS (SELECT p_partkey, 'L' || p_partkey AS code, {_LONG} AS len, CASE WHEN p_partkey % 9 = 1 OR p_partkey = 1 OR (p_partkey % 25 = 0 AND p_partkey % 9 NOT IN (0, 1)) THEN 1 ELSE 0 END AS begins FROM part WHERE p_partkey BETWEEN 1 AND (SELECT max(p_partkey) FROM part) AND p_partkey % 9 <> 0), "
+    "k AS (SELECT *, sum(begins) OVER (ORDER BY p_partkey) AS chain FROM l) "
+    f"SELECT min(code) AS code, count(*) AS n, FALSE AS closed, {R('sum(len)', 'len')} FROM k GROUP BY chain "
+    "UNION ALL SELECT 'B' || p_partkey, 1, FALSE, 1000.0::DOUBLE - p_partkey * p_partkey % 7 FROM part WHERE p_partkey % 25 = 0 AND p_partkey % 9 NOT IN (0, 1) "
+    "UNION ALL SELECT 'R' || p_partkey || '-0', 4, TRUE, 40.0::DOUBLE FROM part WHERE p_partkey % 50 = 7",
+)
+def _(spark, d):
+    """Lines put together from side line to side line or gap, however they are drawn, and rings."""
+    rows = spark.sql(_ROW.replace(".0 ", ".0D "), part=t(spark, d, "part"), four=spark.range(4).withColumnRenamed("id", "k"))
+    ends = F.array(g.point(C("ax"), C("ay")), g.point(C("bx"), C("bz")))
+    drawn = rows.select("code", F.when(C("back"), F.reverse(ends)).otherwise(ends).alias("coords"))
+    return ln.merge_lines(drawn).select("code", F.size("codes").cast("long").alias("n"), "closed", r4(g.length(C("coords"))).alias("len"))
+
+
 _BOX = "list_sum(list_transform(range(1, len(coords)), lambda i: {f}))"
 
 
