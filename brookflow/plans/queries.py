@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookflow.functions import geometry as g
-from brookflow.operators import culverts, discharge, dissolve, lumping, network, orders, raster, spatial, windows
+from brookflow.operators import buffers, culverts, discharge, dissolve, lumping, network, orders, raster, spatial, windows
 from brookflow.operators import lines as ln
 from brookflow.plans.derive import duck, view
 
@@ -390,6 +390,17 @@ def _(spark, d):
     return spatial.first_crossing(cul, bent_walls(spark, d), 50.0).where("crossing_code is not null").select("id", "crossing_code")
 
 
+#: Two segments of 35 by 21 and 13 by -31 with radius 3: boxes, half discs of 64 chords each, a slice at the bend, less what the boxes share inside it.
+_TURN = "(atan2(21, 35) - atan2(-31, 13))"
+_SIDES = f"greatest(1, CAST(ceil({_TURN} / (pi() / 64) - 1e-9) AS INTEGER))"
+
+
+@query("geo_buffer", f"SELECT s_suppkey AS id, 1::BIGINT AS n_parts, {R(f'6 * (sqrt(35 * 35 + 21 * 21) + sqrt(13 * 13 + 31 * 31)) + 64 * 9 * sin(pi() / 64) + 9 * {_SIDES} * sin({_TURN} / {_SIDES}) / 2 - 9 * tan({_TURN} / 2)', 'area')} FROM supplier")
+def _(spark, d):
+    whole = buffers.buffer(bent_walls(spark, d), 3.0, precision=1e-7)
+    return whole.groupBy("id").agg(F.count(F.lit(1)).alias("n_parts"), r4(F.sum("area")).alias("area"))
+
+
 @query("join_own_line_exempt", f"WITH {_BENT}, {_CULV}, {_MEET} SELECT id, min(concat('W', wall)) AS crossing_code FROM crossed WHERE wall <> id % 100 GROUP BY id")
 def _(spark, d):
     cul = short_lines(spark, d).withColumns({"code": F.concat(F.lit("W"), C("id") % 100), "dangling_code": F.lit("-")})
