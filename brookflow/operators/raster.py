@@ -7,10 +7,11 @@ indices, and labels run downstream by pointer jumping in O(log n) rounds.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -160,6 +161,44 @@ def resample(cells: DataFrame, old: float, new: float) -> DataFrame:
     return grid.withColumn("k", corner).select("r", "c", "k.*").where("w > 0").join(there, ["orow", "ocol"]).groupBy("r", "c").agg((F.sum(F.col("ov") * F.col("w")) / F.sum("w")).alias("v"))
 
 
+@dataclass(frozen=True)
+class Grid:
+    """Where cells lie: the outer corner (x0, y0) of cell (0, 0), the cell's size, and whether rows run downward (y falls)."""
+
+    x0: float
+    y0: float
+    cell: float
+    down: bool = False
+
+    def centre(self, r: Column, c: Column) -> tuple[Column, Column]:
+        """(x, y) of a cell's middle."""
+        return self.x0 + (c + 0.5) * self.cell, self.y0 + (r + 0.5) * (-self.cell if self.down else self.cell)
+
+    def place(self, x: Column, y: Column) -> tuple[Column, Column]:
+        """(row, column) of a point, whole numbers at the middles of cells."""
+        return (y - self.y0) / (-self.cell if self.down else self.cell) - 0.5, (x - self.x0) / self.cell - 0.5
+
+
+def reproject_match(cells: DataFrame, source: Grid, like: DataFrame, target: Grid, method: str = "nearest") -> DataFrame:
+    """like(r, c, ...) on the target grid with v: the value of cells(r, c, v) on the source grid at each cell's middle; null where there is none.
+
+    "nearest": of the source cell that holds the point (on a line between two, the one of the higher number). "bilinear": of the
+    four middles around it, weights renewed where some are missing or null.
+    """
+    if method not in ("nearest", "bilinear"):
+        raise ValueError(f"no method {method}")
+    row, column = source.place(*target.centre(F.col("r"), F.col("c")))
+    there = cells.where("v is not null").select(F.col("r").cast("long").alias("_r"), F.col("c").cast("long").alias("_c"), F.col("v").alias("_v"))
+    if method == "nearest":
+        placed = like.withColumns({"_r": F.floor(row + 0.5).cast("long"), "_c": F.floor(column + 0.5).cast("long")})
+        return placed.join(there, ["_r", "_c"], "left").select(*like.columns, F.col("_v").alias("v"))
+    r0, c0 = F.floor(row), F.floor(column)
+    corner = F.explode(F.array(*(F.struct((r0 + i).cast("long").alias("_r"), (c0 + j).cast("long").alias("_c"), ((1 - F.abs(row - r0 - i)) * (1 - F.abs(column - c0 - j))).alias("_w")) for i in (0, 1) for j in (0, 1))))
+    around = like.select("r", "c").distinct().withColumn("_k", corner).select("r", "c", "_k.*").where("_w > 0").join(there, ["_r", "_c"])
+    value = around.groupBy("r", "c").agg((F.sum(F.col("_v") * F.col("_w")) / F.sum("_w")).alias("v"))
+    return like.join(value, ["r", "c"], "left").select(*like.columns, "v")
+
+
 def polygonize(cells: DataFrame, cell: float = 2.0) -> DataFrame:
     """(label, n_cells, area, n_parts, sides): per label its area, its parts (cells joined by sides) and outline sides.
 

@@ -105,12 +105,31 @@ def _(spark, d):
     return raster.resample(grid(spark, d), 4.0, 2.0).select("r", "c", r4(C("v")).alias("v"))
 
 
-@query("ras_reproject_match", f"{_G}, z AS (SELECT r, c, zone FROM cells) SELECT zone, count(*) AS n, {R('sum(v)', 'total')} FROM g JOIN z USING (r, c) GROUP BY zone".replace("SELECT zone, count", "SELECT z.zone AS zone, count").replace("GROUP BY zone", "GROUP BY z.zone"))
+@query("ras_match_equal", f"{_G}, z AS (SELECT r, c, zone FROM cells) SELECT zone, count(*) AS n, {R('sum(v)', 'total')} FROM g JOIN z USING (r, c) GROUP BY zone".replace("SELECT zone, count", "SELECT z.zone AS zone, count").replace("GROUP BY zone", "GROUP BY z.zone"))
 def _(spark, d):
     g, z = grid(spark, d).select("r", "c", "v"), view(spark, d, "cells").select("r", "c", "zone")
     return g.join(z, ["r", "c"]).groupBy("zone").agg(F.count(F.lit(1)).alias("n"), r4(F.sum("v")).alias("total"))
 
 
+#: Heights on cells of 4 whose rows run downward from (0, 0), zones on cells of 2.5 whose rows run upward from (-3, -380).
+_PLACED = f"{_G}, t AS (SELECT r, c, zone, -(-380 + (r + 0.5::DOUBLE) * 2.5) / 4 - 0.5 AS fr, (-3 + (c + 0.5::DOUBLE) * 2.5) / 4 - 0.5 AS fc FROM cells)"
+
+
+@query(
+    "ras_reproject_match",
+    f"{_PLACED}, n AS (SELECT t.zone AS zone, count(g.v) AS n, sum(g.v) AS total FROM t LEFT JOIN g ON g.r = floor(fr + 0.5) AND g.c = floor(fc + 0.5) GROUP BY t.zone), "
+    "k AS (SELECT t.r AS r, t.c AS c, t.zone AS zone, sum(g.v * w) / sum(w) AS v FROM (SELECT *, (1 - abs(fr - floor(fr) - i)) * (1 - abs(fc - floor(fc) - j)) AS w FROM t, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j)) t "
+    "JOIN g ON g.r = floor(fr) + i AND g.c = floor(fc) + j WHERE w > 0 GROUP BY t.r, t.c, t.zone), b AS (SELECT zone, count(*) AS n, sum(v) AS total FROM k GROUP BY zone) "
+    f"SELECT n.zone AS zone, n.n AS n_nearest, {R('n.total', 'nearest')}, b.n AS n_bilinear, {R('b.total', 'bilinear')} FROM n JOIN b ON b.zone = n.zone",
+)
+def _(spark, d):
+    """Heights on the zones' grid, which has another origin, cell and direction."""
+    heights, zones = grid(spark, d).select("r", "c", "v"), view(spark, d, "cells").select("r", "c", "zone")
+    source, target = raster.Grid(0.0, 0.0, 4.0, down=True), raster.Grid(-3.0, -380.0, 2.5)
+    both = [raster.reproject_match(heights, source, zones, target, how).groupBy("zone").agg(F.count("v").alias(f"n_{how}"), r4(F.sum("v")).alias(how)) for how in ("nearest", "bilinear")]
+    return both[0].join(both[1], "zone")
+
+
 @query("ras_rasterize", 'WITH w AS (SELECT s_suppkey AS id, CAST((s_suppkey * 53) % 1000 AS DOUBLE) AS ax, CAST((s_suppkey * 71) % 1000 AS DOUBLE) AS ay FROM supplier), k AS (SELECT unnest(range(-1, 12)) AS dc), l AS (SELECT unnest(range(-1, 9)) AS dr), e AS (SELECT id, ax, ay, CAST(floor(ax / 5) AS BIGINT) + dc AS c, CAST(floor(ay / 5) AS BIGINT) + dr AS r FROM w, k, l), p AS (SELECT *, (c + 0.5) * 5 AS x, (r + 0.5) * 5 AS y FROM e), q AS (SELECT *, greatest(0, least(1, ((x - ax) * 35 + (y - ay) * 21) / 1666.0::DOUBLE)) AS t FROM p) SELECT r, c, max(id) AS id FROM q WHERE sqrt(pow(x - ax - t * 35, 2) + pow(y - ay - t * 21, 2)) <= 3 GROUP BY r, c')
 def _(spark, d):
     return raster.rasterize_lines(walls(spark, d), 5.0, 3.0)
