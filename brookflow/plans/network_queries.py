@@ -115,9 +115,9 @@ def _(spark, d):
 
 @query("net_build", f"{_NL}, p AS (SELECT ax AS x, ay AS y, 2 * row_number() OVER (ORDER BY code) AS o FROM nl UNION ALL SELECT bx, \"by\", 2 * row_number() OVER (ORDER BY code) + 1 FROM nl), q AS (SELECT x, y, min(o) AS o FROM p GROUP BY x, y) SELECT x, y, row_number() OVER (ORDER BY o) - 1 AS node_id FROM q")
 def _(spark, d):
-    from pyspark.sql import Window as W
+    from brookflow.plans.workflows import with_edge_ids
 
-    l = net_lines(spark, d).withColumn("edge_id", F.row_number().over(W.orderBy("code")).cast("long")).drop("node_start", "node_end")
+    l = with_edge_ids(net_lines(spark, d)).drop("node_start", "node_end")
     return network.build(l)[0].select("x", "y", "node_id")
 
 

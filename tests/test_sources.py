@@ -88,6 +88,21 @@ def test_workbook(spark, tmp_path):
             xlsx.read_sheet(spark, path, sheet, skip)
 
 
+def test_grid_of_many_blocks(spark, tmp_path):
+    """Rows keep their numbers however files are cut into blocks, and in whatever number of files they are."""
+    cells = spark.createDataFrame([(r, c, float(100 * r + c)) for r in range(40) for c in range(5)], "r long, c long, v double")
+    want = {(r, c): 100.0 * r + c for r in range(40) for c in range(5)}
+    for files in (1, 4):
+        grid.write_ascii(cells, str(tmp_path / f"g{files}"), 5, 40, 1.0, files=files)
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        try:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "128")
+            back, head = grid.read_ascii(spark, str(tmp_path / f"g{files}"))
+            assert {(x["r"], x["c"]): x["v"] for x in back.collect()} == want and head["nrows"] == 40
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_grid(spark, tmp_path):
     cells = spark.createDataFrame([(0, 0, 1.5), (1, 2, 2.5)], "r long, c long, v double")
     grid.write_ascii(cells, str(tmp_path / "g"), 3, 2, 2.0)
