@@ -10,7 +10,7 @@ the winner.
 
 The dictionaries come from a bounded sample: per language at most SAMPLE texts,
 those with the least hash of doc_id, found by a partial top-n per task (texts too
-long for a dictionary last, of which the first LONG_LETTERS are learned). Texts to
+long for a dictionary last, of which LONG_PIECES pieces from all over the text are learned). Texts to
 predict are compressed whole where they are read; nothing is shuffled.
 
 Defined results: a null text, or one without a letter, is `und` with score 0;
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from brookflow.llm import common
 
 SAMPLE, DICTIONARY_BYTES, PIECE_BYTES = 200, 112 << 10, 2048
-#: Letters that a training text too long for a dictionary gives.
-LONG_LETTERS = 14_000
+#: Pieces of so many letters, as far apart as the text is long, that a training text too long for a dictionary gives.
+LONG_PIECES, LONG_LETTERS = 14, 1_000
 MARGIN = 0.02
 UNDETERMINED = "und"
 #: Letters: word characters that are neither digits nor the underscore.
@@ -45,11 +45,12 @@ _OTHER = re.compile(r"[\W\d_]+")
 def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> dict[str, bytes]:
     """{language: raw content of its dictionary} from the rows that aren't held out. What is collected is bounded by languages x sample."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~common.held_out("doc_id"))
-    # a text that doesn't fit a dictionary whole is taken where there are too few others, and only its beginning
+    # a text that doesn't fit a dictionary whole is taken where there are too few others, and pieces from its beginning to its end
     long_text = F.octet_length("text") > DICTIONARY_BYTES
     nth = F.row_number().over(W.partitionBy("lang").orderBy("long", F.xxhash64("doc_id"), "doc_id"))
     ids = rows.select("doc_id", "lang", long_text.alias("long")).withColumn("nth", nth).where(F.col("nth") <= sample).select("doc_id", "lang", "long", "nth")
-    part = F.when(long_text, F.substring("text", 1, LONG_LETTERS)).otherwise(F.col("text"))
+    begins = F.transform(F.sequence(F.lit(0), F.lit(LONG_PIECES - 1)), lambda i: (1 + F.floor(i * (F.length("text") - LONG_LETTERS) / (LONG_PIECES - 1))).cast("int"))
+    part = F.when(long_text, F.array_join(F.transform(begins, lambda at: F.substring(F.col("text"), at, F.lit(LONG_LETTERS))), " ")).otherwise(F.col("text"))
     fetched = rows.select("doc_id", "lang", long_text.alias("long"), part.alias("text")).join(F.broadcast(ids), ["doc_id", "lang", "long"])  # languages x sample rows
     chosen = fetched.groupBy("doc_id", "lang").agg(F.min("nth").alias("nth"), F.min("text").alias("text")).collect()
     return dictionaries([(r["lang"], r["text"]) for r in sorted(chosen, key=lambda r: (r["lang"], r["nth"]))])

@@ -471,6 +471,32 @@ def test_languages_of_long_texts_are_learned(spark):
     assert langid.languages(same.limit(0)).count() == 0
 
 
+def test_long_texts_are_learned_from_all_over(spark):
+    """What only the end of the long texts has is in the dictionary."""
+    text = "kor pel " * 30_000 + " zarquon" * 500
+    rows = [(i, text, "aa") for i in range(6)]
+    known = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert b"zarquon" in known["aa"] and b"kor pel" in known["aa"] and len(known["aa"]) <= langid.DICTIONARY_BYTES
+
+
+def test_languages_against_plain_recompression(spark):
+    """Scores and predictions from compressing every text anew, piece by piece, with each language's dictionary."""
+    r = random.Random(16)
+    words = {"aa": [f"kor{i}pel" for i in range(60)], "bb": [f"žub{i}ani" for i in range(60)]}
+    rows = [(i, " ".join(r.choice(words[lang]) for _ in range(r.randrange(1, 700))), lang) for i, lang in enumerate(["aa", "bb"] * 20)]
+    rows += [(100, None, None), (101, "12 !", None), (102, "", "aa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    compress = dict(zip(("aa", "bb"), langid.compressors(langid.learn(docs)), strict=True))
+    for row in langid.languages(docs).collect():
+        text = dict((i, t) for i, t, _ in rows)[row["doc_id"]]
+        raw = langid.folded(text or "")
+        if not raw.strip():
+            assert (row["lang_pred"], row["score"]) == ("und", 0.0)
+            continue
+        sizes = {lang: sum(len(f(raw[k : k + langid.PIECE_BYTES])) for k in range(0, len(raw), langid.PIECE_BYTES)) for lang, f in compress.items()}
+        assert sizes[row["lang_pred"]] == min(sizes.values()) and 0 < row["score"] <= 1
+
+
 def test_toxicity(spark):
     r = random.Random(3)
     vocab = [f"n{i}" for i in range(300)]
