@@ -180,14 +180,20 @@ def ordered(spark, d):
     return orders.order_numbers(nodes, e, outs), outs
 
 
-#: All ways up from the outflows, a chain's edges in a row; of an edge's ways the least (order, chain, place).
-_ORDERS = (
-    f"{duck('net_edges', 'net_nodes').replace('WITH ', 'WITH RECURSIVE ', 1)}, {_SELQ}, e AS (SELECT code, node_start, node_end, row_number() OVER (ORDER BY code) AS edge_id, coalesce(selected = code, FALSE) AS follows "
-    "FROM net_edges LEFT JOIN (SELECT * FROM sel WHERE node_id IN (SELECT node_id FROM net_nodes)) s ON s.node_id = node_end), "
-    "w AS (SELECT code, node_start, 2 AS o, edge_id AS head, code AS chain, 0::BIGINT AS rank FROM e WHERE node_end = 0 UNION ALL SELECT e.code, e.node_start, CASE WHEN follows THEN o ELSE o + 1 END, "
-    "CASE WHEN follows THEN head ELSE edge_id END, CASE WHEN follows THEN chain ELSE e.code END, CASE WHEN follows THEN rank + 1 ELSE 0::BIGINT END FROM w JOIN e ON e.node_end = w.node_start), "
-    "best AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY o, head, rank) AS k FROM w), "
-    "placed AS (SELECT e.code AS code, e.node_start AS node_start, e.node_end AS node_end, e.edge_id AS edge_id, coalesce(o, -999) AS order_no, coalesce(chain, '') AS outflow_edge, coalesce(rank, -999) AS order_edge_no FROM e LEFT JOIN best ON best.code = e.code AND best.k = 1)"
+def _orders(tables: str, edges: str, last: int) -> str:
+    """All ways up from the edges that end at a node, a chain's edges in a row; of an edge's ways the least (order, chain, place). edges: code, node_start, node_end, follows."""
+    return (
+        f"{tables}, e AS (SELECT *, row_number() OVER (ORDER BY code) AS edge_id FROM ({edges})), "
+        f"w AS (SELECT code, node_start, 2 AS o, edge_id AS head, code AS chain, 0::BIGINT AS rank FROM e WHERE node_end = {last} UNION ALL SELECT e.code, e.node_start, CASE WHEN follows THEN o ELSE o + 1 END, "
+        "CASE WHEN follows THEN head ELSE edge_id END, CASE WHEN follows THEN chain ELSE e.code END, CASE WHEN follows THEN rank + 1 ELSE 0::BIGINT END FROM w JOIN e ON e.node_end = w.node_start), "
+        "least_way AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY o, head, rank) AS k FROM w), "
+        "placed AS (SELECT e.code AS code, e.node_start AS node_start, e.node_end AS node_end, e.edge_id AS edge_id, coalesce(o, -999) AS order_no, coalesce(chain, '') AS outflow_edge, coalesce(rank, -999) AS order_edge_no FROM e LEFT JOIN least_way best ON best.code = e.code AND best.k = 1)"
+    )
+
+
+_ORDERS = _orders(
+    f"{duck('net_edges', 'net_nodes').replace('WITH ', 'WITH RECURSIVE ', 1)}, {_SELQ}",
+    "SELECT code, node_start, node_end, coalesce(selected = code, FALSE) AS follows FROM net_edges LEFT JOIN (SELECT * FROM sel WHERE node_id IN (SELECT node_id FROM net_nodes)) s ON s.node_id = node_end", 0,
 )
 
 
@@ -196,17 +202,21 @@ def _zfill(number: str, width: int = 3) -> str:
     return f"CASE WHEN length({text}) >= {width} THEN {text} ELSE lpad({text}, {width}, '0') END"
 
 
-#: Numbers along each chain, tributaries below their parent edge, and prefixes order by order.
-_CODES = (
-    f"{_ORDERS}, below AS (SELECT t.code AS t, t.edge_id AS t_id, p.code AS p FROM placed t JOIN placed p ON p.node_start = t.node_end AND p.order_no > 0 AND t.order_no = p.order_no + 1 WHERE t.order_edge_no = 0), "
-    "n AS (SELECT p, count(*) AS n FROM below GROUP BY p), "
-    "numbered AS (SELECT placed.*, coalesce(n, 0) AS n, CAST(1 + coalesce(sum(CASE WHEN n > 0 THEN n + 1 ELSE 0 END) OVER (PARTITION BY outflow_edge ORDER BY order_edge_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS nr "
-    "FROM placed LEFT JOIN n ON n.p = placed.code WHERE order_no > 0), "
-    "hung AS (SELECT t, p, row_number() OVER (PARTITION BY p ORDER BY t_id) AS j, row_number() OVER (PARTITION BY t ORDER BY p) AS k FROM below), "
-    "stem AS (SELECT code AS chain, 'VE.733' AS prefix FROM e WHERE node_end = 0 UNION ALL "
-    f"SELECT h.t, left(prefix || '.' || ({_zfill('nr')}), length(prefix || '.' || ({_zfill('nr')})) - 4) || '.' || ({_zfill('nr + j')}) FROM stem JOIN numbered m ON m.outflow_edge = stem.chain JOIN hung h ON h.p = m.code AND h.k = 1), "
-    f"coded AS (SELECT m.*, prefix || '.' || ({_zfill('nr')}) AS order_code FROM numbered m JOIN stem ON stem.chain = m.outflow_edge)"
-)
+def _codes(placed: str, last: int) -> str:
+    """Numbers along each chain, tributaries below their parent edge, and prefixes order by order."""
+    return (
+        f"{placed}, below AS (SELECT t.code AS t, t.edge_id AS t_id, p.code AS p FROM placed t JOIN placed p ON p.node_start = t.node_end AND p.order_no > 0 AND t.order_no = p.order_no + 1 WHERE t.order_edge_no = 0), "
+        "n AS (SELECT p, count(*) AS n FROM below GROUP BY p), "
+        "numbered AS (SELECT placed.*, coalesce(n, 0) AS n, CAST(1 + coalesce(sum(CASE WHEN n > 0 THEN n + 1 ELSE 0 END) OVER (PARTITION BY outflow_edge ORDER BY order_edge_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS nr "
+        "FROM placed LEFT JOIN n ON n.p = placed.code WHERE order_no > 0), "
+        "hung AS (SELECT t, p, row_number() OVER (PARTITION BY p ORDER BY t_id) AS j, row_number() OVER (PARTITION BY t ORDER BY p) AS k FROM below), "
+        f"stem AS (SELECT code AS chain, 'VE.733' AS prefix FROM e WHERE node_end = {last} UNION ALL "
+        f"SELECT h.t, left(prefix || '.' || ({_zfill('nr')}), length(prefix || '.' || ({_zfill('nr')})) - 4) || '.' || ({_zfill('nr + j')}) FROM stem JOIN numbered m ON m.outflow_edge = stem.chain JOIN hung h ON h.p = m.code AND h.k = 1), "
+        f"coded AS (SELECT m.*, prefix || '.' || ({_zfill('nr')}) AS order_code FROM numbered m JOIN stem ON stem.chain = m.outflow_edge)"
+    )
+
+
+_CODES = _codes(_ORDERS, 0)
 
 
 @query("net_order_no", f"{_ORDERS} SELECT code, order_no, outflow_edge, order_edge_no FROM placed")
@@ -445,7 +455,7 @@ def _(spark, d):
     return out.groupBy(C("label").alias("outflow_id")).agg(F.count(F.lit(1)).alias("n_cells"), (F.count(F.lit(1)) * 4.0).alias("area"))
 
 
-@query("run_lumping")
+@query("run_lumping", f"{SQL['net_upstream_of_points'].replace('SELECT DISTINCT out AS outflow_id, code FROM u', '')} SELECT out AS outflow_id, count(*) AS n_areas, {R('sum(length)', 'area')} FROM (SELECT DISTINCT out, code FROM u) m JOIN net_edges e ON e.code = m.code GROUP BY out")
 def _(spark, d):
     from brookflow.plans.workflows import run_lumping
 
@@ -462,15 +472,61 @@ def _(spark, d):
     return out.select("code", r4(C("total_specifieke_afvoer")).alias("total"), "unresolved")
 
 
-@query("run_orders")
+_BY_ANGLE = _codes(_orders(f"{_NL.replace('WITH ', 'WITH RECURSIVE ', 1)}, {_PAIRS}", "SELECT n.code AS code, n.node_start AS node_start, n.node_end AS node_end, coalesce(selected_upstream_edge = n.code, FALSE) AS follows FROM (SELECT e.* FROM net_edges e JOIN nl ON nl.code = e.code) n JOIN chosen ON chosen.node_id = n.node_end", 0), 0)
+
+
+@query("run_orders", f"{_BY_ANGLE} SELECT code, order_no, order_code FROM coded UNION ALL SELECT code, order_no, '' FROM placed WHERE order_no < 0")
 def _(spark, d):
+    """Orders and codes above the one dead end, the selected edges by their angles; the outflow is given five metres from it."""
     from brookflow.plans.workflows import run_orders, with_edge_ids
 
-    outs = view(spark, d, "net_nodes").where("node_id = 0").select(C("node_id").alias("id"), "x", "y", F.lit("VE.733").alias("order_code"), F.lit("VE").alias("rws_code"))
+    outs = view(spark, d, "net_nodes").where("node_id = 0").select(C("node_id").alias("id"), C("x") + 3, C("y") + 4, F.lit("VE.733").alias("order_code"), F.lit("VE").alias("rws_code")).toDF("id", "x", "y", "order_code", "rws_code")
     made = run_orders(spark, {"hydroobject": with_edge_ids(net_lines(spark, d)).select("code", "edge_id", "coords"), "outflow_nodes": outs}, new_dir(spark, "orders"))
     return made["edges_hydro"].select("code", "order_no", "order_code")
 
 
+#: Discharges of edges put together along all ways down: f has code, node_start, node_end, own, k (the share at its start).
+_DOWN = "w AS (SELECT code AS code, node_end AS node_end, own AS q, own AS own FROM f UNION ALL SELECT n.code AS code, n.node_end AS node_end, w.q * n.k AS q, w.own AS own FROM w JOIN f n ON n.node_start = w.node_end)"
+_SHARED = "CASE WHEN e.node_start IN (SELECT node_end FROM lined) AND count(*) OVER (PARTITION BY e.node_start) > 1 THEN {share} ELSE 1.0::DOUBLE END"
+
+
+@query(
+    "run_discharge_uniform",
+    f"{_NL.replace('WITH ', 'WITH RECURSIVE ', 1)}, lined AS (SELECT e.* FROM net_edges e JOIN nl ON nl.code = e.code), f AS (SELECT code, node_start, node_end, length / 10000 * 1.37 / 1000 * 24 * 3600 AS own, {_SHARED.format(share='1.0::DOUBLE / count(*) OVER (PARTITION BY e.node_start)')} AS k FROM lined e), "
+    f"{_DOWN} SELECT code, {R('sum(q)', 'total')} FROM w GROUP BY code",
+)
+def _(spark, d):
+    """A uniform discharge of areas, the edges' lengths taken as such."""
+    from brookflow.plans.workflows import run_discharge
+
+    e = net_lines(spark, d)
+    out = run_discharge(spark, {"edges": e, "areas": e.select("code", C("length").alias("area"))}, new_dir(spark, "uniform"), uniform=1.37)["edges"]
+    return out.select("code", r4(C("total_specifieke_afvoer")).alias("total"))
+
+
+@query(
+    "run_discharge_full",
+    f"{_NL.replace('WITH ', 'WITH RECURSIVE ', 1).replace('net_nodes AS', 'pts_b AS (' + duck('pts_b')[len('WITH pts_b AS ('):] + ', net_nodes AS', 1)}, cells AS ({duck('cells')[len('WITH cells AS ('):-1]}), lined AS (SELECT e.* FROM net_edges e JOIN nl ON nl.code = e.code), "
+    "far AS (SELECT n.code AS code, p.x AS x, p.y AS y, ax, ay, bx, \"by\", CASE WHEN pow(bx - ax, 2) + pow(\"by\" - ay, 2) > 0 THEN greatest(0, least(1, ((p.x - ax) * (bx - ax) + (p.y - ay) * (\"by\" - ay)) / (pow(bx - ax, 2) + pow(\"by\" - ay, 2)))) ELSE 0 END AS t FROM nl n CROSS JOIN pts_b p), "
+    "supplied AS (SELECT DISTINCT code FROM far WHERE sqrt(pow(x - ax - t * (bx - ax), 2) + pow(y - ay - t * (\"by\" - ay), 2)) <= 1), "
+    "units AS (SELECT 'P' || zone AS code, sum(v) * 4 / 1000 / 24 / 3600 AS q FROM cells GROUP BY zone), "
+    f"shares AS (SELECT code, node_start, node_end, {_SHARED.format(share=chr(67) + 'ASE WHEN code LIKE ' + repr('P%') + ' THEN 0.3::DOUBLE ELSE 0.7::DOUBLE END')} AS k FROM lined e), "
+    "f AS (SELECT s.code AS code, node_start, node_end, coalesce(q, 0) AS own, k FROM shares s LEFT JOIN units ON units.code = s.code WHERE s.code NOT IN (SELECT code FROM supplied)), "
+    f"{_DOWN} SELECT code, {R('sum(q)', 'total')} FROM w GROUP BY code UNION ALL SELECT code, 0.0::DOUBLE FROM supplied",
+)
+def _(spark, d):
+    """Zones with their own rain, the user's shares at every split (given in the other order of its edges), and supply structures."""
+    from brookflow.plans.workflows import run_discharge
+
+    e, cells = net_lines(spark, d), view(spark, d, "cells")
+    nodes = view(spark, d, "net_nodes")
+    splits = annotated(spark, d).where("no_downstream_edges > 1 and no_upstream_edges > 0").select("node_id", "downstream_angles")
+    user = splits.join(nodes, "node_id").select(C("node_id").alias("id"), "x", "y", F.reverse("downstream_angles").alias("angles"), F.array(F.lit(0.7), F.lit(0.3)).alias("factors"))
+    data = {"edges": e, "zones": cells.select("r", "c", F.concat(F.lit("P"), "zone").alias("code")), "rain": cells.select("r", "c", "v"), "nodes": nodes, "user_splits": user, "supply": view(spark, d, "pts_b")}
+    out = run_discharge(spark, data, new_dir(spark, "discharge"))["edges"]
+    return out.select("code", r4(C("total_specifieke_afvoer")).alias("total"))
+
+
 @query("run_culverts")
 def _(spark, d):
     """The ditches that culverts join to channels, turned towards them."""

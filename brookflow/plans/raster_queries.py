@@ -192,13 +192,6 @@ def _(spark, d):
     return _levels(spark, d).groupBy("level_4").agg(F.count(F.lit(1)).alias("n"), r4(F.sum("area")).alias("area"))
 
 
-@query("ras_preprocess")
-def _(spark, d):
-    from brookflow.plans.workflows import preprocess_terrain
-
-    return preprocess_terrain(grid(spark, d).select("r", "c", "v"), walls(spark, d), 5.0).select("r", "c", r4(C("v")).alias("v"))
-
-
 _WET = (
     "ends AS (SELECT s_suppkey AS id, CAST((s_suppkey * 53) % 1000 AS DOUBLE) AS ax, CAST((s_suppkey * 71) % 1000 AS DOUBLE) AS ay FROM supplier), "
     "around AS (SELECT id, ax, ay, CAST(floor(ax / 5) AS BIGINT) + dc AS c, CAST(floor(ay / 5) AS BIGINT) + dr AS r FROM ends, (SELECT unnest(range(-1, 12)) AS dc), (SELECT unnest(range(-1, 9)) AS dr)), "
@@ -207,6 +200,17 @@ _WET = (
 )
 
 
+@query(
+    "ras_preprocess",
+    f"{_G}, {_WET}, far AS (SELECT g.r AS r, g.c AS c, g.v AS v, min(sqrt(CAST((g.r - w.r) * (g.r - w.r) + (g.c - w.c) * (g.c - w.c) AS DOUBLE))) * 5 AS dist FROM g CROSS JOIN (SELECT wet.r AS r, wet.c AS c FROM wet JOIN g ON g.r = wet.r AND g.c = wet.c) w GROUP BY g.r, g.c, g.v), "
+    f"low AS (SELECT *, 0.5::DOUBLE * pow(0.5::DOUBLE, dist / 100) AS d FROM far) SELECT r, c, {R('v - CASE WHEN d < 0.001 THEN 0 ELSE d END - CASE WHEN dist = 0 THEN 10 ELSE 0 END', 'v')} FROM low",
+)
+def _(spark, d):
+    from brookflow.plans.workflows import preprocess_terrain
+
+    return preprocess_terrain(grid(spark, d).select("r", "c", "v"), walls(spark, d), 5.0).select("r", "c", r4(C("v")).alias("v"))
+
+
 @query(
     "ras_generate",
     f"{_FILLED_FLOW}, {_WET}, drains AS (SELECT wet.r AS r, wet.c AS c, label FROM wet JOIN g ON g.r = wet.r AND g.c = wet.c UNION ALL SELECT ff.r AS r, ff.c AS c, drains.label AS label FROM drains JOIN ff ON ff.nr = drains.r AND ff.nc = drains.c "

@@ -143,13 +143,15 @@ def run_drainage(spark: SparkSession, data: dict[str, DataFrame], results: str,
     return layers.read_layers(spark, results, list(made))
 
 
-def run_discharge(spark: SparkSession, data: dict[str, DataFrame], results: str, *, cell: float = 2.0) -> dict[str, DataFrame]:
-    """data: edges (code, node_start, node_end, length[, coords]), optionally zones (r, c, code) with rain (r, c, v), user_splits, nodes and supply (id, x, y). Writes edges with their accumulated discharge."""
+def run_discharge(spark: SparkSession, data: dict[str, DataFrame], results: str, *, cell: float = 2.0, uniform: float | None = None) -> dict[str, DataFrame]:
+    """data: edges (code, node_start, node_end, length[, coords]), optionally zones (r, c, code) with rain (r, c, v), or areas (code, area) for a uniform discharge; user_splits and nodes; supply (id, x, y). Writes edges with their accumulated discharge."""
     edges = data["edges"]
     units = None
     if "zones" in data:
         summed = discharge.zonal(data["zones"].join(data["rain"], ["r", "c"]), "v", "code")
         units = summed.select("code", discharge.zone_discharge(F.col("total"), cell).alias("specifieke_afvoer"))
+    elif uniform is not None:
+        units = data["areas"].groupBy("code").agg(F.sum(discharge.homogeneous_discharge(F.col("area"), uniform)).alias("specifieke_afvoer"))
     flowing = discharge.edge_discharge(edges, units)
     overrides = None
     if "user_splits" in data:
