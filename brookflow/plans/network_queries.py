@@ -408,7 +408,7 @@ def _(spark, d):
     return obeyed(spark, d, feed=True)
 
 
-@query("net_case")
+@query("net_case", f"{_NL}, {_PAIRS} SELECT x, y, no_upstream_edges, no_downstream_edges, selected_upstream_edge, selected_downstream_edge FROM chosen JOIN net_nodes n ON n.node_id = chosen.node_id WHERE no_upstream_edges + no_downstream_edges > 0")
 def _(spark, d):
     from brookflow.plans.workflows import annotated_network, with_edge_ids
 
@@ -464,14 +464,6 @@ def _(spark, d):
     return run_lumping(spark, data, new_dir(spark, "lumping"))["inflow_outflow_areas"].select("outflow_id", "n_areas", r4(C("area")).alias("area"))
 
 
-@query("run_discharge")
-def _(spark, d):
-    from brookflow.plans.workflows import run_discharge
-
-    out = run_discharge(spark, {"edges": net_lines(spark, d)}, new_dir(spark, "discharge"))["edges"]
-    return out.select("code", r4(C("total_specifieke_afvoer")).alias("total"), "unresolved")
-
-
 _BY_ANGLE = _codes(_orders(f"{_NL.replace('WITH ', 'WITH RECURSIVE ', 1)}, {_PAIRS}", "SELECT n.code AS code, n.node_start AS node_start, n.node_end AS node_end, coalesce(selected_upstream_edge = n.code, FALSE) AS follows FROM (SELECT e.* FROM net_edges e JOIN nl ON nl.code = e.code) n JOIN chosen ON chosen.node_id = n.node_end", 0), 0)
 
 
@@ -490,6 +482,14 @@ _DOWN = "w AS (SELECT code AS code, node_end AS node_end, own AS q, own AS own F
 _SHARED = "CASE WHEN e.node_start IN (SELECT node_end FROM lined) AND count(*) OVER (PARTITION BY e.node_start) > 1 THEN {share} ELSE 1.0::DOUBLE END"
 
 
+@query("run_discharge")
+def _(spark, d):
+    from brookflow.plans.workflows import run_discharge
+
+    out = run_discharge(spark, {"edges": net_lines(spark, d)}, new_dir(spark, "discharge"))["edges"]
+    return out.select("code", r4(C("total_specifieke_afvoer")).alias("total"), "unresolved")
+
+
 @query(
     "run_discharge_uniform",
     f"{_NL.replace('WITH ', 'WITH RECURSIVE ', 1)}, lined AS (SELECT e.* FROM net_edges e JOIN nl ON nl.code = e.code), f AS (SELECT code, node_start, node_end, length / 10000 * 1.37 / 1000 * 24 * 3600 AS own, {_SHARED.format(share='1.0::DOUBLE / count(*) OVER (PARTITION BY e.node_start)')} AS k FROM lined e), "

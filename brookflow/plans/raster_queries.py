@@ -43,6 +43,7 @@ def _(spark, d):
 _PUSH = f"{_G}, {_STEP}, q AS (SELECT a.r AS r, a.c AS c, sum(b.v * -dc / sqrt(CAST(dr * dr + dc * dc AS DOUBLE))) AS x, sum(b.v * dr / sqrt(CAST(dr * dr + dc * dc AS DOUBLE))) AS y, count(*) AS n FROM g a CROSS JOIN s JOIN g b ON b.r = a.r + dr AND b.c = a.c + dc WHERE b.v >= -10 GROUP BY a.r, a.c)"
 _ANGLE = "(degrees(atan2(x, y)) + 360) % 360"
 _SECTORS = f"{_PUSH}, k AS (SELECT r, c, {_ANGLE} AS angle FROM q WHERE n = 8), a AS (SELECT r, c, angle, list_position(list_transform(range(16), lambda i: (angle >= 22.5 * (i - 2.5) AND angle < 22.5 * (i - 1.5)) OR (angle - 360 >= 22.5 * (i - 2.5) AND angle - 360 < 22.5 * (i - 1.5))), true) AS sector FROM k)"
+#: Steps of two cells (columns, rows) in each of the sixteen sectors.
 _TWO = "[-2, -1, 0, 1, 2, 2, 2, 2, 2, 1, 0, -1, -2, -2, -2, -2]"
 _TWO_DOWN = "[-2, -2, -2, -2, -2, -1, 0, 1, 2, 2, 2, 2, 2, 1, 0, -1]"
 
