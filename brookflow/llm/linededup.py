@@ -3,7 +3,9 @@
 A text's lines are split at "\\n". Each run of three lines is hashed (128 bits)
 as a window; windows overlap. Over the whole corpus the first occurrence of a
 window - the least (doc_id, text's hash, line) - stays, and every later one covers
-its three lines; a text loses the union of its covered lines.
+its three lines; a text loses the union of its covered lines. So where a later
+occurrence overlaps the first one, lines that they share go too: four equal lines
+become one.
 
 Only windows (id, line, two longs) are shuffled by hash; a window that is very
 common is counted in part before the shuffle, and its join is split by Spark's
