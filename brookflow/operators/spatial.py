@@ -123,24 +123,12 @@ def _spread(segs: DataFrame, size: float, margin: float = 0.0) -> DataFrame:
     return rows.withColumn("_cy", F.explode(F.sequence(F.col("_rows.lo"), F.col("_rows.hi")))).drop("_rows")
 
 
-def _owned(l: Column, r: Column, size: float) -> Column:
-    """Whether this cell (_cx, _cy) is the first that both segments pass: no column before has one, nor this column a lower one."""
-    x, y = F.col("_cx"), F.col("_cy")
-
-    def shared(column: Column) -> tuple[Column, Column]:
-        a, b = _rows_of(column, l, size, 0.0), _rows_of(column, r, size, 0.0)
-        return F.greatest(a["lo"], b["lo"]), F.least(a["hi"], b["hi"])
-
-    first = F.greatest(_columns_of(l, size, 0.0)[0], _columns_of(r, size, 0.0)[0])
-    before = shared(x - 1)
-    return (y == shared(x)[0]) & ((x == first) | (before[0] > before[1]))
-
-
 def crossing_pairs(left: DataFrame, right: DataFrame, cell: float | None = None) -> DataFrame:
     """Distinct (l_id, r_id) of lines(id, coords) that cross: their insides meet, vertices between the ends included, and in points alone.
 
-    Lines that only touch at an end of one of them don't cross, nor do lines that share a stretch. Two segments are tested
-    in the first cell that both pass. Cells are about as large as the shorter lines' segments.
+    Lines that only touch at an end of one of them don't cross, nor do lines that share a stretch. Cells are about as large as
+    the shorter lines' segments, so two segments share few of them; to find the first of those takes longer than to test
+    them again in the others.
     """
     sides = (_mean_extent(line_segments(left)), _mean_extent(line_segments(right)))
     size = max(min(*sides, cell or sides[0]), max(sides) / SPAN, 1e-6)
@@ -154,7 +142,7 @@ def crossing_pairs(left: DataFrame, right: DataFrame, cell: float | None = None)
     def apart(lo: str, hi: str) -> Column:
         return (F.greatest(s[lo], s[hi]) < F.least(t[lo], t[hi])) | (F.greatest(t[lo], t[hi]) < F.least(s[lo], s[hi]))
 
-    pairs = named(left, "l").join(named(right, "r"), ["_cx", "_cy"]).where(~apart("ax", "bx") & ~apart("ay", "by")).where(_owned(s, t, size))
+    pairs = named(left, "l").join(named(right, "r"), ["_cx", "_cy"]).where(~apart("ax", "bx") & ~apart("ay", "by"))
     met, shared = g.segments_meet_inside(s, t, F.col("l_ends"), F.col("r_ends")), g.segments_overlap(s, t)
     judged = pairs.select("l_id", "r_id", met.alias("met"), shared.alias("shared")).where("met or shared")
     return judged.groupBy("l_id", "r_id").agg(F.bool_or("met").alias("met"), F.bool_or("shared").alias("shared")).where("met and not shared").select("l_id", "r_id")
